@@ -25,6 +25,12 @@ def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard_join
+
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import packing
 
@@ -39,7 +45,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_token_shards, op9_packing, op10_substring_dedup)}
+    return {f.__name__: f for f in (op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,9 +44,17 @@ def minimisers(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, n
     return grams[out], out
 
 
+#: Rows without a doc_id get an identifier from here on, by their text; doc_ids are smaller.
+UNNAMED = 1 << 62
+
+
+def did() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(UNNAMED) + F.xxhash64("text").bitwiseAND(F.lit(UNNAMED - 1)))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, did (null counts as the largest), a hash of the text that tells rows with one doc_id apart, and text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("did"), F.xxhash64("text").alias("tk"), F.coalesce("text", F.lit("")).alias("text"))
+    """doc_id, did (never null), a hash of the text that tells rows with one doc_id apart, and text."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), did().alias("did"), F.xxhash64("text").alias("tk"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
@@ -229,8 +237,8 @@ class Repeats:
     ``texts``: did, tk, text of documents that share a passage with another, copies left out.
     ``spans``: did, tk, spans: array of (start, stop) in words, of what goes from those.
 
-    Words are runs of characters other than ASCII white space. A null or empty text has no words. A null doc_id counts as the
-    largest. Rows with one doc_id are never copies of each other, as neither has the smaller identifier. An empty table gives
+    Words are runs of characters other than ASCII white space. A null or empty text has no words. Rows without a doc_id count as
+    larger than all others (which are below 2**62), in an order of their own. Rows with one doc_id are never copies of each other, as neither has the smaller identifier. An empty table gives
     empty tables; other columns are ignored. ``batch_count`` batches in order of doc_id go through the index one after another.
     """
 
@@ -308,7 +316,7 @@ def clean(docs: DataFrame, window: int = 50, batch_count: int = 2) -> DataFrame:
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(LAST).alias("stop")))
     spans = r.spans.unionByName(r.facts.where("copy").select("did", "tk").distinct().withColumn("spans", whole))
     names = docs.columns
-    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_did"), F.xxhash64("text").alias("_tk")]
+    key = [did().alias("_did"), F.xxhash64("text").alias("_tk")]
     rows = docs.select("*", *key).join(spans.select(F.col("did").alias("_did"), F.col("tk").alias("_tk"), F.col("spans").alias("_spans")).hint("shuffle_hash"), ["_did", "_tk"], "left")
     rest = [n for n in names if n != "text"]
     cut = _without(rows.where("_spans is not null").select(*rest, "text", F.col("_spans").alias("spans")), rest, True)
