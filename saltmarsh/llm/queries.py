@@ -18,6 +18,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import license_scan
+
+    return license_scan.scan(_table(spark, sf_dir, "documents")).drop("hits")
+
+
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import near_vectors
+
+    return near_vectors.near_components(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import topk_nra
+
+    rows = topk_nra.integers(_table(spark, sf_dir, "embeddings"), scale=1024)
+    return topk_nra.top_k(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import sstable
 
@@ -45,8 +64,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup)}
+
+
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import license_scan
+
+    return {"op1_license_scan": license_scan.scan_sql(), "op6_topk_search": TOP_K_SQL}
