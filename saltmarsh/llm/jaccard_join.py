@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .hashing import batches, mix, run_hashes, words_of
-from .scratch import Scratch, partitions
+from .scratch import Scratch, partitions, small_side
 from .substring_index import UNNAMED, did, keyed
 
 FREQUENT = 200_000
@@ -135,12 +135,12 @@ def _prefix_rows(out: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
 
 
 def _bounded(lists: DataFrame, percent: int) -> DataFrame:
-    """Rows that can be part of a link: size, place, matches asked, shared members up to there (upto), and connectedness."""
+    """Rows that can be part of a link by the n-grams held elsewhere up to there: size, place, matches asked, and connectedness."""
     place, n = F.shiftright("meta", 4).bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("meta", 36)
     of = Window.partitionBy("name")
     rows = lists.select("gram", "name", n.alias("n"), place.alias("place"), F.col("meta").bitwiseAND(F.lit(15)).alias("asked"), "df")
     rows = rows.withColumn("upto", F.row_number().over(of.orderBy("place")).cast("long")).withColumn("own", F.sum(F.col("df") - 1).over(of))
-    return rows.where((F.col("upto") + F.col("n") - 1 - F.col("place")) * 100 >= F.col("n") * percent).drop("df")
+    return rows.where((F.col("upto") + F.col("n") - 1 - F.col("place")) * 100 >= F.col("n") * percent).drop("df", "upto")
 
 
 def _gathered(stream: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
@@ -171,19 +171,23 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 def _pairs(lists: DataFrame, percent: int, leaders: bool) -> DataFrame:
     """Pairs of classes in one list that may be similar by size, with the n-grams they share there and the matches asked for.
 
-    lists: gram, name, n, place, asked, upto, own. With ``leaders``, each with the one of greatest ``own``; else all with different ``own``.
+    lists: gram, name, n, place, asked, own. With ``leaders``, each with the one of greatest ``own``; else all with different ``own``.
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (columns := _gathered(stream)):
             return
-        gram, name, size, place, asked, upto, own = columns
+        gram, name, size, place, asked, own = columns
         order = np.lexsort((name, own, gram) if leaders else (name, size, gram))
-        gram, name, size, place, asked, upto, own = (x[order] for x in (gram, name, size, place, asked, upto, own))
+        gram, name, size, place, asked, own = (x[order] for x in (gram, name, size, place, asked, own))
         behind = size - 1 - place
 
         def able(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            return (np.minimum(upto[a], upto[b]) + np.minimum(behind[a], behind[b])) * (100 + percent) >= percent * (size[a] + size[b])
+            """Whether the n-gram can be one of the first shared ones, as many as the pair is asked for, of a similar pair.
+
+            What holds for a shared n-gram holds for those before it, so the shared ones met are the first of all shared ones.
+            """
+            return (np.minimum(asked[a], asked[b]) + np.minimum(behind[a], behind[b])) * (100 + percent) >= percent * (size[a] + size[b])
 
         head = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
         tail = np.append(head[1:], len(gram))
@@ -191,7 +195,7 @@ def _pairs(lists: DataFrame, percent: int, leaders: bool) -> DataFrame:
             a, b = np.arange(len(gram)), np.repeat(tail - 1, tail - head)
             a, b = a[a != b], b[a != b]
             a, b = a[able(a, b)], b[able(a, b)]
-            yield from _counted(a, b, name, asked, False)
+            yield from _counted(a, b, name, size, behind, asked, percent, False)
             return
         # row d places behind in the same list, for each d; sizes ascend, so lists soon have no partner of fitting size
         end = np.repeat(tail, tail - head)
@@ -205,26 +209,31 @@ def _pairs(lists: DataFrame, percent: int, leaders: bool) -> DataFrame:
                 got.append((some, some + d))
                 many += len(some)
             if many > 1_000_000:
-                yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, asked, True)
+                yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, size, behind, asked, percent, True)
                 got, many = [], 0
             d += 1
         if got:
-            yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, asked, True)
+            yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, size, behind, asked, percent, True)
 
-    pairs = lists.select("gram", "name", "n", "place", "asked", "upto", "own").repartition(partitions(lists.sparkSession), "gram").mapInArrow(run, "a long, b long, shared long, asked long")
-    return pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("asked").alias("asked"))
+    pairs = lists.select("gram", "name", "n", "place", "asked", "own").repartition(partitions(lists.sparkSession), "gram").mapInArrow(run, "a long, b long, shared long, asked long, rest long, least long")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("asked").alias("asked"), F.min("rest").alias("rest"), F.min("least").alias("least"))
+    return pairs.where("shared + rest >= least").select("a", "b", "shared", "asked")
 
 
-def _counted(a: np.ndarray, b: np.ndarray, name: np.ndarray, asked: np.ndarray, ordered: bool) -> Iterator[pa.RecordBatch]:
+def _counted(a: np.ndarray, b: np.ndarray, name: np.ndarray, size: np.ndarray, behind: np.ndarray, asked: np.ndarray, percent: int, ordered: bool) -> Iterator[pa.RecordBatch]:
+    """Each pair once: n-grams shared, what can follow the last of them at most, and the least overlap of a link."""
     if not len(a):
         return
-    x, y, asked = name[a], name[b], np.minimum(asked[a], asked[b])
+    x, y = name[a], name[b]
     if ordered:
         x, y = np.minimum(x, y), np.maximum(x, y)
-    order = np.lexsort((y, x))
-    x, y, asked = x[order], y[order], asked[order]
+    rest = np.minimum(behind[a], behind[b])
+    order = np.lexsort((rest, y, x))
+    x, y, a, b, rest = (c[order] for c in (x, y, a, b, rest))
     head = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
-    yield pa.RecordBatch.from_arrays([pa.array(x[head]), pa.array(y[head]), pa.array(np.diff(np.append(head, len(x)))), pa.array(asked[head])], names=["a", "b", "shared", "asked"])
+    a, b = a[head], b[head]
+    least = -(-percent * (size[a] + size[b]) // (100 + percent))
+    yield pa.RecordBatch.from_arrays([pa.array(x[head]), pa.array(y[head]), pa.array(np.diff(np.append(head, len(x)))), pa.array(np.minimum(asked[a], asked[b])), pa.array(rest[head]), pa.array(least)], names=["a", "b", "shared", "asked", "rest", "least"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -265,27 +274,35 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     often = facts.where("often is not null").select(F.explode("often").alias("o")).groupBy("o.g").agg(F.sum("o.c").alias("c"))
     frequent = often.orderBy(F.desc("c"), "g").limit(FREQUENT).toArrow()
     reps = facts.where("n > 0").groupBy("name").agg(F.min(F.struct("did", "tk")).alias("r")).select("name", F.col("r.did").alias("cid"), F.col("r.tk").alias("tk"))
+    reps = scratch.store(reps, "classes")
 
     lists = scratch.store(_shared(_prefixes(docs, words, percent, frequent)), "lists")
     bounded = scratch.store(_bounded(lists, percent), "bounded")
     scratch.drop(lists)
-    wanted = bounded.select("name").distinct().join(reps, "name")
 
     def members(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             yield pa.RecordBatch.from_arrays([batch.column("name"), batch.column("did"), pa.array([x.tobytes() for x in _sets(batch, words)], pa.binary())], names=["name", "cid", "members"])
 
-    texts = keyed(docs).select("did", "tk", "text").join(wanted.withColumnRenamed("cid", "did").hint("shuffle_hash"), ["did", "tk"])
-    sets = scratch.store(texts.mapInArrow(members, "name long, cid long, members binary"), "sets")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The whole sets of the classes in some pairs, from the text of one document each."""
+        names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+        wanted = scratch.store(names.join(reps, "name").select("name", F.col("cid").alias("did"), "tk"), "wanted")
+        texts = keyed(docs).select("did", "tk", "text").join(small_side(wanted), ["did", "tk"])
+        return scratch.store(texts.mapInArrow(members, "name long, cid long, members binary"), "sets")
 
     stars = _pairs(bounded, percent, True)
-    best = stars.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    best = scratch.store(stars.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "best")
+    sets = sets_of(best)
     links = scratch.store(_verified(best, sets, percent), "links")
+    scratch.drop(sets)
     first = scratch.store(connected_components(links, scratch), "components")
 
-    label = sets.select("name", "cid").distinct().join(first.select(F.col("node").alias("cid"), F.col("component").alias("own")), "cid", "left").select("name", "cid", F.coalesce("own", "cid").alias("own"))
+    label = bounded.select("name").distinct().join(reps.select("name", "cid"), "name")
+    label = label.join(first.select(F.col("node").alias("cid"), F.col("component").alias("own")), "cid", "left").select("name", "cid", F.coalesce("own", "cid").alias("own"))
     label = scratch.store(label, "labels")
-    rest = _pairs(bounded.drop("own").join(label.select("name", "own"), "name"), percent, False).where("shared >= asked")
+    rest = scratch.store(_pairs(bounded.drop("own").join(label.select("name", "own"), "name"), percent, False).where("shared >= asked"), "rest")
+    sets = sets_of(rest)
     more = _verified(rest, sets, percent)
     own = label.select("cid", "own").distinct()
     more = more.join(own.select(F.col("cid").alias("a"), F.col("own").alias("x")), "a").join(own.select(F.col("cid").alias("b"), F.col("own").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))

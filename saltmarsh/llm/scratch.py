@@ -52,5 +52,14 @@ def delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Rows of identifiers, 8 to 16 bytes each, up to which they are broadcast rather than shuffled against the texts.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(ids: DataFrame) -> DataFrame:
+    """A stored table of identifiers, hinted for a join with texts: broadcast where counted small, else the built side of a hash join."""
+    return ids.hint("broadcast") if ids.count() <= BROADCAST_ROWS else ids.hint("shuffle_hash")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
