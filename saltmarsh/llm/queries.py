@@ -24,6 +24,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("hits")
 
 
+def op3_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import kneser_ney
+
+    return kneser_ney.decide(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("did", "tk")
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import near_vectors
 
@@ -64,7 +70,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op3_quality_perplexity, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup)}
 
 
 TOP_K_SQL = """
