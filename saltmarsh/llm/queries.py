@@ -24,12 +24,25 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("hits")
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    return warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
+
+
 def op3_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import kneser_ney
 
     return kneser_ney.decide(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("did", "tk")
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+
+    rows = mixing.schedule(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return rows.select("doc_id", "stream", "mass", "start", "block", "release", "deadline", "slot", "selected")
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import near_vectors
 
@@ -70,7 +83,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_quality_perplexity, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_warc_derivatives, op3_quality_perplexity, op4_source_mixing, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup)}
 
 
 TOP_K_SQL = """
@@ -83,6 +96,6 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import license_scan
+    from . import license_scan, warc
 
-    return {"op1_license_scan": license_scan.scan_sql(), "op6_topk_search": TOP_K_SQL}
+    return {"op1_license_scan": license_scan.scan_sql(), "op2_warc_derivatives": warc.derive_sql(), "op6_topk_search": TOP_K_SQL}
