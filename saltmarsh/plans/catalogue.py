@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ()
+from . import factors, validation
+
+MODULES = (validation, factors)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
