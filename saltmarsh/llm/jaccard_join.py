@@ -90,13 +90,14 @@ def prefix(members: np.ndarray, grams: np.ndarray, counts: np.ndarray, percent:
     at[at == len(grams)] = 0
     met = np.where(grams[at] == members, counts[at], 1) if len(grams) else np.ones(n, np.int64)
     order = np.argsort(met, kind="stable") if met.max(initial=1) > 1 else slice(None)
-    others = np.cumsum(met[order] - 1)
+    others = np.concatenate(([0], np.cumsum(met[order] - 1)))
     best, fewest = 1, None
     for matches in MATCHES:
         if matches > least:
             break
-        size = n - least + matches
-        cost = size + others[size - 1] + others[size - 1] / matches * (50 + n / 16)
+        # pairs of like size are met up to here only
+        size = n - -(-2 * percent * n // (100 + percent)) + matches
+        cost = size + others[size] + others[size] / matches * (50 + n / 16)
         if fewest is None or cost < fewest:
             best, fewest = matches, cost
     return members[order][: n - least + best], best
