@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import factors, validation
+from . import factors, joining, validation
 
-MODULES = (validation, factors)
+MODULES = (validation, factors, joining)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
