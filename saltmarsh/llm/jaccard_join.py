@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .hashing import batches, mix, run_hashes, words_of
-from .scratch import Scratch, partitions, small_side
+from .scratch import Scratch, arrow_rows, partitions, small_side
 from .substring_index import UNNAMED, did, keyed
 
 FREQUENT = 200_000
+COUNTED = 1 << 21
+OFTEN = pa.list_(pa.struct([("g", pa.int64()), ("c", pa.int64())]))
 MATCHES = (1, 2, 4, 8)
 
 
@@ -58,22 +60,39 @@ def _class(members: np.ndarray) -> int:
 
 
 def _facts(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, did, tk, the set's name and size; and, with the first row of a batch, n-grams met in several sets of it."""
+    """doc_id, did, tk, the set's name and size; and, in rows without did, n-grams that a task met in several sets.
+
+    A task counts about COUNTED n-grams at a time.
+    """
+
+    def rows(columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "did", "tk", "name", "n", "often"])
+
+    def met(sets: list[np.ndarray]) -> pa.RecordBatch:
+        grams, counts = np.unique(np.concatenate(sets), return_counts=True)
+        often = counts > 1
+        pairs = pa.StructArray.from_arrays([pa.array(grams[often].view(np.int64)), pa.array(counts[often])], names=["g", "c"])
+        lists = pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pairs)
+        return rows([*[pa.nulls(1, pa.int64())] * 5, lists])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, known, size = [], set(), 0
         for batch in stream:
-            names, sizes, distinct = [], [], {}
+            names, sizes = [], []
             for members in _sets(batch, n):
-                names.append(_class(members) if len(members) else None)
+                name = _class(members) if len(members) else None
+                names.append(name)
                 sizes.append(len(members))
-                distinct.setdefault(names[-1], members)
-            grams, counts = np.unique(np.concatenate(list(distinct.values()) or [np.zeros(0, np.uint64)]), return_counts=True)
-            often = counts > 1
-            first = [[{"g": g, "c": c} for g, c in zip(grams[often].view(np.int64).tolist(), counts[often].tolist(), strict=True)]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("did"), batch.column("tk"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array((first + [None] * len(names))[: len(names)], pa.list_(pa.struct([("g", pa.int64()), ("c", pa.int64())])))],
-                names=["doc_id", "did", "tk", "name", "n", "often"],
-            )
+                if name is not None and name not in known:
+                    known.add(name)
+                    waiting.append(members)
+                    size += len(members)
+                if size > COUNTED:
+                    yield met(waiting)
+                    waiting, known, size = [], set(), 0
+            yield rows([batch.column("doc_id"), batch.column("did"), batch.column("tk"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(names), OFTEN)])
+        if waiting:
+            yield met(waiting)
 
     return keyed(docs).mapInArrow(run, "doc_id long, did long, tk long, name long, n long, often array<struct<g: long, c: long>>")
 
@@ -209,7 +228,7 @@ def _pairs(lists: DataFrame, percent: int, leaders: bool) -> DataFrame:
             if len(some):
                 got.append((some, some + d))
                 many += len(some)
-            if many > 1_000_000:
+            if many > 250_000:
                 yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, size, behind, asked, percent, True)
                 got, many = [], 0
             d += 1
@@ -245,8 +264,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             good = []
-            for x, y in zip(batch.column("ma").to_pylist(), batch.column("mb").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("ma"), batch.column("mb"), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.concatenate((x, y))
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
@@ -270,9 +289,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
 
 def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    with arrow_rows(docs.sparkSession, 1000):
+        return _linked(docs, words, percent)
+
+
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "jaccard")
     facts = scratch.store(_facts(docs, words), "facts")
-    often = facts.where("often is not null").select(F.explode("often").alias("o")).groupBy("o.g").agg(F.sum("o.c").alias("c"))
+    often = facts.where("did is null").select(F.explode("often").alias("o")).groupBy("o.g").agg(F.sum("o.c").alias("c"))
+    facts = facts.where("did is not null").drop("often")
     frequent = often.orderBy(F.desc("c"), "g").limit(FREQUENT).toArrow()
     reps = facts.where("n > 0").groupBy("name").agg(F.min(F.struct("did", "tk")).alias("r")).select("name", F.col("r.did").alias("cid"), F.col("r.tk").alias("tk"))
     reps = scratch.store(reps, "classes")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,18 @@ class Scratch:
             delete(self.spark, table.scratch_path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While stored tables are computed inside, tasks get so many rows at a time: long texts, so memory follows their number."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

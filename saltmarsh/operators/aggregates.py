@@ -35,12 +35,24 @@ def count_features(cards: DataFrame, families: Sequence[str], events: Sequence[s
 
 
 def macro_by_day(docs: DataFrame, evidence: int = 3) -> DataFrame:
-    """Per day: documents, mean score, shares of risk-on and -off, regime, confidence, sources by name, first evidence."""
-    on, off = F.avg((F.col("score") > 0).cast("int")), F.avg((F.col("score") < 0).cast("int"))
-    first = F.slice(F.array_distinct(F.transform(F.array_sort(F.collect_set(F.struct("doc_id", "evidence"))), lambda x: x["evidence"])), 1, evidence)
-    rows = docs.groupBy("date").agg(F.count("*").alias("docs"), F.avg("score").alias("mean"), on.alias("on_ratio"), off.alias("off_ratio"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"), first.alias("evidence"))
-    regime = F.when(F.col("mean") > 0.1, "risk_on").when(F.col("mean") < -0.1, "risk_off").otherwise("neutral")
-    return rows.withColumns({"regime": regime, "confidence": F.greatest("on_ratio", "off_ratio")})
+    """Per day of macro texts (date, doc_id, score, source, evidence): means, shares, regime, forecast, confidence.
+
+    Regime: risk_on (off) from a share of 0.6 and a mean beyond +-0.1; neutral near balance; mixed. ``sources``: each with its share,
+    most frequent first; ``evidence``: the first distinct texts by document.
+    """
+    day = docs.groupBy("date").agg(F.count_distinct("doc_id").alias("docs"), F.avg("score").alias("mean"), F.avg((F.col("score") > 0).cast("int")).alias("on_ratio"), F.avg((F.col("score") < 0).cast("int")).alias("off_ratio"), F.count_distinct("source").alias("kinds"), F.count("*").alias("rows"))
+    counts = docs.groupBy("date", "source").agg(F.count("*").alias("n"))
+    mix = counts.join(day.select("date", "rows"), "date").groupBy("date").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "source", F.format_string("%s:%.2f", "source", F.col("n") / F.col("rows")).alias("t")))).alias("m"))
+    texts = docs.groupBy("date", "evidence").agg(F.min("doc_id").alias("first"))
+    rank = F.row_number().over(Window.partitionBy("date").orderBy("first"))
+    notes = texts.withColumn("r", rank).where(F.col("r") <= evidence).groupBy("date").agg(F.array_sort(F.collect_list(F.struct("r", "evidence"))).alias("e"))
+    mean, on, off = F.col("mean"), F.col("on_ratio"), F.col("off_ratio")
+    balance = F.abs(on - off)
+    regime = F.when((on >= 0.60) & (mean > 0.10), "risk_on").when((off >= 0.60) & (mean < -0.10), "risk_off").when((F.abs(mean) < 0.15) & (balance < 0.20), "neutral").otherwise("mixed")
+    forecast = F.greatest(F.least(50.0 + 35.0 * mean + 10.0 * (on - off), F.lit(100.0)), F.lit(0.0))
+    trust = 0.35 + 0.12 * F.least("docs", F.lit(4)) / 4.0 + 0.20 * F.greatest(F.abs(mean), balance) + 0.08 * F.least(F.greatest("kinds", F.lit(1)), F.lit(3)) / 3.0
+    rows = day.join(mix, "date").join(notes, "date", "left")
+    return rows.select("date", "docs", "mean", "on_ratio", "off_ratio", regime.alias("regime"), forecast.alias("forecast"), F.greatest(F.least(trust, F.lit(0.97)), F.lit(0.20)).alias("confidence"), F.array_join(F.transform("m", lambda x: x["t"]), ", ").alias("sources"), F.array_join(F.transform("e", lambda x: x["evidence"]), " | ").alias("evidence"))
 
 
 def correlations(df: DataFrame, columns: Sequence[str], most: float = 0.7, least_rows: int = 3) -> DataFrame:
