@@ -65,10 +65,10 @@ def w4(spark, d):
     return rounded(W.ewm(b, "med", 10, "val_flow_10"), "symbol date", "med val_flow_10")
 
 
-@P.query("w5_turnover_winsorised", f"WITH {M.BARS}, t AS (SELECT *, close * volume AS t FROM bars), q AS (SELECT symbol, quantile_cont(t, 0.025) AS lo, quantile_cont(t, 0.975) AS hi FROM t GROUP BY symbol) SELECT symbol, date, round(greatest(least(t, hi), lo), 4) AS val_liq_win FROM t JOIN q USING (symbol)")
+@P.query("w5_turnover_winsorised", f"WITH {M.BARS}, t AS (SELECT *, close * volume AS t FROM bars), q AS (SELECT symbol, quantile_cont(t, 0.025) AS lo, quantile_cont(t, 0.975) AS hi FROM t GROUP BY symbol) SELECT symbol, date, round(greatest(least(t, hi), lo), 6) AS val_liq_win FROM t JOIN q USING (symbol)")
 def w5(spark, d):
     b = M.bars(spark, d).withColumn("t", F.col("close") * F.col("volume"))
-    return rounded(W.winsorised(b, "t", 0.025, 0.975, "val_liq_win"), "symbol date", "val_liq_win", 4)
+    return rounded(W.winsorised(b, "t", 0.025, 0.975, "val_liq_win"), "symbol date", "val_liq_win", 6)
 
 
 ATR = f"""a AS (SELECT *, {roll("avg", "tr", 20, 10)} AS atr FROM (SELECT *, greatest(high - low, abs(high - prev), abs(low - prev)) AS tr FROM r)),
