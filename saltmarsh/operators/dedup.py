@@ -22,6 +22,10 @@ def _stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _keys_of(i: int, kind: str) -> Column:
+    return F.transform(F.coalesce(kind, F.array().cast("array<string>")), lambda x: F.struct(F.lit(i).alias("k"), x.alias("v")))
+
+
 def greedy(documents: DataFrame, kinds: Sequence[str] = ("url", "title_date", "content"), max_rounds: int = 100) -> DataFrame:
     """id, kept, kind, matched: documents in order of id, each a duplicate if a kept one before it has one of its keys.
 
@@ -30,7 +34,7 @@ def greedy(documents: DataFrame, kinds: Sequence[str] = ("url", "title_date", "c
     undecided is kept; those that share a key with it are duplicates. A round is two joins on keys, none gathers a key's documents;
     their number is the length of the longest chain of decisions.
     """
-    keys = documents.select("id", F.explode(F.array_distinct(F.concat(*[F.transform(F.coalesce(k, F.array().cast("array<string>")), lambda x, i=i: F.struct(F.lit(i).alias("k"), x.alias("v"))) for i, k in enumerate(kinds)]))).alias("key")).where("key.v is not null and key.v <> ''").select("id", "key.k", "key.v")
+    keys = documents.select("id", F.explode(F.array_distinct(F.concat(*[_keys_of(i, k) for i, k in enumerate(kinds)]))).alias("key")).where("key.v is not null and key.v <> ''").select("id", "key.k", "key.v")
     keys = _stored(keys)
     undecided, owners = keys, None
     for _ in range(max_rounds):

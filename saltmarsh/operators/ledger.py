@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .joins import paired
 
-BY_FILL = Window.partitionBy("symbol").orderBy("ts", "row_no")
-SO_FAR = BY_FILL.rowsBetween(Window.unboundedPreceding, 0)
 EPSILON = 1e-12
 
 
+def by_fill() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy("ts", "row_no")
+
+
+def so_far() -> WindowSpec:
+    return by_fill().rowsBetween(Window.unboundedPreceding, 0)
+
+
 def side_of(c: Column | str) -> Column:
     """BUY, SELL or null."""
     s = F.upper(F.trim(c))
@@ -24,9 +30,9 @@ def covered(fills: DataFrame) -> DataFrame:
     What a sale exceeds the inventory by is dropped, so the inventory is the running net less its running minimum below zero.
     """
     signed = F.when(F.col("side") == "BUY", F.col("qty")).otherwise(-F.col("qty"))
-    f = fills.withColumn("_net", F.sum(signed).over(SO_FAR))
-    f = f.withColumn("held", F.col("_net") - F.least(F.lit(0.0), F.min("_net").over(SO_FAR)))
-    before = F.coalesce(F.lag("held").over(BY_FILL), F.lit(0.0))
+    f = fills.withColumn("_net", F.sum(signed).over(so_far()))
+    f = f.withColumn("held", F.col("_net") - F.least(F.lit(0.0), F.min("_net").over(so_far())))
+    before = F.coalesce(F.lag("held").over(by_fill()), F.lit(0.0))
     f = f.withColumn("eff", F.when(F.col("side") == "BUY", F.col("qty")).otherwise(F.least(F.col("qty"), before)))
     return f.withColumn("uncovered", F.col("qty") - F.col("eff")).drop("_net")
 
@@ -41,7 +47,7 @@ def fifo(fills: DataFrame) -> DataFrame:
     f = covered(fills)
     buy = F.col("side") == "BUY"
     costs = F.col("fee") + F.col("tax")
-    f = f.withColumn("_end", F.sum(F.when(buy, F.col("eff")).otherwise(F.lit(0.0))).over(SO_FAR)).withColumn("_sold", F.sum(F.when(~buy, F.col("eff")).otherwise(F.lit(0.0))).over(SO_FAR))
+    f = f.withColumn("_end", F.sum(F.when(buy, F.col("eff")).otherwise(F.lit(0.0))).over(so_far())).withColumn("_sold", F.sum(F.when(~buy, F.col("eff")).otherwise(F.lit(0.0))).over(so_far()))
     ends = f.where(F.col("eff") > EPSILON).select("symbol", F.when(buy, F.col("_end")).otherwise(F.col("_sold")).alias("end"), F.when(buy, (F.col("qty") * F.col("price") + costs) / F.col("qty")).alias("cost"), (~buy).cast("int").alias("sale"), F.col("row_no"))
     order = Window.partitionBy("symbol").orderBy("end", "sale", "row_no")
     piece = F.col("end") - F.coalesce(F.lag("end").over(order), F.lit(0.0))

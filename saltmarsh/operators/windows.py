@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BY_DATE = Window.partitionBy("symbol").orderBy("date")
+
+def by_date() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy("date")
 
 
 def rows_back(n: int):
-    return BY_DATE.rowsBetween(-(n - 1), 0)
+    return by_date().rowsBetween(-(n - 1), 0)
 
 
 def rolling(kind: str, x: Column | str, n: int, least: int | None = None) -> Column:
@@ -23,7 +25,7 @@ def rolling(kind: str, x: Column | str, n: int, least: int | None = None) -> Col
 def change(x: Column | str, n: int = 1) -> Column:
     """x / (x n rows before) - 1; null where that is zero."""
     x = F.col(x) if isinstance(x, str) else x
-    return x / F.nullif(F.lag(x, n).over(BY_DATE), F.lit(0.0)) - 1
+    return x / F.nullif(F.lag(x, n).over(by_date()), F.lit(0.0)) - 1
 
 
 def momentum(bars: DataFrame, n: int = 20) -> DataFrame:
@@ -99,7 +101,7 @@ def adaptive_ema(df: DataFrame, column: str, base: int, into: str) -> DataFrame:
 
 def true_range(bars: DataFrame, into: str = "tr") -> DataFrame:
     """The greatest of high - low and the distances of high and low to the close before; missing ones are left out."""
-    before = F.lag("close").over(BY_DATE)
+    before = F.lag("close").over(by_date())
     return bars.withColumn(into, F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)))
 
 
@@ -122,9 +124,9 @@ def value_factors(bars: DataFrame) -> DataFrame:
 
 def equity(returns: DataFrame, ret: str = "ret") -> DataFrame:
     """Compound growth of 1 along a symbol's returns (missing ones count as 0), its drawdown from the peak so far."""
-    grown = F.exp(F.sum(F.log1p(F.coalesce(F.col(ret), F.lit(0.0)))).over(BY_DATE.rowsBetween(Window.unboundedPreceding, 0)))
+    grown = F.exp(F.sum(F.log1p(F.coalesce(F.col(ret), F.lit(0.0)))).over(by_date().rowsBetween(Window.unboundedPreceding, 0)))
     out = returns.withColumn("equity", grown)
-    peak = F.max("equity").over(BY_DATE.rowsBetween(Window.unboundedPreceding, 0))
+    peak = F.max("equity").over(by_date().rowsBetween(Window.unboundedPreceding, 0))
     return out.withColumn("drawdown", (F.col("equity") - peak) / peak)
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import factors, joining, summaries, texts, validation
+from . import factors, joining, portfolios, summaries, texts, validation
 
-MODULES = (validation, factors, joining, texts, summaries)
+MODULES = (validation, factors, joining, texts, summaries, portfolios)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -74,7 +74,7 @@ def ledgers(spark, d):
         (F.col("o_custkey") % 100 + 1).alias("symbol"),
         F.when(k % 2 == 0, "BUY").otherwise("SELL").alias("side"),
         (k % 50 + 1).cast("double").alias("qty"),
-        F.round(F.col("o_totalprice") / 1000, 2).alias("price"),
+        (F.col("o_totalprice") / 1000).alias("price"),
         ((k % 10) / 100).alias("fee"),
         ((k % 4) / 100).alias("tax"),
     )
@@ -83,7 +83,7 @@ def ledgers(spark, d):
 
 
 LEDGERS = """e AS (SELECT o_orderkey AS row_no, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey::VARCHAR END AS execution_id, CASE WHEN o_orderkey % 35 <> 0 THEN (o_orderkey // 3)::VARCHAR END AS order_id, o_orderdate AS ts, o_custkey % 100 + 1 AS symbol,
-  CASE WHEN o_orderkey % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS side, (o_orderkey % 50 + 1)::DOUBLE AS qty, round(o_totalprice / 1000, 2) AS price, (o_orderkey % 10) / 100 AS fee, (o_orderkey % 4) / 100 AS tax FROM orders),
+  CASE WHEN o_orderkey % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS side, (o_orderkey % 50 + 1)::DOUBLE AS qty, o_totalprice / 1000 AS price, (o_orderkey % 10) / 100 AS fee, (o_orderkey % 4) / 100 AS tax FROM orders),
   a AS (SELECT row_no, CASE WHEN row_no % 11 <> 0 THEN execution_id END AS execution_id, order_id, ts, symbol, CASE WHEN row_no % 37 = 0 THEN 'SELL' ELSE side END AS side, qty + (row_no % 31 = 0)::INTEGER AS qty, price, fee, tax FROM e WHERE row_no % 29 <> 0)"""
 
 
