@@ -138,8 +138,8 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 
 def train(counts: DataFrame, vocabulary: int, scratch: Scratch, order: int = ORDER) -> DataFrame:
-    """n, key, p, gamma: each order's n-grams with their probability, and the weight that they leave to the order
-    below as contexts (null for the highest order). n = 0, key = 0 is the empty context.
+    """n, key, p, gamma: each order's n-grams with their probability (null for what is a context only, as before a text's start), and
+    the weight that they leave to the order below as contexts (null for those that are none). n = 0, key = 0 is the empty context.
 
     ``vocabulary`` is the number of characters among which the lowest order spreads what is left.
     """
@@ -167,7 +167,7 @@ def train(counts: DataFrame, vocabulary: int, scratch: Scratch, order: int = ORD
     for n, p in tables:
         rows = p.withColumn("n", F.lit(n))
         if n in weights:
-            rows = rows.join(weights[n].select(F.col("context").alias("key"), "gamma"), "key", "left")
+            rows = rows.join(weights[n].select(F.col("context").alias("key"), "gamma"), "key", "full").withColumn("n", F.lit(n))
         else:
             rows = rows.withColumn("gamma", F.lit(None).cast("double"))
         empty = empty.unionByName(rows.select("n", "key", "p", "gamma"))
@@ -186,7 +186,7 @@ class Model:
         n = table["n"].to_numpy()
         for k in range(order + 1):
             part = table.filter(pa.array(n == k)).sort_by("key")
-            levels.append((part["key"].to_numpy(), part["p"].to_numpy(), part["gamma"].to_pandas().to_numpy(float)))
+            levels.append((part["key"].to_numpy(), part["p"].to_pandas().to_numpy(float), part["gamma"].to_pandas().to_numpy(float)))
         return cls(levels, order)
 
     def probabilities(self, keys: np.ndarray, n: int | None = None) -> np.ndarray:
@@ -196,7 +196,7 @@ class Model:
             return np.full(len(keys), p[0])
         at = np.searchsorted(names, keys)
         at[at == len(names)] = 0
-        hit = names[at] == keys
+        hit = (names[at] == keys) & ~np.isnan(p[at])
         out = p[at]
         if not hit.all():
             miss = keys[~hit]
@@ -249,9 +249,9 @@ def _score_sharded(rows: DataFrame, model: DataFrame, chars: np.ndarray, order:
             for i, text in enumerate(batch.column("text").to_pylist()):
                 keys, n = np.unique(_keys([text], classes, order)[0], return_counts=True)
                 own = batch.slice(i, 1)
-                yield pa.RecordBatch.from_arrays([*(pa.repeat(own.column(c)[0], len(keys)) for c in ("doc_id", "did", "tk", "lang", "half")), pa.array(keys), pa.array(n)], names=["doc_id", "did", "tk", "lang", "half", "key", "c"])
+                yield pa.RecordBatch.from_arrays([*(pa.repeat(own.column(c)[0], len(keys)) for c in ("doc_id", "did", "tk", "lang", "half")), pa.array(keys), pa.array(n), pa.array(np.arange(len(keys)) == 0)], names=["doc_id", "did", "tk", "lang", "half", "key", "c", "first"])
 
-    grams = rows.mapInArrow(run, "doc_id long, did long, tk long, lang string, half long, key long, c long")
+    grams = rows.mapInArrow(run, "doc_id long, did long, tk long, lang string, half long, key long, c long, first boolean")
     distinct = grams.select("half", "key").distinct()
     for n in range(order, 0, -1):
         part = F.col("key").bitwiseAND(F.lit((1 << BITS * n) - 1))
@@ -261,7 +261,10 @@ def _score_sharded(rows: DataFrame, model: DataFrame, chars: np.ndarray, order:
     p: Column = F.lit(model.where("n = 0").first()["p"])
     for n in range(1, order + 1):
         p = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"g{n}"), F.lit(1.0)) * p)
-    return grams.join(distinct.select("half", "key", (-F.log(p)).alias("surprise")), ["half", "key"]).groupBy("doc_id", "did", "tk", "lang").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("surprise")).alias("total"))
+    summed = grams.join(distinct.select("half", "key", (-F.log(p)).alias("surprise")), ["half", "key"]).groupBy("doc_id", "did", "tk", "lang").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("surprise")).alias("total"), F.count_if("first").alias("copies"))
+    # equal rows have been summed up: each gets its part
+    part = summed.select("doc_id", "did", "tk", "lang", (F.col("n") / F.col("copies")).cast("long").alias("n"), (F.col("total") / F.col("copies")).alias("total"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return part.drop("copy")
 
 
 def decide(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, margin: float = MARGIN, prior: float = PRIOR, table_rows: int = TABLE_ROWS) -> DataFrame:

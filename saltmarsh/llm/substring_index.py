@@ -252,7 +252,7 @@ class Repeats:
         copies = self.facts.where("copy").select("did", "tk").distinct()
         live = scratch.store(known.where(F.size("fps") > 0).select("did", "tk", "fps").join(copies, ["did", "tk"], "left_anti").select("did", F.explode("fps").alias("fp")), "fingerprints")
         scratch.drop(known)
-        cuts = live.approxQuantile("did", [i / batch_count for i in range(1, batch_count)], 0.001)
+        cuts = live.agg(F.percentile_approx("did", [i / batch_count for i in range(1, batch_count)], 1000)).first()[0] or [] if batch_count > 1 else []
         index, found, low = FingerprintIndex(scratch), None, None
         for high in [*cuts, None]:
             part = live if low is None else live.where(F.col("did") > int(low))
