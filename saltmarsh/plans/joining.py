@@ -127,10 +127,10 @@ def a30(spark, d):
   b AS (SELECT symbol, sum(eff) OVER (PARTITION BY symbol ORDER BY ts, row_no) AS hi, eff, (qty * price + fee + tax) / qty AS cost FROM f WHERE side = 'BUY'), s AS (SELECT symbol, sum(eff) AS sold FROM f WHERE side = 'SELL' GROUP BY symbol),
   k AS (SELECT symbol, sum(greatest(0, least(hi, coalesce(sold, 0)) - (hi - eff)) * cost) AS cost, sum((eff - greatest(0, least(hi, coalesce(sold, 0)) - (hi - eff))) * cost) AS open_cost FROM b LEFT JOIN s USING (symbol) GROUP BY symbol),
   l AS (SELECT symbol, coalesce(sum(qty * price - fee - tax) FILTER (side = 'SELL'), 0) AS proceeds, sum(qty - eff) AS uncovered, arg_max(held, (ts, row_no)) AS open_qty, arg_max(price, (ts, row_no)) AS last_price FROM f GROUP BY symbol)
-  SELECT symbol, round(proceeds - cost, 4) AS realised, round(uncovered, 4) AS uncovered, round(open_qty, 4) AS open_qty, round(open_cost, 4) AS open_cost, last_price FROM l JOIN k USING (symbol)""",
+  SELECT symbol, round(proceeds - cost, 6) AS realised, round(uncovered, 6) AS uncovered, round(open_qty, 6) AS open_qty, round(open_cost, 6) AS open_cost, last_price FROM l JOIN k USING (symbol)""",
 )
 def d19(spark, d):
-    return L.fifo(ledgers(spark, d)[0]).select("symbol", *[F.round(c, 4).alias(c) for c in ("realised", "uncovered", "open_qty", "open_cost")], "last_price")
+    return L.fifo(ledgers(spark, d)[0]).select("symbol", *[F.round(c, 6).alias(c) for c in ("realised", "uncovered", "open_qty", "open_cost")], "last_price")
 
 
 @P.query("j11_words_known", "WITH n AS (SELECT lower(n_name) AS name, n_nationkey AS entry FROM nation UNION ALL SELECT 'the', 100 UNION ALL SELECT 'the', 99 UNION ALL SELECT 'de', 101), w AS (SELECT DISTINCT doc_id AS id, unnest(regexp_split_to_array(lower(text), '[^0-9A-Za-z_]+')) AS name FROM documents) SELECT id, name, min(entry)::INTEGER AS entry FROM w JOIN n USING (name) GROUP BY ALL")
