@@ -30,13 +30,15 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .hashing import batches, mix, run_hashes, words_of
-from .scratch import Scratch, arrow_rows, partitions, small_side
+from .scratch import BROADCAST_ROWS, Scratch, arrow_rows, partitions
 from .substring_index import UNNAMED, did, keyed
 
 FREQUENT = 200_000
 COUNTED = 1 << 21
 OFTEN = pa.list_(pa.struct([("g", pa.int64()), ("c", pa.int64())]))
 MATCHES = (1, 2, 4, 8)
+#: Guests that one copy of a host's set is compared with.
+HOSTED = 64
 
 
 def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
@@ -256,24 +258,65 @@ def _counted(a: np.ndarray, b: np.ndarray, name: np.ndarray, size: np.ndarray, b
     yield pa.RecordBatch.from_arrays([pa.array(x[head]), pa.array(y[head]), pa.array(np.diff(np.append(head, len(x)))), pa.array(np.minimum(asked[a], asked[b])), pa.array(rest[head]), pa.array(least)], names=["a", "b", "shared", "asked", "rest", "least"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of class identifiers that are similar enough, from pairs of names; sets are compared whole."""
-    a = sets.select(F.col("name").alias("a"), F.col("cid").alias("ca"), F.col("members").alias("ma"))
-    b = sets.select(F.col("name").alias("b"), F.col("cid").alias("cb"), F.col("members").alias("mb"))
+def _addressed(pairs: DataFrame) -> DataFrame:
+    """name, to: where a class's set goes, an array of (host, share, guest).
+
+    Of a pair's two classes the one in more pairs is the host, so a guest has few hosts; a host's guests are dealt to shares of
+    about HOSTED, each of which gets the host's set.
+    """
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").count()
+    sided = pairs.join(degree.select(F.col("name").alias("a"), F.col("count").alias("x")), "a").join(degree.select(F.col("name").alias("b"), F.col("count").alias("y")), "b")
+    first = F.struct("x", "a") >= F.struct(F.col("y").alias("x"), F.col("b").alias("a"))
+    sided = sided.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("host"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("name"), F.ceil(F.greatest("x", "y") / HOSTED).alias("shares"))
+    guests = sided.select("name", "host", F.pmod(F.xxhash64("name"), F.col("shares")).cast("int").alias("share"), F.lit(True).alias("guest"))
+    hosts = guests.select(F.col("host").alias("name"), "host", "share", F.lit(False).alias("guest")).distinct()
+    return guests.unionByName(hosts).groupBy("name").agg(F.collect_list(F.struct("host", "share", "guest")).alias("to"))
+
+
+SENT = pa.schema([("host", pa.int64()), ("share", pa.int32()), ("guest", pa.bool_()), ("cid", pa.int64()), ("members", pa.binary())])
+
+
+def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, scratch: Scratch, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of class identifiers that are similar enough, from pairs of names; sets are compared whole.
+
+    A set is made from the text of one document of its class, and travels once to each share where it is compared.
+    """
+    wanted = scratch.store(_addressed(pairs).join(reps, "name").select(F.col("cid").alias("did"), "tk", "to"), "wanted")
+    many = wanted.agg(F.sum(F.size("to"))).first()[0] or 0
+    texts = keyed(docs).select("did", "tk", "text").join(wanted.hint("broadcast" if many <= BROADCAST_ROWS else "shuffle_hash"), ["did", "tk"])
+
+    def sent(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            rows, size = [], 0
+            for did, to, members in zip(batch.column("did").to_pylist(), batch.column("to").to_pylist(), _sets(batch, words), strict=True):
+                data = members.tobytes()
+                for t in to:
+                    rows.append((t["host"], t["share"], t["guest"], did, data))
+                    size += len(data)
+                    if size > 8 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SENT, strict=True)], schema=SENT)
+                        rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SENT, strict=True)], schema=SENT)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, own = None, np.zeros(0, np.uint64)
         for batch in stream:
             good = []
-            for x, y in zip(batch.column("ma"), batch.column("mb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate((x, y))
+            for guest, cid, data in zip(batch.column("guest").to_pylist(), batch.column("cid").to_pylist(), batch.column("members"), strict=True):
+                members = np.frombuffer(data.as_buffer(), np.uint64)
+                if not guest:  # the first row of its share
+                    host, own = cid, members
+                    continue
+                both = np.concatenate((own, members))
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
-                good.append(100 * shared >= percent * (len(both) - shared))
-            out = batch.select(["ca", "cb"]).filter(pa.array(good, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(out.columns, names=["a", "b"])
+                if 100 * shared >= percent * (len(both) - shared):
+                    good.append((cid, host))
+            yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in good], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return pairs.select("a", "b").join(a, "a").join(b, "b").select("ca", "cb", "ma", "mb").mapInArrow(run, "a long, b long")
+    sets = texts.mapInArrow(sent, "host long, share int, guest boolean, cid long, members binary")
+    return sets.repartition(partitions(docs.sparkSession), "host", "share").sortWithinPartitions("host", "share", "guest").mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -306,36 +349,22 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     bounded = scratch.store(_bounded(lists, percent), "bounded")
     scratch.drop(lists)
 
-    def members(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            yield pa.RecordBatch.from_arrays([batch.column("name"), batch.column("did"), pa.array([x.tobytes() for x in _sets(batch, words)], pa.binary())], names=["name", "cid", "members"])
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The whole sets of the classes in some pairs, from the text of one document each."""
-        names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-        wanted = scratch.store(names.join(reps, "name").select("name", F.col("cid").alias("did"), "tk"), "wanted")
-        texts = keyed(docs).select("did", "tk", "text").join(small_side(wanted), ["did", "tk"])
-        return scratch.store(texts.mapInArrow(members, "name long, cid long, members binary"), "sets")
-
     stars = _pairs(bounded, percent, True)
     best = scratch.store(stars.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "best")
-    sets = sets_of(best)
-    links = scratch.store(_verified(best, sets, percent), "links")
-    scratch.drop(sets)
+    links = scratch.store(_verified(best, reps, docs, scratch, words, percent), "links")
     first = scratch.store(connected_components(links, scratch), "components")
 
     label = bounded.select("name").distinct().join(reps.select("name", "cid"), "name")
     label = label.join(first.select(F.col("node").alias("cid"), F.col("component").alias("own")), "cid", "left").select("name", "cid", F.coalesce("own", "cid").alias("own"))
     label = scratch.store(label, "labels")
     rest = scratch.store(_pairs(bounded.drop("own").join(label.select("name", "own"), "name"), percent, False).where("shared >= asked"), "rest")
-    sets = sets_of(rest)
-    more = _verified(rest, sets, percent)
+    more = _verified(rest, reps, docs, scratch, words, percent)
     own = label.select("cid", "own").distinct()
     more = more.join(own.select(F.col("cid").alias("a"), F.col("own").alias("x")), "a").join(own.select(F.col("cid").alias("b"), F.col("own").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     merged = scratch.store(connected_components(scratch.store(more.distinct(), "more"), scratch), "merged")
     final = label.join(merged.select(F.col("node").alias("own"), F.col("component").alias("whole")), "own", "left").select("name", F.coalesce("whole", "own").alias("component"))
     final = scratch.store(reps.join(final, "name", "left").select("name", F.coalesce("component", "cid").alias("component")), "final")
-    scratch.drop(bounded, sets)
+    scratch.drop(bounded)
     out = facts.select("doc_id", "did", "name", F.col("n").alias("n_shingles")).join(final, "name", "left")
     return out.select("doc_id", "did", "n_shingles", F.coalesce("component", "did").alias("component"))
 
