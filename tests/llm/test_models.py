@@ -157,6 +157,15 @@ def test_mixing(spark):
     assert mixing.schedule(docs.limit(0)).count() == 0
 
 
+def test_mixing_drops_nothing_without_stated_weights(spark):
+    rows = [(i, "x" * 1000, "en", "big", 0, "") for i in range(3000)] + [(5000 + i, "y" * 100, "en", f"tiny{i:03}", 0, "") for i in range(300)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    assert mixing.schedule(docs, block_size=1000).where("not selected").count() == 0
+    assert sorted(r[0] for r in mixing.mixed(docs).select("doc_id").collect()) == sorted(r[0] for r in rows)
+    stated = {"big": 0.5} | {f"tiny{i:03}": 0.5 / 300 for i in range(300)}
+    assert mixing.schedule(docs, stated, block_size=1000).where("not selected").count() > 0
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/", "<html lang=\"de\"><title>A &amp; B</title><p>x  y</p><script>no</script><a href=\"u\">z</a>"), (2, None, None), (3, "u", ""), (3, "u", "")], "page_id long, url string, html string").withColumn("block", F.lit("clash"))
     out = warc.derive(warc.responses(pages))
