@@ -166,6 +166,33 @@ def test_mixing_drops_nothing_without_stated_weights(spark):
     assert mixing.schedule(docs, stated, block_size=1000).where("not selected").count() > 0
 
 
+def test_mixing_meets_the_weights_of_many_sources(spark):
+    # 601 sources, the smallest with the largest weight; none but the first runs out within the slots looked at
+    names = [f"s{i:03}" for i in range(600)]
+    rows = [(i * 1000 + j, "x" * 100, "en", x, 0, "") for i, x in enumerate(names) for j in range(3)] + [(10**6 + j, "y" * 50, "en", "small", 0, "") for j in range(600)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    weights = {"small": 0.4} | dict.fromkeys(names, 0.001)
+    out = mixing.schedule(docs, weights, block_size=100).collect()
+    assert len(out) == len(rows) and {x["stream"] for x in out} == {"small", *names}
+    assert all(x["release"] <= x["slot"] < x["deadline"] for x in out)
+    at = {x["slot"]: x["stream"] for x in out}
+    had = dict.fromkeys(weights, 0)
+    for slot in range(700):
+        had[at[slot]] += 1
+        assert all(abs(had[x] - (slot + 1) * w) < 1 for x, w in weights.items())
+
+
+def test_mixing_rounds_no_weight():
+    weights = mixing.whole_weights({"a": 1, "b": 2, "c": 3}, {"a": 0.0004, "b": 0.3337, "c": 0.6659})
+    assert weights["a"] * 6659 == weights["c"] * 4 and weights["b"] * 4 == weights["a"] * 3337
+    had = dict.fromkeys("abc", 0)
+    for x, _, release, deadline, slot in mixing.earliest_deadlines(weights, {"a": 40, "b": 33_370, "c": 66_590}):
+        had[x] += 1
+        assert release <= slot < deadline
+        assert all(abs(had[n] - (slot + 1) * w) < 1 for n, w in (("a", 0.0004), ("b", 0.3337), ("c", 0.6659)))
+    assert sum(had.values()) == 100_000
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/", "<html lang=\"de\"><title>A &amp; B</title><p>x  y</p><script>no</script><a href=\"u\">z</a>"), (2, None, None), (3, "u", ""), (3, "u", "")], "page_id long, url string, html string").withColumn("block", F.lit("clash"))
     out = warc.derive(warc.responses(pages))
