@@ -55,12 +55,13 @@ def assign(lengths: np.ndarray, capacity: int, linear: float, quadratic: float)
             start, n = start + take, n - take
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 8192, group_tokens: int = 4 << 20) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 8192, group_tokens: int = 4 << 20, in_order: bool = False) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian 32-bit binary).
 
     Each text is encoded whole, without special tokens, and ends with ``end_id``; a null or empty text is that id alone. Null and
     repeated doc_ids are documents like others; ties in length keep their order in the partition. Other columns are ignored,
-    and an empty table gives no pieces. ``capacity`` is a power of two. ``sequence_id`` is unique over all partitions.
+    and an empty table gives no pieces. ``capacity`` is a power of two. ``sequence_id`` is unique over all partitions and grows with
+    the partition and, in it, with the group. ``in_order`` numbers a group's sequences by the first document in each.
     """
     if capacity < 1 or capacity & capacity - 1:
         raise ValueError("capacity must be a power of two")
@@ -71,6 +72,10 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
         lengths = np.array([len(x) for x in ids], np.int64)
         rows = list(assign(lengths, capacity, linear, quadratic))
         d, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+        if in_order:
+            first = np.full(int(sequence.max()) + 1, len(ids))
+            np.minimum.at(first, sequence, d)
+            sequence = np.argsort(np.argsort(first, kind="stable"))[sequence]
         pieces = [ids[i][a : a + n].tobytes() for i, a, n in zip(d.tolist(), start.tolist(), length.tolist(), strict=True)]
         columns = [pa.array([keys[i] for i in d.tolist()], kind), *(pa.array(x, pa.int64()) for x in (start, length, lengths[d], sequence + base, offset)), pa.array(pieces, pa.binary())]
         return [pa.RecordBatch.from_arrays(columns, names=schema.names)], int(sequence.max()) + 1

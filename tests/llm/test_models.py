@@ -211,6 +211,31 @@ def test_same_as_duckdb(name, same_as_duck):
     same_as_duck(llm.queries()[name], llm.oracle_sql()[name])
 
 
+def test_packed_sequences_follow_the_mixing(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(6)
+    # three files, and a source whose texts fill whole sequences
+    sizes = {"a": (120, 3000), "b": (2500, 60), "c": (900, 60)}
+    rows = [(i, spoken(r, n), "en", x, 0, "") for i, (x, n) in enumerate((x, n) for x, (copies, n) in sizes.items() for _ in range(copies))]
+    path = f"{tmp_path}/docs"
+    spark.createDataFrame(rows, DOCS).repartition(3, "source").write.partitionBy("lang").parquet(path)
+    docs = spark.read.schema(DOCS).parquet(path)
+    source = {i: x for i, _, _, x, _, _ in rows}
+    pieces = corpus_pipeline.packed(spark, docs, SMALL).select("doc_id", "length", "sequence_id").orderBy("sequence_id").collect()
+    assert {p["doc_id"] for p in pieces} == source.keys()
+    all_of = dict.fromkeys(sizes, 0)
+    for p in pieces:
+        all_of[source[p["doc_id"]]] += p["length"]
+    total, had, at = sum(all_of.values()), dict.fromkeys(sizes, 0), 0
+    assert total > 8 << 16
+    bound = (1 << 16) + 2 * mixing.BLOCK  # a group, and two blocks, of which a token is a character at least
+    for p in pieces:
+        had[source[p["doc_id"]]] += p["length"]
+        at += p["length"]
+        assert all(abs(had[x] - at * all_of[x] / total) <= bound for x in sizes)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
