@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import batching, dedup, portfolio
 from ..operators import windows as W
 from ..sources import market as M
@@ -15,13 +16,13 @@ QUERIES, ORACLES = P.queries, P.oracles
 
 
 def keyed(docs):
-    """Each document's keys: its words, its start in its language, and its end."""
+    """Each document's keys: its words, its normal form as a record in its language, and the fingerprints of its whole and its paragraphs."""
     text = F.trim(F.lower(F.coalesce("text", F.lit(""))))
     return docs.select(
         F.col("doc_id").alias("id"),
         F.array(F.md5(text)).alias("url"),
-        F.array(F.concat_ws("|", F.substring(text, 1, 40), F.coalesce("lang", F.lit("")))).alias("title_date"),
-        F.array(F.substring(text, -60, 60)).alias("content"),
+        F.array(F.concat_ws("|", X.record_fingerprint("text"), F.coalesce("lang", F.lit("")))).alias("title_date"),
+        X.content_fingerprints("text").alias("content"),
     )
 
 

@@ -43,3 +43,23 @@ def test_batches_keep_their_limits():
 def test_weights_add_up(spark):
     day = catalogue.queries()["d16_holdings"](spark, SMALL).where("weight_pct > 0").groupBy("track", "date").agg(F.sum("weight_pct").alias("w"))
     assert day.count() > 0 and day.where("abs(w - 100) > 0.2").count() == 0
+
+
+def test_greedy_dedup_takes_whole_texts(spark):
+    from saltmarsh.plans import portfolios
+
+    start, end = "the same first forty characters of every text ", " is licensed under the gnu general public license, version 3."
+    shared = "a paragraph of more than eighty characters that several documents of this corpus have word for word in them"
+    texts = [f"{start}one{end}", f"{start}two{end}", f"alpha\n\n{shared}\n\nomega", f"beta\n\n{shared}\n\npsi", f"{start}ONE{end}", None, "short", "Short!"]
+    docs = spark.createDataFrame([(i, x, "en") for i, x in enumerate(texts)], "doc_id long, text string, lang string")
+    keys = portfolios.keyed(docs)
+    owners, want = {}, {}
+    for r in sorted(keys.collect(), key=lambda r: r["id"]):
+        own = [(k, v) for k in ("url", "title_date", "content") for v in r[k]]
+        hit = next((kind for kind in ("url", "title_date", "content") if any(k == kind and (k, v) in owners for k, v in own)), None)
+        want[r["id"]] = (hit, min(owners[x] for x in own if x[0] == hit and x in owners) if hit else None)
+        if hit is None:
+            owners |= dict.fromkeys(own, r["id"])
+    got = {r["id"]: (None if r["kept"] else r["kind"], r["matched"]) for r in dedup.greedy(keys).collect()}
+    assert got == want
+    assert got[1] == (None, None) and got[3] == ("content", 2) and got[4][1] == 0 and got[7] == ("title_date", 6)
