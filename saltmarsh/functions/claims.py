@@ -85,7 +85,9 @@ def evidence(text: Column | str, keywords=(*UPSIDE, *DOWNSIDE, *LASTING, *PASSIN
 
 def scored(cards: DataFrame, text: str = "chunk_text", upside=UPSIDE, downside=DOWNSIDE, lasting=LASTING, passing=PASSING) -> DataFrame:
     """cards with upside, downside, bm, persistence (0 to 100), dominant_axis, confidence and weight."""
-    toks = X.tokens(text)
+    # a column of its own: an expression within functions over arrays would be computed for each of them
+    cards = cards.withColumn("_tokens", X.tokens(text))
+    toks = F.col("_tokens")
 
     def met(words) -> Column:
         return F.size(F.filter(toks, lambda t: t.isin(*words)))
@@ -114,7 +116,7 @@ def scored(cards: DataFrame, text: str = "chunk_text", upside=UPSIDE, downside=D
         dominant = F.when(s == top, name).otherwise(dominant)
     confidence = X.clipped(0.32 + 0.08 * F.least(up + down + last + passed, F.lit(5)) + 0.10 * events + 0.06 * number, 0.15, 0.98)
     weight = X.clipped(of_family(family, 0) * (0.85 + 0.18 * F.least(events, F.lit(2)) + 0.16 * density + 0.08 * number), 0.20, 2.00)
-    return c.withColumns({"dominant_axis": dominant, "confidence": confidence, "weight": weight}).drop("_n", "_up", "_down", "_last", "_pass", "_number")
+    return c.withColumns({"dominant_axis": dominant, "confidence": confidence, "weight": weight}).drop("_tokens", "_n", "_up", "_down", "_last", "_pass", "_number")
 
 
 def cluster_key(cards: DataFrame, text: str = "chunk_text") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Query parameters that track, by equal name or prefix.
@@ -60,6 +60,66 @@ def canonical_url(url: Column | str, tracking: Sequence[str] = TRACKING, force_h
     return F.when(host != "", out).otherwise(F.lit(""))
 
 
+def index_url(url: Column | str, tracking: Sequence[str] = TRACKING) -> Column:
+    """Another spelling, of link indexes: scheme, user, port, slashes within the path and blank values stay; '' for other addresses."""
+    raw = F.trim(F.coalesce(_col(url), F.lit("")))
+    part = [F.regexp_extract(raw, r"(?i)^(https?)://([^/?#]+)([^?#]*)(?:\?([^#]*))?", i) for i in range(5)]
+    path = F.when(part[3].isin("", "/"), "/").otherwise(F.regexp_replace(part[3], "/+$", ""))
+
+    def decoded(x: Column) -> Column:
+        return F.coalesce(F.try_url_decode(x), x)
+
+    def kept(p: Column) -> Column:
+        return ~F.lower(p["k"]).isin(*tracking) & ~F.lower(p["k"]).startswith("utm_")
+
+    pairs = F.transform(F.filter(F.split(part[4], "&"), lambda p: p != ""), lambda p: F.struct(decoded(F.substring_index(p, "=", 1)).alias("k"), F.when(F.instr(p, "=") > 0, decoded(F.regexp_replace(p, "^[^=]*=", ""))).otherwise(F.lit("")).alias("v")))
+    names = F.array_join(F.transform(F.array_sort(F.filter(pairs, kept)), lambda p: F.concat(_quoted(p["k"]), F.lit("="), _quoted(p["v"]))), "&")
+    out = F.concat(F.lower(part[1]), F.lit("://"), F.lower(part[2]), path, F.when(names != "", F.concat(F.lit("?"), names)).otherwise(F.lit("")))
+    return F.when(part[2] != "", out).otherwise(F.lit(""))
+
+
+def excluded(url: Column | str, domains: Sequence[str], patterns: Sequence[str]) -> Column:
+    """Below one of the domains, or like one of the patterns: a part of the address, or a glob with * and ? over the whole of it."""
+    low = F.lower(F.trim(F.coalesce(_col(url), F.lit(""))))
+    out = in_domain(host_of(url), domains)
+    for p in patterns:
+        glob = "".join({"*": ".*", "?": "."}.get(c, c if c.isalnum() else "\\" + c) for c in p)
+        out = out | F.contains(low, F.lit(p)) | low.rlike(f"(?s)^{glob}$")
+    return out
+
+
+def percent(c: Column | str) -> Column:
+    """A share as percent with two places; 0 for none."""
+    return F.format_string("%.2f%%", F.coalesce(_col(c).cast("double"), F.lit(0.0)) * 100)
+
+
+def side(c: Column | str) -> Column:
+    """BUY or SELL from their synonyms; others in capitals."""
+    x = F.upper(F.trim(F.coalesce(_col(c), F.lit(""))))
+    return F.when(x.isin("BUY", "B", "매수"), "BUY").when(x.isin("SELL", "S", "매도"), "SELL").otherwise(x)
+
+
+def note_value(note: Column | str, key: str) -> Column:
+    """The value of a note's first line ``key: value``, '' without."""
+    return F.trim(F.regexp_extract(F.trim(F.coalesce(_col(note), F.lit(""))), rf"(?m)^{key}:([^\r\n]*)", 1))
+
+
+def resource_keys(c: Column | str) -> Column:
+    """Distinct sorted keys of a comma-separated list, ``repo:global`` for none."""
+    parts = F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")))
+    return F.when(F.size(parts) > 0, F.array_join(parts, ",")).otherwise("repo:global")
+
+
+def real_symbols(c: Column | str) -> Column:
+    """symbols and placeholders (``__X__``) of a list, in capitals, distinct, in order."""
+    names = F.array_distinct(F.filter(F.transform(F.coalesce(_col(c), F.array().cast("array<string>")), lambda x: F.upper(F.trim(F.coalesce(x, F.lit(""))))), lambda x: x != ""))
+
+    def placeholder(x: Column) -> Column:
+        return x.startswith("__") & x.endswith("__")
+
+    return F.struct(F.filter(names, lambda x: ~placeholder(x)).alias("symbols"), F.filter(names, placeholder).alias("placeholders"))
+
+
 def host_of(url: Column | str) -> Column:
     return F.regexp_replace(F.lower(F.regexp_extract(_col(url), r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]+)", 1)), r"^(www|m)\.", "")
 
@@ -109,13 +169,24 @@ def content_fingerprints(c: Column | str, least: int = 80) -> Column:
     return F.array_distinct(F.transform(F.filter(F.transform(parts, fingerprint_text), lambda p: F.length(p) >= least), F.sha1))
 
 
+def content_fingerprint_rows(docs: DataFrame, key: str, text: str, least: int = 80) -> DataFrame:
+    """key, fingerprint: the same as rows, distinct; each paragraph is normalised once."""
+    c = F.coalesce(text, F.lit(""))
+    rows = docs.select(key, c.alias("_c"), F.filter(F.split(c, r"\n\s*\n+"), lambda p: F.trim(p) != "").alias("_p"))
+    lines = F.filter(F.split("_c", r"\n+"), lambda p: F.trim(p) != "")
+    parts = rows.select(key, F.explode(F.concat(F.array("_c"), F.when(F.size("_p") > 1, F.col("_p")).otherwise(lines))).alias("_x"))
+    normal = parts.select(key, fingerprint_text("_x").alias("_x")).where(F.length("_x") >= least)
+    return normal.select(key, F.sha1("_x").alias("fingerprint")).distinct()
+
+
 def urls_in(c: Column | str) -> Column:
     """Distinct URLs of a text without punctuation behind them."""
     return F.array_distinct(F.transform(F.regexp_extract_all(_col(c), F.lit(r"https?://[^\s<>\"']+"), 0), lambda u: F.regexp_replace(u, r"[.,;:!?)\]}]+$", "")))
 
 
 def without_markup(c: Column | str) -> Column:
-    return one_space(F.regexp_replace(F.regexp_replace(_col(c), r"https?://\S+", " "), r"<[^>]+>|[*_`#>\[\]]", " "))
+    """URLs and the signs of light markup out, single blanks."""
+    return one_space(F.regexp_replace(F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"https?://\S+", " "), r"[`*_>#\[\]()|]+", " "))
 
 
 def unescaped(c: Column) -> Column:
@@ -146,7 +217,7 @@ def tokens(c: Column | str) -> Column:
 
 def sentences(c: Column | str) -> Column:
     x = one_space(F.coalesce(_col(c), F.lit("")))
-    return F.filter(F.transform(F.split(x, r"(?<=[.!?。！？])\s+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(x, r"(?<=[.!?。！？])\s+"), lambda x: F.trim(x)), lambda s: s != "")
 
 
 def chunks(c: Column | str, target: Column | int, most: Column | int, first_only: Column | None = None) -> Column:

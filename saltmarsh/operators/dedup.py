@@ -2,31 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _stored(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read back, which cuts the lineage of a loop."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="saltmarsh-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/dedup-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..shared import stored
 
 
 def _keys_of(i: int, kind: str) -> Column:
     return F.transform(F.coalesce(kind, F.array().cast("array<string>")), lambda x: F.struct(F.lit(i).alias("k"), x.alias("v")))
 
 
-def greedy(documents: DataFrame, kinds: Sequence[str] = ("url", "title_date", "content"), max_rounds: int = 100) -> DataFrame:
+def greedy(documents: DataFrame, kinds: Sequence[str] = ("url", "title_date", "content")) -> DataFrame:
     """id, kept, kind, matched: documents in order of id, each a duplicate if a kept one before it has one of its keys.
 
     documents: id and an array of keys a kind. Duplicates register nothing, so a key counts for its first *kept* owner. ``kind`` is
@@ -35,28 +23,29 @@ def greedy(documents: DataFrame, kinds: Sequence[str] = ("url", "title_date", "c
     their number is the length of the longest chain of decisions.
     """
     keys = documents.select("id", F.explode(F.array_distinct(F.concat(*[_keys_of(i, k) for i, k in enumerate(kinds)]))).alias("key")).where("key.v is not null and key.v <> ''").select("id", "key.k", "key.v")
-    keys = _stored(keys)
+    keys = stored(keys, "keys")
     undecided, owners = keys, None
-    for _ in range(max_rounds):
-        if not undecided.limit(1).count():
-            break
+    while not undecided.isEmpty():
         first = undecided.groupBy("k", "v").agg(F.min("id").alias("first"))
         kept = undecided.join(first, ["k", "v"]).groupBy("id").agg(F.bool_and(F.col("id") == F.col("first")).alias("ok")).where("ok").select("id")
-        new = _stored(undecided.join(kept, "id", "left_semi"))
+        new = stored(undecided.join(kept, "id", "left_semi"), "kept")
         owners = new if owners is None else owners.unionByName(new)
         taken = new.select("k", "v").distinct()
         gone = undecided.join(taken, ["k", "v"], "left_semi").select("id").distinct()
-        undecided = _stored(undecided.join(gone, "id", "left_anti"))
-    else:
-        raise RuntimeError(f"undecided after {max_rounds} rounds")
+        undecided = stored(undecided.join(gone, "id", "left_anti"), "undecided")
     if owners is None:
         return documents.select("id", F.lit(True).alias("kept"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast(documents.schema["id"].dataType).alias("matched"))
     # each key has one kept owner; documents without keys are kept
     hits = keys.join(owners.withColumnRenamed("id", "owner"), ["k", "v"]).where("owner < id").groupBy("id").agg(F.min(F.struct("k", "owner")).alias("m"))
-    name = F.element_at(F.array(*[F.lit(k) for k in kinds]), F.col("m.k") + 1)
+    name = F.when(F.col("m").isNotNull(), F.element_at(F.array(*[F.lit(k) for k in kinds]), F.col("m.k") + 1))
     return documents.select("id").join(hits, "id", "left").select("id", F.col("m").isNull().alias("kept"), name.alias("kind"), F.col("m.owner").alias("matched"))
 
 
+def bootstrapped(keys: DataFrame) -> DataFrame:
+    """The registry (k, v) that an earlier run's kept documents (id, k, v) make up."""
+    return keys.where("v is not null and v <> ''").select("k", "v").distinct()
+
+
 def against_registry(keys: DataFrame, registry: DataFrame) -> DataFrame:
     """Documents (id, k, v) none of whose keys an earlier run registered (k, v)."""
     known = keys.join(registry.select("k", "v").distinct(), ["k", "v"], "left_semi").select("id").distinct()

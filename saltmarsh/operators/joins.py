@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import stored
 from .validation import to_number
 
+#: Names that go to every task.
+MOST_NAMES = 50_000
+
 
 def last_of(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The last row of each key; aggregated, so a hot key is reduced before the shuffle."""
@@ -45,7 +50,8 @@ def paired(expected: DataFrame, actual: DataFrame, phases: Sequence[Sequence[Col
 
     for i, keys in enumerate(phases, 1):
         ks = [f"k{j}" for j in range(len(keys))]
-        pairs = counted(expected, keys, "e_row").join(counted(actual, keys, "a_row"), [*ks, "n"]).select(F.lit(i).alias("phase"), "e_row", "a_row")
+        # stored: each later phase would compute the earlier ones again, twice
+        pairs = stored(counted(expected, keys, "e_row").join(counted(actual, keys, "a_row"), [*ks, "n"]).select(F.lit(i).alias("phase"), "e_row", "a_row"), "pairs")
         found.append(pairs)
         expected = expected.join(pairs.select(F.col("e_row").alias("row_no")), "row_no", "left_anti")
         actual = actual.join(pairs.select(F.col("a_row").alias("row_no")), "row_no", "left_anti")
@@ -53,9 +59,27 @@ def paired(expected: DataFrame, actual: DataFrame, phases: Sequence[Sequence[Col
 
 
 def names_in(texts: DataFrame, names: DataFrame, most: int = 5) -> DataFrame:
-    """id, name of at most ``most`` names contained in a text, by name. names: a dimension table, checked small by the caller."""
-    hits = texts.join(F.broadcast(names), F.col("text").contains(F.col("name"))).select("id", "name").distinct()
-    return hits.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("name"))).where(F.col("r") <= most).drop("r")
+    """id, name of at most ``most`` names contained in a text, by name.
+
+    All names are looked for in one pass over a text. They go to the tasks after a check that they are at most MOST_NAMES.
+    """
+    rows = names.select("name").where("name <> ''").distinct().limit(MOST_NAMES + 1).collect()
+    if len(rows) > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} names")
+    wanted = sorted(r["name"] for r in rows)
+
+    @F.pandas_udf("array<string>")
+    def contained(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        for name in wanted:
+            found.add_word(name, name)
+        found.make_automaton()
+        for part in parts:
+            yield part.fillna("").map(lambda t: sorted({name for _, name in found.iter(t)})[:most] if wanted else [])
+
+    return texts.select("id", F.explode(contained("text")).alias("name"))
 
 
 def words_known(texts: DataFrame, names: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import any_date, any_of
+from ..functions.text import any_date, any_of, note_value
 
 
 def repaired_dates(items: DataFrame, fields: Sequence[str], texts: Sequence[str], fallback: str) -> DataFrame:
@@ -140,3 +140,20 @@ def kept_snapshots(snapshots: DataFrame, now: Column, keep: int = 2, hours: int
     rank = F.row_number().over(Window.partitionBy("complete").orderBy(F.desc("created"), "sync_id"))
     young = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("created").cast("timestamp")) < hours * 3_600_000_000
     return snapshots.withColumn("r", rank).select("sync_id", F.when(F.col("complete"), F.col("r") <= keep).otherwise(young).alias("keep"))
+
+
+# Words of hard and of long work.
+HARD = ("hard", "complex", "debug", "root cause", "contract", "architecture", "refactor", "migration", "정렬", "정합")
+LENGTHY = ("collect", "sync", "refresh", "scan", "backfill", "monitor", "crawl", "wait", "coverage", "import", "index", "batch", "수집", "동기화", "대기")
+
+
+def inferred(tasks: DataFrame) -> DataFrame:
+    """tasks with difficulty, duration and lane: what their note states, else by the words of title, scope and note."""
+    text = F.lower(F.concat_ws(" ", "title", "scope", "note"))
+
+    def stated(key: str, values: Sequence[str], otherwise: Column) -> Column:
+        said = F.lower(note_value("note", key))
+        return F.when(said.isin(*values), said).otherwise(otherwise)
+
+    t = tasks.withColumns({"difficulty": stated("difficulty", ("easy", "normal", "hard"), F.when(any_of(text, HARD), "hard").otherwise("normal")), "duration": stated("duration", ("short", "long"), F.when(any_of(text, LENGTHY), "long").otherwise("short"))})
+    return t.withColumn("lane", stated("execution_lane", ("main", "subagent", "auto"), F.when(F.col("difficulty") == "hard", "main").when(F.col("duration") == "long", "subagent").otherwise("auto")))

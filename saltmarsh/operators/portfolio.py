@@ -1,67 +1,16 @@
-"""Model selection and the portfolio's state from day to day.
+"""Model scores and what follows from a portfolio's holdings: trades, replayed returns, adoption, consistency.
 
-Scores, ranks, returns and trades are joins and windows over all days. Only the machine itself is a recurrence: what is held
-on a day depends on the day before. A track (one portfolio) is one group with a row a day and candidate, bounded by its calendar;
-tracks run in parallel.
+Everything is joins, windows and aggregations over all days at once.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The rules of replacement.
-SLOTS, CORE = 6, 5
-LOCK_DAYS, MIN_HOLD, PROTECT = 120, 35, 75
-WEEKDAY, WEEKS = 4, 2
-MONTH_CAP, RISK_CAP, RISK_DROP, COOLDOWN = 1, 3, -0.08, 45
-PENALTY, SOFT = 0.70, 0.80
-DELTA, TURNOVER = 2.0, 10.0
-# Each track's mean and spread, and the years' regimes.
-TRACKS = {"numeric": (0.18, 0.28), "qualitative": (0.22, 0.32), "hybrid": (0.28, 0.30), "external": (0.20, 0.25)}
-REGIMES = {2016: 0.95, 2017: 1.10, 2018: 0.85, 2019: 1.05, 2020: 1.25, 2021: 1.40, 2022: 0.70, 2023: 1.15, 2024: 1.20, 2025: 1.10, 2026: 1.00}
-SHOCKS = {2020: 40, 2022: 30}
-
-
-def catalogue(spark: SparkSession, sizes: dict[str, int] | None = None) -> DataFrame:
-    """model_id, track, seed parameter: ten numeric, qualitative and hybrid models and six external ones."""
-    sizes = sizes or {"numeric": 10, "qualitative": 10, "hybrid": 10, "external": 6}
-    return spark.createDataFrame([(f"{t}_{i:02d}", t, f"window:{20 + 10 * i}") for t, n in sizes.items() for i in range(1, n + 1)], "model_id string, track string, params string")
-
-
-def _number(text: str) -> int:
-    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
-
-
-def simulate(models: DataFrame, until: str, first_year: int = 2016) -> DataFrame:
-    """model_id, track, date, ret: reproducible invented daily returns, one group a model. They are no market data."""
-    end = pd.Timestamp(until)
-
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        m = group.iloc[0]
-        mean, spread = TRACKS[m.track]
-        h = _number(m.params) % 1000
-        mean, spread = mean + (h - 500) / 5000, spread + (h % 100 - 50) / 500
-        random = np.random.RandomState(_number(m.model_id) % 2**31)
-        parts = []
-        for year in range(first_year, end.year + 1):
-            days = 250 if year < end.year else max(1, 250 * end.dayofyear // 365)
-            r = np.convolve(random.normal(mean * REGIMES.get(year, 1.0) / 250, spread / np.sqrt(250), days), [0.3, 0.4, 0.3], mode="same")
-            if year in SHOCKS:
-                s = slice(SHOCKS[year], SHOCKS[year] + 25)
-                r[s] = r[s] * 2.5 - 0.02
-            dates = pd.Timestamp(f"{year}-01-01") + pd.to_timedelta((np.arange(days) * 365 / 250).astype(int), "D")
-            parts.append(pd.DataFrame({"date": dates, "ret": r})[dates <= end])
-        out = pd.concat(parts)
-        return pd.DataFrame({"model_id": m.model_id, "track": m.track, "date": out.date.dt.date, "ret": out.ret})
-
-    return models.groupBy("model_id").applyInPandas(one, "model_id string, track string, date date, ret double")
-
 
 def axis_scores(stats: DataFrame, turnover_start: float = 1.8) -> DataFrame:
     """stats with value, momentum and risk composites and their z-scores over all models (spread over n; 1 if there is none), within +-3."""
@@ -83,95 +32,24 @@ def axis_scores(stats: DataFrame, turnover_start: float = 1.8) -> DataFrame:
 
 
 def winner_score(scored: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """scored with score: the weighted mean of the axes' z-scores."""
     total = sum(weights.values())
     out = F.lit(0.0)
     for axis, w in weights.items():
         out = out + F.col(f"z_{axis}") * w
-    return scored.withColumn("score", out / total).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "model_id")))
+    return scored.withColumn("score", out / total)
 
 
-def winner_policy(ranked: DataFrame, edge: float = 0.05, cuts: dict[str, float] | None = None) -> DataFrame:
-    """The first two with the winner's edge; whether it is enough and no drawdown beyond its hard cut."""
+def winner_policy(scored: DataFrame, edge: float = 0.05, cuts: dict[str, float] | None = None) -> DataFrame:
+    """The best model (ties: by name) with its edge over the second; whether it is enough and no drawdown beyond its hard cut."""
     cuts = cuts or {"mdd_2021_plus": -0.85, "mdd_full": -0.92, "mdd_2023_2025": -0.80}
     safe = F.lit(True)
     for c, cut in cuts.items():
         safe = safe & (F.col(c) > cut)
-    own = Window.orderBy("rank")
-    return ranked.where("rank <= 2").withColumn("edge", F.col("score") - F.lead("score").over(own)).where("rank = 1").select("model_id", "score", "edge", (F.col("edge") >= edge).alias("enough"), safe.alias("safe"))
-
-
-def step(day, held: dict, state: dict, scores: dict, equity_drop: bool) -> tuple[dict, list, list, bool]:
-    """One day: new weights, added and removed codes, and whether a replacement makes it a soft stage. ``state`` is updated."""
-    rebalance = (day.weekday() == WEEKDAY and day.isocalendar()[1] % WEEKS == 0) or equity_drop
-    if not rebalance:
-        return dict(held), [], [], False
-    month = f"{day:%Y-%m}"
-    age = {c: state["age"].get(c, 0) for c in held}
-    cool = {c: state["cool"].get(c) is None or state["cool"][c] <= day for c in held}
-    free = [c for c in sorted(held) if equity_drop or cool[c] and MIN_HOLD <= age[c] < min(PROTECT, LOCK_DAYS)]
-    room = max(0, len(held) - min(len(held), CORE))
-    quota = min(room, RISK_CAP) if equity_drop else min(room, 1, max(0, MONTH_CAP - state["month"].get(month, 0)))
-    removed = sorted(free, key=lambda c: (scores.get(c, 0.0), c))[:quota]
-    kept = [c for c in sorted(held) if c not in removed]
-    pool = sorted((c for c in scores if c not in held), key=lambda c: (-scores[c], c))
-    added = pool[: max(0, SLOTS - len(kept))]
-    soft = bool(removed)
-    for c in removed:
-        state["cool"][c] = day + pd.Timedelta(days=COOLDOWN)
-    state["month"][month] = state["month"].get(month, 0) + len(removed)
-    now = kept + added
-    force = {c: max(scores.get(c, 1.0) * (PENALTY * (SOFT if soft else 1.0) if c in added else 1.0), 1e-6) for c in now}
-    wanted = _hundred({c: round(force[c] / sum(force.values()) * 100, 1) for c in now})
-    moves = [abs(round(wanted[c] - held[c], 2)) for c in now if c in held]
-    if equity_drop or any(m >= DELTA for m in moves) and round(sum(moves), 2) >= TURNOVER:
-        return wanted, added, removed, soft
-    old = {c: round(held[c], 1) for c in now if c in held}
-    rest = round(max(0.0, 100 - sum(old.values())), 1)
-    new = {c: max(scores.get(c, 1.0) * PENALTY, 1e-6) for c in added}
-    share = {c: round(new[c] / sum(new.values()) * rest, 1) for c in added} if rest > 0 and added else {c: 0.0 for c in added}
-    if share and rest > 0:
-        first = next(iter(share))
-        share[first] = round(share[first] + rest - sum(share.values()), 1)
-    return _hundred(old | share), added, removed, soft
-
-
-def _hundred(weights: dict) -> dict:
-    """The first takes what rounding left over."""
-    if weights:
-        first = next(iter(weights))
-        weights[first] = round(weights[first] + round(100 - sum(weights.values()), 1), 1)
-    return weights
-
-
-HOLDINGS = "track string, date date, code long, weight_pct double, holding_days long, change string"
-
-
-def portfolios(scores: DataFrame) -> DataFrame:
-    """track, date, code, weight_pct, holding_days, change (added, removed, null) of each track's machine.
-
-    scores: track, date, code, score, equity (the track's reference curve, for the emergency rule). One group a track.
-    """
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        held: dict = {}
-        state = {"age": {}, "cool": {}, "month": {}}
-        rows, before = [], None
-        for date, day in group.sort_values(["date", "code"]).groupby("date", sort=True):
-            equity = float(day.equity.iloc[0])
-            drop = before not in (None, 0.0) and equity / before - 1 <= RISK_DROP
-            scores_now = dict(zip(day.code.tolist(), day.score.tolist(), strict=True))
-            at = pd.Timestamp(date)
-            held, added, removed, _ = step(at, held, state, scores_now, drop)
-            track = day.track.iloc[0]
-            for c, w in held.items():
-                rows.append((track, date, c, w, state["age"].get(c, 0), "added" if c in added else None))
-                state["age"][c] = state["age"].get(c, 0) + 1
-            for c in removed:
-                rows.append((track, date, c, 0.0, state["age"].pop(c, 0), "removed"))
-            before = equity
-        return pd.DataFrame(rows, columns=["track", "date", "code", "weight_pct", "holding_days", "change"])
-
-    return scores.groupBy("track").applyInPandas(run, HOLDINGS)
+    two = scored.select("model_id", "score", safe.alias("safe")).orderBy(F.desc("score"), "model_id").limit(2)
+    order = Window.orderBy(F.desc("score"), "model_id")  # over two rows
+    ranked = two.withColumns({"edge": F.col("score") - F.lead("score").over(order), "rank": F.row_number().over(order)})
+    return ranked.where("rank = 1").select("model_id", "score", "edge", (F.col("edge") >= edge).alias("enough"), "safe")
 
 
 def trades(holdings: DataFrame, least: float = 0.05) -> DataFrame:
@@ -201,20 +79,18 @@ def adoption(score: Column, gates: Sequence[Column]) -> Column:
     return F.when(~ok, "HOLD").when(score >= 60, "ADOPT_FULL").when(score >= 45, "CAUTION").otherwise("HOLD")
 
 
-def consistency(holdings: DataFrame, traded: DataFrame, curve: DataFrame) -> DataFrame:
+def consistency(holdings: DataFrame, traded: DataFrame, curve: DataFrame, slots: int = 6) -> DataFrame:
     """check, ok, failures: named assertions across holdings, trades and the replayed curve."""
     live = holdings.where("weight_pct > 0")
     day = live.groupBy("track", "date").agg(F.sum("weight_pct").alias("w"), F.count("*").alias("n"))
     found = {
         "weights_sum_to_100": day.where(F.abs(F.col("w") - 100) > 0.2),
-        "slots_not_exceeded": day.where(F.col("n") > SLOTS),
+        "slots_not_exceeded": day.where(F.col("n") > slots),
         "no_negative_weight": holdings.where("weight_pct < 0"),
         "one_row_a_code": live.groupBy("track", "date", "code").count().where("count > 1"),
         "curve_days_held": curve.join(day, ["track", "date"], "left_anti"),
         "added_are_new_trades": holdings.where("change = 'added' and weight_pct > 0").join(traded.where("kind = 'new'"), ["track", "date", "code"], "left_anti"),
         "removed_are_sold": holdings.where("change = 'removed'").join(traded.where("kind = 'sold'"), ["track", "date", "code"], "left_anti"),
     }
-    from functools import reduce
-
     parts = [df.agg(F.count("*").alias("failures")).select(F.lit(n).alias("check"), (F.col("failures") == 0).alias("ok"), "failures") for n, df in found.items()]
     return reduce(DataFrame.unionByName, parts)

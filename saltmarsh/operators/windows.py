@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def by_date() -> WindowSpec:
@@ -53,32 +57,43 @@ def winsorised(df: DataFrame, column: str, low: float, high: float, into: str) -
     return df.join(bounds, "symbol").withColumn(into, F.when(x.isNotNull(), F.greatest(F.least(x, F.col("_q")[1]), F.col("_q")[0]))).drop("_q")
 
 
-def _folded(df: DataFrame, columns: list[str], into: str, start: Column, step, value) -> DataFrame:
-    """A recurrence along a symbol's rows in order of date: its bars are folded as one array (a symbol has a row a day)."""
-    series = df.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("date", *columns))).alias("s"))
-    state = F.struct(start.alias("state"), F.array().cast("array<struct<date: date, v: double>>").alias("out"))
+def _recurrent(df: DataFrame, columns: Sequence[str], into: str, start: Callable[[], tuple], step: Callable[..., tuple]) -> DataFrame:
+    """df with the values of a recurrence along each symbol's rows in order of date.
+
+    Rows stream through a task in that order, a batch at a time, with the state of one symbol only: no series is ever held whole, and
+    nothing is joined back. ``step`` takes the state and the columns' values and returns the value and the new state.
+    """
+    schema = StructType([*df.schema.fields, StructField(into, DoubleType())])
 
-    def merge(acc: Column, row: Column) -> Column:
-        now = step(acc["state"], row)
-        return F.struct(now.alias("state"), F.concat(acc["out"], F.array(F.struct(row["date"].alias("date"), value(now).alias("v")))).alias("out"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state = object(), None
+        for batch in batches:
+            out = []
+            for symbol, *values in zip(*(batch.column(c).to_pylist() for c in ("symbol", *columns)), strict=True):
+                if symbol != now:
+                    now, state = symbol, start()
+                value, state = step(state, *values)
+                out.append(value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=schema.names)
 
-    out = series.select("symbol", F.inline(F.aggregate("s", state, merge)["out"])).withColumnRenamed("v", into)
-    return df.join(out, ["symbol", "date"])
+    return df.repartition("symbol").sortWithinPartitions("symbol", "date").mapInArrow(run, schema)
 
 
 def ewm(df: DataFrame, column: str, span: int, into: str) -> DataFrame:
     """Exponential mean without adjustment. A gap repeats the last value and lets its weight decay."""
     alpha = 2.0 / (span + 1)
-    start = F.struct(F.lit(None).cast("double").alias("y"), F.lit(1.0).alias("w"))
 
-    def step(s: Column, row: Column) -> Column:
-        x, old = row[column], s["w"] * (1 - alpha)
-        first = s["y"].isNull()
-        y = F.when(x.isNull(), s["y"]).when(first, x).otherwise((old * s["y"] + alpha * x) / (old + alpha))
-        w = F.when(x.isNull() & ~first, old).otherwise(F.lit(1.0))
-        return F.struct(y.alias("y"), w.alias("w"))
+    def step(state: tuple, x: float | None) -> tuple:
+        y, weight = state
+        if y is None:
+            return x, (x, 1.0)
+        old = weight * (1 - alpha)
+        if x is None:
+            return y, (y, old)
+        y = (old * y + alpha * x) / (old + alpha)
+        return y, (y, 1.0)
 
-    return _folded(df, [column], into, start, step, lambda s: s["y"])
+    return _recurrent(df, [column], into, lambda: (None, 1.0), step)
 
 
 def adaptive_ema(df: DataFrame, column: str, base: int, into: str) -> DataFrame:
@@ -92,11 +107,12 @@ def adaptive_ema(df: DataFrame, column: str, base: int, into: str) -> DataFrame:
     span = F.when(ratio > 1.5, float(max(8, int(base * 0.6)))).when(ratio < 0.7, float(min(40, int(base * 1.6)))).otherwise(float(base))
     d = d.withColumn("_alpha", 2.0 / (span + 1.0))
 
-    def step(y: Column, row: Column) -> Column:
-        x, a = row[column], row["_alpha"]
-        return F.when(x.isNull(), y).when(y.isNull(), x).otherwise(a * x + (1 - a) * y)
+    def step(y: float | None, x: float | None, a: float) -> tuple:
+        if x is not None:
+            y = x if y is None else a * x + (1 - a) * y
+        return y, y
 
-    return _folded(d, [column, "_alpha"], into, F.lit(None).cast("double"), step, lambda y: y).drop("_vol", "_base", "_alpha")
+    return _recurrent(d, [column, "_alpha"], into, lambda: None, step).drop("_vol", "_base", "_alpha")
 
 
 def true_range(bars: DataFrame, into: str = "tr") -> DataFrame:

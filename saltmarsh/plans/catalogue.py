@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import factors, joining, portfolios, summaries, texts, validation
+from . import factors, filing, joining, messaging, portfolios, summaries, texts, validation, work
 
-MODULES = (validation, factors, joining, texts, summaries, portfolios)
+MODULES = (validation, factors, joining, texts, summaries, portfolios, work, filing, messaging)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

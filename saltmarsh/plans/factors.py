@@ -56,7 +56,9 @@ def ewm_sql(source: str, x: str, span: int, into: str) -> str:
 
 
 RET = f"r AS (SELECT *, close / nullif(lag(close) {OVER}, 0) - 1 AS ret, lag(close) {OVER} AS prev FROM bars)"
-FLOW = f"m AS (SELECT *, {roll('median', 'ret', 5, 3)} AS med FROM r)"
+#: The median of the last five changes, of three at least: a window's median would be computed anew for each row.
+FIVE = f"list_sort(list_filter([ret, {', '.join(f'lag(ret, {i}) {OVER}' for i in range(1, 5))}], lambda x: x IS NOT NULL))"
+FLOW = f"m AS (SELECT *, CASE WHEN len(five) >= 3 THEN (five[(len(five) + 1) // 2] + five[len(five) // 2 + 1]) / 2 END AS med FROM (SELECT *, {FIVE} AS five FROM r))"
 
 
 @P.query("w4_flow_proxy", f"WITH {M.BARS}, {RET}, {FLOW} SELECT m.symbol, m.date, round(med, 6) AS med, round(val_flow_10, 6) AS val_flow_10 FROM m LEFT JOIN {ewm_sql('m', 'med', 10, 'val_flow_10')} e USING (symbol, date)")
@@ -106,9 +108,33 @@ def w2(spark, d):
     return rounded(W.adaptive_ema(M.bars(spark, d), "close", 20, "ema"), "symbol date", "ema", 4)
 
 
-@P.query("w8_value_score")
+def adaptive_sql(source: str, x: str, base: int, into: str) -> str:
+    """The adaptive mean in closed form, for series whose only gaps lead."""
+    fast, slow = max(8, int(base * 0.6)), min(40, int(base * 1.6))
+    steps = f"(SELECT symbol, date, {x}, {x} / nullif(lag({x}) {OVER}, 0) - 1 AS chg FROM {source})"
+    steps = f"(SELECT *, {roll('avg', 'abs(chg)', 20, 5)} AS vol FROM {steps})"
+    steps = f"(SELECT *, coalesce(vol / nullif({roll('avg', 'vol', 120, 20)}, 0), 1) AS ratio FROM {steps})"
+    steps = f"(SELECT symbol, date, {x}, 2.0 / (CASE WHEN ratio > 1.5 THEN {fast}.0 WHEN ratio < 0.7 THEN {slow}.0 ELSE {base}.0 END + 1) AS a, row_number() {OVER} AS k FROM {steps} WHERE {x} IS NOT NULL)"
+    steps = f"(SELECT *, sum(CASE WHEN k > 1 THEN ln(1 - a) ELSE 0 END) {OVER} AS p FROM {steps})"
+    return f"(SELECT symbol, date, exp(p) * sum({x} * (CASE WHEN k = 1 THEN 1 ELSE a END) * exp(-p)) {OVER} AS {into} FROM {steps})"
+
+
+def z_sql(x: str) -> str:
+    return f"({x} - {roll('avg', x, 120, 20)}) / nullif({roll('stddev_samp', x, 120, 20)}, 0)"
+
+
+@P.query(
+    "w8_value_score",
+    f"""WITH {M.BARS}, {RET}, {FLOW}, {ATR}, t AS (SELECT symbol, date, close * volume AS t FROM bars), tq AS (SELECT symbol, quantile_cont(t, 0.025) AS lo, quantile_cont(t, 0.975) AS hi FROM t GROUP BY symbol), liq AS (SELECT symbol, date, greatest(least(t, hi), lo) AS val_liq_win FROM t JOIN tq USING (symbol)),
+  mo AS (SELECT symbol, date, close / nullif(lag(close, 20) {OVER}, 0) - 1 AS mom_20 FROM bars),
+  f AS (SELECT b.symbol, b.date, val_mom_20, val_flow_10, val_liq_win, val_risk_10 FROM bars b LEFT JOIN {adaptive_sql("mo", "mom_20", 20, "val_mom_20")} e1 USING (symbol, date) LEFT JOIN {ewm_sql("m", "med", 10, "val_flow_10")} e2 USING (symbol, date)
+    JOIN liq USING (symbol, date) LEFT JOIN {ewm_sql("(SELECT * FROM w WHERE atr IS NOT NULL)", "atr_w", 10, "val_risk_10")} e3 USING (symbol, date)),
+  s AS (SELECT *, 0.35 * {z_sql("val_mom_20")} + 0.25 * {z_sql("val_flow_10")} + 0.20 * {z_sql("val_liq_win")} - 0.20 * {z_sql("val_risk_10")} AS value_score_raw FROM f)
+  SELECT s.symbol, s.date, round(val_liq_win, 6) AS val_liq_win, {", ".join(f"round({c}, 4) AS {c}" for c in ("val_mom_20", "val_flow_10", "val_risk_10", "value_score_raw", "value_score"))} FROM s LEFT JOIN {adaptive_sql("s", "value_score_raw", 10, "value_score")} v USING (symbol, date)""",
+)
 def w8(spark, d):
-    return rounded(W.value_factors(M.bars(spark, d)), "symbol date", "val_mom_20 val_flow_10 val_liq_win val_risk_10 value_score_raw value_score")
+    rows = W.value_factors(M.bars(spark, d)).withColumn("val_liq_win", F.round("val_liq_win", 6))
+    return rounded(rows, "symbol date val_liq_win", "val_mom_20 val_flow_10 val_risk_10 value_score_raw value_score", 4)
 
 
 #: Returns tamed to a hundredth of themselves, so that compound growth stays finite over invented prices.

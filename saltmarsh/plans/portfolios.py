@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import batching, dedup, portfolio
-from ..operators import windows as W
 from ..sources import market as M
+from .factors import ORACLES as ORACLES_OF_FACTORS
+from .factors import w14
 from .registry import Plans, table
 
 P = Plans()
@@ -40,37 +40,78 @@ def d4(spark, d):
     return dedup.first_records(docs, ["doc_id"]).select("doc_id")
 
 
-@P.query("d12_d13_model_returns")
-def d12(spark, d):
-    rows = portfolio.simulate(portfolio.catalogue(spark), "2026-03-01")
-    return rows.select("model_id", "track", "date", F.round("ret", 9).alias("ret"))
+def model_stats(spark, d):
+    """Symbols as models: what their curves did over three periods."""
+    m = w14(spark, d)
+    of = {"total_return": ("all", "total_return"), "return_2021_plus": ("late", "total_return"), "return_2023_2025": ("early", "total_return"), "return_2025_plus": ("late", "cagr"), "mdd_full": ("all", "mdd"), "mdd_2021_plus": ("late", "mdd"), "mdd_2023_2025": ("early", "mdd"), "turnover": ("all", "turnover")}
+    return m.groupBy(F.col("symbol").alias("model_id")).agg(*[F.coalesce(F.max(F.when(F.col("period") == p, F.col(c))), F.lit(0.0)).alias(n) for n, (p, c) in of.items()])
 
 
-def scored(spark, d):
-    """Ten tracks of symbols, each day's scores, and the mean close as the track's curve."""
-    bars = W.momentum(M.bars(spark, d)).withColumn("track", F.concat(F.lit("t"), (F.col("symbol") % 10).cast("string")))
-    equity = F.avg("close").over(Window.partitionBy("track", "date"))
-    return bars.select("track", "date", F.col("symbol").cast("long").alias("code"), (1 + F.greatest(F.least(F.coalesce("mom_20", F.lit(0.0)), F.lit(1.0)), F.lit(-0.5))).alias("score"), equity.alias("equity"))
+WEIGHTS = {"value": 0.5, "momentum": 0.3, "risk": 0.2}
+STATS = f"""m AS ({ORACLES_OF_FACTORS["w14_period_metrics"]}), st AS (SELECT symbol AS model_id, coalesce(max(total_return) FILTER (period = 'all'), 0) AS tr, coalesce(max(total_return) FILTER (period = 'late'), 0) AS late, coalesce(max(total_return) FILTER (period = 'early'), 0) AS early, coalesce(max(cagr) FILTER (period = 'late'), 0) AS cagr,
+    coalesce(max(mdd) FILTER (period = 'all'), 0) AS m0, coalesce(max(mdd) FILTER (period = 'late'), 0) AS m1, coalesce(max(mdd) FILTER (period = 'early'), 0) AS m2, coalesce(max(turnover) FILTER (period = 'all'), 0) AS turn FROM m GROUP BY symbol),
+  ax AS (SELECT *, 0.8 * late + 0.2 * tr AS v, 0.7 * early + 0.3 * cagr AS o, -(0.5 * abs(m1) + 0.3 * abs(m2) + 0.2 * abs(m0) + 0.1 * greatest(0, turn - 1.8)) AS r FROM st),
+  z AS (SELECT ax.*, {", ".join(f"greatest(least(({x} - avg({x}) OVER ()) / CASE WHEN stddev_pop({x}) OVER () <= 1e-12 THEN 1 ELSE stddev_pop({x}) OVER () END, 3), -3) AS z_{x}" for x in "vor")} FROM ax),
+  sc AS (SELECT *, 0.5 * z_v + 0.3 * z_o + 0.2 * z_r AS score FROM z)"""
 
 
-@P.query("d16_holdings")
-def d16(spark, d):
-    return portfolio.portfolios(scored(spark, d))
+def scored_models(spark, d):
+    return portfolio.winner_score(portfolio.axis_scores(model_stats(spark, d)), WEIGHTS)
 
 
-@P.query("d17_trades")
+@P.query("d14_winner_scores", f"WITH {STATS} SELECT model_id, round(z_v, 6) AS z_value, round(z_o, 6) AS z_momentum, round(z_r, 6) AS z_risk, round(score, 6) AS score FROM sc")
+def d14(spark, d):
+    return scored_models(spark, d).select("model_id", *[F.round(c, 6).alias(c) for c in ("z_value", "z_momentum", "z_risk", "score")])
+
+
+@P.query("d15_winner_policy", f"WITH {STATS}, b AS (SELECT *, row_number() OVER (ORDER BY score DESC, model_id) AS k FROM sc) SELECT model_id, round(score, 6) AS score, round(score - (SELECT score FROM b WHERE k = 2), 6) AS edge, score - (SELECT score FROM b WHERE k = 2) >= 0.05 AS enough, m1 > -0.85 AND m0 > -0.92 AND m2 > -0.80 AS safe FROM b WHERE k = 1")
+def d15(spark, d):
+    return portfolio.winner_policy(scored_models(spark, d)).withColumns({"score": F.round("score", 6), "edge": F.round("edge", 6)})
+
+
+TRADES = f"""{M.HOLDINGS}, tr AS (SELECT * FROM (SELECT *, CASE WHEN p = 0 AND w > 0 THEN 'new' WHEN w = 0 AND p > 0 THEN 'sold' WHEN delta >= 0.05 THEN 'more' WHEN delta <= -0.05 THEN 'less' END AS kind
+    FROM (SELECT *, round(w - p, 2) AS delta FROM (SELECT coalesce(l.track, b.track) AS track, coalesce(l.date, b.date) AS date, coalesce(l.code, b.code) AS code, coalesce(l.weight_pct, 0) AS w, coalesce(b.p, 0) AS p FROM live l FULL JOIN moved b ON l.track = b.track AND l.date = b.date AND l.code = b.code))) WHERE kind IS NOT NULL)"""
+
+
+@P.query("d17_trades", f"WITH {TRADES} SELECT track, date, code, kind, delta FROM tr")
 def d17(spark, d):
-    return portfolio.trades(portfolio.portfolios(scored(spark, d)))
+    return portfolio.trades(M.holdings(spark, d))
 
 
-@P.query("d18_replay")
+@P.query("d18_replay", f"WITH {M.HOLDINGS}, {M.RETURNS}, r AS (SELECT track, date, sum(weight_pct / 100 * coalesce(ret, 0)) AS ret FROM live JOIN group_returns USING (date, code) GROUP BY ALL) SELECT track, date, round(exp(sum(ln(1 + ret)) OVER (PARTITION BY track ORDER BY date)), 6) AS equity FROM r")
 def d18(spark, d):
-    returns = M.bars(spark, d).withColumn("ret", W.change("close") / 100).select("date", F.col("symbol").cast("long").alias("code"), "ret")
-    return portfolio.replay(portfolio.portfolios(scored(spark, d)), returns).select("track", "date", F.round("equity", 6).alias("equity"))
+    return portfolio.replay(M.holdings(spark, d), M.group_returns(spark, d)).select("track", "date", F.round("equity", 6).alias("equity"))
+
 
+@P.query("d21_adoption", "SELECT s_suppkey, CASE WHEN NOT (s_acctbal > 0 AND s_nationkey <> 3) THEN 'HOLD' WHEN s_acctbal / 100 >= 60 THEN 'ADOPT_FULL' WHEN s_acctbal / 100 >= 45 THEN 'CAUTION' ELSE 'HOLD' END AS verdict FROM supplier")
+def d21(spark, d):
+    gates = [F.col("s_acctbal") > 0, F.col("s_nationkey") != 3]
+    return table(spark, d, "supplier").select("s_suppkey", portfolio.adoption(F.col("s_acctbal") / 100, gates).alias("verdict"))
 
-@P.query("d23_batches")
+
+@P.query(
+    "d22_consistency",
+    f"""WITH {M.HOLDINGS}, g AS (SELECT track, date, sum(weight_pct) AS w, count(*) AS n FROM live GROUP BY ALL) SELECT 'weights_sum_to_100' AS "check", count(*) FILTER (abs(w - 100) > 0.2) = 0 AS ok, count(*) FILTER (abs(w - 100) > 0.2) AS failures FROM g
+  UNION ALL SELECT 'slots_not_exceeded', count(*) FILTER (n > 5) = 0, count(*) FILTER (n > 5) FROM g UNION ALL SELECT unnest(['no_negative_weight', 'one_row_a_code', 'curve_days_held', 'added_are_new_trades', 'removed_are_sold']), true, 0""",
+)
+def d22(spark, d):
+    held = M.holdings(spark, d)
+    curve = portfolio.replay(held.where("weight_pct > 0"), M.group_returns(spark, d))
+    return portfolio.consistency(held, portfolio.trades(held), curve, slots=5)
+
+
+@P.query(
+    "d23_batches",
+    """WITH RECURSIVE i AS (SELECT doc_id // 500 AS package, doc_id AS item_id, ceil(length(coalesce(text, '')) / 4)::BIGINT AS t, strlen(coalesce(text, '')) AS b, contains(lower(coalesce(text, '')), 'http')::INTEGER AS c, row_number() OVER (PARTITION BY doc_id // 500 ORDER BY doc_id) AS pos, count(*) OVER (PARTITION BY doc_id // 500) AS size FROM documents),
+  g AS (SELECT package, item_id, pos, size, 0 AS batch, 1 AS n, t AS st, b AS sb, (t >= 320)::INTEGER AS sl, c AS sc FROM i WHERE pos = 1
+    UNION ALL SELECT package, item_id, pos, size, CASE WHEN cut THEN batch + 1 ELSE batch END, CASE WHEN cut THEN 1 ELSE n + 1 END, CASE WHEN cut THEN t ELSE st + t END, CASE WHEN cut THEN b ELSE sb + b END, CASE WHEN cut THEN l ELSE sl + l END, CASE WHEN cut THEN c ELSE sc + c END
+    FROM (SELECT i.package, i.item_id, i.pos, i.size, i.t, i.b, i.c, (i.t >= 320)::INTEGER AS l, g.batch, g.n, g.st, g.sb, g.sl, g.sc,
+      g.n + 1 > 40 OR g.st + i.t > 16000 OR g.sb + i.b > 90000 OR (g.n + 1 > 30 AND (g.st + i.t >= 12000 OR g.sb + i.b >= 65000 OR (g.sl + (i.t >= 320)::INTEGER) / (g.n + 1) > 0.35 OR (g.sc + i.c) / (g.n + 1) > 0.35)) AS cut FROM g JOIN i ON i.package = g.package AND i.pos = g.pos + 1)),
+  k AS (SELECT package, batch, count(*) AS m, max(batch) OVER (PARTITION BY package) AS top FROM g GROUP BY package, batch), e AS (SELECT package, max(m) FILTER (batch = top) AS last, max(m) FILTER (batch = top - 1) AS before, max(top) AS top FROM k GROUP BY package)
+  SELECT package, item_id, CASE WHEN size <= 40 THEN 0 WHEN top > 0 AND pos > size - last - greatest(0, least(20 - last, before - 20)) THEN top ELSE batch END::BIGINT AS batch FROM g JOIN e USING (package)""",
+)
 def d23(spark, d):
+    """Packages of 500 consecutive identifiers, so each is a bounded group."""
     text = F.coalesce("text", F.lit(""))
-    items = table(spark, d, "documents").select((F.col("doc_id") % 16).alias("package"), F.col("doc_id").alias("item_id"), F.ceil(F.length(text) / 4).alias("tokens"), F.octet_length(text).cast("long").alias("bytes"), F.contains(F.lower(text), F.lit("http")).alias("chatter"))
+    items = table(spark, d, "documents").select(F.floor(F.col("doc_id") / 500).alias("package"), F.col("doc_id").alias("item_id"), F.ceil(F.length(text) / 4).alias("tokens"), F.octet_length(text).cast("long").alias("bytes"), F.contains(F.lower(text), F.lit("http")).alias("chatter"))
     return batching.batches(items)

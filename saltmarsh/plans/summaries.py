@@ -81,7 +81,14 @@ def a5(spark, d):
     return A.correlations(scored_cards(spark, d), AX).withColumn("rho", F.round("rho", 5))
 
 
-@P.query("d8_d9_guarded_signal")
+BEYOND = {a: " OR ".join(f"coalesce(abs(corr({a}, {b})), 0) > 0.7" for b in others) for a, others in {"upside": ("downside", "bm", "persistence"), "persistence": ("downside", "bm"), "bm": ("downside",)}.items()}
+
+
+@P.query(
+    "d8_d9_guarded_signal",
+    f"""WITH {SYMBOLS}, g AS (SELECT {", ".join(f"CASE WHEN {c} THEN 0.0 ELSE 0.25 END AS w_{a}" for a, c in BEYOND.items())}, 0.25 AS w_downside FROM y)
+  SELECT date, symbol, round(greatest(least((w_upside * (upside - 50) - w_downside * (downside - 50) + w_bm * (bm - 50) + w_persistence * (persistence - 50)) / 50 / (w_upside + w_downside + w_bm + w_persistence), 1), -1)::DOUBLE, 6) AS signal FROM y, g""",
+)
 def d8(spark, d):
     rows = A.symbol_scores(clustered(spark, d))
     pairs = [(r["a"], r["b"], r["rho"]) for r in A.correlations(rows, AX).collect()]

@@ -44,11 +44,24 @@ def c8(spark, d):
   u AS (SELECT doc_id, unnest(ps) AS x FROM p) SELECT doc_id, count(DISTINCT n) AS parts, min(sha1(n)) AS least FROM (SELECT doc_id, {NORMAL.format('x')} AS n FROM u) WHERE length(n) >= 80 GROUP BY doc_id""",
 )
 def c10(spark, d):
-    rows = docs(spark, d).select("doc_id", X.content_fingerprints("text").alias("f")).where("size(f) > 0")
-    return rows.select("doc_id", F.size("f").cast("long").alias("parts"), F.array_min("f").alias("least"))
+    rows = X.content_fingerprint_rows(docs(spark, d), "doc_id", "text")
+    return rows.groupBy("doc_id").agg(F.count("*").alias("parts"), F.min("fingerprint").alias("least"))
 
 
-@P.query("c4_html_text")
+PAGE = "coalesce(html, '')"
+for _tag in ("script", "style", "noscript", "iframe", "svg"):
+    PAGE = f"regexp_replace({PAGE}, '(?is)<{_tag}.*?>.*?</{_tag}>', ' ', 'g')"
+PAGE = f"regexp_replace(regexp_replace({PAGE}, '(?i)<br\\s*/?>', chr(10), 'g'), '(?i)</(p|div|section|article|li|h1|h2|h3|h4|h5|h6)>', chr(10), 'g')"
+PAGE = f"regexp_replace({PAGE}, '(?s)<[^>]+>', ' ', 'g')"
+for _name, _sign in X.NAMED:
+    PAGE = f"replace({PAGE}, '{_name}', '{_sign.replace(chr(39), chr(39) * 2)}')"
+
+
+@P.query(
+    "c4_html_text",
+    f"""WITH p AS (SELECT page_id, regexp_split_to_array({PAGE}, '[\\n\\r]') AS ls FROM pages), l AS (SELECT page_id, generate_subscripts(ls, 1) AS i, trim(regexp_replace(unnest(ls), '\\s+', ' ', 'g')) AS s FROM p),
+  k AS (SELECT page_id, i, s, row_number() OVER (PARTITION BY page_id, {NORMAL.format("s")} ORDER BY i) AS r FROM l WHERE length(s) >= 25), t AS (SELECT page_id, trim(left(string_agg(s, chr(10) ORDER BY i), 3000)) AS text FROM k WHERE r = 1 GROUP BY page_id) SELECT page_id, coalesce(text, '') AS text FROM pages LEFT JOIN t USING (page_id)""",
+)
 def c4(spark, d):
     return table(spark, d, "pages").select("page_id", X.html_text("html").alias("text"))
 
@@ -69,7 +82,16 @@ def c13(spark, d):
     return docs(spark, d).select("doc_id", F.size(X.sentences("text")).alias("sentences"))
 
 
-@P.query("c14_chunks")
+SENTENCES = "list_filter(list_transform(string_split(regexp_replace(trim(regexp_replace({0}, '\\s+', ' ', 'g')), '([.!?。！？]) ', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '')"
+
+
+@P.query(
+    "c14_chunks",
+    f"""WITH b AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(trim(text), '\\n\\s*\\n+'), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') AS ps, {SENTENCES.format("text")} AS ss FROM documents WHERE trim(text) <> ''),
+  c AS (SELECT doc_id, CASE WHEN len(ps) > 1 THEN ps ELSE ss END AS bs FROM b),
+  k AS (SELECT doc_id, string_split(list_reduce(bs, lambda acc, x: CASE WHEN length(string_split(acc, chr(1))[-1]) + (NOT contains(acc, chr(1)))::INTEGER + length(x) + 1 > 750 THEN acc || chr(1) || x ELSE acc || chr(10) || x END), chr(1)) AS cs FROM c WHERE len(bs) > 0)
+  SELECT doc_id, (i - 1)::INTEGER AS chunk_id, left(chunk, 870) AS chunk_text FROM (SELECT doc_id, generate_subscripts(cs, 1) AS i, unnest(cs) AS chunk FROM k) WHERE i <= 5""",
+)
 def c14(spark, d):
     return C.chunked(docs(spark, d).withColumn("family", F.lit("text_blog"))).select("doc_id", "chunk_id", "chunk_text")
 
@@ -117,12 +139,24 @@ def c15(spark, d):
     return cards(spark, d).select("doc_id", "event_order", "event_rights_issue", "event_lawsuit", "event_guidance")
 
 
-@P.query("c18_cluster_ids")
+NAMED_EVENTS = "array_to_string(list_filter([CASE WHEN g = 1 THEN 'guidance' END, CASE WHEN s = 1 THEN 'lawsuit' END, CASE WHEN o = 1 THEN 'order' END, CASE WHEN r = 1 THEN 'rights_issue' END], lambda x: x IS NOT NULL), '+')"
+
+
+@P.query(
+    "c18_cluster_ids",
+    f"""WITH {SCORED}, u AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM toks), telling_words AS (SELECT doc_id, x, min(i) AS i FROM u WHERE length(x) >= 2 AND NOT regexp_matches(x, '^\\d+$') AND x NOT IN ({", ".join(f"'{x}'" for x in C.STOPWORDS)}) GROUP BY ALL),
+  t AS (SELECT doc_id, string_agg(x, '+' ORDER BY i) AS telling FROM (SELECT * FROM telling_words QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i) <= 3) GROUP BY doc_id), k AS (SELECT doc_id, date, symbol, coalesce(nullif({NAMED_EVENTS}, ''), telling, '') AS cluster_key FROM scored LEFT JOIN t USING (doc_id))
+  SELECT doc_id, cluster_key, left(sha1(date || ':' || symbol || ':' || cluster_key), 16) AS cluster_id FROM k""",
+)
 def c18(spark, d):
     return C.cluster_key(cards(spark, d), "text").select("doc_id", "cluster_key", "cluster_id")
 
 
-@P.query("c19_evidence")
+@P.query(
+    "c19_evidence",
+    f"""WITH s AS (SELECT doc_id, text, flatten(list_transform(regexp_split_to_array(coalesce(text, ''), '\\n+'), lambda l: {SENTENCES.format("l")})) AS parts FROM documents)
+  SELECT doc_id, left(coalesce(list_filter(parts, lambda x: contains(lower(x), 'license') OR contains(lower(x), 'idiot'))[1], parts[1], text), 260) AS evidence FROM s""",
+)
 def c19(spark, d):
     return docs(spark, d).select("doc_id", C.evidence("text", ("license", "idiot")).alias("evidence"))
 
@@ -149,7 +183,27 @@ def c23(spark, d):
     return docs(spark, d).select("doc_id", G.direction(low, none, ("license",), ("idiot", "moron")).alias("direction"), G.horizon(low, None, ("released",), ("version",), ("clown",)).alias("horizon"))
 
 
-@P.query("c25_c26_classification")
+def hits_sql(words, text="t") -> str:
+    """How often keywords stand in a lower-cased text: whole words of ASCII letters and digits, others anywhere."""
+    plain = [w.lower() for w in words if w.isascii() and w.isalnum()]
+    other = [w.lower() for w in words if not (w.isascii() and w.isalnum())]
+    parts = [f"len(regexp_extract_all({text}, '\\b{w}\\b'))" for w in plain]
+    parts += [f"(length({text}) - length(replace({text}, '{w}', ''))) // {len(w)}" for w in other]
+    return f"({' + '.join(parts)})"
+
+
+def any_sql(words, text="t") -> str:
+    return "(" + " OR ".join(f"contains({text}, '{w.lower()}')" for w in words) + ")"
+
+
+@P.query(
+    "c25_c26_classification",
+    f"""WITH t AS (SELECT doc_id, lower(text) AS t FROM documents), h AS (SELECT *, {hits_sql(TABLE["law"])} AS law, {hits_sql(TABLE["abuse"])} AS abuse, {hits_sql(TABLE["articles"])} AS words, {hits_sql(G.POSITIVE)} AS up, {hits_sql(G.NEGATIVE)} AS down, {", ".join(f'{hits_sql(w)} AS "{n}"' for n, w in G.EVENT_TAGS.items())} FROM t),
+  e AS (SELECT doc_id, string_agg(tag, ',' ORDER BY n DESC, tag) AS tags FROM (UNPIVOT (SELECT doc_id, {", ".join(f'"{n}"::BIGINT AS "{n}"' for n in G.EVENT_TAGS)} FROM h) ON {", ".join(chr(34) + n + chr(34) for n in G.EVENT_TAGS)} INTO NAME tag VALUE n) WHERE n > 0 GROUP BY doc_id),
+  s AS (SELECT *, up + (guidance > 0)::INTEGER + ("order" > 0)::INTEGER AS u, down + (rights_issue > 0)::INTEGER + (lawsuit > 0)::INTEGER AS d FROM h)
+  SELECT doc_id, concat_ws(',', CASE WHEN law > 0 THEN 'macro' END, CASE WHEN abuse > 0 THEN 'industry' END) AS target_levels, CASE WHEN law > 0 THEN 'law' ELSE '' END AS macro_tags, CASE WHEN abuse > 0 THEN 'abuse' ELSE '' END AS industry_tags, coalesce(tags, '') AS event_tags, CASE WHEN words > 0 THEN 'words' ELSE '' END AS region_tags,
+  CASE WHEN u > 0 AND d > 0 THEN 'mixed' WHEN u > 0 THEN 'positive' WHEN d > 0 THEN 'negative' ELSE 'neutral' END AS impact_direction, CASE WHEN {any_sql(G.LONG)} THEN 'long_term' WHEN {any_sql(G.MEDIUM)} THEN 'medium_term' WHEN {any_sql(G.SHORT)} THEN 'short_term' ELSE 'unknown' END AS horizon FROM s LEFT JOIN e USING (doc_id)""",
+)
 def c25(spark, d):
     s = G.classified(F.lower("text"), F.array().cast("array<string>"), {"law": TABLE["law"]}, {"abuse": TABLE["abuse"]}, {"words": TABLE["articles"]})
     return docs(spark, d).select("doc_id", s.alias("c")).select("doc_id", *[(F.array_join(f"c.{n}", ",") if n.endswith(("tags", "levels")) else F.col(f"c.{n}")).alias(n) for n in ("target_levels", "macro_tags", "industry_tags", "event_tags", "region_tags", "impact_direction", "horizon")])

@@ -5,7 +5,7 @@ The adapters read them from star-schema order lines: a supplier stands for a sym
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -89,6 +89,28 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """track, date, code, weight_pct, change (added, removed or null): ten tracks' six largest customers' groups by month, orders' totals as weights."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    sums = o.groupBy((F.col("o_custkey") % 10).alias("track"), F.trunc(F.to_date("o_orderdate"), "month").alias("date"), F.floor(F.col("o_custkey") / 10 % 12).alias("code")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("v"))
+    best = Window.partitionBy("track", "date").orderBy(F.desc("v"), "code")
+    top = sums.withColumn("r", F.row_number().over(best)).where("r <= 6")
+    live = top.select("track", "date", "code", F.round(F.col("v").cast("double") / F.sum("v").over(Window.partitionBy("track", "date")).cast("double") * 100, 1).alias("weight_pct"))
+    days = live.select("track", "date").distinct().withColumns({"next": F.lead("date").over(Window.partitionBy("track").orderBy("date")), "before": F.lag("date").over(Window.partitionBy("track").orderBy("date"))})
+    moved = live.select("track", "date", "code").join(days.where("next is not null").select("track", "date", "next"), ["track", "date"]).select("track", F.col("next").alias("date"), "code", F.lit(True).alias("had"))
+    now = live.join(days.select("track", "date", "before"), ["track", "date"]).join(moved, ["track", "date", "code"], "left")
+    now = now.select("track", "date", "code", "weight_pct", F.when(F.col("had").isNull() & F.col("before").isNotNull(), "added").alias("change"))
+    gone = moved.join(live, ["track", "date", "code"], "left_anti").select("track", "date", "code", F.lit(0.0).alias("weight_pct"), F.lit("removed").alias("change"))
+    return now.unionByName(gone)
+
+
+def group_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """date, code, ret: a customers' group's mean order in a month against 150,000, in ten-thousandths."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    mean = F.avg("o_totalprice")
+    return o.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("date"), F.floor(F.col("o_custkey") / 10 % 12).alias("code")).agg(((mean / 150_000 - 1) / 100).alias("ret"))
+
+
 #: The same tables in DuckDB, for the oracles.
 BARS = """bars AS (SELECT l_suppkey AS symbol, l_shipdate::DATE AS date, arg_min(p, o) AS open, max(p) AS high, min(p) AS low, arg_max(p, o) AS close, sum(q) AS volume
   FROM (SELECT *, l_extendedprice / l_quantity AS p, l_orderkey * 10 + l_linenumber AS o, l_quantity AS q FROM lineitem) GROUP BY ALL)"""
@@ -105,3 +127,8 @@ FILINGS = """filings AS (SELECT o_orderkey AS row_no, CASE WHEN o_orderkey % 11
   CASE WHEN o_orderkey % 22 <> 0 THEN o_custkey::VARCHAR END AS stock_code FROM orders)"""
 UNIVERSE = """universe AS (SELECT s_suppkey::VARCHAR AS code, s_name AS name, CASE s_suppkey % 5 WHEN 0 THEN 'KONEX' WHEN 1 THEN 'KOSDAQ GLOBAL' WHEN 2 THEN 'KOSDAQ' WHEN 3 THEN 'KOSPI' END AS market,
   CASE WHEN s_suppkey % 2 = 0 THEN 'STK' ELSE 'KNX' END AS market_id, format('{:,.2f}', s_acctbal) AS close, format('{:,}', s_suppkey * 1000) AS volume FROM supplier)"""
+HOLDINGS = """h_sums AS (SELECT o_custkey % 10 AS track, date_trunc('month', o_orderdate)::DATE AS date, floor(o_custkey / 10 % 12)::BIGINT AS code, sum(o_totalprice::DECIMAL(18, 2)) AS v FROM orders GROUP BY ALL),
+  live AS (SELECT track, date, code, round(v::DOUBLE / (sum(v) OVER (PARTITION BY track, date))::DOUBLE * 100, 1) AS weight_pct FROM (SELECT * FROM h_sums QUALIFY row_number() OVER (PARTITION BY track, date ORDER BY v DESC, code) <= 6)),
+  h_days AS (SELECT *, lead(date) OVER o AS next, lag(date) OVER o AS before FROM (SELECT DISTINCT track, date FROM live) WINDOW o AS (PARTITION BY track ORDER BY date)),
+  moved AS (SELECT track, next AS date, code, weight_pct AS p FROM live JOIN h_days USING (track, date) WHERE next IS NOT NULL)"""
+RETURNS = "group_returns AS (SELECT date_trunc('month', o_orderdate)::DATE AS date, floor(o_custkey / 10 % 12)::BIGINT AS code, (avg(o_totalprice) / 150000 - 1) / 100 AS ret FROM orders GROUP BY ALL)"
