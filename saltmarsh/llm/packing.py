@@ -3,7 +3,7 @@
 A piece of n tokens costs ``linear * n + quadratic * n * n``: the second term is attention, which within a sequence looks
 at its own document only. Documents longer than a sequence fill whole sequences first. What is left is taken in
 descending cost, each to the sequence of lowest cost that still has room for it; a document that fits nowhere is cut
-over the cheapest sequences with room. Capacities add up to exactly the tokens at hand: sequences of ``capacity`` and, for
+over the sequences with most room. Capacities add up to exactly the tokens at hand: sequences of ``capacity`` and, for
 what is left over, of falling powers of two, so nothing is padded.
 
 The work is done in groups of consecutive documents within a partition, so there is no shuffle, a task's memory is bounded by
@@ -12,6 +12,7 @@ The work is done in groups of consecutive documents within a partition, so there
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scratch import bounded_batches
 from .tokenizing import encoder
 
 
@@ -38,24 +40,31 @@ def assign(lengths: np.ndarray, capacity: int, linear: float, quadratic: float)
             yield int(d), start, capacity, sequence, 0
             sequence += 1
     rest = lengths % capacity
-    room = power_capacities(int(rest.sum()), capacity)
-    used, cost = np.zeros_like(room), np.zeros(len(room))
+    room = power_capacities(int(rest.sum()), capacity).tolist()
+    size, cost = list(room), [0.0] * len(room)
     order = np.argsort(-(linear * rest + quadratic * rest.astype(float) ** 2), kind="stable")
-    for d in order:
+    # sequences by cost, and those met without room for the document at hand by room: as documents get shorter, these come back
+    cheap, aside = [(0.0, s) for s in range(len(room))], []
+    for d in order.tolist():
         n, start = int(rest[d]), int(lengths[d] - rest[d])
         while n:
-            fits = np.flatnonzero(room - used >= n)
-            if not len(fits):
-                fits = np.flatnonzero(room > used)
-            s = fits[np.argmin(cost[fits])]
-            take = min(n, int(room[s] - used[s]))
-            yield int(d), start, take, sequence + int(s), int(used[s])
-            used[s] += take
+            while aside and -aside[0][0] >= n:
+                s = heapq.heappop(aside)[1]
+                heapq.heappush(cheap, (cost[s], s))
+            while cheap and room[cheap[0][1]] < n:
+                s = heapq.heappop(cheap)[1]
+                heapq.heappush(aside, (-room[s], s))
+            s = heapq.heappop(cheap or aside)[1]
+            take = min(n, room[s])
+            yield d, start, take, sequence + s, size[s] - room[s]
+            room[s] -= take
             cost[s] += linear * take + quadratic * take * take
             start, n = start + take, n - take
+            if room[s]:
+                heapq.heappush(cheap, (cost[s], s))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 8192, group_tokens: int = 4 << 20, in_order: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 8192, group_tokens: int = 1 << 20, in_order: bool = False) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian 32-bit binary).
 
     Each text is encoded whole, without special tokens, and ends with ``end_id``; a null or empty text is that id alone. Null and
@@ -99,4 +108,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
         if keys:
             yield from packed(keys, ids, kind, base)[0]
 
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)

@@ -15,18 +15,45 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), a temporary one."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, a temporary one, on one machine only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="saltmarsh-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+#: Bytes of rows that a Python worker gets at once: texts may be long, so rows alone don't bound its memory.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Limit the batches of the session to BATCH_BYTES, where they aren't smaller already; plans read the setting when they run."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(key).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores behind them where df has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Scratch:
     """Named tables of one run of an operator."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bounded_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.serial = 0
@@ -60,19 +87,40 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def _file(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    system, at = _file(spark, path)
+    system.delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = _file(spark, path)
+    return system.exists(at)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced as a whole."""
+    system, at = _file(spark, path)
+    _, part = _file(spark, f"{path}.part")
+    out = system.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    system.delete(at, False)
+    system.rename(part, at)
 
 
 #: Rows of identifiers, 8 to 16 bytes each, up to which they are broadcast rather than shuffled against the texts.
 BROADCAST_ROWS = 1_000_000
 
 
-def small_side(ids: DataFrame) -> DataFrame:
-    """A stored table of identifiers, hinted for a join with texts: broadcast where counted small, else the built side of a hash join."""
-    return ids.hint("broadcast") if ids.count() <= BROADCAST_ROWS else ids.hint("shuffle_hash")
+def small_side(stored: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """A stored table of short rows (or ``rows``, made of it), hinted for a join with texts: broadcast where counted small, else the built side of a hash join."""
+    rows = stored if rows is None else rows
+    return rows.hint("broadcast") if stored.count() <= BROADCAST_ROWS else rows.hint("shuffle_hash")
 
 
 def partitions(spark: SparkSession) -> int:

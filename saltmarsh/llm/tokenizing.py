@@ -1,12 +1,14 @@
 """Token ids of whole texts, with each distinct piece of text between blanks encoded once a worker.
 
-The tokenizers used here break texts at white space, and between a letter and a sign, before they look for tokens; and
-they lower-case. A text's ids are its pieces' ids in a row, therefore, and a lower-cased word and the signs behind it
-can be encoded apart. Most pieces of a corpus repeat: a lookup costs far less than an encoding.
+A tokenizer that composes characters, lower-cases, and breaks texts at white space and between a letter and a sign gives a text
+the ids of its pieces in a row; a word and the ASCII signs behind it can be encoded apart, and words without combining marks with ASCII letters in lower case. Most pieces
+of a corpus repeat: a lookup costs far less than an encoding. Whether a tokenizer is one of these is read from its file; any
+other encodes each text whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import cache
@@ -16,12 +18,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept by a worker; beyond it the memory starts afresh, which costs time and changes no result.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
+#: Ids kept by a worker, likewise.
+KEPT_IDS = 1 << 22
 #: A longer piece is not kept, so that memory stays bounded.
 LONGEST = 64
 #: Bytes of text that are encoded at once.
-AT_ONCE = 8 << 20
+AT_ONCE = 2 << 20
 SIGNS = ".,!&%$*#;:?"
+#: Fixed values of the tokenizer file: its normalisers, and the pattern by which it breaks texts.
+NORMALISERS = ["NFC", "Replace", "Lowercase"]
+BREAKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def by_pieces(tokenizer: str) -> bool:
+    """Whether a tokenizer, as JSON, breaks and lower-cases texts in the way described above."""
+    parts = json.loads(tokenizer)
+    found = [x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])]
+    breaks = [x.get("pattern", {}).get("Regex") for x in (parts["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"]]
+    return found == NORMALISERS and breaks == [BREAKS]
 
 
 class PieceEncoder:
@@ -32,6 +47,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieced = by_pieces(self.tokenizer.to_str())
         self._reset()
 
     def _reset(self) -> None:
@@ -62,14 +78,15 @@ class PieceEncoder:
         return np.array(places, np.int64)[distinct.indices.to_numpy(zero_copy_only=False)]
 
     def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if self.pieces > REMEMBERED:
+        if self.pieces > REMEMBERED or self.used > KEPT_IDS:
             self._reset()
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
         raw = words.dictionary
-        low = pc.ascii_lower(raw)
+        # pieces with combining marks keep their capitals: the tokenizer composes characters before it lower-cases them
+        low = pc.if_else(pc.match_substring_regex(raw, r"\p{M}"), raw, pc.ascii_lower(raw))
         stem = pc.ascii_rtrim(low, SIGNS)
-        apart = pc.and_(pc.match_substring_regex(stem, "[a-z]$"), pc.invert(pc.match_substring(raw, "<|")))
+        apart = pc.and_(pc.match_substring_regex(stem, "[A-Za-z]$"), pc.invert(pc.match_substring(raw, "<|")))
         signs = pa.array([x[len(y) :] for x, y in zip(low.to_pylist(), stem.to_pylist(), strict=True)], pa.string())
         whole = pc.if_else(pc.match_substring(raw, "<|"), raw, low)
         places = self._places(pa.concat_arrays([pc.if_else(apart, stem, whole), pc.if_else(apart, signs, "")]))
@@ -83,6 +100,10 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each whole text, in order, as unsigned 32-bit integers."""
+        if not self.pieced:
+            for text in texts:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            return
         start = size = 0
         for i, text in enumerate(texts):
             if i > start and size + len(text) > AT_ONCE:
