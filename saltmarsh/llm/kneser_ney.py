@@ -3,8 +3,11 @@
 Counts stay sharded tables: n-grams of the highest order are counted per task and summed by key; the lower orders' continuation
 counts, the discounts (from counts of counts) and the interpolation weights follow by aggregations, and each order's
 probabilities by two joins, with its contexts' weights and with the order below. The finished table goes to the scoring
-tasks by broadcast while it has at most TABLE_ROWS rows; a larger one stays sharded and the documents' distinct n-grams are joined with
-it. Both give the same perplexities.
+tasks by broadcast while it has at most TABLE_ROWS rows. A larger one stays sharded: the corpus' distinct n-grams are joined with
+it once, the COMMON most frequent of them go to the tasks that read the texts, and only documents' rarer n-grams are shuffled, so no
+n-gram that stands in much of the corpus is a hot key. Both give the same perplexities.
+
+A character is its code point, so every one keeps its own n-grams; what a model hasn't seen shares the lowest order's uniform part.
 
 Every document, trusted or not, is scored by a model that hasn't seen it: there are two, each trained on the trusted documents of
 one half (by a hash of the identifier) and used for the other half.
@@ -24,22 +27,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, small_side
+from .hashing import mix
+from .scratch import Scratch, free, small_side
 from .substring_index import did
 
 ORDER = 5
-#: Characters told apart; the rest of them, the rarest in the corpus, count as one.
-ALPHABET = 4000
-BITS = 12
-#: Where a half is marked in a key.
-HALF = 60
-TABLE_ROWS = 4_000_000
-#: Languages with a threshold of their own, and documents that one needs; the others share one.
-LANGUAGES, ENOUGH = 1000, 30
+#: Bits of a symbol: a code point and the two symbols below it. Three symbols are one long, ``lo``; those before them another, ``hi``.
+WIDTH = 21
+SYMBOL, TRIPLE = (1 << WIDTH) - 1, (1 << 3 * WIDTH) - 1
+TABLE_ROWS, COMMON = 2_000_000, 200_000
+#: Trusted documents that a language's own threshold needs; other languages share one.
+ENOUGH = 30
 QUANTILE, MARGIN, PRIOR = 0.99, 0.5, 50
-#: Ids of what stands before a text, behind it, and for rare characters.
-BEFORE, BEHIND, RARE = 0, 1, 2
-AT_ONCE = 1 << 20
+#: What stands before a text and behind it; a character is its code point + CHARACTERS.
+BEFORE, BEHIND, CHARACTERS = 0, 1, 2
+#: Characters of text, and distinct n-grams, that a task works on at once.
+AT_ONCE, COUNTED = 1 << 19, 1 << 20
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -51,81 +54,108 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def alphabet(docs: DataFrame) -> np.ndarray:
-    """The most frequent characters of all documents, as sorted code points; at most ALPHABET reach the driver."""
+def characters(docs: DataFrame) -> int:
+    """How many different characters the texts have."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0x110000, np.int64)
+        seen = np.zeros(1 << WIDTH, bool)
         for batch in stream:
             for text in batch.column(0).to_pylist():
                 for i in range(0, len(text), AT_ONCE):
-                    part = np.bincount(_points(text[i : i + AT_ONCE]))
-                    counts[: len(part)] += part
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at])], names=["c", "n"])
-
-    found = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "c long, n long").groupBy("c").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r["c"] for r in found.orderBy(F.desc("n"), "c").limit(ALPHABET).collect()], np.int64))
-
-
-def _classes(chars: np.ndarray) -> np.ndarray:
-    out = np.full(0x110000, RARE, np.int64)
-    out[chars] = np.arange(len(chars)) + 3
-    return out
-
-
-def _keys(texts: list[str], classes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all n-grams of several texts in a row, each text's characters and its end, and the texts' bounds."""
-    parts, sizes = [], []
-    for text in texts:
-        parts.append(np.concatenate((np.full(order - 1, BEFORE), classes[_points(text)], [BEHIND])))
-        sizes.append(len(parts[-1]) - order + 1)
-    ids = np.concatenate(parts)
-    keys = np.zeros(len(ids) - order + 1, np.int64)
-    for j in range(order):
-        keys = keys << BITS | ids[j : len(keys) + j]
-    ends = np.cumsum([len(p) for p in parts])
-    keep = np.ones(len(keys), bool)  # not those that reach into the next text
-    for end in ends[:-1]:
-        keep[end - order + 1 : end] = False
-    return keys[keep], np.concatenate(([0], np.cumsum(sizes)))
-
-
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > AT_ONCE:
-            yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def count_grams(texts: DataFrame, chars: np.ndarray, order: int = ORDER) -> DataFrame:
-    """half, key, c: how often each n-gram of the highest order occurs in the texts (text, half) of either half."""
+                    seen[_points(text[i : i + AT_ONCE])] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen), pa.int64())], names=["c"])
+
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "c long").distinct().count()
+
+
+def keys_of(symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """hi and lo of n-grams, given their first symbols, their second ones and so on."""
+    hi, lo = np.zeros(len(symbols[0]), np.int64), np.zeros(len(symbols[0]), np.int64)
+    for s in symbols:
+        hi = hi << WIDTH | lo >> 2 * WIDTH
+        lo = (lo << WIDTH | s) & TRIPLE
+    return hi, lo
+
+
+def names_of(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """64-bit names of n-grams of one length."""
+    return mix(hi.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(lo.view(np.uint64)))
+
+
+def parts_of(text: str, order: int) -> Iterator[np.ndarray]:
+    """The symbols of a text with what stands before and behind it; a long one in parts, each n-gram in one of them."""
+    for i in range(0, len(text) + 1, AT_ONCE):
+        part = _points(text[max(0, i - order + 1) : i + AT_ONCE]).astype(np.int64) + CHARACTERS
+        before = np.full(max(0, order - 1 - i), BEFORE, np.int64)
+        yield np.concatenate([before, part, [BEHIND]] if i + AT_ONCE > len(text) else [before, part])
+
+
+def grams(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """hi and lo of the distinct n-grams of several arrays of symbols; which of them stands at each place; and the arrays' bounds in that."""
+    symbols = np.concatenate(parts)
+    bounds = np.concatenate(([0], np.cumsum([len(x) - order + 1 for x in parts])))
+    starts = np.arange(bounds[-1]) + np.repeat(np.arange(len(parts)) * (order - 1), np.diff(bounds))
+    seen = np.zeros(1 << WIDTH, bool)
+    seen[symbols] = True
+    local = np.cumsum(seen, dtype=np.int32) - 1
+    many, ids = int(local[-1]) + 1, local[symbols].astype(np.int64)
+    codes, size = ids[starts], many
+    for j in range(1, order):
+        if size > (1 << 62) // many:  # ranks of what was met stand in for it
+            names, codes = np.unique(codes, return_inverse=True)
+            size = len(names)
+        codes, size = codes * many + ids[starts + j], size * many
+    names, at = np.unique(codes, return_inverse=True)
+    place = np.empty(len(names), np.int64)
+    place[at] = starts
+    hi, lo = keys_of([symbols[place + j] for j in range(order)])
+    return hi, lo, at, bounds
+
+
+def _by_half(texts: list[str], halves: np.ndarray, order: int, at_once: int = AT_ONCE) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """half, rows, and the symbols of their texts, about so many at a time."""
+    for half in (0, 1):
+        rows, parts, size = [], [], 0
+        for row in np.flatnonzero(halves == half).tolist():
+            for part in parts_of(texts[row], order):
+                if parts and size + len(part) > at_once:
+                    yield half, np.array(rows), parts
+                    rows, parts, size = [], [], 0
+                rows.append(row)
+                parts.append(part)
+                size += len(part)
+        if parts:
+            yield half, np.array(rows), parts
+
+
+def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """half, hi, lo, c: how often each n-gram of the highest order occurs in the texts (text, half) of either half."""
+    names = ["half", "hi", "lo", "c"]
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = _classes(chars)
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        nothing = [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
+        held = [nothing, nothing]
 
-        def sent() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "c"])
+        def sent(half: int) -> pa.RecordBatch:
+            _, hi, lo, c = held[half]
+            held[half] = nothing
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(c), half)), pa.array(hi), pa.array(lo), pa.array(c)], names=names)
 
         for batch in stream:
-            rows, halves = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            for a, b in _groups(rows):
-                grams, bounds = _keys(rows[a:b], classes, order)
-                new, n = np.unique(grams | np.repeat(halves[a:b], np.diff(bounds)) << HALF, return_counts=True)
-                keys, at = np.unique(np.concatenate((keys, new)), return_inverse=True)
-                counts = np.bincount(at, np.concatenate((counts, n))).astype(np.int64)
-                if len(keys) > 1 << 21:
-                    yield sent()
-                    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        yield sent()
-
-    summed = texts.select("text", "half").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    return summed.select(F.shiftright("key", HALF).alias("half"), F.col("key").bitwiseAND(F.lit((1 << HALF) - 1)).alias("key"), "c")
+            for half, _, own in _by_half(batch.column(0).to_pylist(), batch.column(1).to_numpy(), order):
+                hi, lo, at, _ = grams(own, order)
+                old, more = held[half], (names_of(hi, lo), hi, lo, np.bincount(at, minlength=len(hi)))
+                name, hi, lo, c = (np.concatenate(x) for x in zip(old, more, strict=True))
+                name, at = np.unique(name, return_inverse=True)
+                firsts = np.empty(len(name), np.int64)
+                firsts[at] = np.arange(len(at))
+                held[half] = [name, hi[firsts], lo[firsts], np.bincount(at, c).astype(np.int64)]
+                if len(name) > COUNTED:
+                    yield sent(half)
+        yield sent(0)
+        yield sent(1)
+
+    return texts.select("text", "half").mapInArrow(run, "half long, hi long, lo long, c long").groupBy("half", "hi", "lo").agg(F.sum("c").alias("c"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -137,41 +167,58 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [0.0] + [min(float(i), max(0.0, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 for i in (1, 2, 3)]
 
 
+def suffix(n: int) -> list[Column]:
+    """hi and lo of the last n symbols."""
+    hi = F.col("hi").bitwiseAND(F.lit((1 << WIDTH * (n - 3)) - 1)) if n > 3 else F.lit(0).cast("long")
+    lo = F.col("lo") if n >= 3 else F.col("lo").bitwiseAND(F.lit((1 << WIDTH * n) - 1))
+    return [hi.alias("hi"), lo.alias("lo")]
+
+
+def context(hi: Column, lo: Column) -> list[Column]:
+    """hi and lo of all symbols but the last."""
+    return [F.shiftright(hi, WIDTH).alias("hi"), F.shiftright(lo, WIDTH).bitwiseOR(F.shiftleft(hi.bitwiseAND(F.lit(SYMBOL)), 2 * WIDTH)).alias("lo")]
+
+
+KEY = ["hi", "lo"]
+
+
+def _as(df: DataFrame, **names: str) -> DataFrame:
+    """df with its columns renamed: new name = old name."""
+    return df.select(*[F.col(old).alias(new) for new, old in names.items()])
+
+
 def train(counts: DataFrame, vocabulary: int, scratch: Scratch, order: int = ORDER) -> DataFrame:
-    """n, key, p, gamma: each order's n-grams with their probability (null for what is a context only, as before a text's start), and
-    the weight that they leave to the order below as contexts (null for those that are none). n = 0, key = 0 is the empty context.
+    """n, hi, lo, p, gamma: each order's n-grams with their probability (null for what is a context only, as before a text's start), and
+    the weight that they leave to the order below as contexts (null for those that are none). n = 0 is the empty context.
 
-    ``vocabulary`` is the number of characters among which the lowest order spreads what is left.
+    ``vocabulary`` is the number of characters among which the lowest order spreads what is left. Orders up to 6 fit the keys.
     """
     levels = {order: counts}
     for n in range(order - 1, 0, -1):
-        suffix = F.col("key").bitwiseAND(F.lit((1 << BITS * n) - 1))
-        levels[n] = scratch.store(levels[n + 1].select(suffix.alias("key")).groupBy("key").agg(F.count("*").alias("c")), "grams")
+        levels[n] = scratch.store(levels[n + 1].select(*suffix(n)).groupBy(*KEY).agg(F.count("*").alias("c")), "grams")
     below = None
     tables, weights = [], {}
     for n in range(1, order + 1):
         d = _discounts(levels[n])
         discount = F.element_at(F.array(*[F.lit(x) for x in d]), (F.least("c", F.lit(3)) + 1).cast("int"))
-        rows = levels[n].select("key", "c", F.shiftright("key", BITS).alias("context"), discount.alias("d"))
-        context = scratch.store(rows.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma")), "contexts")
-        weights[n - 1] = context
-        rows = rows.join(context, "context").select("key", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "gamma")
+        x, y = context(F.col("hi"), F.col("lo"))
+        rows = levels[n].select(*KEY, "c", x.alias("x"), y.alias("y"), discount.alias("d"))
+        contexts = scratch.store(rows.groupBy("x", "y").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma")), "contexts")
+        weights[n - 1] = _as(contexts, hi="x", lo="y", gamma="gamma")
+        rows = rows.join(contexts, ["x", "y"]).select(*KEY, ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "gamma")
         if below is None:
-            p = rows.select("key", (F.col("own") + F.col("gamma") / vocabulary).alias("p"))
+            p = rows.select(*KEY, (F.col("own") + F.col("gamma") / vocabulary).alias("p"))
         else:
-            suffix = F.col("key").bitwiseAND(F.lit((1 << BITS * (n - 1)) - 1))
-            p = rows.withColumn("suffix", suffix).join(below.select(F.col("key").alias("suffix"), F.col("p").alias("q")), "suffix").select("key", (F.col("own") + F.col("gamma") * F.col("q")).alias("p"))
+            x, y = suffix(n - 1)
+            p = rows.select("*", x.alias("x"), y.alias("y")).join(_as(below, x="hi", y="lo", q="p"), ["x", "y"]).select(*KEY, (F.col("own") + F.col("gamma") * F.col("q")).alias("p"))
         below = scratch.store(p, "probabilities")
         tables.append((n, below))
-    empty = weights[0].select(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(1 / vocabulary).alias("p"), "gamma")
+    zero = F.lit(0).cast("long")
+    whole = weights[0].select(F.lit(0).alias("n"), zero.alias("hi"), zero.alias("lo"), F.lit(1 / vocabulary).alias("p"), "gamma")
     for n, p in tables:
-        rows = p.withColumn("n", F.lit(n))
-        if n in weights:
-            rows = rows.join(weights[n].select(F.col("context").alias("key"), "gamma"), "key", "full").withColumn("n", F.lit(n))
-        else:
-            rows = rows.withColumn("gamma", F.lit(None).cast("double"))
-        empty = empty.unionByName(rows.select("n", "key", "p", "gamma"))
-    return scratch.store(empty, "model")
+        rows = p.join(weights[n], KEY, "full") if n in weights else p.withColumn("gamma", F.lit(None).cast("double"))
+        whole = whole.unionByName(rows.select(F.lit(n).alias("n"), *KEY, "p", "gamma"))
+    return scratch.store(whole, "model")
 
 
 class Model:
@@ -182,92 +229,146 @@ class Model:
 
     @classmethod
     def of(cls, table: pa.Table, order: int) -> Model:
-        levels = []
-        n = table["n"].to_numpy()
+        levels, n = [], table["n"].to_numpy()
         for k in range(order + 1):
-            part = table.filter(pa.array(n == k)).sort_by("key")
-            levels.append((part["key"].to_numpy(), part["p"].to_pandas().to_numpy(float), part["gamma"].to_pandas().to_numpy(float)))
+            part = table.filter(pa.array(n == k))
+            names = names_of(part["hi"].to_numpy(), part["lo"].to_numpy())
+            at = np.argsort(names)
+            levels.append((names[at], *(np.array(part[c].fill_null(math.nan))[at] for c in ("p", "gamma"))))
         return cls(levels, order)
 
-    def probabilities(self, keys: np.ndarray, n: int | None = None) -> np.ndarray:
+    def probabilities(self, hi: np.ndarray, lo: np.ndarray, n: int | None = None) -> np.ndarray:
         n = self.order if n is None else n
         names, p, _ = self.levels[n]
         if n == 0:
-            return np.full(len(keys), p[0])
-        at = np.searchsorted(names, keys)
+            return np.full(len(lo), p[0])
+        own = names_of(hi, lo)
+        at = np.searchsorted(names, own)
         at[at == len(names)] = 0
-        hit = (names[at] == keys) & ~np.isnan(p[at])
+        hit = (names[at] == own) & ~np.isnan(p[at])
         out = p[at]
         if not hit.all():
-            miss = keys[~hit]
+            hi, lo = hi[~hit], lo[~hit]
             contexts, _, gamma = self.levels[n - 1]
-            at = np.searchsorted(contexts, miss >> BITS)
+            before = names_of(hi >> WIDTH, lo >> WIDTH | (hi & SYMBOL) << 2 * WIDTH)
+            at = np.searchsorted(contexts, before)
             at[at == len(contexts)] = 0
-            weight = np.where((contexts[at] == miss >> BITS) & ~np.isnan(gamma[at]), gamma[at], 1.0)
-            out[~hit] = weight * self.probabilities(miss & (1 << BITS * (n - 1)) - 1, n - 1)
+            weight = np.where((contexts[at] == before) & ~np.isnan(gamma[at]), gamma[at], 1.0)
+            hi, lo = (hi & (1 << WIDTH * (n - 4)) - 1, lo) if n > 4 else (np.zeros_like(hi), lo & (1 << WIDTH * (n - 1)) - 1)
+            out[~hit] = weight * self.probabilities(hi, lo, n - 1)
         return out
 
 
+OWN = ["doc_id", "did", "tk", "lang"]
 SCORES = "doc_id long, did long, tk long, lang string, n long, total double"
 
 
-def score(docs: DataFrame, model: DataFrame, chars: np.ndarray, order: int = ORDER, table_rows: int = TABLE_ROWS) -> DataFrame:
-    """For each document the number of its n-grams, its end included, and the sum of their negative log probabilities.
+def score(docs: DataFrame, model: DataFrame, scratch: Scratch, order: int = ORDER, table_rows: int = TABLE_ROWS, common: int = COMMON) -> DataFrame:
+    """Stored: for each document the number of its n-grams, its end included, and the sum of their negative log probabilities.
 
     model: tables as ``train`` gives them, with ``half``, that of the documents to which a table applies.
     """
     rows = _keyed(docs)
     if model.count() > table_rows:
-        return _score_sharded(rows, model, chars, order)
-    context = docs.sparkSession.sparkContext
+        return _score_sharded(rows, model, scratch, order, common)
     table = model.toArrow()
-    arrays = context.broadcast([Model.of(table.filter(pa.array(table["half"].to_numpy() == h)), order).levels for h in (0, 1)])
+    arrays = docs.sparkSession.sparkContext.broadcast([Model.of(table.filter(pa.array(table["half"].to_numpy() == h)), order).levels for h in (0, 1)])
+    del table
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, models = _classes(chars), [Model(x, order) for x in arrays.value]
+        models = [Model(x, order) for x in arrays.value]
         for batch in stream:
-            texts, halves, n, total = batch.column("text").to_pylist(), batch.column("half").to_numpy(), [], []
-            for a, b in _groups(texts):
-                keys, bounds = _keys(texts[a:b], classes, order)
-                distinct, at = np.unique(keys | np.repeat(halves[a:b], np.diff(bounds)) << HALF, return_inverse=True)
-                cut = int(np.searchsorted(distinct, 1 << HALF))
-                p = np.concatenate((models[0].probabilities(distinct[:cut]), models[1].probabilities(distinct[cut:] & (1 << HALF) - 1)))
-                surprise = -np.log(p)[at]
-                n += np.diff(bounds).tolist()
-                total += np.add.reduceat(surprise, bounds[:-1]).tolist()
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "did", "tk", "lang")), pa.array(n, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "did", "tk", "lang", "n", "total"])
-
-    return rows.mapInArrow(run, SCORES)
+            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            for half, at, own in _by_half(batch.column("text").to_pylist(), batch.column("half").to_numpy(), order):
+                hi, lo, places, bounds = grams(own, order)
+                np.add.at(n, at, np.diff(bounds))
+                np.add.at(total, at, np.add.reduceat(-np.log(models[half].probabilities(hi, lo))[places], bounds[:-1]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in OWN), pa.array(n), pa.array(total)], names=[*OWN, "n", "total"])
+
+    out = scratch.store(rows.mapInArrow(run, SCORES), "scores")
+    arrays.destroy()
+    return out
 
 
-def _score_sharded(rows: DataFrame, model: DataFrame, chars: np.ndarray, order: int) -> DataFrame:
-    """The same by joins: documents' distinct n-grams with the table of each order, and with the weights of their contexts."""
+def _most_frequent(counts: DataFrame, rows: int) -> DataFrame:
+    """At most so many of the rows with the greatest ``c``: all from a count on, found by a histogram of some hundred steps."""
+    step = F.floor(F.log2("c") * 8)
+    at, have = None, 0
+    for r in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        have += r["count"]
+        if have > rows:
+            break
+        at = r["step"]
+    return counts.where(step >= at) if at is not None else counts.where("false")
 
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = _classes(chars)
-        for batch in stream:
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                keys, n = np.unique(_keys([text], classes, order)[0], return_counts=True)
-                own = batch.slice(i, 1)
-                yield pa.RecordBatch.from_arrays([*(pa.repeat(own.column(c)[0], len(keys)) for c in ("doc_id", "did", "tk", "lang", "half")), pa.array(keys), pa.array(n), pa.array(np.arange(len(keys)) == 0)], names=["doc_id", "did", "tk", "lang", "half", "key", "c", "first"])
 
-    grams = rows.mapInArrow(run, "doc_id long, did long, tk long, lang string, half long, key long, c long, first boolean")
-    distinct = grams.select("half", "key").distinct()
+def _score_sharded(rows: DataFrame, model: DataFrame, scratch: Scratch, order: int, common: int) -> DataFrame:
+    """The same by joins: the corpus' distinct n-grams with the table of each order, and with the weights of their contexts."""
+    distinct = scratch.store(count_grams(rows, order), "corpus")
+    joined = distinct
     for n in range(order, 0, -1):
-        part = F.col("key").bitwiseAND(F.lit((1 << BITS * n) - 1))
-        own = model.where(F.col("n") == n).select("half", F.col("key").alias("k"), F.col("p").alias(f"p{n}"))
-        context = model.where(F.col("n") == n - 1).select("half", F.col("key").alias("k"), F.col("gamma").alias(f"g{n}"))
-        distinct = distinct.withColumn("k", part).join(own, ["half", "k"], "left").withColumn("k", F.shiftright(part, BITS)).join(context, ["half", "k"], "left").drop("k")
+        x, y = suffix(n)
+        own = _as(model.where(F.col("n") == n), half="half", x="hi", y="lo", **{f"p{n}": "p"})
+        before = _as(model.where(F.col("n") == n - 1), half="half", x="hi", y="lo", **{f"g{n}": "gamma"})
+        joined = joined.withColumns({"x": x, "y": y}).join(own, ["half", "x", "y"], "left")
+        x, y = context(*suffix(n))
+        joined = joined.withColumns({"x": x, "y": y}).join(before, ["half", "x", "y"], "left").drop("x", "y")
     p: Column = F.lit(model.where("n = 0").first()["p"])
     for n in range(1, order + 1):
         p = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"g{n}"), F.lit(1.0)) * p)
-    summed = grams.join(distinct.select("half", "key", (-F.log(p)).alias("surprise")), ["half", "key"]).groupBy("doc_id", "did", "tk", "lang").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("surprise")).alias("total"), F.count_if("first").alias("copies"))
-    # equal rows have been summed up: each gets its part
-    part = summed.select("doc_id", "did", "tk", "lang", (F.col("n") / F.col("copies")).cast("long").alias("n"), (F.col("total") / F.col("copies")).alias("total"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    return part.drop("copy")
+    surprise = scratch.store(joined.select("half", *KEY, "c", (-F.log(p)).alias("s")), "surprise")
+    known = _most_frequent(surprise, common).toArrow()
+    tables = []
+    for half in (0, 1):
+        part = known.filter(pa.array(known["half"].to_numpy() == half))
+        names = names_of(part["hi"].to_numpy(), part["lo"].to_numpy())
+        at = np.argsort(names)
+        tables.append((names[at], part["s"].to_numpy()[at]))
+    often = rows.sparkSession.sparkContext.broadcast(tables)
+    names = [*OWN, "half", "n", "total", "hi", "lo", "c"]
 
-
-def decide(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, margin: float = MARGIN, prior: float = PRIOR, table_rows: int = TABLE_ROWS) -> DataFrame:
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row a document with what the common n-grams add up to, and a row for each of its other n-grams."""
+        for batch in stream:
+            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            dids, tks = batch.column("did").to_numpy(), batch.column("tk").to_numpy()
+            rest, size = [], 0
+            for half, at, own in _by_half(batch.column("text").to_pylist(), batch.column("half").to_numpy(), order, 1):
+                row = at[0]
+                hi, lo, places, _ = grams(own, order)
+                c, mine = np.bincount(places, minlength=len(hi)), names_of(hi, lo)
+                found, s = often.value[half]
+                i = np.searchsorted(found, mine)
+                i[i == len(found)] = 0
+                hit = found[i] == mine if len(found) else np.zeros(len(mine), bool)
+                n[row] += len(places)
+                total[row] += float((c[hit] * s[i[hit]]).sum())
+                miss = np.flatnonzero(~hit)
+                rest.append([np.full(len(miss), x) for x in (dids[row], tks[row], half)] + [hi[miss], lo[miss], c[miss]])
+                size += len(miss)
+                if size > 100_000:
+                    yield others(rest)
+                    rest, size = [], 0
+            if size:
+                yield others(rest)
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in OWN), batch.column("half"), pa.array(n), pa.array(total), none, none, none], names=names)
+
+    def others(rest: list[list[np.ndarray]]) -> pa.RecordBatch:
+        did, tk, half, hi, lo, c = (pa.array(np.concatenate(x), pa.int64()) for x in zip(*rest, strict=True))
+        none = pa.nulls(len(did), pa.int64())
+        return pa.RecordBatch.from_arrays([none, did, tk, pa.nulls(len(did), pa.string()), half, none, pa.nulls(len(did), pa.float64()), hi, lo, c], names=names)
+
+    told = scratch.store(rows.mapInArrow(run, "doc_id long, did long, tk long, lang string, half long, n long, total double, hi long, lo long, c long"), "told")
+    often.destroy()
+    docs, rare = told.where("n is not null").select(*OWN, "n", "total"), told.where("n is null").select("did", "tk", "half", *KEY, "c")
+    more = rare.join(surprise.select("half", *KEY, "s"), ["half", *KEY]).groupBy("did", "tk").agg(F.sum(F.col("c") * F.col("s")).alias("rare"))
+    # rows that are equal have been summed up together: each gets its part
+    more = more.join(docs.groupBy("did", "tk").count(), ["did", "tk"]).select("did", "tk", (F.col("rare") / F.col("count")).alias("rare"))
+    return scratch.store(docs.join(more, ["did", "tk"], "left").select(*OWN, "n", (F.col("total") + F.coalesce("rare", F.lit(0.0))).alias("total")), "scores")
+
+
+def decide(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, margin: float = MARGIN, prior: float = PRIOR, table_rows: int = TABLE_ROWS, common: int = COMMON) -> DataFrame:
     """doc_id, did, tk, lang, n_grams, perplexity, threshold, keep for each row of docs.
 
     Trusted documents are those with quality 1 and no other quality in ``labels`` (doc_id, quality; nulls there are ignored). A null or
@@ -278,30 +379,30 @@ def decide(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
     scratch = Scratch(docs.sparkSession, "perplexity")
     named = labels.select(F.col("doc_id").cast("long").alias("did"), F.col("quality").cast("int").alias("quality")).where("did is not null and quality is not null")
     trusted = scratch.store(named.groupBy("did").agg(F.min("quality").alias("low"), F.max("quality").alias("high")).where("low = 1 and high = 1").select("did"), "trusted")
-    chars = alphabet(docs)
+    vocabulary = characters(docs) + 2
     texts = _keyed(docs).where("text <> ''").select("did", "text", "half").join(small_side(trusted), "did")
-    counts = scratch.store(count_grams(texts, chars, order), "counts")
+    counts = scratch.store(count_grams(texts, order), "counts")
     halves = sorted(r["half"] for r in counts.select("half").distinct().collect())
     if not halves:
         nothing = [F.lit(None).cast("double").alias(c) for c in ("perplexity", "threshold")]
         return _keyed(docs).select("doc_id", "did", "tk", "lang", F.length("text").cast("long").alias("n_grams"), *nothing, F.lit(True).alias("keep"))
-    models = {h: train(counts.where(F.col("half") == h).select("key", "c"), len(chars) + 2, scratch, order) for h in halves}
+    models = {h: train(counts.where(F.col("half") == h).select(*KEY, "c"), vocabulary, scratch, order) for h in halves}
     # trained on one half, used for the other; with trusted documents in one half only, its model serves both
     model = models[halves[-1]].withColumn("half", F.lit(0)).unionByName(models[halves[0]].withColumn("half", F.lit(1)))
-    scores = scratch.store(score(docs, model, chars, order, table_rows), "scores")
+    scores = score(docs, model, scratch, order, table_rows, common)
     mean = F.col("total") / F.col("n")
     known = scores.where("n > 1").join(trusted, "did").select(F.col("lang").alias("l"), mean.alias("mean"), "n")
     middle = known.groupBy("l").agg(F.percentile_approx("mean", 0.5, 10_000).alias("median"), F.count("*").alias("trusted")).where((F.col("trusted") >= ENOUGH) & F.col("l").isNotNull())
-    middle = scratch.store(middle.orderBy(F.desc("trusted"), "l").limit(LANGUAGES), "languages")
+    middle = scratch.store(middle, "languages")
     overall = known.agg(F.percentile_approx("mean", 0.5, 10_000)).first()[0] or 0.0
-    drawn = known.join(F.broadcast(middle), "l", "left").withColumn("median", F.coalesce("median", F.lit(overall)))
+    drawn = known.join(small_side(middle), "l", "left").withColumn("median", F.coalesce("median", F.lit(overall)))
     drawn = drawn.select("l", "median", ((F.col("mean") * F.col("n") + F.col("median") * prior) / (F.col("n") + prior)).alias("drawn"))
     high = F.percentile_approx("drawn", quantile, 10_000)
     per = drawn.groupBy("l", "median").agg(high.alias("q")).select("l", "median", (F.col("q") + margin * (F.col("q") - F.col("median"))).alias("bar"))
-    bars = scratch.store(per.join(F.broadcast(middle.select("l")), "l", "left_semi"), "bars")
+    bars = scratch.store(per.join(middle.select("l"), "l", "left_semi"), "bars")
     q = drawn.agg(high).first()[0]
     rest = (q if q is not None else math.inf) + margin * ((q - overall) if q is not None else 0.0)
-    rows = scores.join(F.broadcast(bars), F.col("lang") == F.col("l"), "left").withColumn("median", F.coalesce("median", F.lit(overall))).withColumn("bar", F.coalesce("bar", F.lit(rest)))
+    rows = scores.join(small_side(bars), F.col("lang") == F.col("l"), "left").withColumn("median", F.coalesce("median", F.lit(overall))).withColumn("bar", F.coalesce("bar", F.lit(rest)))
     pulled = (F.col("total") + F.col("median") * prior) / (F.col("n") + prior)
     empty = F.col("n") <= 1
     return rows.select("doc_id", "did", "tk", "lang", (F.col("n") - 1).alias("n_grams"), F.when(~empty, F.exp(pulled)).alias("perplexity"), F.exp("bar").alias("threshold"), (empty | (pulled <= F.col("bar"))).alias("keep"))
@@ -311,4 +412,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that ``decide`` rejects."""
     spark = docs.sparkSession
     out = Scratch(spark, "rejected").store(decide(docs, labels).where("not keep").select(F.col("did").alias("_did"), F.col("tk").alias("_tk")).distinct(), "rejected")
-    return docs.withColumns({"_did": did(), "_tk": F.xxhash64("text")}).join(small_side(out), ["_did", "_tk"], "left_anti").select(*docs.columns)
+    x, y = free(docs, "did", "tk")
+    gone = out.select(F.col("_did").alias(x), F.col("_tk").alias(y))
+    return docs.withColumns({x: did(), y: F.xxhash64("text")}).join(small_side(out, gone), [x, y], "left_anti").select(*docs.columns)
