@@ -25,18 +25,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
 from .hashing import batches, mix, run_hashes, words_of
-from .scratch import BROADCAST_ROWS, Scratch, arrow_rows, partitions
-from .substring_index import UNNAMED, did, keyed
+from .scratch import BROADCAST_ROWS, Scratch, arrow_rows, free, partitions, small_side
+from .substring_index import did, keyed
 
 FREQUENT = 200_000
 COUNTED = 1 << 21
 OFTEN = pa.list_(pa.struct([("g", pa.int64()), ("c", pa.int64())]))
 MATCHES = (1, 2, 4, 8)
+#: Rows of one list that a task holds, and members of a list that are compared with each other in one task.
+LONGEST, TILE = 1 << 20, 20_000
 #: Guests that one copy of a host's set is compared with.
 HOSTED = 64
 
@@ -124,9 +127,8 @@ def prefix(members: np.ndarray, grams: np.ndarray, counts: np.ndarray, percent:
     return members[order][: n - least + best], best
 
 
-def _prefixes(docs: DataFrame, n: int, percent: int, frequent: pa.Table) -> DataFrame:
-    order = np.argsort(frequent["g"].to_numpy().view(np.uint64))
-    table = docs.sparkSession.sparkContext.broadcast((frequent["g"].to_numpy().view(np.uint64)[order], frequent["c"].to_numpy()[order]))
+def _prefixes(docs: DataFrame, n: int, percent: int, table: Broadcast) -> DataFrame:
+    """table: frequent n-grams, sorted, and their counts."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = table.value
@@ -165,81 +167,140 @@ def _bounded(lists: DataFrame, percent: int) -> DataFrame:
     return rows.where((F.col("upto") + F.col("n") - 1 - F.col("place")) * 100 >= F.col("n") * percent).drop("df", "upto")
 
 
-def _gathered(stream: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
-    parts = [[c.to_numpy() for c in b.columns] for b in stream if b.num_rows]
-    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else []
+def _in_parts(stream: Iterator[pa.RecordBatch], keys: int, limit: int | None = None) -> Iterator[list[np.ndarray]]:
+    """The columns of sorted rows, many rows at a time; rows that agree in the first ``keys`` columns stay together.
+
+    With a limit, so many of those rows go on without the rest.
+    """
+    at_once = 1 << 18
+    waiting: list[list[np.ndarray]] = []
+    size = 0
+    for batch in stream:
+        if not batch.num_rows:
+            continue
+        waiting.append([c.to_numpy() for c in batch.columns])
+        size += batch.num_rows
+        if size >= at_once:
+            columns = [np.concatenate(x) for x in zip(*waiting, strict=True)]
+            last = np.ones(size, bool)
+            for c in columns[:keys]:
+                last &= c == c[-1]
+            end = size - int(last.sum())
+            if not end and limit and size >= limit:
+                end = size
+            if end:
+                yield [c[:end] for c in columns]
+            waiting, size = [[c[end:] for c in columns]], size - end
+    if size:
+        yield [np.concatenate(x) for x in zip(*waiting, strict=True)]
 
 
 def _shared(prefixes: DataFrame) -> DataFrame:
-    """Rows of n-grams that stand in several classes' prefixes, with their number of classes."""
+    """Rows of n-grams that stand in several classes' prefixes, with their number of classes.
+
+    Lists stream through in order; of one that is longer than LONGEST, each part has the number so far.
+    """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not (columns := _gathered(stream)):
-            return
-        gram, name, meta = columns
-        order = np.lexsort((name, gram))
-        gram, name, meta = gram[order], name[order], meta[order]
-        new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (name[1:] != name[:-1])))
-        gram, name, meta = gram[new], name[new], meta[new]
-        head = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
-        size = np.diff(np.append(head, len(gram)))
-        df = np.repeat(size, size)
-        keep = df > 1
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (gram, name, meta, df)], names=["gram", "name", "meta", "df"])
-
-    return prefixes.repartition(partitions(prefixes.sparkSession), "gram").mapInArrow(run, "gram long, name long, meta long, df long")
-
-
-def _pairs(lists: DataFrame, percent: int, leaders: bool) -> DataFrame:
-    """Pairs of classes in one list that may be similar by size, with the n-grams they share there and the matches asked for.
-
-    lists: gram, name, n, place, asked, own. With ``leaders``, each with the one of greatest ``own``; else all with different ``own``.
+        open_gram, open_name, before = None, None, 0  # of the list that may go on, and the classes of it that have been sent
+        for batch in _in_parts(stream, 1, LONGEST):
+            gram, name, meta = batch
+            new = np.concatenate(([gram[0] != open_gram or name[0] != open_name], (gram[1:] != gram[:-1]) | (name[1:] != name[:-1])))
+            gram, name, meta = gram[new], name[new], meta[new]
+            if not len(gram):
+                continue
+            head = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+            size = np.diff(np.append(head, len(gram)))
+            if gram[0] == open_gram:
+                size[0] += before
+            df = np.repeat(size, np.diff(np.append(head, len(gram))))
+            before = int(size[-1])
+            open_gram, open_name = gram[-1], name[-1]
+            keep = df > 1
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (gram, name, meta, df)], names=["gram", "name", "meta", "df"])
+
+    ordered = prefixes.repartition(partitions(prefixes.sparkSession), "gram").sortWithinPartitions("gram", "name")
+    return ordered.mapInArrow(run, "gram long, name long, meta long, df long")
+
+
+LIST = ("gram", "name", "n", "place", "asked", "own")
+
+
+def _able(size: np.ndarray, behind: np.ndarray, asked: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the n-gram can be one of the first shared ones, as many as the pair is asked for, of a similar pair.
+
+    What holds for a shared n-gram holds for those before it, so the shared ones met are the first of all shared ones.
+    """
+    return (np.minimum(asked[a], asked[b]) + np.minimum(behind[a], behind[b])) * (100 + percent) >= percent * (size[a] + size[b])
+
+
+def _summed(pairs: DataFrame) -> DataFrame:
+    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("asked").alias("asked"), F.min("rest").alias("rest"), F.min("least").alias("least"))
+    return pairs.where("shared + rest >= least").select("a", "b", "shared", "asked")
+
+
+PAIR = "a long, b long, shared long, asked long, rest long, least long"
+
+
+def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Each class (a) with the most connected one (b) of each of its lists, where they may be similar by size.
+
+    lists: gram, name, n, place, asked, own. The most connected one comes first in its list, so a list of any length streams by.
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not (columns := _gathered(stream)):
-            return
-        gram, name, size, place, asked, own = columns
-        order = np.lexsort((name, own, gram) if leaders else (name, size, gram))
-        gram, name, size, place, asked, own = (x[order] for x in (gram, name, size, place, asked, own))
-        behind = size - 1 - place
-
-        def able(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            """Whether the n-gram can be one of the first shared ones, as many as the pair is asked for, of a similar pair.
-
-            What holds for a shared n-gram holds for those before it, so the shared ones met are the first of all shared ones.
-            """
-            return (np.minimum(asked[a], asked[b]) + np.minimum(behind[a], behind[b])) * (100 + percent) >= percent * (size[a] + size[b])
-
-        head = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
-        tail = np.append(head[1:], len(gram))
-        if leaders:
-            a, b = np.arange(len(gram)), np.repeat(tail - 1, tail - head)
+        leader = None
+        for columns in _in_parts(stream, 0):
+            if leader is not None:
+                columns = [np.concatenate((x, c)) for x, c in zip(leader, columns, strict=True)]
+            gram, name, size, place, asked, _ = columns
+            head = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+            b = np.repeat(head, np.diff(np.append(head, len(gram))))
+            a, behind = np.arange(len(gram)), size - 1 - place
+            leader = [c[head[-1] : head[-1] + 1] for c in columns]
             a, b = a[a != b], b[a != b]
-            a, b = a[able(a, b)], b[able(a, b)]
-            yield from _counted(a, b, name, size, behind, asked, percent, False)
-            return
-        # row d places behind in the same list, for each d; sizes ascend, so lists soon have no partner of fitting size
-        end = np.repeat(tail, tail - head)
-        a, d, got, many = np.arange(len(gram)), 1, [], 0
-        while len(a):
-            a = a[a + d < end[a]]
-            a = a[100 * size[a] >= percent * size[a + d]]
-            some = a[own[a] != own[a + d]]
-            some = some[able(some, some + d)]
-            if len(some):
-                got.append((some, some + d))
-                many += len(some)
-            if many > 250_000:
+            fits = _able(size, behind, asked, a, b, percent)
+            yield from _counted(a[fits], b[fits], name, size, behind, asked, percent, False)
+
+    ordered = lists.select(*LIST).repartition(partitions(lists.sparkSession), "gram").sortWithinPartitions("gram", F.desc("own"), F.desc("name"))
+    return _summed(ordered.mapInArrow(run, PAIR))
+
+
+def _all_pairs(lists: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs of classes of one list with different ``own`` that may be similar by size, with the n-grams they share and the matches asked for.
+
+    A list of more than TILE members is dealt to a task for each pair of its tiles.
+    """
+    long = scratch.store(lists.groupBy("gram").count().where(F.col("count") > TILE).select("gram", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "long")
+    rows = lists.select(*LIST).join(small_side(long), "gram", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("name"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.select("gram", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), *LIST[1:], "tile")
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, low, high, name, size, place, asked, own, tile in _in_parts(stream, 3):
+            behind, across = size - 1 - place, low != high
+            head = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]))))
+            tail = np.append(head[1:], len(gram))
+            # row d places behind in the same list, for each d; sizes ascend, so lists soon have no partner of fitting size
+            end = np.repeat(tail, tail - head)
+            a, d, got, many = np.arange(len(gram)), 1, [], 0
+            while len(a):
+                a = a[a + d < end[a]]
+                a = a[100 * size[a] >= percent * size[a + d]]
+                some = a[(own[a] != own[a + d]) & (~across[a] | (tile[a] != tile[a + d]))]
+                some = some[_able(size, behind, asked, some, some + d, percent)]
+                if len(some):
+                    got.append((some, some + d))
+                    many += len(some)
+                if many > 250_000:
+                    yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, size, behind, asked, percent, True)
+                    got, many = [], 0
+                d += 1
+            if got:
                 yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, size, behind, asked, percent, True)
-                got, many = [], 0
-            d += 1
-        if got:
-            yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, size, behind, asked, percent, True)
 
-    pairs = lists.select("gram", "name", "n", "place", "asked", "own").repartition(partitions(lists.sparkSession), "gram").mapInArrow(run, "a long, b long, shared long, asked long, rest long, least long")
-    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("asked").alias("asked"), F.min("rest").alias("rest"), F.min("least").alias("least"))
-    return pairs.where("shared + rest >= least").select("a", "b", "shared", "asked")
+    ordered = rows.repartition(partitions(lists.sparkSession), "gram", "low", "high").sortWithinPartitions("gram", "low", "high", "n", "name")
+    return _summed(ordered.mapInArrow(run, PAIR))
 
 
 def _counted(a: np.ndarray, b: np.ndarray, name: np.ndarray, size: np.ndarray, behind: np.ndarray, asked: np.ndarray, percent: int, ordered: bool) -> Iterator[pa.RecordBatch]:
@@ -327,8 +388,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     component of such rows alone has a null component_id; rows that repeat a doc_id are one document. Other columns are ignored; an empty
     table gives no rows. n-grams are compared by 64-bit hashes.
     """
-    found = _components(docs, words, percent)
-    return found.select("doc_id", "n_shingles", F.when(F.col("component") < UNNAMED, F.col("component")).alias("component_id"))
+    return _components(docs, words, percent).select("doc_id", "n_shingles", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id"))
 
 
 def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -342,14 +402,17 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     often = facts.where("did is null").select(F.explode("often").alias("o")).groupBy("o.g").agg(F.sum("o.c").alias("c"))
     facts = facts.where("did is not null").drop("often")
     frequent = often.orderBy(F.desc("c"), "g").limit(FREQUENT).toArrow()
-    reps = facts.where("n > 0").groupBy("name").agg(F.min(F.struct("did", "tk")).alias("r")).select("name", F.col("r.did").alias("cid"), F.col("r.tk").alias("tk"))
+    reps = facts.where("n > 0").groupBy("name").agg(F.min(F.struct("did", "tk")).alias("r"), F.min("doc_id").alias("low")).select("name", F.col("r.did").alias("cid"), F.col("r.tk").alias("tk"), "low")
     reps = scratch.store(reps, "classes")
 
-    lists = scratch.store(_shared(_prefixes(docs, words, percent, frequent)), "lists")
+    order = np.argsort(frequent["g"].to_numpy().view(np.uint64))
+    table = docs.sparkSession.sparkContext.broadcast((frequent["g"].to_numpy().view(np.uint64)[order], frequent["c"].to_numpy()[order]))
+    lists = scratch.store(_shared(_prefixes(docs, words, percent, table)), "lists")
+    table.destroy()
     bounded = scratch.store(_bounded(lists, percent), "bounded")
     scratch.drop(lists)
 
-    stars = _pairs(bounded, percent, True)
+    stars = _star_pairs(bounded, percent)
     best = scratch.store(stars.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "best")
     links = scratch.store(_verified(best, reps, docs, scratch, words, percent), "links")
     first = scratch.store(connected_components(links, scratch), "components")
@@ -357,22 +420,26 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     label = bounded.select("name").distinct().join(reps.select("name", "cid"), "name")
     label = label.join(first.select(F.col("node").alias("cid"), F.col("component").alias("own")), "cid", "left").select("name", "cid", F.coalesce("own", "cid").alias("own"))
     label = scratch.store(label, "labels")
-    rest = scratch.store(_pairs(bounded.drop("own").join(label.select("name", "own"), "name"), percent, False).where("shared >= asked"), "rest")
+    rest = scratch.store(_all_pairs(bounded.drop("own").join(label.select("name", "own"), "name"), percent, scratch).where("shared >= asked"), "rest")
     more = _verified(rest, reps, docs, scratch, words, percent)
     own = label.select("cid", "own").distinct()
     more = more.join(own.select(F.col("cid").alias("a"), F.col("own").alias("x")), "a").join(own.select(F.col("cid").alias("b"), F.col("own").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     merged = scratch.store(connected_components(scratch.store(more.distinct(), "more"), scratch), "merged")
     final = label.join(merged.select(F.col("node").alias("own"), F.col("component").alias("whole")), "own", "left").select("name", F.coalesce("whole", "own").alias("component"))
-    final = scratch.store(reps.join(final, "name", "left").select("name", F.coalesce("component", "cid").alias("component")), "final")
+    final = scratch.store(reps.join(final, "name", "left").select("name", "low", F.coalesce("component", "cid").alias("component")), "final")
+    # a component's least doc_id, of rows that have one; few components span several classes, most rows are reduced before the shuffle
+    least = final.groupBy("component").agg(F.min("low").alias("low"))
+    final = scratch.store(final.drop("low").join(least, "component"), "least")
     scratch.drop(bounded)
-    out = facts.select("doc_id", "did", "name", F.col("n").alias("n_shingles")).join(final, "name", "left")
-    return out.select("doc_id", "did", "n_shingles", F.coalesce("component", "did").alias("component"))
+    return facts.select("doc_id", "did", "name", F.col("n").alias("n_shingles")).join(final, "name", "left")
 
 
 def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs without all but one document of each component: the one of the smallest doc_id stays.
+    """docs without all but one document of each component: the one of the smallest doc_id stays, of rows without any doc_id one.
 
     Documents without words stay, and so do all rows that repeat the doc_id that stays.
     """
-    extra = _components(docs, words, percent).where("component <> did").select(F.col("did").alias("_did")).distinct()
-    return docs.withColumn("_did", did()).join(extra, "_did", "left_anti").select(*docs.columns)
+    stays = F.coalesce("low", "component")
+    extra = _components(docs, words, percent).where(F.col("name").isNotNull() & (F.col("did") != stays)).select("did").distinct()
+    key = free(docs, "did")[0]
+    return docs.withColumn(key, did()).join(extra.withColumnRenamed("did", key), key, "left_anti").select(*docs.columns)
