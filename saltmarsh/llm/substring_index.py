@@ -2,7 +2,7 @@
 
 A window is WINDOW consecutive words. Each window is represented by the smallest hash among its runs of GRAM words (its
 minimiser), so two equal windows always share their fingerprint, although only about one run in twenty is kept. Fingerprints go
-into immutable runs, bucketed and sorted by fingerprint; a batch of new documents is written as a run of its own,
+into immutable runs, bucketed and sorted by fingerprint, in a folder that later jobs open again; a batch of new documents is written as a run of its own,
 merge-joined with itself and with every older run without a further shuffle, and runs are compacted into one when they are many.
 Matched fingerprints only nominate: the windows behind them are then compared by a hash of all their words beside the
 fingerprint (128 bits together), and words are removed where the same window starts in a document with a smaller identifier.
@@ -15,17 +15,18 @@ the distinct windows of that fingerprint in memory.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .hashing import batches, run_hashes, words_of
-from .scratch import Scratch, partitions
+from .scratch import Scratch, delete, exists, partitions, write_text
 
 GRAM = 12
 LAST = (1 << 63) - 1
@@ -89,20 +90,39 @@ def facts(docs: DataFrame, window: int, gram: int = GRAM) -> DataFrame:
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of (fp, did)."""
+    """Sorted immutable runs of (fp, did) in a folder, with a manifest: an index that is there already is opened.
 
-    def __init__(self, scratch: Scratch, fan_in: int = 4):
-        self.scratch, self.spark, self.fan_in = scratch, scratch.spark, fan_in
-        self.buckets = partitions(self.spark)
-        self.runs: list[tuple[str, str]] = []
+    A run is a table bucketed and sorted by fingerprint, so a merge-join of runs shuffles nothing. The manifest names the live runs; it is written
+    after a run is complete and before a compacted one is deleted, so a job that is lost leaves the index as it was.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, fan_in: int = 4):
+        self.spark, self.root, self.fan_in = spark, root, fan_in
+        self.buckets, self.runs, self.texts, self.last = partitions(spark), [], [], None
+        if exists(spark, f"{root}/manifest"):
+            known = json.loads(spark.read.text(f"{root}/manifest", wholetext=True).first()[0])
+            self.buckets, self.texts, self.last = known["buckets"], known["texts"], known["last"]
+            self.runs = [(self._registered(path), path) for path in known["runs"]]
+
+    def _registered(self, path: str) -> str:
+        name = f"run_{uuid.uuid4().hex}"
+        self.spark.sql(f"CREATE TABLE {name} (fp BIGINT, did BIGINT) USING parquet OPTIONS (path '{path}') CLUSTERED BY (fp) SORTED BY (fp) INTO {self.buckets} BUCKETS")
+        return name
+
+    def _note(self) -> None:
+        write_text(self.spark, f"{self.root}/manifest", json.dumps({"buckets": self.buckets, "runs": [path for _, path in self.runs], "texts": self.texts, "last": self.last}))
 
     def _write(self, rows: DataFrame) -> tuple[str, str]:
-        name, path = f"run_{uuid.uuid4().hex}", self.scratch.path("run")
+        name = f"run_{uuid.uuid4().hex}"
+        path = f"{self.root}/{name}"
         rows.select("fp", "did").repartition(self.buckets, "fp").write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", path).saveAsTable(name)
         return name, path
 
-    def add(self, rows: DataFrame) -> DataFrame:
-        """Append a batch as a run; returns the fingerprints that one of its documents shares with another document."""
+    def add(self, rows: DataFrame, texts: str | None = None, last: int | None = None) -> DataFrame:
+        """Append a batch as a run; returns, stored, the fingerprints that one of its documents shares with another document.
+
+        ``texts`` names the folder of the batch's texts and ``last`` its greatest did, for batches to come.
+        """
         run = self._write(rows)
         new = self.spark.table(run[0])
         own = new.groupBy("fp").agg(F.min("did").alias("lo"), F.max("did").alias("hi"))
@@ -110,8 +130,11 @@ class FingerprintIndex:
         for name, _ in self.runs:
             old = self.spark.table(name).groupBy("fp").agg(F.min("did").alias("lo"), F.max("did").alias("hi"))
             found = found.unionByName(own.alias("n").join(old.alias("o"), "fp").where("n.lo <> o.lo or n.hi <> o.hi or n.lo <> n.hi").select("fp"))
-        found = self.scratch.store(found.distinct(), "found")
+        found = Scratch(self.spark, "found").store(found.distinct(), "found")
         self.runs.append(run)
+        self.texts += [texts] if texts else []
+        self.last = last
+        self._note()
         if len(self.runs) > self.fan_in:
             self.compact()
         return found
@@ -126,19 +149,21 @@ class FingerprintIndex:
         """Merge all runs into one."""
         if len(self.runs) > 1:
             old, self.runs = self.runs, [self._write(self.rows())]
-            self._forget(old)
-
-    def _forget(self, runs: list[tuple[str, str]]) -> None:
-        from .scratch import delete
-
-        for name, path in runs:
-            self.spark.sql(f"DROP TABLE {name}")
-            delete(self.spark, path)
+            self._note()
+            for name, path in old:
+                self.spark.sql(f"DROP TABLE {name}")
+                delete(self.spark, path)
 
     def close(self) -> None:
-        self._forget(self.runs)
+        """Forget the tables; the files stay."""
+        for name, _ in self.runs:
+            self.spark.sql(f"DROP TABLE {name}")
         self.runs = []
 
+    def delete(self) -> None:
+        self.close()
+        delete(self.spark, self.root)
+
 
 WINDOWS = "fp long, did long, tk long, at long, hashes binary"
 
@@ -247,13 +272,14 @@ class Repeats:
         self.docs, self.window = docs, window
         self.scratch = scratch = Scratch(spark, "substrings")
         known = scratch.store(facts(docs, window, gram), "facts")
-        first = known.groupBy("sha").agg(F.min("did").alias("first"))
-        self.facts = scratch.store(known.join(first, "sha").select("doc_id", "did", "tk", "n_words", "sha", ((F.col("did") > F.col("first")) & (F.col("n_words") >= window)).alias("copy")), "copies")
+        # stored, so that the join's two sides are plain shuffles, of which adaptive execution splits a hot one (as that of empty texts)
+        first = scratch.store(known.where(F.col("n_words") >= window).groupBy("sha").agg(F.min("did").alias("first"), F.max("did").alias("last")).where("first < last").drop("last"), "first")
+        self.facts = scratch.store(known.join(first, "sha", "left").select("doc_id", "did", "tk", "n_words", "sha", F.coalesce(F.col("did") > F.col("first"), F.lit(False)).alias("copy")), "copies")
         copies = self.facts.where("copy").select("did", "tk").distinct()
         live = scratch.store(known.where(F.size("fps") > 0).select("did", "tk", "fps").join(copies, ["did", "tk"], "left_anti").select("did", F.explode("fps").alias("fp")), "fingerprints")
         scratch.drop(known)
         cuts = live.agg(F.percentile_approx("did", [i / batch_count for i in range(1, batch_count)], 1000)).first()[0] or [] if batch_count > 1 else []
-        index, found, low = FingerprintIndex(scratch), None, None
+        index, found, low = FingerprintIndex(spark, scratch.path("index")), None, None
         for high in [*cuts, None]:
             part = live if low is None else live.where(F.col("did") > int(low))
             part = part if high is None else part.where(F.col("did") <= int(high))
@@ -265,13 +291,45 @@ class Repeats:
         named = index.rows().join(found.distinct(), "fp").groupBy("did").agg(F.collect_set("fp").alias("fps"))
         texts = keyed(docs).select("did", "tk", "text").join(named.hint("shuffle_hash"), "did").join(copies, ["did", "tk"], "left_anti")
         self.texts = scratch.store(texts, "texts")
-        index.close()
+        index.delete()
         windows = scratch.store(_windows(self.texts, window, gram), "windows")
         spans = _settle(windows.where("fp is not null"), window).unionByName(_decided(windows.where("fp is null"), window))
         self.spans = scratch.store(spans.distinct().groupBy("did", "tk").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
         scratch.drop(windows)
 
 
+def deduplicate(docs: DataFrame, root: str, window: int = 50, gram: int = GRAM, fan_in: int = 4) -> DataFrame:
+    """Add a batch to the index in ``root`` (made, if there is none) and report on the batch: doc_id, n_words, n_removed, kept_sha256.
+
+    A word goes if a window over it also starts in a document of an earlier batch or with a smaller doc_id, as if all batches were one
+    table. Batches come in order of doc_id, and every row has one: others are refused. The index keeps its runs of fingerprints and the texts
+    with windows, from which the windows behind shared fingerprints are read again and compared. Other cases are those of ``Repeats``.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "batch")
+    known = scratch.store(facts(docs, window, gram), "facts")
+    low, high, nameless = known.agg(F.min("did"), F.max("did"), F.count_if(F.col("doc_id").isNull())).first()
+    index = FingerprintIndex(spark, root, fan_in)
+    if nameless or low is not None and index.last is not None and low <= index.last:
+        raise ValueError("batches must come in order of doc_id, without null ones")
+    before = index.last
+    if low is None:
+        index.close()
+        return known.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"))
+    live = known.where(F.size("fps") > 0)
+    path = f"{root}/texts-{uuid.uuid4().hex}"
+    keyed(docs).select("did", "tk", "text").join(live.select("did", "tk").distinct().hint("shuffle_hash"), ["did", "tk"], "left_semi").write.parquet(path)
+    found = index.add(scratch.store(live.select("did", F.explode("fps").alias("fp")), "fingerprints"), path, high)
+    named = index.rows().join(found, "fp").groupBy("did").agg(F.collect_set("fp").alias("fps"))
+    texts = scratch.store(spark.read.parquet(*index.texts).join(named.hint("shuffle_hash"), "did"), "texts")
+    index.close()
+    windows = scratch.store(_windows(texts, window, gram), "windows")
+    spans = _settle(windows.where("fp is not null"), window).unionByName(_decided(windows.where("fp is null"), window))
+    spans = spans if before is None else spans.where(F.col("did") > before)
+    spans = scratch.store(spans.distinct().groupBy("did", "tk").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
+    return _reported(known.withColumn("copy", F.lit(False)), texts, spans)
+
+
 CLEANED = "n_words long, n_removed long, kept string"
 
 
@@ -297,14 +355,18 @@ def _without(rows: DataFrame, keys: list[str], keep_untouched: bool) -> DataFram
     return rows.select(*keys, "text", "spans").mapInArrow(run, schema)
 
 
-def report(docs: DataFrame, window: int = 50, batch_count: int = 2) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 for each row of docs (see Repeats for the cases)."""
-    r = Repeats(docs, window, batch_count)
-    cut = _without(r.texts.join(r.spans, ["did", "tk"]), ["did", "tk"], False)
+def _reported(rows: DataFrame, texts: DataFrame, spans: DataFrame) -> DataFrame:
+    cut = _without(texts.join(spans, ["did", "tk"]), ["did", "tk"], False)
     cut = cut.select("did", "tk", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("new_sha")).dropDuplicates(["did", "tk"])
     gone = F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
     sha = F.when(F.col("copy"), F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("new_sha", "sha"))
-    return r.facts.join(cut, ["did", "tk"], "left").select("doc_id", "n_words", gone.cast("long").alias("n_removed"), sha.alias("kept_sha256"))
+    return rows.join(cut, ["did", "tk"], "left").select("doc_id", "n_words", gone.cast("long").alias("n_removed"), sha.alias("kept_sha256"))
+
+
+def report(docs: DataFrame, window: int = 50, batch_count: int = 2) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 for each row of docs (see Repeats for the cases)."""
+    r = Repeats(docs, window, batch_count)
+    return _reported(r.facts, r.texts, r.spans)
 
 
 def clean(docs: DataFrame, window: int = 50, batch_count: int = 2) -> DataFrame:
@@ -315,9 +377,9 @@ def clean(docs: DataFrame, window: int = 50, batch_count: int = 2) -> DataFrame:
     r = Repeats(docs, window, batch_count)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(LAST).alias("stop")))
     spans = r.spans.unionByName(r.facts.where("copy").select("did", "tk").distinct().withColumn("spans", whole))
-    names = docs.columns
-    key = [did().alias("_did"), F.xxhash64("text").alias("_tk")]
-    rows = docs.select("*", *key).join(spans.select(F.col("did").alias("_did"), F.col("tk").alias("_tk"), F.col("spans").alias("_spans")).hint("shuffle_hash"), ["_did", "_tk"], "left")
-    rest = [n for n in names if n != "text"]
-    cut = _without(rows.where("_spans is not null").select(*rest, "text", F.col("_spans").alias("spans")), rest, True)
-    return rows.where("_spans is null").select(*names).unionByName(cut.where("kept <> '' or n_words = 0").select(*[F.col("kept").alias("text") if n == "text" else F.col(n) for n in names]))
+    # a row's other columns travel as one, whatever their names are
+    row = F.struct(*[F.col(f"`{n}`") for n in docs.columns if n != "text"]).alias("row")
+    rows = docs.select(row, "text", did().alias("did"), F.xxhash64("text").alias("tk")).join(spans.hint("shuffle_hash"), ["did", "tk"], "left")
+    cut = _without(rows.where("spans is not null").select("row", "text", "spans"), ["row"], True).where("kept <> '' or n_words = 0")
+    both = rows.where("spans is null").select("row", "text").unionByName(cut.select("row", F.col("kept").alias("text")))
+    return both.select(*[F.col("text") if n == "text" else F.col("row")[n].alias(n) for n in docs.columns])
