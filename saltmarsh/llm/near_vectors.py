@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ TILE = 512
 CONFIDENCE = 5.0
 
 
+@cache
 def rotation(d: int, seed: int) -> np.ndarray:
     """A random orthogonal matrix, the same in every task."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, d)))
@@ -37,7 +39,7 @@ def rotation(d: int, seed: int) -> np.ndarray:
 
 def plan_bands(rows: int, cosine: float, miss: float) -> tuple[int, int]:
     """Bits in a band and number of bands, so that a pair at the threshold is missed with a probability of at most ``miss``."""
-    bits = min(30, max(6, math.ceil(math.log2(max(rows, 2))) + 2))
+    bits = max(6, math.ceil(math.log2(max(rows, 2))) + 2)
     agree = 1 - math.acos(cosine) / math.pi
     return bits, max(1, math.ceil(math.log(miss) / math.log1p(-(agree**bits))))
 
@@ -47,7 +49,7 @@ def band_keys(unit: np.ndarray, bits: int, bands: int, seed: int) -> np.ndarray:
     d = unit.shape[1]
     spins = [rotation(d, seed + 1 + i) for i in range(math.ceil(bits * bands / d))]
     signs = np.concatenate([unit @ r.T > 0 for r in spins], 1)[:, : bits * bands].reshape(len(unit), bands, bits)
-    return (signs @ (1 << np.arange(bits, dtype=np.int64))).astype(np.int32)
+    return signs @ (1 << np.arange(bits, dtype=np.int64))
 
 
 def codes(unit: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,10 +117,10 @@ def near_components(vectors: DataFrame, cosine: float = 0.93, miss: float = 1e-3
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
                 keys = band_keys(unit, bits, bands, seed)
                 offsets = pa.array(np.arange(0, len(part) * bands + 1, bands, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("label", "d", "k", "node", "copies", "v")), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["label", "d", "k", "node", "copies", "v", "keys"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("label", "d", "k", "node", "copies", "v")), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int32() if bits < 32 else pa.int64()))], names=["label", "d", "k", "node", "copies", "v", "keys"])
 
     label, v = (distinct.schema[c].dataType.simpleString() for c in ("label", "v"))
-    keyed = scratch.store(distinct.select("label", "d", "k", "node", "copies", "v").mapInArrow(banded, f"label {label}, d int, k long, node long, copies long, v {v}, keys array<int>"), "keyed")
+    keyed = scratch.store(distinct.select("label", "d", "k", "node", "copies", "v").mapInArrow(banded, f"label {label}, d int, k long, node long, copies long, v {v}, keys array<{'int' if bits < 32 else 'long'}>"), "keyed")
     members = keyed.select("label", "d", "k", F.posexplode("keys").alias("band", "key"))
     sizes = members.groupBy("label", "d", "band", "key").count().where("count > 1")
     tiles = F.ceil(F.col("count") / TILE).cast("int")
