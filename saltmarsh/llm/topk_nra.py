@@ -1,12 +1,17 @@
 """Exact top-k inner products by aggregation of sorted lists without random access.
 
-Queries meet candidates in tiles of at most about TILE candidates and QUERIES queries, so a task's memory doesn't grow with the table.
-In a tile every dimension is a list of the candidates sorted by value. A query reads a list from its high end where its own
-component is positive, from its low end where negative. After each stretch every candidate has a lower bound (what was read of
-it, and the list's last value for the rest) and an upper bound (the list's current value for the rest). A query stops reading
-once only few candidates, among them all that can still reach the k-th best lower bound, are left: outsiders, read
-nowhere yet, can't qualify by then. The scores of those left are then resolved exactly, ties going to the smaller identifier.
-All queries of a tile advance together, so bounds are products of matrices.
+Queries meet candidates in tiles of about TILE candidates and QUERIES queries, so a task's memory doesn't grow with the table.
+In a tile every dimension is a list of the candidates sorted by value. A query reads all lists in step, a block at a time, from the
+high end where its own component is positive and from the low end where it is negative. A candidate's lower bound is what was read of
+it and the lists' last values for the rest; its upper bound what was read and the values that the lists have come to. Once
+an outsider, seen in no list, cannot reach the k-th best lower bound, candidates whose upper bound is below it are dropped; reading stops when
+few are left, and their scores are resolved. Ties go to the smaller identifier.
+
+The k-th best score carries over between tiles: each query first searches one tile, and takes the k-th score found there into all others
+as a lower bound from the start.
+
+Scores are sums of whole numbers below 2**53 and so exact. Vectors with larger components are compared in whole numbers of any size
+instead; a score beyond 64 bits is an error.
 """
 
 from __future__ import annotations
@@ -18,81 +23,136 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-TILE, QUERIES = 2048, 1024
-STRETCHES = (0.25, 0.5, 0.75, 1.0)
+TILE, QUERIES = 4096, 8192
+#: A list is read in so many blocks.
+BLOCKS = 24
+#: Components up to which sums of a few thousand products stay below 2**53.
+ORDINARY = float(1 << 20)
+EXACT = float(1 << 53)
 
 
 def integers(vectors: DataFrame, scale: int = 1024) -> DataFrame:
     """vec_id and x = floor(scale * component) of rows with vec_id and a vector of finite components only."""
     doubles = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e")).where("vec_id is not null and size(e) > 0")
     finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return doubles.where(finite).select("vec_id", F.transform("e", lambda x: F.floor(x * scale).cast("double")).alias("x"))
-
-
-def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, score) of each query's k best candidates with another identifier."""
-    n, d = x.shape
-    k = min(k, n)
-    ranks = np.empty((n, d), np.int64)
-    order = np.argsort(x, 0, kind="stable")
-    np.put_along_axis(ranks, order, np.arange(n)[:, None].repeat(d, 1), 0)
-    values = np.take_along_axis(x, order, 0)
-    lists = np.concatenate([x, x], 1)  # the second half is read from the low end
-    weight = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], 1)
-    ends = np.concatenate([values[0], values[-1]])
-    depth_of = np.concatenate([n - 1 - ranks, ranks], 1)
-    todo, out = np.arange(len(q)), []
-    for share in STRETCHES:
-        depth = max(1, min(n, round(share * n)))
-        read = depth_of < depth
-        front = np.concatenate([values[n - depth], values[depth - 1]])
-        w = weight[todo]
-        seen = np.where(read, lists, 0) @ w.T
-        unread = (~read).astype(float)
-        low = seen + unread @ (w * ends).T
-        high = seen + unread @ (w * front).T
-        own = ids[:, None] == qids[todo][None, :]
-        low[own] = high[own] = -np.inf
-        bar = np.partition(low, n - k, 0)[n - k]
-        alive = (high >= bar) & (high > -np.inf)
-        left = alive.sum(0)
-        done = (left <= max(4 * k, n // 32)) | (depth == n)
-        col, row = np.nonzero(alive[:, done].T)
-        col = todo[done][col]
-        score = np.einsum("ij,ij->i", q[col], x[row])
-        best = np.lexsort((ids[row], -score, col))
-        col, row, score = col[best], row[best], score[best]
-        head = np.flatnonzero(np.concatenate(([True], col[1:] != col[:-1]))) if len(col) else np.zeros(0, np.int64)
-        place = np.arange(len(col)) - np.repeat(head, np.diff(np.append(head, len(col))))
-        out.append((col[place < k], row[place < k], score[place < k]))
-        todo = todo[~done]
-        if not len(todo):
-            break
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    # doubles from 2**53 on are whole numbers already
+    return doubles.where(finite).select("vec_id", F.transform("e", lambda x: F.when(F.abs(x * scale) < EXACT, F.floor(x * scale).cast("double")).otherwise(x * scale)).alias("x"))
+
+
+class Lists:
+    """A tile's candidates as sorted lists: lists 0 to d - 1 from the high end, d to 2d - 1 from the low end."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray):
+        n, d = x.shape
+        order = np.argsort(x, 0, kind="stable")
+        values = np.take_along_axis(x, order, 0)
+        place = np.empty((n, d), np.int32)
+        np.put_along_axis(place, order, np.arange(n, dtype=np.int32)[:, None].repeat(d, 1), 0)
+        self.x, self.ids, self.n, self.d = x, ids, n, d
+        self.order = np.concatenate([order[::-1], order], 1)
+        self.values = np.concatenate([values[::-1], values], 1)
+        self.place = np.concatenate([n - 1 - place, place], 1)
+
+    def search(self, q: np.ndarray, own: int, k: int, bar: float) -> tuple[np.ndarray, int]:
+        """Rows that may be among the k best of those with another identifier and a score of at least ``bar``, and how many entries were read."""
+        n, dims = self.n, np.flatnonzero(q)
+        w = q[dims]
+        lists = np.where(w > 0, dims, dims + self.d)
+        least = self.values[n - 1, lists] * w
+        seen, rest, read, at = np.zeros(n), np.full(n, least.sum()), 0, 0
+        alive = np.flatnonzero(self.ids != own)
+        block, few = max(1, -(-n // BLOCKS)), max(4 * k, n // 64)
+        while at < n and len(alive) > few and len(w):
+            rows = self.order[at : at + block, lists]
+            seen += np.bincount(rows.ravel(), (self.values[at : at + block, lists] * w).ravel(), n)
+            rest -= np.bincount(rows.ravel(), np.broadcast_to(least, rows.shape).ravel(), n)
+            read, at = read + rows.size, min(n, at + block)
+            low = seen[alive] + rest[alive]
+            if len(alive) > k:
+                bar = max(bar, float(np.partition(low, len(low) - k)[len(low) - k]))
+            front = self.values[at, lists] * w if at < n else np.zeros(len(w))
+            if front.sum() >= bar:
+                continue  # an outsider might still qualify
+            high = seen[alive] + (self.place[alive][:, lists] >= at) @ front
+            alive = alive[high >= bar]
+        return alive, read
+
+
+def _whole(x: np.ndarray, q: np.ndarray) -> list[int]:
+    """Products in whole numbers of any size."""
+    out = [sum(int(a) * int(b) for a, b in zip(row, q.tolist(), strict=True)) for row in x.tolist()]
+    if any(not -(1 << 63) <= s < 1 << 63 for s in out):
+        raise OverflowError("a score needs more than 64 bits")
+    return out
+
+
+def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, k: int, bars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """query row, candidate row and score of each query's k best candidates with another identifier; and the entries read."""
+    limit = min(ORDINARY, np.sqrt(EXACT / x.shape[1]))
+    plain = np.abs(x).max(1, initial=0) <= limit
+    ordinary, large = np.flatnonzero(plain), np.flatnonzero(~plain)
+    lists = Lists(x[ordinary], ids[ordinary]) if len(ordinary) else None
+    cols, rows, scores, entries = [], [], [], 0
+    for j in range(len(q)):
+        if np.abs(q[j]).max(initial=0) <= limit:
+            found, read = lists.search(q[j], qids[j], k, float(bars[j])) if lists else (ordinary, 0)
+            entries += read
+            row, score = ordinary[found], (x[ordinary[found]] @ q[j]).astype(np.int64)
+            other = large[ids[large] != qids[j]]
+        else:
+            row, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            other = np.flatnonzero(ids != qids[j])
+        if len(other):
+            row, score = np.concatenate([row, other]), np.concatenate([score, np.array(_whole(x[other], q[j]), np.int64)])
+        best = np.lexsort((ids[row], ~score))[:k]  # ~ reverses the order without overflow
+        cols.append(np.full(len(best), j))
+        rows.append(row[best])
+        scores.append(score[best])
+    empty = [np.zeros(0, np.int64)]
+    return np.concatenate(cols or empty), np.concatenate(rows or empty), np.concatenate(scores or empty), entries
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("query_id", "twin").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+FOUND = "query_id long, twin long, vec_id long, score long"
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k best candidates (all, if fewer) with another vec_id.
 
-    Both have vec_id and x, integers held in doubles, as ``integers`` gives them. Scores are exact while they are below 2**53. Vectors of
-    another length than the query's take no part. Rows that repeat a vec_id are rows of their own as candidates; queries that
-    repeat vec_id and vector count once. Empty inputs give no rows.
+    Both have vec_id and x, whole numbers held in doubles, as ``integers`` gives them. Vectors of another length than the query's take
+    no part. Rows that repeat a vec_id are rows of their own as candidates, spread over the tiles like others; queries that
+    repeat vec_id and vector count once. Empty inputs give no rows. A score that doesn't fit 64 bits is an error.
+
+    Every query meets every tile, so the work is the product of both tables; a tile is read as far as the bounds ask for.
     """
     scratch = Scratch(candidates.sparkSession, "topk")
-    cand = scratch.store(candidates.select("vec_id", "x"), "candidates")
-    ask = scratch.store(queries.select("vec_id", "x").distinct(), "queries")
+    cand = scratch.store(candidates.select("vec_id", "x", F.size("x").alias("d"), F.monotonically_increasing_id().alias("row")), "candidates")
+    ask = scratch.store(queries.select("vec_id", "x", F.size("x").alias("d")).distinct(), "queries")
     blocks, asked = max(1, -(-cand.count() // TILE)), max(1, -(-ask.count() // QUERIES))
-    c = cand.select(F.lit(False).alias("query"), "vec_id", F.lit(0).cast("long").alias("twin"), "x", F.size("x").alias("d"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asked - 1).cast("long"))).alias("q"))
-    q = ask.select(F.lit(True).alias("query"), "vec_id", F.xxhash64("x").alias("twin"), "x", F.size("x").alias("d"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("b"), F.pmod(F.xxhash64("vec_id"), F.lit(asked)).alias("q"))
+    c = cand.select(F.lit(False).alias("query"), "vec_id", F.lit(0).cast("long").alias("twin"), "x", "d", F.lit(None).cast("long").alias("bar"), F.lit(-1).cast("long").alias("home"), F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("b"))
+    twin = F.xxhash64("x")
+    q = ask.select(F.lit(True).alias("query"), "vec_id", twin.alias("twin"), "x", "d", F.pmod(F.xxhash64("vec_id", twin), F.lit(blocks)).alias("home"), F.pmod(F.xxhash64("vec_id"), F.lit(asked)).alias("q"))
 
     def tile(table: pa.Table) -> pa.Table:
         is_query = table["query"].to_numpy()
         x = table["x"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-        ids = table["vec_id"].to_numpy()
-        empty = np.zeros(0, np.int64)
-        col, row, score = search(x[~is_query], ids[~is_query], x[is_query], ids[is_query], k) if is_query.any() and not is_query.all() else (empty, empty, empty)
-        return pa.table({"query_id": ids[is_query][col], "twin": table["twin"].to_numpy()[is_query][col], "vec_id": ids[~is_query][row], "score": score.astype(np.int64)})
+        ids, bars = table["vec_id"].to_numpy(), np.array(table["bar"].cast(pa.float64()).fill_null(-np.inf))
+        col = row = score = np.zeros(0, np.int64)
+        if is_query.any() and not is_query.all():
+            col, row, score, _ = search(x[~is_query], ids[~is_query], x[is_query], ids[is_query], k, bars[is_query])
+        return pa.table({"query_id": ids[is_query][col], "twin": table["twin"].to_numpy()[is_query][col], "vec_id": ids[~is_query][row], "score": score})
 
-    found = c.unionByName(q).groupBy("d", "b", "q").applyInArrow(tile, "query_id long, twin long, vec_id long, score long")
-    best = Window.partitionBy("query_id", "twin").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    names = ["query", "vec_id", "twin", "x", "d", "bar", "b"]
+    none = F.lit(None).cast("long").alias("bar")
+    first = c.select(*names).unionByName(q.withColumn("bar", none).withColumn("b", F.col("home")).select(*names)).groupBy("d", "b").applyInArrow(tile, FOUND)
+    first = scratch.store(_best(first, k).drop("rank"), "first")
+    bars = first.groupBy("query_id", "twin").agg(F.min("score").alias("bar"), F.count("*").alias("n")).where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "twin", "bar")
+    # every query meets the tiles other than its first
+    spread = q.join(bars, ["vec_id", "twin"], "left").withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).where("b <> home")
+    dealt = c.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asked - 1).cast("long"))))
+    rest = dealt.select(*names, "q").unionByName(spread.select(*names, "q")).groupBy("d", "b", "q").applyInArrow(tile, FOUND)
+    return _best(first.unionByName(rest), k).select("query_id", "rank", "vec_id", "score")
