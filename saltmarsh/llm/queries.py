@@ -27,7 +27,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
 
-    return warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
+    records = warc.serialised(warc.derive(warc.responses(_table(spark, sf_dir, "pages"))))
+    return records.select("*", F.md5("record").alias("record_md5")).drop("record")
 
 
 def op3_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:

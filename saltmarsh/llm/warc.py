@@ -1,24 +1,40 @@
 """Derivatives of WARC responses: linked metadata records and plain-text conversion records.
 
-All DataFrame expressions over one response's columns: no shuffle. A derived record has an identifier made from its type and the
-response's identifier, so a repeated run gives the same ones; it names the response in WARC-Refers-To and repeats its target,
-date and payload digest. Digests are labelled, ``sha256:`` and hexadecimal.
+All DataFrame expressions over one response's columns: no shuffle. Response records come from WARC files, split at their record
+headers by Spark's text source, or are made of fetched pages; either way a response's HTTP message is parsed for its status, headers and
+payload. A derived record has an identifier made from its type and the response's identifier, so a repeated run gives the same ones; it
+names the response in WARC-Refers-To and repeats its target, date and payload digest. Digests are labelled, ``sha256:`` and hexadecimal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Named character references that become characters; numeric ones of ASCII characters follow below.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+#: Named character references that become characters; numeric ones do by their numbers.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 DROPPED = ("script", "style", "noscript", "svg", "nav")
 #: Elements that end a line.
 BREAKS = "br|/p|/h[1-6]|/li|/div|/tr|/title|/article|/section|/ul|/ol|/table|/blockquote|/pre"
 CRLF = "\r\n"
 
 
+def _numbered(text: Column) -> Column:
+    """Numeric character references (decimal and hexadecimal) as characters; what is no character stays."""
+    parts = F.split(text, "&#(?=(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)")
+
+    def character(part: Column) -> Column:
+        name = F.substring_index(part, ";", 1)
+        number = F.when(F.lower(F.substring(name, 1, 1)) == "x", F.conv(F.substring(name, 2, 6), 16, 10)).otherwise(name).cast("long")
+        valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(valid, F.concat(sign, F.substring(part, F.length(name) + 2, F.length(part)))).otherwise(F.concat(F.lit("&#"), part))
+
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(character(p))), "")
+
+
 def _unescaped(text: Column) -> Column:
+    text = F.when(F.contains(text, F.lit("&#")), _numbered(text)).otherwise(text)
     for name, sign in ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(sign))
     return text
@@ -50,22 +66,72 @@ def digest(text: Column | str) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(F.encode(text, "UTF-8"), 256))
 
 
-def responses(pages: DataFrame, date: str = "2026-01-01T00:00:00Z") -> DataFrame:
-    """Response records of fetched pages: source_id, record_id, target_uri, warc_date, http_headers, payload, payload_digest."""
+def messages(pages: DataFrame) -> DataFrame:
+    """Fetched pages (page_id, url, html) as response records: source_id, record_id, target_uri, warc_date, message (the HTTP response whole).
+
+    The date follows from the page's number, a second each, as the pages have none; a null number is that of the first day.
+    """
     url, html = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
-    head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(html).cast("string"), F.lit(CRLF))
-    return pages.select(F.col("page_id").alias("source_id"), record_id(F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), url).alias("record_id"), url.alias("target_uri"), F.lit(date).alias("warc_date"), head.alias("http_headers"), html.alias("payload"), digest(html).alias("payload_digest"))
+    head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(html).cast("string"), F.lit(CRLF * 2))
+    second = F.timestamp_seconds(F.lit(DAY) + F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(YEAR)))
+    date = F.concat(F.replace(F.substring(second.cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("Z"))
+    return pages.select(F.col("page_id").alias("source_id"), record_id(F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), url).alias("record_id"), url.alias("target_uri"), date.alias("warc_date"), F.concat(head, html).alias("message"))
+
+
+#: 2026-01-01, and the seconds of a year.
+DAY, YEAR = 1767225600, 31_536_000
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """Response records of uncompressed WARC files: source_id (the target's URI), record_id, target_uri, warc_date, message.
+
+    Spark splits files at the version line. Records of other types are left out, and so is a record cut short or one whose payload
+    has a version line of its own: its block hasn't the length that its header states.
+    """
+    raw = spark.read.option("lineSep", f"WARC/1.1{CRLF}").text(path).where("value <> ''")
+    head, at = F.substring_index("value", CRLF * 2, 1), F.instr("value", CRLF * 2)
+    block = F.expr(f"substring(value, instr(value, '{CRLF * 2}') + 4)")
+
+    def header(name: str) -> Column:
+        return F.trim(F.regexp_extract("head", rf"(?mi)^{name}:([^\r\n]*)", 1))
+
+    rows = raw.where(at > 0).select(head.alias("head"), F.regexp_replace(block, f"{CRLF}{CRLF}$", "").alias("message"))
+    good = rows.where((F.lower(header("WARC-Type")) == "response") & (F.octet_length("message") == header("Content-Length").try_cast("long")))
+    return good.select(header("WARC-Target-URI").alias("source_id"), header("WARC-Record-ID").alias("record_id"), header("WARC-Target-URI").alias("target_uri"), header("WARC-Date").alias("warc_date"), "message")
+
+
+def parsed(records: DataFrame) -> DataFrame:
+    """Response records with http_status (null where the status line is none), http_headers, payload and payload_digest instead of message.
+
+    The headers end at the first empty line; a message without one is a payload without headers.
+    """
+    message = F.coalesce("message", F.lit(""))
+    rest = [c for c in records.columns if c != "message"]
+    # cut at the first empty line, which a string function finds faster than a pattern
+    rows = records.select(*rest, message.alias("message"), F.instr(message, CRLF * 2).alias("at"))
+    headed = (F.col("at") > 0) & F.col("message").startswith("HTTP/")
+    head = F.when(headed, F.substring("message", F.lit(1), F.col("at") + 1)).otherwise("")
+    payload = F.when(headed, F.substring("message", F.col("at") + 4, F.length("message"))).otherwise(F.col("message"))
+    rows = rows.select(*rest, head.alias("http_headers"), payload.alias("payload"))
+    return rows.select(*rest, F.regexp_extract("http_headers", r"^HTTP/[0-9.]+ ([0-9]{3})", 1).try_cast("int").alias("http_status"), "http_headers", "payload", digest("payload").alias("payload_digest"))
+
+
+def responses(pages: DataFrame) -> DataFrame:
+    """Parsed response records of fetched pages."""
+    return parsed(messages(pages))
 
 
 def derive(records: DataFrame) -> DataFrame:
     """A metadata and a conversion record for each response.
 
-    source_id, warc_type, record_id, refers_to, target_uri, warc_date, source_headers, payload_digest (the response's), content_type,
+    source_id, warc_type, record_id, refers_to, target_uri, warc_date, http_status, source_headers, payload_digest (the response's), content_type,
     block, block_digest, content_length. A null or empty payload gives an empty conversion block and metadata with an
     empty title; repeated responses give repeated records; an empty table gives none; other columns are ignored.
     """
     text, html = plain_text(F.coalesce("payload", F.lit(""))), F.coalesce("payload", F.lit(""))
-    rows = records.withColumns({"_text": text, "_title": title(html), "_lang": F.regexp_extract(html, '(?si)<html[^>]* lang="([^"]*)"', 1), "_links": F.regexp_count(html, F.lit('(?i)<a [^>]*href="')), "_scripts": F.regexp_count(html, F.lit("(?i)<script[ >]"))})
+    facts = {"text": text, "title": title(html), "lang": F.regexp_extract(html, '(?si)<html[^>]* lang="([^"]*)"', 1), "links": F.regexp_count(html, F.lit('(?i)<a [^>]*href="')), "scripts": F.regexp_count(html, F.lit("(?i)<script[ >]"))}
+    own = ("source_id", "record_id", "target_uri", "warc_date", "http_status", "http_headers", "payload_digest")
+    rows = records.select(*own, *[c.alias(f"_{n}") for n, c in facts.items()])
     fields = (("title", "_title"), ("languages", "_lang"), ("outlinks", "_links"), ("scripts", "_scripts"), ("text-digest", digest("_text")))
     meta = F.concat(*[F.concat(F.lit(f"{name}: "), (F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(CRLF)) for name, c in fields])
 
@@ -80,6 +146,7 @@ def derive(records: DataFrame) -> DataFrame:
         F.col("record_id").alias("refers_to"),
         "target_uri",
         "warc_date",
+        "http_status",
         F.col("http_headers").alias("source_headers"),
         "payload_digest",
         "content_type",
@@ -115,6 +182,7 @@ def derive_sql() -> str:
     """The query's result in DuckDB."""
 
     def unescaped(x: str) -> str:
+        x = f"array_to_string(list_transform(regexp_split_to_array({x}, '&#'), lambda p, i: CASE WHEN i > 1 AND regexp_matches(p, '^(x|X)?[0-9a-fA-F]+;') THEN chr(CASE WHEN p[1] IN ('x', 'X') THEN ('0x' || regexp_extract(p, '^.([0-9a-fA-F]+);', 1))::INTEGER ELSE regexp_extract(p, '^([0-9]+);', 1)::INTEGER END) || regexp_replace(p, '^[^;]*;', '') WHEN i > 1 THEN '&#' || p ELSE p END), '')"
         for name, sign in ENTITIES:
             x = f"replace({x}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
         return x
@@ -131,6 +199,7 @@ def derive_sql() -> str:
         return f"'<urn:uuid:' || regexp_replace(md5({x}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') || '>'"
 
     crlf = "chr(13) || chr(10)"
+    headers = " || ".join(f"'{name}: ' || {value} || {crlf}" for name, value in (("WARC-Type", "warc_type"), ("WARC-Record-ID", "record_id"), ("WARC-Refers-To", "refers_to"), ("WARC-Target-URI", "target_uri"), ("WARC-Date", "warc_date"), ("WARC-Payload-Digest", "payload_digest"), ("WARC-Block-Digest", "block_digest"), ("Content-Type", "content_type"), ("Content-Length", "content_length")))
     return f"""
 WITH p AS (SELECT page_id AS source_id, coalesce(url, '') AS u, coalesce(html, '') AS h FROM pages),
 r AS (SELECT *, {uuid("'response' || chr(10) || coalesce(source_id::VARCHAR, '') || chr(10) || u")} AS refers_to, {text} AS t,
@@ -138,8 +207,9 @@ r AS (SELECT *, {uuid("'response' || chr(10) || coalesce(source_id::VARCHAR, '')
              len(regexp_extract_all(h, '(?i)<a [^>]*href="')) AS links, len(regexp_extract_all(h, '(?i)<script[ >]')) AS scripts FROM p),
 b AS (SELECT r.*, 'metadata' AS warc_type, 'application/warc-fields' AS content_type,
              'title: ' || title || {crlf} || 'languages: ' || lang || {crlf} || 'outlinks: ' || links || {crlf} || 'scripts: ' || scripts || {crlf} || 'text-digest: sha256:' || sha256(t) || {crlf} AS block FROM r
-      UNION ALL SELECT r.*, 'conversion', 'text/plain; charset=utf-8', t FROM r)
-SELECT source_id, warc_type, {uuid("warc_type || chr(10) || refers_to")} AS record_id, refers_to, u AS target_uri, '2026-01-01T00:00:00Z' AS warc_date,
+      UNION ALL SELECT r.*, 'conversion', 'text/plain; charset=utf-8', t FROM r),
+o AS (SELECT source_id, warc_type, {uuid("warc_type || chr(10) || refers_to")} AS record_id, refers_to, u AS target_uri, strftime(make_timestamp(({DAY} + coalesce(source_id, 0) % {YEAR}) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS warc_date, 200 AS http_status,
        'HTTP/1.1 200 OK' || {crlf} || 'Content-Type: text/html; charset=utf-8' || {crlf} || 'Content-Length: ' || strlen(h) || {crlf} AS source_headers,
        'sha256:' || sha256(h) AS payload_digest, content_type, block, 'sha256:' || sha256(block) AS block_digest, strlen(block)::BIGINT AS content_length
-FROM b"""
+FROM b)
+SELECT *, md5('WARC/1.1' || {crlf} || {headers} || {crlf} || block || {crlf} || {crlf}) AS record_md5 FROM o"""
