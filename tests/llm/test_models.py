@@ -62,19 +62,52 @@ def test_estimates_are_unbiased_and_bounded():
     assert abs(np.mean(errors)) < 0.005
 
 
-def test_top_k(spark):
-    data = vectors()
-    x = {i: np.floor(np.array(e, float) * 1024) for i, e, *_ in data if usable(e) and abs(e[0]) < 1e6}
-    df = topk_nra.integers(spark.createDataFrame([d for d in data if d[0] != 25], VECTORS), 1024)
+def best_of(x: dict[int, list[int]], queries, k: int) -> set:
     want = set()
-    for q in (i for i in x if i % 20 == 0):
-        best = sorted(((-int(x[q] @ x[c]), c) for c in x if c != q))[:7]
-        want |= {(q, k, c, -s) for k, (s, c) in enumerate(best, 1)}
-    got = topk_nra.top_k(df, df.where("vec_id % 20 = 0"), k=7).collect()
+    for q in queries:
+        best = sorted((-sum(a * b for a, b in zip(x[q], x[c], strict=True)), c) for c in x if c != q)[:k]
+        want |= {(q, r, c, -s) for r, (s, c) in enumerate(best, 1)}
+    return want
+
+
+def test_top_k(spark, monkeypatch):
+    monkeypatch.setattr(topk_nra, "TILE", 90)  # several tiles, and queries in several blocks
+    monkeypatch.setattr(topk_nra, "QUERIES", 12)
+    data = vectors()
+    data[25] = (25, [float(np.float32(2.0**20))] + [0.5] * 31, 1, 0, "")  # a score beyond 2**53 with itself
+    data[40] = (40, [float(np.float32(2.0**20))] + [-0.5] * 31, 1, 0, "")
+    x = {i: [math.floor(float(np.float32(c)) * 1024) for c in e] for i, e, *_ in data if usable(e)}
+    df = topk_nra.integers(spark.createDataFrame(data, VECTORS), 1024)
+    got = topk_nra.top_k(df, df.where("vec_id % 20 = 0 or vec_id = 25"), k=7).collect()
+    want = best_of(x, [q for q in x if q % 20 == 0 or q == 25], 7)
     assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert max(r["score"] for r in got) > 1 << 53
     few = df.where("vec_id < 3")
     assert topk_nra.top_k(few, few.where("vec_id = 0"), 10).count() == 2
     assert topk_nra.top_k(df.limit(0), df.limit(0), 10).count() == 0
+    repeated = df.where("vec_id = 1").unionByName(df.where("vec_id = 1")).unionByName(df.where("vec_id = 2"))
+    assert [r["vec_id"] for r in topk_nra.top_k(repeated, df.where("vec_id = 2"), 10).orderBy("rank").collect()] == [1, 1]
+
+
+def test_scores_that_do_not_fit_are_an_error(spark):
+    df = topk_nra.integers(spark.createDataFrame([(1, [1e12, 1.0]), (2, [1e12, 2.0])], "vec_id long, embedding array<double>"), 1024)
+    with pytest.raises(Exception, match="64 bits"):
+        topk_nra.top_k(df, df, 1).collect()
+
+
+def test_lists_are_read_in_part_only():
+    r = np.random.default_rng(3)
+    centres = r.standard_normal((40, 64))
+    x = np.floor((centres[np.arange(4000) % 40] + 0.2 * r.standard_normal((4000, 64))) * 1024)
+    ids = np.arange(4000)
+    q = x[::100]
+    _, first, score, entries = topk_nra.search(x, ids, q, ids[::100], 10, np.full(40, -np.inf))
+    whole = x @ q.T
+    whole[ids[::100], np.arange(40)] = -np.inf
+    assert (np.sort(score.reshape(40, 10), 1)[:, ::-1] == np.sort(whole, 0)[::-1][:10].T).all() and len(first) == 400
+    assert entries < 0.6 * 40 * x.size
+    # a bar from elsewhere saves more
+    assert topk_nra.search(x, ids, q, ids[::100], 10, score.reshape(40, 10)[:, -1])[3] <= entries
 
 
 def test_components(spark):
@@ -125,13 +158,74 @@ def test_probabilities_add_up_to_one(judged):
     docs, _ = judged
     spark = docs.sparkSession
     texts = docs.where("doc_id < 60").select("text", F.lit(0).cast("long").alias("half"))
-    chars = kneser_ney.alphabet(texts)
-    counts = kneser_ney.count_grams(texts, chars, 3).select("key", "c")
-    model = kneser_ney.Model.of(kneser_ney.train(counts, len(chars) + 2, Scratch(spark, "test"), 3).toArrow(), 3)
-    vocabulary = np.array([kneser_ney.BEHIND, kneser_ney.RARE, *range(3, 3 + len(chars))])
-    for context in ((0, 0), (3, 4), (5, 5), (2, 2)):
-        keys = (context[0] << 24 | context[1] << 12) | vocabulary
-        assert math.isclose(model.probabilities(keys).sum(), 1, rel_tol=1e-9)
+    known = kneser_ney.characters(texts)
+    counts = kneser_ney.count_grams(texts, 3).select("hi", "lo", "c")
+    model = kneser_ney.Model.of(kneser_ney.train(counts, known + 2, Scratch(spark, "test"), 3).toArrow(), 3)
+    seen = {ord(c) + kneser_ney.CHARACTERS for r in texts.collect() for c in r["text"]}
+    # one symbol that no text has stands for all unseen ones
+    vocabulary = np.array([kneser_ney.BEHIND, 0x4E00, *sorted(seen)])
+    for context in ((0, 0), (ord("k") + 2, ord("a") + 2), (5, 5), (2, 2)):
+        keys = kneser_ney.keys_of([np.full(len(vocabulary), context[0]), np.full(len(vocabulary), context[1]), vocabulary])
+        assert math.isclose(model.probabilities(*keys).sum(), 1, rel_tol=1e-9)
+
+
+def plain_model(texts: list[str], order: int, vocabulary: int):
+    """Interpolated modified Kneser-Ney by its definition, over strings."""
+    grams = {n: {} for n in range(1, order + 1)}
+    for t in texts:
+        s = "\0" * (order - 1) + t + "\1"
+        for i in range(order - 1, len(s)):
+            g = s[i - order + 1 : i + 1]
+            grams[order][g] = grams[order].get(g, 0) + 1
+    for n in range(order - 1, 0, -1):
+        for g in grams[n + 1]:
+            grams[n][g[1:]] = grams[n].get(g[1:], 0) + 1
+
+    def discount(n, c):
+        k = [sum(x == i for x in grams[n].values()) for i in (1, 2, 3, 4)]
+        if not k[0] or not k[1]:
+            return 0.5
+        y, c = k[0] / (k[0] + 2 * k[1]), min(c, 3)
+        return min(float(c), max(0.0, c - (c + 1) * y * k[c] / k[c - 1])) if k[c - 1] else 0.5
+
+    def p(g):
+        n = len(g)
+        if not n:
+            return 1 / vocabulary
+        with_context = {x: c for x, c in grams[n].items() if x[:-1] == g[:-1]}
+        total = sum(with_context.values())
+        if not total:
+            return p(g[1:])
+        left = sum(discount(n, c) for c in with_context.values()) / total
+        c = grams[n].get(g, 0)
+        return ((c - discount(n, c)) / total if c else 0.0) + left * p(g[1:])
+
+    return p
+
+
+def test_scores_follow_the_definition(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "AT_ONCE", 7)  # texts in parts
+    r = random.Random(3)
+    odd = "".join(map(chr, range(0x4E00, 0x4E40)))
+    rows = [(i, spoken(r, 8) if i % 3 else "".join(r.choices(odd, k=20)), "xx", "a", 0, "") for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    half = {x["doc_id"]: x["half"] for x in kneser_ney._keyed(docs).collect()}
+    vocabulary = len({c for x in rows for c in x[1]}) + 2
+    scratch = Scratch(spark, "test")
+    models = {h: plain_model([x[1] for x in rows if x[0] < 30 and half[x[0]] == h], 5, vocabulary) for h in (0, 1)}
+    texts = kneser_ney._keyed(docs).where("doc_id < 30")
+    counts = kneser_ney.count_grams(texts).collect()
+    assert sum(x["c"] for x in counts) == sum(len(x[1]) + 1 for x in rows if x[0] < 30)
+    model = None
+    for h in (0, 1):
+        part = kneser_ney.train(kneser_ney.count_grams(texts.where(F.col("half") == h)).select("hi", "lo", "c"), vocabulary, scratch).withColumn("half", F.lit(1 - h))
+        model = part if model is None else model.unionByName(part)
+    for table_rows, common in ((10**6, 0), (0, 0), (0, 50), (0, 10**6)):
+        got = {x["doc_id"]: (x["n"], x["total"]) for x in kneser_ney.score(docs, model, scratch, 5, table_rows, common).collect()}
+        for i, text, *_ in rows:
+            s, p = "\0" * 4 + text + "\1", models[1 - half[i]]
+            want = -sum(math.log(p(s[k - 4 : k + 1])) for k in range(4, len(s)))
+            assert got[i][0] == len(text) + 1 and math.isclose(got[i][1], want, rel_tol=1e-9)
 
 
 def test_mixing(spark):
@@ -193,17 +287,42 @@ def test_mixing_rounds_no_weight():
     assert sum(had.values()) == 100_000
 
 
-def test_warc(spark):
-    pages = spark.createDataFrame([(1, "http://a/", "<html lang=\"de\"><title>A &amp; B</title><p>x  y</p><script>no</script><a href=\"u\">z</a>"), (2, None, None), (3, "u", ""), (3, "u", "")], "page_id long, url string, html string").withColumn("block", F.lit("clash"))
-    out = warc.derive(warc.responses(pages))
+PAGES = "page_id long, url string, html string"
+
+
+def test_warc(spark, tmp_path):
+    html = "<html lang=\"de\"><title>A &amp; B</title><p>x&#8217;s &#x1F600; &#xD800; &#0;</p><script>no</script><a href=\"u\">z</a>"
+    rows = [(1, "http://a/", html), (2, None, None), (3, "u", ""), (3, "u", ""), (None, "n", "<p>n</p>"), (5, "long", "<p>word </p>" * 50_000)]
+    pages = spark.createDataFrame(rows, PAGES).withColumns({c: F.lit("clash") for c in ("block", "_text", "record", "payload", "message", "head")})
+    parsed = warc.responses(pages)
+    assert {(r["http_status"], r["http_headers"].count("\r\n")) for r in parsed.collect()} == {(200, 3)}
+    assert sorted(r["payload"] for r in parsed.collect()) == sorted(x[2] or "" for x in rows)
+    out = warc.derive(parsed)
     rows = out.collect()
-    assert len(rows) == 8
+    assert len(rows) == 12
     text = next(r for r in rows if r["source_id"] == 1 and r["warc_type"] == "conversion")
-    assert text["block"] == "A & B\nx y\nz"
-    assert {r["refers_to"] for r in rows} == {r["record_id"] for r in warc.responses(pages).collect()}
+    assert text["block"] == "A & B\nx\u2019s \U0001F600 &#xD800; &#0;\nz"
+    assert {r["refers_to"] for r in rows} == {r["record_id"] for r in parsed.collect()}
+    assert next(r for r in rows if r["source_id"] == 5 and r["warc_type"] == "conversion")["block"].count("word") == 50_000
     raw = warc.serialised(out).where("source_id = 1 and warc_type = 'conversion'").first()["record"]
     head, _, body = bytes(raw).partition(b"\r\n\r\n")
     assert head.startswith(b"WARC/1.1\r\nWARC-Type: conversion") and body == text["block"].encode() + b"\r\n\r\n"
+    assert warc.derive(warc.responses(pages.limit(0))).count() == 0
+
+
+def test_warc_files_are_read(spark, tmp_path):
+    def record(kind: str, uri: str, block: bytes, length: int | None = None) -> bytes:
+        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{uri}>\r\nWARC-Target-URI: {uri}\r\nWARC-Date: 2026-02-03T04:05:06Z\r\nContent-Length: {len(block) if length is None else length}\r\n\r\n"
+        return head.encode() + block + b"\r\n\r\n"
+
+    good = "HTTP/1.1 404 Not Found\r\nServer: s\r\nContent-Type: text/html\r\n\r\n<p>gone ü</p>\r\n\r\nrest".encode()
+    data = record("warcinfo", "i", b"software: x\r\n") + record("response", "http://a/", good) + record("response", "http://cut/", b"HTTP/1.1 200 OK\r\n\r\nx", 500) + record("response", "http://b/", b"no http at all")
+    (tmp_path / "x.warc").write_bytes(data)
+    rows = {r["target_uri"]: r for r in warc.parsed(warc.read_warc(spark, f"file://{tmp_path}")).collect()}
+    assert rows.keys() == {"http://a/", "http://b/"}
+    a, b = rows["http://a/"], rows["http://b/"]
+    assert (a["http_status"], a["payload"], a["warc_date"]) == (404, "<p>gone ü</p>\r\n\r\nrest", "2026-02-03T04:05:06Z") and "Server: s" in a["http_headers"]
+    assert (b["http_status"], b["http_headers"], b["payload"]) == (None, "", "no http at all")
 
 
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
@@ -236,6 +355,45 @@ def test_packed_sequences_follow_the_mixing(spark, tmp_path):
         assert all(abs(had[x] - at * all_of[x] / total) <= bound for x in sizes)
 
 
+AWKWARD = "doc_id long, text string, lang string, source string, n_chars long, did long, tk long, _did long, spans string, kept string, n_words string, row string, stream string, slot long, share string, gram string, low string, name string"
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_on_awkward_rows(spark, tmp_path, stage):
+    """Null, empty, very long and repeated rows, columns with the operators' own names, and no rows at all."""
+    import corpus_pipeline
+
+    r = random.Random(8)
+    long = spoken(r, 30_000)
+    texts = [None, "", " \n", "one", spoken(r, 80), spoken(r, 80), long, "e\u0301 T\u0308 W\u030a x", "\u4e00" * 500]
+    texts += [texts[4]] * 5 + [texts[4] + " more"]
+    rows = [(i if i != 3 else None, t, "xx" if i % 2 else None, None if i % 3 == 0 else "s", i, 7, 8, 9, "sp", "k", "nw", "r", "st", 5, "sh", "g", "lo", f"n{i}") for i, t in enumerate(texts)]
+    rows.append(rows[5])
+    path = f"{tmp_path}/docs"
+    spark.createDataFrame(rows, AWKWARD).repartition(3).write.parquet(path)
+    docs = spark.read.schema(AWKWARD).parquet(path)
+    spark.createDataFrame([(4, 1, 0), (5, 1, 0), (None, 1, 1), (6, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    f = corpus_pipeline.STAGES[stage][1]
+    out = f(spark, docs, str(tmp_path))
+    if stage < 4:
+        got = [tuple(x) for x in out.collect()]
+        assert out.columns == docs.columns
+        # a row that stays keeps all its values, but for a text without its repeated passages
+        rest = {tuple(v for c, v in zip(docs.columns, x, strict=True) if c != "text") for x in rows}
+        assert {tuple(v for c, v in zip(docs.columns, x, strict=True) if c != "text") for x in got} <= rest
+        kept = {x[0] for x in got}
+        assert {0, 1, 2, None} <= kept
+        if stage == 1:
+            assert 4 in kept and not {9, 10, 11, 12, 13, 14} & kept
+        if stage == 2:
+            assert not {9, 10, 11, 12, 13} & kept and next(x[1] for x in got if x[0] == 14) != texts[14]
+        if stage == 3:
+            assert sorted(got, key=str) == sorted(rows, key=str)
+    else:
+        assert {x["doc_id"] for x in out.select("doc_id").collect()} == {x[0] for x in rows}
+    assert f(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
