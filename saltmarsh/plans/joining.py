@@ -164,10 +164,12 @@ def j15(spark, d):
     return J.page_mismatches(documents, table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_key")))
 
 
-@P.query("j16_conflicts", "WITH t AS (SELECT DISTINCT o_orderkey AS id, l_partkey AS r FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 20 = 0) SELECT DISTINCT x.id AS a, y.id AS b FROM t x JOIN t y ON x.r = y.r AND x.id < y.id")
+@P.query("j16_conflicts", "WITH t AS (SELECT DISTINCT o_orderkey AS id, l_partkey AS r FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus = 'P') SELECT DISTINCT x.id AS a, y.id AS b FROM t x JOIN t y ON x.r = y.r AND x.id < y.id")
 def j16(spark, d):
-    tasks = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list("l_partkey").alias("resources")).withColumn("active", F.col("id") % 20 == 0)
-    return J.conflicts(tasks)
+    """Pending orders as active tasks, their parts as resources."""
+    parts = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set("l_partkey").alias("resources"))
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "P").alias("active"))
+    return J.conflicts(orders.join(parts, "id"))
 
 
 @P.query("j17_prerequisites", "WITH t AS (SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'DONE' ELSE 'TODO' END AS status, CASE WHEN o_orderkey % 3 = 0 THEN [] ELSE [o_orderkey - 1, o_orderkey // 2] END AS refs FROM orders), r AS (SELECT id, unnest(refs) AS ref FROM t), s AS (SELECT r.id, bool_and(coalesce(t.status = 'DONE', false)) AS ready FROM r LEFT JOIN t ON t.id = ref GROUP BY r.id) SELECT id, coalesce(ready, true) AS ready FROM t LEFT JOIN s USING (id)")
@@ -195,19 +197,25 @@ def j18(spark, d):
     return J.resolved(blocks, side("m", k % 3 == 0), side("f", (k % 3 == 1) & (k % 2 == 0)), side("l", (k % 5 == 0) & (k % 3 != 0) & ~((k % 3 == 1) & (k % 2 == 0))))
 
 
-@P.query("j19_block_promotion", "WITH m AS (SELECT page_id AS id, 'a' || page_id || '---b---c' AS text FROM pages) SELECT id, CASE WHEN id % 2 = 0 THEN 'a' || id || '---b+' || id || '---c' ELSE text END AS text, (id % 2 = 0)::BIGINT AS promoted FROM m")
+BLOCKS = "string_split(replace(coalesce(text, ''), '. ', '---'), '---')"
+
+
+@P.query("j19_block_promotion", f"WITH m AS (SELECT doc_id AS id, {BLOCKS} AS bs FROM documents) SELECT id, md5(array_to_string(list_transform(bs, lambda b, i: b || CASE WHEN (id + i - 1) % 3 = 0 THEN '+' || length(b) ELSE '' END), '---')) AS text, len(list_filter(bs, lambda b, i: (id + i - 1) % 3 = 0)) AS promoted FROM m")
 def j19(spark, d):
-    k = F.col("page_id").cast("string")
-    pages = table(spark, d, "pages")
-    found = pages.where("page_id % 2 = 0").select(F.col("page_id").alias("id"), F.lit(1).alias("block"), F.concat(F.lit("+"), k).alias("text"))
-    return J.promoted(pages.select(F.col("page_id").alias("id"), F.concat(F.lit("a"), k, F.lit("---b---c")).alias("text")), found)
+    """Documents' sentences as blocks; for every third one a text is found."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.replace(F.coalesce("text", F.lit("")), F.lit(". "), F.lit("---")).alias("text"))
+    blocks = docs.select("id", F.posexplode(F.split("text", "---")).alias("block", "part"))
+    found = blocks.where((F.col("id") + F.col("block")) % 3 == 0).select("id", "block", F.concat(F.lit("+"), F.length("part").cast("string")).alias("text"))
+    return J.promoted(docs, found).withColumn("text", F.md5("text"))
 
 
-@P.query("j20_sidecars", "SELECT page_id, CASE WHEN page_id % 3 = 0 AND page_id % 2 <> 0 THEN 's' || page_id WHEN page_id % 3 = 0 AND page_id % 4 = 0 THEN 's' || page_id END AS sidecar FROM pages")
+@P.query("j20_sidecars", "SELECT page_id, CASE WHEN page_id % 3 = 0 AND (page_id % 4 = 0 OR page_id % 2 <> 0) THEN left(sha1(url), 8) END AS sidecar FROM pages")
 def j20(spark, d):
-    k = F.col("page_id")
-    items = table(spark, d, "pages").select("page_id", k.cast("string").alias("path"), F.when(k % 4 != 0, F.lit("h1")).alias("sha1"))
-    side = table(spark, d, "pages").where("page_id % 3 = 0").select(k.cast("string").alias("path"), F.when(k % 2 == 0, "h2").otherwise("h1").alias("sha1"), F.concat(F.lit("s"), k.cast("string")).alias("sidecar"))
+    """Pages with the hash of their content (a quarter unknown), and sidecars of a third, of which those of even pages were made for an older content."""
+    k, p = F.col("page_id"), table(spark, d, "pages")
+    content = F.coalesce("html", F.lit(""))
+    items = p.select("page_id", F.col("url").alias("path"), F.when(k % 4 != 0, F.sha1(content)).alias("sha1"))
+    side = p.where("page_id % 3 = 0").select(F.col("url").alias("path"), F.sha1(F.when(k % 2 == 0, F.concat(content, F.lit("older"))).otherwise(content)).alias("sha1"), F.substring(F.sha1("url"), 1, 8).alias("sidecar"))
     return J.sidecars(items, side).select("page_id", "sidecar")
 
 

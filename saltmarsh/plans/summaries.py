@@ -56,7 +56,7 @@ def a2(spark, d):
 def macro_docs(spark, d):
     k = F.col("doc_id")
     more = F.when(k % 5 == 0, " easing stimulus").when(k % 5 == 1, " sanction recession easing").otherwise("")
-    return table(spark, d, "documents").select(k, F.date_add(F.lit("2026-01-01").cast("date"), (k % 20).cast("int")).alias("date"), "source", F.substring("text", 1, 30).alias("evidence"), C.macro_risk(F.concat("text", more))["score"].alias("score"))
+    return table(spark, d, "documents").select(k, F.date_add(F.lit("2026-01-01").cast("date"), (k % 20).cast("int")).alias("date"), "source", F.col("text").alias("evidence"), C.macro_risk(F.concat("text", more))["score"].alias("score"))
 
 
 @P.query(
@@ -137,11 +137,13 @@ def a9(spark, d):
 
 
 def records(spark, d):
+    """Pages as records of a link index: address, title and first paragraph; some without date or summary. Several pages have one address."""
     k = F.col("page_id")
-    return table(spark, d, "pages").select(X.canonical_url("url").alias("u"), k.alias("row_no"), F.when(k % 5 != 0, F.date_add(F.lit("2025-01-01").cast("date"), (k % 90).cast("int"))).alias("published"), F.substring("html", 1, (k % 40).cast("int")).alias("title"), F.when(k % 3 != 0, F.substring("html", 1, (k % 70).cast("int"))).alias("summary"), F.concat(F.lit("s"), (k % 4).cast("string")).alias("source")).withColumn("url", F.regexp_replace("u", "[?0-9].*", "")).drop("u")
+    title, summary = F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.regexp_extract("html", "<p>([^<]*)</p>", 1)
+    return table(spark, d, "pages").select(F.concat(F.lit("https://"), X.host_of("url"), F.lit("/")).alias("url"), k.alias("row_no"), F.when(k % 5 != 0, F.date_add(F.lit("2025-01-01").cast("date"), (k % 90).cast("int"))).alias("published"), title.alias("title"), F.when(k % 3 != 0, summary).alias("summary"), F.concat(F.lit("s"), (k % 4).cast("string")).alias("source"))
 
 
-RECORDS = """records AS (SELECT regexp_replace(regexp_replace('https://' || lower(regexp_extract(url, '^https?://([^?#]*)', 1)), '/+$', '/'), '[?0-9].*', '') AS url, page_id AS row_no, CASE WHEN page_id % 5 <> 0 THEN DATE '2025-01-01' + (page_id % 90)::INTEGER END AS published, left(html, page_id % 40) AS title, CASE WHEN page_id % 3 <> 0 THEN left(html, page_id % 70) END AS summary, 's' || (page_id % 4) AS source FROM pages)"""
+RECORDS = """records AS (SELECT 'https://' || regexp_replace(lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)), '^(www|m)\\.', '') || '/' AS url, page_id AS row_no, CASE WHEN page_id % 5 <> 0 THEN DATE '2025-01-01' + (page_id % 90)::INTEGER END AS published, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, CASE WHEN page_id % 3 <> 0 THEN regexp_extract(html, '<p>([^<]*)</p>', 1) END AS summary, 's' || (page_id % 4) AS source FROM pages)"""
 
 
 @P.query("a10_merged_urls", f"WITH {RECORDS} SELECT url, min(published) AS published, arg_max(title, (length(title), -row_no)) FILTER (title <> '') AS title, arg_max(summary, (length(summary), -row_no)) FILTER (summary <> '') AS summary, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM records GROUP BY url")

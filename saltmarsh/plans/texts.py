@@ -214,11 +214,18 @@ def c36(spark, d):
     return docs(spark, d).select("doc_id", X.bucket("doc_id").alias("bucket"), X.token_estimate("text").alias("tokens"))
 
 
-@P.query("c30_dates", "SELECT page_id, CASE WHEN page_id % 4 = 3 THEN NULL ELSE DATE '2025-03-07' END AS date FROM pages")
+@P.query("c30_dates", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 4 THEN o_orderdate::DATE END AS date FROM orders")
 def c30(spark, d):
-    k = F.col("page_id") % 4
-    raw = F.when(k == 0, "2025-03-07T01:02:03").when(k == 1, "Fri, 7 Mar 2025 10:00:00 +0000").when(k == 2, "on 2025.3.7 it was").otherwise("nothing")
-    return table(spark, d, "pages").select("page_id", X.any_date(raw).alias("date"))
+    """Orders' dates as an ISO time, a mail header's date, in the middle of a text, with one-digit months and days; and none."""
+    k, day = F.col("o_orderkey") % 5, F.to_date("o_orderdate")
+    raw = (
+        F.when(k == 0, F.date_format(day, "yyyy-MM-dd'T01:02:03'"))
+        .when(k == 1, F.concat(F.date_format(day, "EEE, d MMM yyyy"), F.lit(" 10:00:00 +0000")))
+        .when(k == 2, F.concat(F.lit("on "), F.date_format(day, "yyyy.M.d"), F.lit(" of "), "o_orderpriority"))
+        .when(k == 3, F.date_format(day, "yyyy/MM/dd"))
+        .otherwise(F.col("o_orderpriority"))
+    )
+    return table(spark, d, "orders").select("o_orderkey", X.any_date(raw).alias("date"))
 
 
 @P.query("c29_codes", "SELECT s_suppkey, lpad(s_suppkey::VARCHAR, 6, '0') AS code FROM supplier")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
+from datetime import date
 
 from pyspark.sql import functions as F
-from saltmarsh.operators import batching, dedup
-from saltmarsh.plans import catalogue
+from saltmarsh.operators import batching, dedup, messages, records, windows
+from saltmarsh.sources import files, market
 
 from .conftest import SMALL
 
@@ -33,16 +35,80 @@ def test_greedy_dedup_is_the_loop(spark):
 def test_batches_keep_their_limits():
     r = random.Random(2)
     tokens = [r.randint(10, 900) for _ in range(400)]
-    found = batching.cut(tokens, [4 * t for t in tokens], [False] * 400)
-    assert found == sorted(found) and found[0] == 0
+    found = batching.cut(((t, 4 * t, False) for t in tokens))
+    assert found == sorted(found) and found[0] == 0 and len(found) == 400
     for b in set(found):
         inside = [t for t, x in zip(tokens, found, strict=True) if x == b]
         assert len(inside) <= batching.MOST + batching.FEWEST and sum(inside) <= batching.HARD_TOKENS + batching.FEWEST * 900
+    assert batching.cut((t, 1, False) for t in tokens[:40]) == [0] * 40
 
 
 def test_weights_add_up(spark):
-    day = catalogue.queries()["d16_holdings"](spark, SMALL).where("weight_pct > 0").groupBy("track", "date").agg(F.sum("weight_pct").alias("w"))
-    assert day.count() > 0 and day.where("abs(w - 100) > 0.2").count() == 0
+    day = market.holdings(spark, SMALL).where("weight_pct > 0").groupBy("track", "date").agg(F.sum("weight_pct").alias("w"))
+    assert day.count() > 0 and day.where("abs(w - 100) > 0.5").count() == 0
+
+
+def test_means_over_gaps(spark):
+    x = [None, 1.0, None, 3.0]
+    rows = [("a", date(2025, 1, 1 + i), v) for i, v in enumerate(x)] + [("b", date(2025, 1, 1), 7.0)]
+    series = spark.createDataFrame(rows, "symbol string, date date, x double")
+    out = windows.ewm(series, "x", 3, "y").where("symbol = 'a'").orderBy("date").collect()
+    assert [r["y"] and round(r["y"], 4) for r in out] == [None, 1.0, 1.0, 2.3333]
+    out = windows.adaptive_ema(series, "x", 20, "y").where("symbol = 'a'").orderBy("date").collect()
+    assert [r["y"] and round(r["y"], 6) for r in out] == [None, 1.0, 1.0, round(1 + 2 * 2 / 21, 6)]
+
+
+def test_mentions():
+    tickers = {"삼성": "1", "삼성전자": "2", "Acme": "3", "A.B": "4"}
+    names = re.compile("|".join(re.escape(n) for n in sorted(tickers, key=lambda n: (-len(n), n))))
+    codes = frozenset({"000001", "000009"})
+
+    def of(text):
+        return records.mentioned(text, tickers, names, codes)
+
+    assert of("삼성전자가 삼성과, Acme") == ["2", "1", "3"]
+    assert of("Acmes xAcme Acme1 삼성 연구원 삼성XX") == []
+    assert of("A.B 000001 1000001 000009. Acme Acme") == ["4", "3", "000001", "000009"]
+    assert of("") == [] == records.mentioned("Acme", {}, None, frozenset())
+
+
+def test_validators_of_texts(spark):
+    body = "The margin improved again this quarter and guidance was raised by the company, which the market liked."
+    cases = [
+        ("blog", f"Date: 2025-01-01\nSource: http://a\n{body}", None),
+        ("blog", f"Date: 2025-01-01\n{body}", "blog_missing_required_metadata"),
+        ("blog", "Date: 2025-01-01\nSource: http://a\n검색 x\n# y", "blog_effective_body_empty"),
+        ("telegram", "Date: x\nSource: https://t\nPostID: 4\nshort text", "telegram_effective_body_too_short"),
+        ("telegram", "# Telegram Log: c\nDate: x\nMessageID: 5\nRevenue and profit rose again, the order book is full.", None),
+        ("premium", f"- URL: http://p\n- PublishedAt: d\n- Status: Success\n- Reason: session expired\n## 본문\n{body}", "premium_paywall_or_blocked_reason"),
+        ("premium", "- URL: http://p\n- PublishedAt: d\n- Status: OK\n## 본문\nDisclaimer: none", "premium_effective_body_empty_or_boilerplate"),
+        ("premium", "- URL: http://p\n- PublishedAt: d\n- Status: error", "premium_bad_status_ERROR"),
+        ("other", "  123456789 ", "text_too_short"),
+        ("other", "1234567890", None),
+        ("blog", None, "text_too_short"),
+    ]
+    df = spark.createDataFrame([(i, k, t) for i, (k, t, _) in enumerate(cases)], "i int, kind string, text string")
+    got = {r["i"]: r["reason"] for r in df.select("i", messages.text_reason("text", F.col("kind")).alias("reason")).collect()}
+    assert got == {i: want for i, (_, _, want) in enumerate(cases)}
+    dirty = "a  \n[MEDIA] x\n\n\n\nb\n[ATTACH_TEXT]\nsecret\n[/ATTACH_TEXT]\nViews: 12\n"
+    row = spark.createDataFrame([(dirty,)], "t string").select(messages.without_residue("t").alias("c"), messages.attached_text("t").alias("a")).first()
+    assert row["c"] == "a\n\nb\n" and row["a"] == "secret"
+
+
+def test_error_lines_are_numbered_in_large_files(spark, tmp_path):
+    lines = [f'{{"i": {k}}}' if k % 9 else "{oops" for k in range(2000)]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines))
+    (tmp_path / "b.jsonl").write_text('\n\n[1]\n{"i": 5}\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        good, bad = files.jsonl(spark, f"file://{tmp_path}", "i long")
+        rows = bad.collect()
+        assert good.count() == sum(k % 9 != 0 for k in range(2000)) + 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r["line_no"] for r in rows if r["path"].endswith("a.jsonl")) == [k + 1 for k in range(0, 2000, 9)]
+    assert [(r["line_no"], r["reason"]) for r in rows if r["path"].endswith("b.jsonl")] == [(3, "jsonl_row_not_object")]
 
 
 def test_greedy_dedup_takes_whole_texts(spark):
