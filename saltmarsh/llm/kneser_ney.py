@@ -158,13 +158,17 @@ def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return texts.select("text", "half").mapInArrow(run, "half long, hi long, lo long, c long").groupBy("half", "hi", "lo").agg(F.sum("c").alias("c"))
 
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """D0 to D3+ from the numbers of n-grams with counts one to four."""
-    n = [x or 0 for x in counts.agg(*[F.sum((F.col("c") == i).cast("long")) for i in (1, 2, 3, 4)]).first()]
-    if not n[0] or not n[1]:
-        return [0.0, 0.5, 0.5, 0.5]
-    y = n[0] / (n[0] + 2 * n[1])
-    return [0.0] + [min(float(i), max(0.0, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 for i in (1, 2, 3)]
+def _discounts(counts: DataFrame) -> Column:
+    """D1 to D3+ of each row's count, from the numbers of its half's n-grams with counts one to four."""
+    tallies = [F.sum((F.col("c") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    out = F.lit(None).cast("double")
+    for half, *n in counts.groupBy("half").agg(*tallies).collect():
+        d = [0.5, 0.5, 0.5]
+        if n[0] and n[1]:
+            y = n[0] / (n[0] + 2 * n[1])
+            d = [min(float(i), max(0.0, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 for i in (1, 2, 3)]
+        out = F.when(F.col("half") == half, F.element_at(F.array(*[F.lit(x) for x in d]), F.least("c", F.lit(3)).cast("int"))).otherwise(out)
+    return out
 
 
 def suffix(n: int) -> list[Column]:
@@ -179,7 +183,8 @@ def context(hi: Column, lo: Column) -> list[Column]:
     return [F.shiftright(hi, WIDTH).alias("hi"), F.shiftright(lo, WIDTH).bitwiseOR(F.shiftleft(hi.bitwiseAND(F.lit(SYMBOL)), 2 * WIDTH)).alias("lo")]
 
 
-KEY = ["hi", "lo"]
+KEY = ["half", "hi", "lo"]
+CONTEXT = ["half", "x", "y"]
 
 
 def _as(df: DataFrame, **names: str) -> DataFrame:
@@ -188,33 +193,32 @@ def _as(df: DataFrame, **names: str) -> DataFrame:
 
 
 def train(counts: DataFrame, vocabulary: int, scratch: Scratch, order: int = ORDER) -> DataFrame:
-    """n, hi, lo, p, gamma: each order's n-grams with their probability (null for what is a context only, as before a text's start), and
-    the weight that they leave to the order below as contexts (null for those that are none). n = 0 is the empty context.
+    """half, n, hi, lo, p, gamma: each half's n-grams of each order with their probability (null for what is a context only, as before a
+    text's start), and the weight that they leave to the order below as contexts (null for those that are none). n = 0 is the empty context.
 
-    ``vocabulary`` is the number of characters among which the lowest order spreads what is left. Orders up to 6 fit the keys.
+    counts: half, hi, lo, c; the halves are models of their own. ``vocabulary`` is the number of characters among which the lowest order
+    spreads what is left. Orders up to 6 fit the keys.
     """
     levels = {order: counts}
     for n in range(order - 1, 0, -1):
-        levels[n] = scratch.store(levels[n + 1].select(*suffix(n)).groupBy(*KEY).agg(F.count("*").alias("c")), "grams")
+        levels[n] = scratch.store(levels[n + 1].select("half", *suffix(n)).groupBy(*KEY).agg(F.count("*").alias("c")), "grams")
     below = None
     tables, weights = [], {}
     for n in range(1, order + 1):
-        d = _discounts(levels[n])
-        discount = F.element_at(F.array(*[F.lit(x) for x in d]), (F.least("c", F.lit(3)) + 1).cast("int"))
         x, y = context(F.col("hi"), F.col("lo"))
-        rows = levels[n].select(*KEY, "c", x.alias("x"), y.alias("y"), discount.alias("d"))
-        contexts = scratch.store(rows.groupBy("x", "y").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma")), "contexts")
-        weights[n - 1] = _as(contexts, hi="x", lo="y", gamma="gamma")
-        rows = rows.join(contexts, ["x", "y"]).select(*KEY, ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "gamma")
+        rows = levels[n].select(*KEY, "c", x.alias("x"), y.alias("y"), _discounts(levels[n]).alias("d"))
+        contexts = scratch.store(rows.groupBy(*CONTEXT).agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma")), "contexts")
+        weights[n - 1] = _as(contexts, half="half", hi="x", lo="y", gamma="gamma")
+        rows = rows.join(contexts, CONTEXT).select(*KEY, ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), "gamma")
         if below is None:
             p = rows.select(*KEY, (F.col("own") + F.col("gamma") / vocabulary).alias("p"))
         else:
             x, y = suffix(n - 1)
-            p = rows.select("*", x.alias("x"), y.alias("y")).join(_as(below, x="hi", y="lo", q="p"), ["x", "y"]).select(*KEY, (F.col("own") + F.col("gamma") * F.col("q")).alias("p"))
+            p = rows.select("*", x.alias("x"), y.alias("y")).join(_as(below, half="half", x="hi", y="lo", q="p"), CONTEXT).select(*KEY, (F.col("own") + F.col("gamma") * F.col("q")).alias("p"))
         below = scratch.store(p, "probabilities")
         tables.append((n, below))
     zero = F.lit(0).cast("long")
-    whole = weights[0].select(F.lit(0).alias("n"), zero.alias("hi"), zero.alias("lo"), F.lit(1 / vocabulary).alias("p"), "gamma")
+    whole = weights[0].select(F.lit(0).alias("n"), "half", zero.alias("hi"), zero.alias("lo"), F.lit(1 / vocabulary).alias("p"), "gamma")
     for n, p in tables:
         rows = p.join(weights[n], KEY, "full") if n in weights else p.withColumn("gamma", F.lit(None).cast("double"))
         whole = whole.unionByName(rows.select(F.lit(n).alias("n"), *KEY, "p", "gamma"))
@@ -266,7 +270,7 @@ SCORES = "doc_id long, did long, tk long, lang string, n long, total double"
 def score(docs: DataFrame, model: DataFrame, scratch: Scratch, order: int = ORDER, table_rows: int = TABLE_ROWS, common: int = COMMON) -> DataFrame:
     """Stored: for each document the number of its n-grams, its end included, and the sum of their negative log probabilities.
 
-    model: tables as ``train`` gives them, with ``half``, that of the documents to which a table applies.
+    model: as ``train`` gives it, but ``half`` is that of the documents to which a part applies.
     """
     rows = _keyed(docs)
     if model.count() > table_rows:
@@ -316,7 +320,7 @@ def _score_sharded(rows: DataFrame, model: DataFrame, scratch: Scratch, order: i
     p: Column = F.lit(model.where("n = 0").first()["p"])
     for n in range(1, order + 1):
         p = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"g{n}"), F.lit(1.0)) * p)
-    surprise = scratch.store(joined.select("half", *KEY, "c", (-F.log(p)).alias("s")), "surprise")
+    surprise = scratch.store(joined.select(*KEY, "c", (-F.log(p)).alias("s")), "surprise")
     known = _most_frequent(surprise, common).toArrow()
     tables = []
     for half in (0, 1):
@@ -361,8 +365,8 @@ def _score_sharded(rows: DataFrame, model: DataFrame, scratch: Scratch, order: i
 
     told = scratch.store(rows.mapInArrow(run, "doc_id long, did long, tk long, lang string, half long, n long, total double, hi long, lo long, c long"), "told")
     often.destroy()
-    docs, rare = told.where("n is not null").select(*OWN, "n", "total"), told.where("n is null").select("did", "tk", "half", *KEY, "c")
-    more = rare.join(surprise.select("half", *KEY, "s"), ["half", *KEY]).groupBy("did", "tk").agg(F.sum(F.col("c") * F.col("s")).alias("rare"))
+    docs, rare = told.where("n is not null").select(*OWN, "n", "total"), told.where("n is null").select("did", "tk", *KEY, "c")
+    more = rare.join(surprise.select(*KEY, "s"), KEY).groupBy("did", "tk").agg(F.sum(F.col("c") * F.col("s")).alias("rare"))
     # rows that are equal have been summed up together: each gets its part
     more = more.join(docs.groupBy("did", "tk").count(), ["did", "tk"]).select("did", "tk", (F.col("rare") / F.col("count")).alias("rare"))
     return scratch.store(docs.join(more, ["did", "tk"], "left").select(*OWN, "n", (F.col("total") + F.coalesce("rare", F.lit(0.0))).alias("total")), "scores")
@@ -386,9 +390,10 @@ def decide(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
     if not halves:
         nothing = [F.lit(None).cast("double").alias(c) for c in ("perplexity", "threshold")]
         return _keyed(docs).select("doc_id", "did", "tk", "lang", F.length("text").cast("long").alias("n_grams"), *nothing, F.lit(True).alias("keep"))
-    models = {h: train(counts.where(F.col("half") == h).select(*KEY, "c"), vocabulary, scratch, order) for h in halves}
+    model = train(counts, vocabulary, scratch, order)
     # trained on one half, used for the other; with trusted documents in one half only, its model serves both
-    model = models[halves[-1]].withColumn("half", F.lit(0)).unionByName(models[halves[0]].withColumn("half", F.lit(1)))
+    used = F.explode(F.lit([0, 1])) if len(halves) == 1 else 1 - F.col("half")
+    model = model.withColumn("half", used.cast("long"))
     scores = score(docs, model, scratch, order, table_rows, common)
     mean = F.col("total") / F.col("n")
     known = scores.where("n > 1").join(trusted, "did").select(F.col("lang").alias("l"), mean.alias("mean"), "n")
