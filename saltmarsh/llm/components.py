@@ -7,7 +7,7 @@ neighbours are ever gathered: only minima are aggregated, with partial aggregati
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
@@ -20,9 +20,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     gives an empty result. The input should be small in each partition; rounds are about the logarithm of the longest path.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now, before = scratch.store(edges, "edges"), None
+    (now, mark), before = _marked(edges, scratch), None
     for _ in range(max_rounds):
-        mark = _mark(now)
         if mark == before or not mark[0]:
             break
         before, old = mark, now
@@ -32,13 +31,15 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
         # every edge now points from the larger node to a smaller one
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         rest = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = scratch.store(rest.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        now, mark = _marked(rest.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), scratch)
         scratch.drop(old)
     else:
         raise RuntimeError(f"components didn't settle in {max_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _mark(edges: DataFrame) -> tuple[int, int | None]:
-    """Count and an order-free sum of hashes: equal marks, equal edges."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _marked(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, tuple[int, int | None]]:
+    """The edges, stored, with their count and an order-free sum of hashes, taken while they are written: equal marks, equal edges."""
+    seen = Observation()
+    out = scratch.store(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), "edges")
+    return out, (seen.get["n"], seen.get["sum"])
