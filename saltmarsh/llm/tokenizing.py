@@ -17,14 +17,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces kept by a worker; beyond it the memory starts afresh, which costs time and changes no result.
-REMEMBERED = 400_000
+#: Words, and pieces of them, kept by a worker; beyond it the memory starts afresh, which costs time and changes no result.
+REMEMBERED = 500_000
 #: Ids kept by a worker, likewise.
 KEPT_IDS = 1 << 22
 #: A longer piece is not kept, so that memory stays bounded.
 LONGEST = 64
 #: Bytes of text that are encoded at once.
-AT_ONCE = 2 << 20
+AT_ONCE = 4 << 20
 SIGNS = ".,!&%$*#;:?"
 #: Fixed values of the tokenizer file: its normalisers, and the pattern by which it breaks texts.
 NORMALISERS = ["NFC", "Replace", "Lowercase"]
@@ -54,6 +54,8 @@ class PieceEncoder:
         self.known: dict[str, int] = {"": 0}
         self.first, self.count, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
         self.pieces, self.used = 1, 0
+        self.words: dict[str, int] = {}
+        self.halves, self.met = np.zeros(1 << 17, np.int64), 0
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Where each piece's ids are; new ones are encoded."""
@@ -77,20 +79,36 @@ class PieceEncoder:
             self.used += len(flat)
         return np.array(places, np.int64)[distinct.indices.to_numpy(zero_copy_only=False)]
 
+    def _rows(self, raw: pa.Array) -> np.ndarray:
+        """For each word the row of ``halves`` that has the places of its stem and of the signs behind it."""
+        names, known = raw.to_pylist(), self.words
+        rows = np.array([known.get(x, -1) for x in names], np.int64)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            part = raw.take(pa.array(new))
+            # words with combining marks keep their capitals: the tokenizer composes characters before it lower-cases them
+            low = pc.if_else(pc.match_substring_regex(part, r"\p{M}"), part, pc.ascii_lower(part))
+            stem = pc.ascii_rtrim(low, SIGNS)
+            special = pc.match_substring(part, "<|")
+            apart = pc.and_(pc.match_substring_regex(stem, "[A-Za-z]$"), pc.invert(special))
+            signs = pa.array([x[len(y) :] for x, y in zip(low.to_pylist(), stem.to_pylist(), strict=True)], pa.string())
+            places = self._places(pa.concat_arrays([pc.if_else(apart, stem, pc.if_else(special, part, low)), pc.if_else(apart, signs, "")]))
+            self.halves = _room(self.halves, 2 * self.met, 2 * len(new))
+            self.halves[2 * self.met : 2 * (self.met + len(new))] = places.reshape(2, -1).T.ravel()
+            rows[new] = np.arange(self.met, self.met + len(new))
+            for row, i in enumerate(new.tolist(), self.met):
+                if len(names[i]) <= LONGEST:
+                    known[names[i]] = row
+            self.met += len(new)
+        return rows
+
     def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if self.pieces > REMEMBERED or self.used > KEPT_IDS:
+        if self.met > REMEMBERED or self.pieces > REMEMBERED or self.used > KEPT_IDS:
             self._reset()
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        raw = words.dictionary
-        # pieces with combining marks keep their capitals: the tokenizer composes characters before it lower-cases them
-        low = pc.if_else(pc.match_substring_regex(raw, r"\p{M}"), raw, pc.ascii_lower(raw))
-        stem = pc.ascii_rtrim(low, SIGNS)
-        apart = pc.and_(pc.match_substring_regex(stem, "[A-Za-z]$"), pc.invert(pc.match_substring(raw, "<|")))
-        signs = pa.array([x[len(y) :] for x, y in zip(low.to_pylist(), stem.to_pylist(), strict=True)], pa.string())
-        whole = pc.if_else(pc.match_substring(raw, "<|"), raw, low)
-        places = self._places(pa.concat_arrays([pc.if_else(apart, stem, whole), pc.if_else(apart, signs, "")]))
-        both = np.stack([places[: len(raw)], places[len(raw) :]], 1)[words.indices.to_numpy(zero_copy_only=False)].ravel()
+        rows = self._rows(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
+        both = self.halves.reshape(-1, 2)[rows].ravel()
         count = self.count[both]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
