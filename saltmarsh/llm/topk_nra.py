@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-TILE, QUERIES = 4096, 8192
-#: A list is read in so many blocks.
-BLOCKS = 24
+TILE, QUERIES = 8192, 8192
+#: A list is read in so many blocks, but for the first stop where a bar is known.
+BLOCKS = 12
 #: Components up to which sums of a few thousand products stay below 2**53.
 ORDINARY = float(1 << 20)
 EXACT = float(1 << 53)
@@ -48,33 +48,47 @@ class Lists:
         values = np.take_along_axis(x, order, 0)
         place = np.empty((n, d), np.int32)
         np.put_along_axis(place, order, np.arange(n, dtype=np.int32)[:, None].repeat(d, 1), 0)
-        self.x, self.ids, self.n, self.d = x, ids, n, d
-        self.order = np.concatenate([order[::-1], order], 1)
-        self.values = np.concatenate([values[::-1], values], 1)
+        self.ids, self.n, self.d = ids, n, d
+        self.order = np.ascontiguousarray(np.concatenate([order[::-1], order], 1).T)
+        self.values = np.ascontiguousarray(np.concatenate([values[::-1], values], 1).T)
         self.place = np.concatenate([n - 1 - place, place], 1)
 
+    def _depth(self, lists: np.ndarray, w: np.ndarray, bar: float) -> int:
+        """Where the lists have come to values that add up to less than the bar: before it an outsider could still qualify."""
+        low, high = 0, self.n
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (low, middle) if self.values[lists, middle] @ w < bar else (middle + 1, high)
+        return low
+
     def search(self, q: np.ndarray, own: int, k: int, bar: float) -> tuple[np.ndarray, int]:
-        """Rows that may be among the k best of those with another identifier and a score of at least ``bar``, and how many entries were read."""
+        """Rows that may be among the k best of those with another identifier and a score of at least ``bar``, and how many entries were read.
+
+        Without a bar the k-th best lower bound becomes one, block by block; with one the first stop is where outsiders can't reach it.
+        """
         n, dims = self.n, np.flatnonzero(q)
         w = q[dims]
         lists = np.where(w > 0, dims, dims + self.d)
-        least = self.values[n - 1, lists] * w
-        seen, rest, read, at = np.zeros(n), np.full(n, least.sum()), 0, 0
         alive = np.flatnonzero(self.ids != own)
-        block, few = max(1, -(-n // BLOCKS)), max(4 * k, n // 64)
+        learning, few, block = bar == -np.inf, max(4 * k, n // 8), max(1, -(-n // BLOCKS))
+        least = self.values[lists, n - 1] * w
+        seen, rest, read, at = np.zeros(n), np.full(n, least.sum()), 0, 0
         while at < n and len(alive) > few and len(w):
-            rows = self.order[at : at + block, lists]
-            seen += np.bincount(rows.ravel(), (self.values[at : at + block, lists] * w).ravel(), n)
-            rest -= np.bincount(rows.ravel(), np.broadcast_to(least, rows.shape).ravel(), n)
-            read, at = read + rows.size, min(n, at + block)
-            low = seen[alive] + rest[alive]
-            if len(alive) > k:
-                bar = max(bar, float(np.partition(low, len(low) - k)[len(low) - k]))
-            front = self.values[at, lists] * w if at < n else np.zeros(len(w))
+            to = min(n, at + block if learning else max(at + block, self._depth(lists, w, bar)))
+            rows, part = self.order[:, at:to][lists], self.values[:, at:to][lists] * w[:, None]
+            seen += np.bincount(rows.ravel(), part.ravel(), n)
+            read, at = read + rows.size, to
+            if learning:
+                rest -= np.bincount(rows.ravel(), np.repeat(least, rows.shape[1]), n)
+                if len(alive) > k:
+                    low = seen[alive] + rest[alive]
+                    bar = max(bar, float(np.partition(low, len(low) - k)[len(low) - k]))
+            front = self.values[lists, at] * w if at < n else np.zeros(len(w))
             if front.sum() >= bar:
                 continue  # an outsider might still qualify
-            high = seen[alive] + (self.place[alive][:, lists] >= at) @ front
-            alive = alive[high >= bar]
+            # at most what is left where it is positive: a quick look before the bounds themselves
+            alive = alive[seen[alive] + np.maximum(front, 0).sum() >= bar]
+            alive = alive[seen[alive] + (self.place[alive][:, lists] >= at) @ front >= bar]
         return alive, read
 
 

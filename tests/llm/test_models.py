@@ -95,6 +95,22 @@ def test_scores_that_do_not_fit_are_an_error(spark):
         topk_nra.top_k(df, df, 1).collect()
 
 
+def test_search_is_brute_force():
+    r = np.random.default_rng(0)
+    for trial in range(120):
+        n, d, m, k, kind = int(r.integers(1, 300)), int(r.integers(1, 12)), 6, int(r.integers(1, 12)), trial % 4
+        x = np.floor(r.standard_normal((n, d)) * [5, 1000, 1e5, 3][kind] + (0, 300, -1e5, 0)[kind])
+        q = np.floor(r.standard_normal((m, d)) * 50 + (0, 40, 0, 0)[kind])
+        q[0] = 0
+        ids = r.integers(0, max(2, n // 2) if kind == 3 else 10**6, n)
+        own = np.array([ids[0], -1, ids[-1], -2, -3, -4])
+        want = [sorted((-int(q[j] @ x[i]), int(ids[i])) for i in range(n) if ids[i] != own[j])[:k] for j in range(m)]
+        known = np.array([-w[-1][0] if len(w) == k else -np.inf for w in want], float)
+        for bars in (np.full(m, -np.inf), known):
+            col, row, score, _ = topk_nra.search(x, ids, q, own, k, bars)
+            assert [[(-int(score[t]), int(ids[row[t]])) for t in np.flatnonzero(col == j)] for j in range(m)] == want
+
+
 def test_lists_are_read_in_part_only():
     r = np.random.default_rng(3)
     centres = r.standard_normal((40, 64))
