@@ -40,20 +40,31 @@ def _unescaped(text: Column) -> Column:
     return text
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a page: without comments and elements that hold none, a line for each block, blanks collapsed, no empty lines."""
+def _bare(html: Column) -> Column:
+    """A page without comments, elements that hold no text, and tags: a line for each block."""
     text = F.regexp_replace(html, "(?s)<!--.*?-->", "")
-    for tag in DROPPED:
-        text = F.regexp_replace(text, f"(?si)<{tag}[ >].*?</{tag}>", " ")
+    text = F.regexp_replace(text, rf"(?si)<({'|'.join(DROPPED)})[ >].*?</\1>", " ")
     text = F.regexp_replace(text, "[\r\n\t ]+", " ")
     text = F.regexp_replace(text, f"(?i)<({BREAKS})[ /]*>", "\n")
-    text = _unescaped(F.regexp_replace(text, "<[^>]*>", ""))
+    return F.regexp_replace(text, "<[^>]*>", "")
+
+
+def _tidy(text: Column) -> Column:
     text = F.regexp_replace(text, " *\n[ \n]*", "\n")
     return F.regexp_replace(text, "^[ \n]+|[ \n]+$", "")
 
 
+def plain_text(html: Column) -> Column:
+    """Text of a page: without comments and elements that hold none, a line for each block, blanks collapsed, no empty lines."""
+    return _tidy(_unescaped(_bare(html)))
+
+
+def _title(html: Column) -> Column:
+    return F.regexp_extract(html, "(?si)<title[^>]*>(.*?)</title>", 1)
+
+
 def title(html: Column) -> Column:
-    return F.trim(_unescaped(F.regexp_extract(html, "(?si)<title[^>]*>(.*?)</title>", 1)))
+    return F.trim(_unescaped(_title(html)))
 
 
 def record_id(*parts: Column | str) -> Column:
@@ -107,12 +118,11 @@ def parsed(records: DataFrame) -> DataFrame:
     """
     message = F.coalesce("message", F.lit(""))
     rest = [c for c in records.columns if c != "message"]
-    # cut at the first empty line, which a string function finds faster than a pattern
-    rows = records.select(*rest, message.alias("message"), F.instr(message, CRLF * 2).alias("at"))
-    headed = (F.col("at") > 0) & F.col("message").startswith("HTTP/")
-    head = F.when(headed, F.substring("message", F.lit(1), F.col("at") + 1)).otherwise("")
-    payload = F.when(headed, F.substring("message", F.col("at") + 4, F.length("message"))).otherwise(F.col("message"))
-    rows = rows.select(*rest, head.alias("http_headers"), payload.alias("payload"))
+    # all in bytes: positions of characters would be counted anew in every long text
+    rows = records.select(*rest, message.alias("message"), F.substring_index(message, CRLF * 2, 1).alias("head"))
+    headed = F.col("message").startswith("HTTP/") & (F.octet_length("head") < F.octet_length("message"))
+    payload = F.when(headed, F.expr("substring(cast(message AS binary), octet_length(head) + 5)").cast("string")).otherwise(F.col("message"))
+    rows = rows.select(*rest, F.when(headed, F.concat("head", F.lit(CRLF))).otherwise("").alias("http_headers"), payload.alias("payload"))
     return rows.select(*rest, F.regexp_extract("http_headers", r"^HTTP/[0-9.]+ ([0-9]{3})", 1).try_cast("int").alias("http_status"), "http_headers", "payload", digest("payload").alias("payload_digest"))
 
 
@@ -128,17 +138,23 @@ def derive(records: DataFrame) -> DataFrame:
     block, block_digest, content_length. A null or empty payload gives an empty conversion block and metadata with an
     empty title; repeated responses give repeated records; an empty table gives none; other columns are ignored.
     """
-    text, html = plain_text(F.coalesce("payload", F.lit(""))), F.coalesce("payload", F.lit(""))
-    facts = {"text": text, "title": title(html), "lang": F.regexp_extract(html, '(?si)<html[^>]* lang="([^"]*)"', 1), "links": F.regexp_count(html, F.lit('(?i)<a [^>]*href="')), "scripts": F.regexp_count(html, F.lit("(?i)<script[ >]"))}
+    html = F.coalesce("payload", F.lit(""))
     own = ("source_id", "record_id", "target_uri", "warc_date", "http_status", "http_headers", "payload_digest")
-    rows = records.select(*own, *[c.alias(f"_{n}") for n, c in facts.items()])
-    fields = (("title", "_title"), ("languages", "_lang"), ("outlinks", "_links"), ("scripts", "_scripts"), ("text-digest", digest("_text")))
+    # step by step: what a later step reads more than once is a column by then
+    steps = {"_bare": _bare(html), "_name": _title(html), "_lang": F.regexp_extract(html, '(?si)<html[^>]* lang="([^"]*)"', 1), "_links": F.regexp_count(html, F.lit('(?i)<a [^>]*href="')), "_scripts": F.regexp_count(html, F.lit("(?i)<script[ >]"))}
+    rows = records.select(*own, *[c.alias(n) for n, c in steps.items()])
+    rest = (*own, "_lang", "_links", "_scripts")
+    rows = rows.select(*rest, _unescaped(F.col("_bare")).alias("_loose"), F.trim(_unescaped(F.col("_name"))).alias("_title"))
+    rows = rows.select(*rest, "_title", _tidy(F.col("_loose")).alias("_text"))
+    rows = rows.select(*rest, "_title", "_text", digest("_text").alias("_digest"))
+    fields = (("title", "_title"), ("languages", "_lang"), ("outlinks", "_links"), ("scripts", "_scripts"), ("text-digest", "_digest"))
     meta = F.concat(*[F.concat(F.lit(f"{name}: "), (F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(CRLF)) for name, c in fields])
 
-    def record(kind: str, content: str, block: Column) -> Column:
-        return F.struct(F.lit(kind).alias("warc_type"), F.lit(content).alias("content_type"), block.alias("block"))
+    def record(kind: str, content: str, block: Column, of: Column) -> Column:
+        return F.struct(F.lit(kind).alias("warc_type"), F.lit(content).alias("content_type"), block.alias("block"), of.alias("block_digest"))
 
-    both = rows.select("*", F.inline(F.array(record("metadata", "application/warc-fields", meta), record("conversion", "text/plain; charset=utf-8", F.col("_text")))))
+    rows = rows.select("*", meta.alias("_meta"))
+    both = rows.select("*", F.inline(F.array(record("metadata", "application/warc-fields", F.col("_meta"), digest("_meta")), record("conversion", "text/plain; charset=utf-8", F.col("_text"), F.col("_digest")))))
     return both.select(
         "source_id",
         "warc_type",
@@ -151,7 +167,7 @@ def derive(records: DataFrame) -> DataFrame:
         "payload_digest",
         "content_type",
         "block",
-        digest("block").alias("block_digest"),
+        "block_digest",
         F.octet_length("block").cast("long").alias("content_length"),
     )
 
