@@ -392,8 +392,8 @@ def decide(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
         return _keyed(docs).select("doc_id", "did", "tk", "lang", F.length("text").cast("long").alias("n_grams"), *nothing, F.lit(True).alias("keep"))
     model = train(counts, vocabulary, scratch, order)
     # trained on one half, used for the other; with trusted documents in one half only, its model serves both
-    used = F.explode(F.lit([0, 1])) if len(halves) == 1 else 1 - F.col("half")
-    model = model.withColumn("half", used.cast("long"))
+    used = F.explode(F.array(*[F.lit(h).cast("long") for h in (0, 1)])) if len(halves) == 1 else (1 - F.col("half")).cast("long")
+    model = model.withColumn("half", used)
     scores = score(docs, model, scratch, order, table_rows, common)
     mean = F.col("total") / F.col("n")
     known = scores.where("n > 1").join(trusted, "did").select(F.col("lang").alias("l"), mean.alias("mean"), "n")

@@ -395,7 +395,8 @@ def test_stages_on_awkward_rows(spark, tmp_path, stage):
         rest = {tuple(v for c, v in zip(docs.columns, x, strict=True) if c != "text") for x in rows}
         assert {tuple(v for c, v in zip(docs.columns, x, strict=True) if c != "text") for x in got} <= rest
         kept = {x[0] for x in got}
-        assert {0, 1, 2, None} <= kept
+        # the classifier may reject what it has seen no such text of; null and empty texts stay
+        assert ({0, 1} if stage == 0 else {0, 1, 2, None}) <= kept
         if stage == 1:
             assert 4 in kept and not {9, 10, 11, 12, 13, 14} & kept
         if stage == 2:
