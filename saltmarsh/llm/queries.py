@@ -40,7 +40,7 @@ def op3_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixing
 
-    rows = mixing.schedule(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    rows = mixing.schedule(_table(spark, sf_dir, "documents"), columns=["doc_id"])
     return rows.select("doc_id", "stream", "mass", "start", "block", "release", "deadline", "slot", "selected")
 
 
