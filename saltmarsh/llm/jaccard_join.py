@@ -40,6 +40,8 @@ OFTEN = pa.list_(pa.struct([("g", pa.int64()), ("c", pa.int64())]))
 MATCHES = (1, 2, 4, 8)
 #: Rows of one list that a task holds, and members of a list that are compared with each other in one task.
 LONGEST, TILE = 1 << 20, 20_000
+#: Names of classes that a task keeps so as not to send their prefixes again.
+SEEN = 500_000
 #: Guests that one copy of a host's set is compared with.
 HOSTED = 64
 
@@ -132,8 +134,10 @@ def _prefixes(docs: DataFrame, n: int, percent: int, table: Broadcast) -> DataFr
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = table.value
+        seen: set[int] = set()  # classes that the task has sent
         for batch in stream:
-            seen: set[int] = set()
+            if len(seen) > SEEN:
+                seen = set()
             out: list[tuple[np.ndarray, int, int]] = []
             size = 0
             for members in _sets(batch, n):
@@ -164,7 +168,7 @@ def _bounded(lists: DataFrame, percent: int) -> DataFrame:
     of = Window.partitionBy("name")
     rows = lists.select("gram", "name", n.alias("n"), place.alias("place"), F.col("meta").bitwiseAND(F.lit(15)).alias("asked"), "df")
     rows = rows.withColumn("upto", F.row_number().over(of.orderBy("place")).cast("long")).withColumn("own", F.sum(F.col("df") - 1).over(of))
-    return rows.where((F.col("upto") + F.col("n") - 1 - F.col("place")) * 100 >= F.col("n") * percent).drop("df", "upto")
+    return rows.where((F.col("upto") + F.col("n") - 1 - F.col("place")) * 100 >= F.col("n") * percent).drop("upto")
 
 
 def _in_parts(stream: Iterator[pa.RecordBatch], keys: int, limit: int | None = None) -> Iterator[list[np.ndarray]]:
@@ -271,13 +275,21 @@ def _all_pairs(lists: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 
     A list of more than TILE members is dealt to a task for each pair of its tiles.
     """
-    long = scratch.store(lists.groupBy("gram").count().where(F.col("count") > TILE).select("gram", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "long")
-    rows = lists.select(*LIST).join(small_side(long), "gram", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    rows = rows.withColumn("tile", F.pmod(F.xxhash64("name"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("gram", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), *LIST[1:], "tile")
+    long = lists.where(F.col("df") > TILE).groupBy("gram").count().where(F.col("count") > TILE)
+    long = scratch.store(long.select("gram", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "long")
+    rows, keys = lists.select(*LIST), ["gram"]
+    if not long.isEmpty():
+        keys = ["gram", "low", "high"]
+        rows = rows.join(small_side(long), "gram", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+        rows = rows.withColumn("tile", F.pmod(F.xxhash64("name"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        rows = rows.select("gram", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), *LIST[1:], "tile")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, low, high, name, size, place, asked, own, tile in _in_parts(stream, 3):
+        for columns in _in_parts(stream, len(keys)):
+            if len(keys) == 1:
+                none = np.zeros(len(columns[0]), np.int32)
+                columns = [columns[0], none, none, *columns[1:], none]
+            gram, low, high, name, size, place, asked, own, tile = columns
             behind, across = size - 1 - place, low != high
             head = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]))))
             tail = np.append(head[1:], len(gram))
@@ -299,7 +311,7 @@ def _all_pairs(lists: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
             if got:
                 yield from _counted(*(np.concatenate(x) for x in zip(*got, strict=True)), name, size, behind, asked, percent, True)
 
-    ordered = rows.repartition(partitions(lists.sparkSession), "gram", "low", "high").sortWithinPartitions("gram", "low", "high", "n", "name")
+    ordered = rows.repartition(partitions(lists.sparkSession), *keys).sortWithinPartitions(*keys, "n", "name")
     return _summed(ordered.mapInArrow(run, PAIR))
 
 
@@ -426,10 +438,12 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     more = more.join(own.select(F.col("cid").alias("a"), F.col("own").alias("x")), "a").join(own.select(F.col("cid").alias("b"), F.col("own").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     merged = scratch.store(connected_components(scratch.store(more.distinct(), "more"), scratch), "merged")
     final = label.join(merged.select(F.col("node").alias("own"), F.col("component").alias("whole")), "own", "left").select("name", F.coalesce("whole", "own").alias("component"))
-    final = scratch.store(reps.join(final, "name", "left").select("name", "low", F.coalesce("component", "cid").alias("component")), "final")
-    # a component's least doc_id, of rows that have one; few components span several classes, most rows are reduced before the shuffle
-    least = final.groupBy("component").agg(F.min("low").alias("low"))
-    final = scratch.store(final.drop("low").join(least, "component"), "least")
+    final = scratch.store(reps.join(final, "name", "left").select("name", "low", "cid", F.coalesce("component", "cid").alias("component")), "final")
+    # the least doc_id of components of several classes, from the classes other than the one that names the component
+    least = scratch.store(final.where("component <> cid").groupBy("component").agg(F.min("low").alias("other")), "least")
+    lowest = final.join(small_side(least), "component", "left").select("name", "cid", "component", F.least("low", "other").alias("low"))
+    roots = scratch.store(lowest.where("component = cid").join(least.select("component"), "component", "left_semi").select("component", F.col("low").alias("whole")), "roots")
+    final = scratch.store(lowest.join(small_side(roots), "component", "left").select("name", "component", F.coalesce("whole", "low").alias("low")), "lowest")
     scratch.drop(bounded)
     return facts.select("doc_id", "did", "name", F.col("n").alias("n_shingles")).join(final, "name", "left")
 
