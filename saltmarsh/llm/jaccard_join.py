@@ -408,8 +408,8 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         return _linked(docs, words, percent)
 
 
-def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    scratch = Scratch(docs.sparkSession, "jaccard")
+def _prepared(docs: DataFrame, words: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Facts of rows, classes of equal sets, and the lists of those that can be part of a link."""
     facts = scratch.store(_facts(docs, words), "facts")
     often = facts.where("did is null").select(F.explode("often").alias("o")).groupBy("o.g").agg(F.sum("o.c").alias("c"))
     facts = facts.where("did is not null").drop("often")
@@ -423,7 +423,12 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     table.destroy()
     bounded = scratch.store(_bounded(lists, percent), "bounded")
     scratch.drop(lists)
+    return facts, reps, bounded
+
 
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    facts, reps, bounded = _prepared(docs, words, percent, scratch)
     stars = _star_pairs(bounded, percent)
     best = scratch.store(stars.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "best")
     links = scratch.store(_verified(best, reps, docs, scratch, words, percent), "links")
@@ -448,6 +453,22 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return facts.select("doc_id", "did", "name", F.col("n").alias("n_shingles")).join(final, "name", "left")
 
 
+def jaccard_links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links between different texts, and who has which text.
+
+    Links: a, b (a < b), classes of rows with equal sets whose sets are similar enough; each pair once. Members: doc_id and class_id of
+    each row with words. A class's identifier is its smallest doc_id, or a number from 2**62 on where none of its rows has one. Copies of one
+    text link with each other and share their class's links, so they aren't written out in pairs. Other cases are those of ``jaccard_components``.
+    """
+    scratch = Scratch(docs.sparkSession, "links")
+    with arrow_rows(docs.sparkSession, 1000):
+        facts, reps, bounded = _prepared(docs, words, percent, scratch)
+        pairs = scratch.store(_all_pairs(bounded.withColumn("own", F.col("name")), percent, scratch).where("shared >= asked"), "pairs")
+        links = scratch.store(_verified(pairs, reps, docs, scratch, words, percent), "links")
+    links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return links, facts.where("name is not null").join(reps.select("name", "cid"), "name").select("doc_id", F.col("cid").alias("class_id"))
+
+
 def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs without all but one document of each component: the one of the smallest doc_id stays, of rows without any doc_id one.
 

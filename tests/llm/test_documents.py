@@ -95,6 +95,18 @@ def test_jaccard_join(docs, empty):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in whole if whole[i] == i}
 
 
+def test_jaccard_links(docs, empty):
+    sets = {i: shingles(t) for i, t in texts_of(docs).items()}
+    want = {(a, b) for a, b in combinations(sorted(sets), 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    links, members = jaccard_join.jaccard_links(docs)
+    class_of = {r["doc_id"]: r["class_id"] for r in members.collect()}
+    assert class_of == {i: min(j for j in sets if sets[j] == sets[i]) for i in sets if sets[i]}
+    pairs = [(r["a"], r["b"]) for r in links.collect()]
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    assert {(a, b) for a, b in combinations(sorted(class_of), 2) if class_of[a] == class_of[b] or (min(class_of[a], class_of[b]), max(class_of[a], class_of[b])) in set(pairs)} == want
+    assert jaccard_join.jaccard_links(empty)[0].count() == 0
+
+
 def test_jaccard_hosts_of_many_guests(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOSTED", 2)
     r = random.Random(3)
