@@ -83,8 +83,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_index.report(_table(spark, sf_dir, "documents"), window=50)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import filter_audit
+
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_warc_derivatives, op3_quality_perplexity, op4_source_mixing, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_warc_derivatives, op3_quality_perplexity, op4_source_mixing, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup, op11_filter_audit)}
 
 
 TOP_K_SQL = """
@@ -97,6 +103,6 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import license_scan, warc
+    from . import filter_audit, license_scan, warc
 
-    return {"op1_license_scan": license_scan.scan_sql(), "op2_warc_derivatives": warc.derive_sql(), "op6_topk_search": TOP_K_SQL}
+    return {"op1_license_scan": license_scan.scan_sql(), "op2_warc_derivatives": warc.derive_sql(), "op6_topk_search": TOP_K_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL}
