@@ -89,8 +89,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import vector_codes
+
+    return vector_codes.encode(_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_warc_derivatives, op3_quality_perplexity, op4_source_mixing, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup, op11_filter_audit)}
+    return {f.__name__: f for f in (op1_license_scan, op2_warc_derivatives, op3_quality_perplexity, op4_source_mixing, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup, op11_filter_audit, op12_vector_codes)}
 
 
 TOP_K_SQL = """
@@ -103,6 +109,6 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import filter_audit, license_scan, warc
+    from . import filter_audit, license_scan, vector_codes, warc
 
-    return {"op1_license_scan": license_scan.scan_sql(), "op2_warc_derivatives": warc.derive_sql(), "op6_topk_search": TOP_K_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL}
+    return {"op1_license_scan": license_scan.scan_sql(), "op2_warc_derivatives": warc.derive_sql(), "op6_topk_search": TOP_K_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL, "op12_vector_codes": vector_codes.CODES_SQL}
