@@ -95,8 +95,14 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode(_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)[0]
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_warc_derivatives, op3_quality_perplexity, op4_source_mixing, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup, op11_filter_audit, op12_vector_codes)}
+    return {f.__name__: f for f in (op1_license_scan, op2_warc_derivatives, op3_quality_perplexity, op4_source_mixing, op5_near_vectors, op6_topk_search, op7_token_shards, op8_jaccard_join, op9_packing, op10_substring_dedup, op11_filter_audit, op12_vector_codes, op13_toxicity)}
 
 
 TOP_K_SQL = """
