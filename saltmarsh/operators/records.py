@@ -6,11 +6,9 @@ sources' records are one union.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,19 +16,11 @@ from ..functions import text as X
 from ..functions.claims import RISK_OFF, RISK_ON
 from ..operators import messages
 
-# Least lengths of texts, series of the macro summary, placeholders, and what follows names.
+# Least lengths of texts, series of the macro summary, placeholders.
 MESSAGE_LEAST, ARTICLE_LEAST = 20, 30
 ON_SERIES, OFF_SERIES = ("SPY", "QQQ", "SOX"), ("VIX", "DXY", "TNX", "IRX")
 NO_SYMBOL, MACRO = "__NOSYMBOL__", "__MACRO__"
 ORDER = ("dart", "rss", "macro", "text_telegram", "text_blog", "text_premium", "market_selected_articles")
-POSTFIXES = (
-    "은", "는", "이", "가", "을", "를", "과", "와", "도", "만", "의", "에", "엔", "에서", "에게", "께", "으로", "로",
-    "부터", "까지", "처럼", "보다", "뿐", "뿐만", "이나", "나", "랑", "하고", "마다", "씩", "조차", "마저", "라도",
-    "이라", "라", "이며", "이다", "이었다", "였다", "으로는", "로는", "에는", "에서의", "에서도", "에는서", "와의", "과의",
-)
-ANALYSTS = (" 연구원", " 수석연구원", " 애널리스트", " 리서치센터", " 센터장", " 전략가", " 연구위원")
-#: Names of a universe that go to every task; an exchange lists some thousands.
-MOST_NAMES = 50_000
 COLUMNS = ("record_id", "published_at", "symbols", "text", "source", "source_family", "content_fingerprint")
 
 
@@ -137,47 +127,6 @@ def united(parts: dict[str, DataFrame]) -> DataFrame:
     return rows.drop("_o")
 
 
-def mentioned(text: str, tickers: dict[str, str], names: re.Pattern | None, codes: frozenset[str]) -> list[str]:
-    """Distinct tickers of names, then of six-digit codes, in order of their places.
-
-    Of names at one place the longest is taken. A name counts between signs or ends of words, or before a postfix, and not where an
-    analyst's title follows.
-    """
-    text, out = text.strip(), {}
-    for m in names.finditer(text) if names else ():
-        end = m.end()
-        word = re.compile("[0-9A-Za-z가-힣]")
-        if m.start() and word.match(text[m.start() - 1]) or word.match(text[end : end + 1]) and not text.startswith(POSTFIXES, end):
-            continue
-        if not text.startswith(ANALYSTS, end):
-            out.setdefault(tickers[m.group()])
-    for code in re.findall(r"(?<!\d)\d{6}(?!\d)", text):
-        if code in codes:
-            out.setdefault(code)
-    return list(out)
-
-
-def with_mentions(docs: DataFrame, universe: DataFrame, text: str = "text", into: str = "symbols") -> DataFrame:
-    """docs with the listed stocks (code, name) that each text mentions.
-
-    The universe's names go to all tasks as one pattern, after a check that they are at most MOST_NAMES; of two codes with one name the smaller counts.
-    """
-    rows = universe.where("name <> '' and code <> ''").select("name", "code").distinct().limit(MOST_NAMES + 1).collect()
-    if len(rows) > MOST_NAMES:
-        raise ValueError(f"more than {MOST_NAMES} names")
-    tickers = {r["name"]: r["code"] for r in sorted(rows, key=lambda r: r["code"], reverse=True)}
-    codes = frozenset(r["code"] for r in rows)
-    pattern = "|".join(re.escape(n) for n in sorted(tickers, key=lambda n: (-len(n), n)))
-
-    @F.pandas_udf("array<string>")
-    def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        names = re.compile(pattern) if pattern else None
-        for texts in parts:
-            yield texts.fillna("").map(lambda t: mentioned(t, tickers, names, codes))
-
-    return docs.withColumn(into, find(F.col(text)))
-
-
 def regime(latest: DataFrame) -> DataFrame:
     """vix, sox and dxy as labels, and regime and confidence, of the newest values (symbol, close, change_5d). Missing series are calm ones at 20 or 0."""
     def of(symbol: str, column: str, otherwise: float) -> Column:

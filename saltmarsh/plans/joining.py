@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators import ledger as L
+from ..operators import mentions
 from ..sources import market as M
 from .registry import Plans, table
 
@@ -142,7 +143,7 @@ def j11(spark, d):
 @P.query("j12_names_in_text", "SELECT id, name FROM (SELECT doc_id AS id, name, row_number() OVER (PARTITION BY doc_id ORDER BY name) AS r FROM documents JOIN (SELECT unnest(['License', 'idiot', 'Version', 'the the', 'que de', 'and the', 'Released', 'for an', 'der und']) AS name) ON contains(text, name)) WHERE r <= 5")
 def j12(spark, d):
     names = spark.createDataFrame([(n,) for n in ("License", "idiot", "Version", "the the", "que de", "and the", "Released", "for an", "der und")], "name string")
-    return J.names_in(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), names)
+    return mentions.names_in(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), names)
 
 
 @P.query("j13_compared_ids", "WITH got AS (SELECT doc_id + CASE WHEN doc_id % 50 = 0 THEN 1 ELSE 0 END AS doc_id FROM labels) SELECT DISTINCT doc_id, 'missing' AS status FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM got) UNION ALL SELECT DISTINCT doc_id, 'unexpected' FROM got WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'duplicate' FROM got GROUP BY doc_id HAVING count(*) > 1")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import claims as C
 from ..functions import text as X
+from ..operators import mentions
 from ..operators import messages as G
 from ..operators import records as R
 from ..operators import validation as V
@@ -145,12 +146,15 @@ def cases(values) -> str:
     return "CASE doc_id % 7 " + " ".join(f"WHEN {i} THEN {x}::VARCHAR[]" for i, x in enumerate(values)) + " END"
 
 
-@P.query("c20_mentions", f"SELECT doc_id, array_to_string(list_concat(list_concat({cases(BY_NAME)}, CASE WHEN regexp_matches(coalesce(text, ''), '(^|{ENDS})the($|{ENDS})') THEN ['100006'] ELSE [] END), {cases(BY_CODE)}), ',') AS symbols FROM documents")
+@P.query("c20_mentions", f"""WITH u AS (SELECT count(*) AS n FROM customer) SELECT doc_id, array_to_string(list_concat(list_concat(list_concat({cases(BY_NAME)}, [(200000 + doc_id % n)::VARCHAR]), CASE WHEN regexp_matches(coalesce(text, ''), '(^|{ENDS})the($|{ENDS})') THEN ['100006'] ELSE [] END), {cases(BY_CODE)}), ',') AS symbols FROM documents, u""")
 def c20(spark, d):
+    """All customers are listed beside the six names; each text names one of them."""
+    customers = table(spark, d, "customer")
     insert = F.element_at(F.array(*[F.lit(x) for x in INSERTS]), (F.col("doc_id") % 7 + 1).cast("int"))
-    docs = table(spark, d, "documents").select("doc_id", F.concat(insert, F.lit(" | "), F.coalesce("text", F.lit(""))).alias("text"))
-    rows = R.with_mentions(docs, spark.createDataFrame(NAMES, "code string, name string"))
-    return rows.select("doc_id", F.array_join("symbols", ",").alias("symbols"))
+    named = F.concat(F.lit("Customer#"), F.lpad((F.col("doc_id") % customers.count()).cast("string"), 9, "0"))
+    docs = table(spark, d, "documents").select("doc_id", F.concat(insert, F.lit(" | "), named, F.lit("의 | "), F.coalesce("text", F.lit(""))).alias("text"))
+    universe = spark.createDataFrame(NAMES, "code string, name string").unionByName(customers.select((F.col("c_custkey") + 200000).cast("string").alias("code"), F.col("c_name").alias("name")))
+    return mentions.with_mentions(docs, universe).select("doc_id", F.array_join("symbols", ",").alias("symbols"))
 
 
 @P.query("f1_f2_f3_f4_columns", "SELECT o_orderkey AS \"key\", CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS name, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice ELSE o_custkey::DOUBLE END AS amount, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate::DATE END AS day FROM orders")

@@ -58,20 +58,6 @@ def test_means_over_gaps(spark):
     assert [r["y"] and round(r["y"], 6) for r in out] == [None, 1.0, 1.0, round(1 + 2 * 2 / 21, 6)]
 
 
-def test_mentions():
-    tickers = {"삼성": "1", "삼성전자": "2", "Acme": "3", "A.B": "4"}
-    names = re.compile("|".join(re.escape(n) for n in sorted(tickers, key=lambda n: (-len(n), n))))
-    codes = frozenset({"000001", "000009"})
-
-    def of(text):
-        return records.mentioned(text, tickers, names, codes)
-
-    assert of("삼성전자가 삼성과, Acme") == ["2", "1", "3"]
-    assert of("Acmes xAcme Acme1 삼성 연구원 삼성XX") == []
-    assert of("A.B 000001 1000001 000009. Acme Acme") == ["4", "3", "000001", "000009"]
-    assert of("") == [] == records.mentioned("Acme", {}, None, frozenset())
-
-
 def test_validators_of_texts(spark):
     body = "The margin improved again this quarter and guidance was raised by the company, which the market liked."
     cases = [
