@@ -171,12 +171,11 @@ def _bounded(lists: DataFrame, percent: int) -> DataFrame:
     return rows.where((F.col("upto") + F.col("n") - 1 - F.col("place")) * 100 >= F.col("n") * percent).drop("upto")
 
 
-def _in_parts(stream: Iterator[pa.RecordBatch], keys: int, limit: int | None = None) -> Iterator[list[np.ndarray]]:
-    """The columns of sorted rows, many rows at a time; rows that agree in the first ``keys`` columns stay together.
+def _in_parts(stream: Iterator[pa.RecordBatch], keys: int, limit: int | None = None, at_once: int = 1 << 18) -> Iterator[list[np.ndarray]]:
+    """The columns of sorted rows, many rows at a time; rows that agree in the first ``keys`` columns, if any, stay together.
 
     With a limit, so many of those rows go on without the rest.
     """
-    at_once = 1 << 18
     waiting: list[list[np.ndarray]] = []
     size = 0
     for batch in stream:
@@ -186,7 +185,7 @@ def _in_parts(stream: Iterator[pa.RecordBatch], keys: int, limit: int | None = N
         size += batch.num_rows
         if size >= at_once:
             columns = [np.concatenate(x) for x in zip(*waiting, strict=True)]
-            last = np.ones(size, bool)
+            last = np.full(size, keys > 0)  # rows without keys needn't stay together
             for c in columns[:keys]:
                 last &= c == c[-1]
             end = size - int(last.sum())

@@ -1,27 +1,31 @@
 """Licence texts in documents, by a positional index over their rare words.
 
-Templates are word sequences with a label and a mandatory phrase: whole short licences, the notices of long ones, and bare names. The index
-has the RARE words of each template that stand in fewest documents (highest inverse document frequency, counted over all documents), with
-postings: template and place of the word in it. A document looks up LOOKUPS of its own words: those of highest frequency inverse among
-the indexed ones it has, and those of the base phrases always. Each place of such a word and each of its postings name one start at
-which the template would have to stand; a start that two different words name is verified: the mandatory phrase word by word, and
-the score is the share of the template's words that stand in their places.
+Templates are word sequences with a label and a mandatory phrase: whole short licences, the notices of long ones, and bare names. Of each template
+the index has the RARE words of its mandatory phrase that stand in fewest documents (highest inverse document frequency, counted over all
+documents), with postings: template and place of the word in it; base phrases are indexed with all their words. A document looks up every
+indexed word it has. Each place of such a word and each of its postings name one start at which the template would have to stand;
+a start that two different words name is verified: the mandatory phrase word by word, and the score is the share of the template's words
+that stand in their places.
 
-All words of a base phrase are indexed and looked up, so no place of one is missed.
+Wherever a mandatory phrase stands, all its indexed words stand too and name one start, so no licence is missed, however many a document has.
 
-Everything is DataFrame functions over one row's arrays: no shuffle but that of a few counts, so rows keep their identity.
+Texts are read once: their words become numbers of the templates' vocabulary, which are stored, and the rest works on those. Everything is DataFrame
+functions over one row's arrays: no shuffle but that of a few counts, so rows keep their identity.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Words of a text whose letters A-Z are lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between the words of a text whose letters A-Z are lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 @dataclass(frozen=True)
@@ -113,41 +117,54 @@ TEMPLATES = (
 )
 #: A template counts where at least this share of its words stands in place.
 SHARE = 0.5
-#: Words of a template in the index, and words that a document looks up beside those of base phrases.
-RARE, LOOKUPS = 8, 16
+#: Words of a template's mandatory phrase in the index; two of them must name a start.
+RARE = 3
 #: Where a start, a template and a word are within one long.
 WORD_BITS, START_BITS, LOWEST = 12, 36, 1 << 20
 
 
 def document_words(text: Column | str) -> Column:
     """The words of a whole text; none for null."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit("")), UPPER, LOWER), F.lit(WORD), 0)
+    lower = F.translate(F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit("")), UPPER, LOWER)
+    return F.filter(F.split(lower, BETWEEN), lambda w: w != "")
 
 
 def _strings(words) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
-def frequencies(words: DataFrame, templates: tuple[Template, ...]) -> dict[str, int]:
+def vocabulary(templates: tuple[Template, ...]) -> list[str]:
+    """The templates' words; those that stand in them most often come first, as they are the likeliest to be looked for."""
+    many = Counter(w for t in templates for w in t.words)
+    return sorted(many, key=lambda w: (-many[w], w))
+
+
+def numbered(docs: DataFrame, known: list[str]) -> DataFrame:
+    """doc_id and ids: for each word of a text its place in ``known``, or -1."""
+    return docs.select("doc_id", F.transform(document_words("text"), lambda w: F.when(w.isin(known), F.array_position(_strings(known), w) - 1).otherwise(-1).cast("short")).alias("ids"))
+
+
+def frequencies(numbers: DataFrame, known: list[str]) -> dict[str, int]:
     """In how many documents each of the templates' words stands. What reaches the driver is one count for each of those words."""
-    vocabulary = sorted({w for t in templates for w in t.words})
-    met = words.select(F.explode(F.array_intersect("words", _strings(vocabulary))).alias("w")).groupBy("w").count()
-    return dict.fromkeys(vocabulary, 0) | {r["w"]: r["count"] for r in met.collect()}
+    met = numbers.select(F.explode(F.array_distinct("ids")).alias("w")).where("w >= 0").groupBy("w").count()
+    return dict.fromkeys(known, 0) | {known[r["w"]]: r["count"] for r in met.collect()}
+
 
+def indexed(templates: tuple[Template, ...], df: dict[str, int], rare: int = RARE) -> tuple[list[str], list[list[tuple[int, int]]]]:
+    """The index's words, rarest first, and the postings (template, place) of each."""
 
-def indexed(templates: tuple[Template, ...], df: dict[str, int], rare: int = RARE) -> tuple[list[str], list[list[tuple[int, int]]], set[int]]:
-    """The index's words, rarest first; the postings (template, place) of each; and which of the words are base phrases'."""
     def rank(w: str) -> tuple[int, str]:
         return df[w], w
 
-    chosen = [set(t.words) if t.base else set(sorted(set(t.words), key=rank)[:rare]) for t in templates]
+    phrases = [set(t.words[t.start : t.stop]) for t in templates]
+    chosen = [p if t.base else set(sorted(p, key=rank)[: max(2, rare)]) for t, p in zip(templates, phrases, strict=True)]
+    if any(len(c) < 2 for c in chosen):
+        raise ValueError("a mandatory phrase needs two different words")
     names = sorted(set().union(*chosen), key=rank)
-    postings = [[(k, i) for k, t in enumerate(templates) if name in chosen[k] for i, w in enumerate(t.words) if w == name] for name in names]
-    base = {i for i, name in enumerate(names) if any(t.base and name in t.words for t in templates)}
-    return names, postings, base
+    return names, [[(k, i) for k, t in enumerate(templates) if name in chosen[k] for i in range(t.start, t.stop) if t.words[i] == name] for name in names]
 
 
-def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, share: float = SHARE, rare: int = RARE, lookups: int = LOOKUPS) -> DataFrame:
+def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, share: float = SHARE, rare: int = RARE) -> DataFrame:
     """docs' doc_id with n_words, n_base, first_word, last_word, base_labels, labels, score and hits.
 
     ``hits``: label, start, share of each template found, in order of place. ``n_base`` counts all places of base phrases,
@@ -155,19 +172,21 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, share: fl
     commas ('' without any), ``score`` is the greatest share found (0 without any). A null or empty text has no words. Each row
     of docs gives one row, whatever its doc_id; other columns are ignored; an empty table gives no rows.
     """
-    words = docs.select("doc_id", document_words("text").alias("words"))
-    names, postings, base = indexed(templates, frequencies(words, templates), rare)
-    known, common = _strings(names), F.array(*[F.lit(i) for i in sorted(base)])
-    starts_of = F.array(*[F.array(*[F.lit((k << START_BITS + WORD_BITS) + (LOWEST - at << WORD_BITS) + r) for k, at in p]) for r, p in enumerate(postings)])
-    bodies = F.array(*[F.struct(F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), _strings(t.words).alias("words"), F.lit(t.start).alias("from"), F.lit(t.stop).alias("to")) for t in templates])
-    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(names), F.struct(F.array_position(known, w).cast("int").alias("r"), i.alias("i")))), lambda p: p.isNotNull())
-    rows = words.select("doc_id", "words", places.alias("places"))
-    # ranks ascend with rarity: a document's first ones are its words of highest inverse frequency
-    own = F.slice(F.array_sort(F.array_distinct(F.transform("places", lambda p: p["r"] - 1))), 1, lookups)
-    rows = rows.select("*", F.array_union(own, common).alias("looked"))
+    known = vocabulary(templates)
+    number = {w: k for k, w in enumerate(known)}
+    words = Scratch(docs.sparkSession, "licences").store(numbered(docs, known), "ids")
+    names, postings = indexed(templates, frequencies(words, known), rare)
+    looked = [number[n] for n in names]
+    # by a word's number: template, start and rank of each posting, in one long
+    by_number = {number[name]: F.array(*[F.lit((k << START_BITS + WORD_BITS) + (LOWEST - at << WORD_BITS) + r) for k, at in p]) for r, (name, p) in enumerate(zip(names, postings, strict=True))}
+    starts_of = F.array(*[by_number.get(i, F.array().cast("array<long>")) for i in range(len(known))])
+    bodies = F.array(*[F.struct(F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), F.array(*[F.lit(number[w]).cast("short") for w in t.words]).alias("ids"), F.lit(t.start).alias("from"), F.lit(t.stop).alias("to")) for t in templates])
+    some = F.exists("ids", lambda w: w.isin(looked))
+    places = F.filter(F.transform("ids", lambda w, i: F.when(w.isin(looked), F.struct(w.alias("w"), i.alias("i")))), lambda p: p.isNotNull())
+    rows = words.select("doc_id", "ids", F.when(some, places).otherwise(F.array().cast("array<struct<w:short,i:int>>")).alias("places"))
     # template, start and word in one long, for each posting of each place looked up
-    named = F.flatten(F.transform(F.filter("places", lambda p: F.array_contains("looked", p["r"] - 1)), lambda p: F.transform(F.get(starts_of, p["r"] - 1), lambda c: c + F.shiftleft(p["i"].cast("long"), WORD_BITS))))
-    rows = rows.select("doc_id", "words", F.array_sort(F.array_distinct(named)).alias("named"))
+    named = F.flatten(F.transform("places", lambda p: F.transform(F.get(starts_of, p["w"].cast("int")), lambda c: c + F.shiftleft(p["i"].cast("long"), WORD_BITS))))
+    rows = rows.select("doc_id", "ids", F.array_sort(F.array_distinct(named)).alias("named"))
 
     def at(i: Column) -> Column:
         """Template and start."""
@@ -175,19 +194,19 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, share: fl
 
     # the second word of each run of words that name one start
     twice = F.filter("named", lambda c, i: F.coalesce(F.shiftright(c, WORD_BITS) == at(i - 1), F.lit(False)) & ~F.coalesce(F.shiftright(c, WORD_BITS) == at(i - 2), F.lit(False)))
-    rows = rows.select("doc_id", "words", F.transform(twice, lambda c: F.shiftright(c, WORD_BITS)).alias("starts"))
+    rows = rows.select("doc_id", "ids", F.transform(twice, lambda c: F.shiftright(c, WORD_BITS)).alias("starts"))
 
     def hit(c: Column) -> Column:
         t, start = F.get(bodies, F.shiftright(c, START_BITS).cast("int")), (c.bitwiseAND(F.lit((1 << START_BITS) - 1)) - LOWEST).cast("int")
         # get() gives null outside the document
-        fits = F.transform(t["words"], lambda w, j: F.coalesce(F.get("words", start + j) == w, F.lit(False)))
+        fits = F.transform(t["ids"], lambda w, j: F.coalesce(F.get("ids", start + j) == w, F.lit(False)))
         return F.struct(start.alias("start"), t["label"].alias("label"), t["base"].alias("base"), t["from"].alias("from"), t["to"].alias("to"), fits.alias("fits"))
 
     def judged(h: Column) -> Column:
         must = F.forall(F.slice(h["fits"], h["from"] + 1, h["to"] - h["from"]), lambda x: x)
         return F.struct(h["start"].alias("start"), h["label"].alias("label"), h["base"].alias("base"), must.alias("must"), (F.size(F.filter(h["fits"], lambda x: x)) / F.size(h["fits"])).alias("share"))
 
-    rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), F.transform("starts", hit).alias("met"))
+    rows = rows.select("doc_id", F.size("ids").cast("long").alias("n_words"), F.transform("starts", hit).alias("met"))
     rows = rows.select("doc_id", "n_words", F.array_sort(F.filter(F.transform("met", judged), lambda h: h["must"] & (h["share"] >= share))).alias("hits"))
     base_hits = F.filter("hits", lambda h: h["base"])
     starts = F.transform(base_hits, lambda h: h["start"].cast("long"))
@@ -208,8 +227,8 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, share: fl
     )
 
 
-def scan_sql(templates: tuple[Template, ...] = TEMPLATES, share: float = SHARE, rare: int = RARE, lookups: int = LOOKUPS) -> str:
-    """The same result in DuckDB: the index, the lookups, the starts that two words name, and their verification as joins."""
+def scan_sql(templates: tuple[Template, ...] = TEMPLATES, share: float = SHARE, rare: int = RARE) -> str:
+    """The same result in DuckDB: the index, the starts that two words name, and their verification as joins."""
     postings = ", ".join(f"('{t.label}', {str(t.base).lower()}, {k}, {len(t.words)}, {t.start}, {t.stop}, {i}, '{w}')" for k, t in enumerate(templates) for i, w in enumerate(t.words))
     return f"""
 WITH t(label, base, k, size, lo, hi, place, w) AS (VALUES {postings}),
@@ -217,10 +236,8 @@ d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}',
 p AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS i FROM d),
 v AS (SELECT p.* FROM p SEMI JOIN t USING (w)),
 f AS (SELECT w, coalesce(n, 0) AS n FROM (SELECT DISTINCT w FROM t) LEFT JOIN (SELECT w, count(DISTINCT doc_id) AS n FROM v GROUP BY w) USING (w)),
-x AS (SELECT k, w FROM (SELECT DISTINCT k, w, base FROM t) JOIN f USING (w) QUALIFY base OR row_number() OVER (PARTITION BY k ORDER BY n, w) <= {rare}),
-r AS (SELECT w, row_number() OVER (ORDER BY n, w) AS r FROM (SELECT DISTINCT w FROM x) JOIN f USING (w)),
-l AS (SELECT doc_id, w FROM (SELECT DISTINCT doc_id, w FROM v) JOIN r USING (w) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY r) <= {lookups} OR w IN (SELECT w FROM t WHERE base)),
-s AS (SELECT v.doc_id, k, v.i - t.place AS start FROM v JOIN l USING (doc_id, w) JOIN x USING (w) JOIN t USING (k, w) GROUP BY ALL HAVING count(DISTINCT v.w) >= 2),
+x AS (SELECT k, w FROM (SELECT DISTINCT k, w, base FROM t WHERE place >= lo AND place < hi) JOIN f USING (w) QUALIFY base OR row_number() OVER (PARTITION BY k ORDER BY n, w) <= {max(2, rare)}),
+s AS (SELECT v.doc_id, k, v.i - t.place AS start FROM v JOIN x USING (w) JOIN t USING (k, w) WHERE t.place >= t.lo AND t.place < t.hi GROUP BY ALL HAVING count(DISTINCT v.w) >= 2),
 h AS (SELECT s.doc_id, any_value(label) AS label, any_value(base) AS base, s.k, start, count(*) / any_value(size)::DOUBLE AS share, count(*) FILTER (place >= lo AND place < hi) = any_value(hi - lo) AS must
       FROM s JOIN t USING (k) JOIN v ON v.doc_id = s.doc_id AND v.w = t.w AND v.i = s.start + t.place GROUP BY s.doc_id, s.k, start),
 g AS (SELECT * FROM h WHERE must AND share >= {share}),

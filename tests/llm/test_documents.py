@@ -9,6 +9,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from saltmarsh.llm import jaccard_join, license_scan, packing, sstable, substring_index
@@ -333,3 +334,54 @@ def test_license_texts(spark):
         hit = next(h for h in out[k]["hits"] if h["label"] == label)
         assert hit["start"] == 20 and hit["share"] > 0.8
     assert all(out[100 + i]["labels"] == "" for i in range(60))
+
+
+def plain_hits(words: list[str]) -> set[tuple]:
+    out = set()
+    for t in license_scan.TEMPLATES:
+        for start in range(-t.start, len(words)):
+            fits = [0 <= start + j < len(words) and words[start + j] == w for j, w in enumerate(t.words)]
+            if all(fits[t.start : t.stop]) and sum(fits) >= license_scan.SHARE * len(fits):
+                out.add((start, t.label, round(sum(fits) / len(fits), 12)))
+    return out
+
+
+def test_licenses_together(spark):
+    """Every pair and triple of licence texts, and all of them, keep every licence; damaged ones are found as a plain scan finds them."""
+    texts = [t for t in license_scan.TEMPLATES if t.label.endswith("-text")]
+    rows, want = [], {}
+    for n in (2, 3):
+        for some in combinations(texts, n):
+            want[len(rows)] = {t.label for t in some}
+            rows.append((len(rows), " and then ".join(" ".join(t.words) for t in some)))
+    want[len(rows)] = {t.label for t in license_scan.TEMPLATES}
+    rows.append((len(rows), " ; ".join(" ".join(t.words) for t in license_scan.TEMPLATES)))
+    r, damaged = random.Random(8), []
+    for i in range(40):
+        words = [w for t in r.sample(license_scan.TEMPLATES, 4) for w in t.words]
+        damaged.append([w for w in (r.choice(["x", w, w + "s", "license", "the"]) if r.random() < 0.12 else w for w in words) if r.random() > 0.01])
+    rows += [(10_000 + i, " ".join(w)) for i, w in enumerate(damaged)]
+    out = {x["doc_id"]: x for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    assert len(want) == 365
+    for i, labels in want.items():
+        assert labels <= set(out[i]["labels"].split(","))
+    for i, words in enumerate(damaged):
+        assert {(h["start"], h["label"], round(h["share"], 12)) for h in out[10_000 + i]["hits"]} == plain_hits(words)
+
+
+def test_lists_stream():
+    """Parts of lists are given before their input ends, whether rows have keys or not, and a list that fills the input is cut at its limit."""
+    rows = 1000
+    for keys, limit in ((0, 0), (1, 0), (1, 2000)):
+        read = []
+
+        def stream(read=read, one=limit > 0):
+            for i in range(40):
+                read.append(i)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(rows, 0) if one else np.arange(rows) // 10 + i * 100), pa.array(np.arange(rows))], names=["gram", "name"])
+
+        held, seen = [], 0
+        for columns in jaccard_join._in_parts(stream(), keys, limit, at_once=2 * rows):
+            seen += len(columns[0])
+            held.append(len(read) * rows - seen)
+        assert seen == 40 * rows and len(held) >= 10 and max(held) <= 3 * rows
