@@ -170,13 +170,16 @@ def content_fingerprints(c: Column | str, least: int = 80) -> Column:
 
 
 def content_fingerprint_rows(docs: DataFrame, key: str, text: str, least: int = 80) -> DataFrame:
-    """key, fingerprint: the same as rows, distinct; each paragraph is normalised once."""
-    c = F.coalesce(text, F.lit(""))
-    rows = docs.select(key, c.alias("_c"), F.filter(F.split(c, r"\n\s*\n+"), lambda p: F.trim(p) != "").alias("_p"))
-    lines = F.filter(F.split("_c", r"\n+"), lambda p: F.trim(p) != "")
-    parts = rows.select(key, F.explode(F.concat(F.array("_c"), F.when(F.size("_p") > 1, F.col("_p")).otherwise(lines))).alias("_x"))
-    normal = parts.select(key, fingerprint_text("_x").alias("_x")).where(F.length("_x") >= least)
-    return normal.select(key, F.sha1("_x").alias("fingerprint")).distinct()
+    """key, fingerprint: the same as rows, distinct within a row of docs.
+
+    Parts are normalised once: as white space separates them, the whole is its normalised parts with blanks between.
+    """
+    parts = F.filter(F.split(F.coalesce(text, F.lit("")), r"\n\s*\n+"), lambda p: F.trim(p) != "").alias("_p")
+    lines = F.filter(F.split(F.get("_p", F.lit(0)), r"\n+"), lambda p: F.trim(p) != "")
+    rows = docs.select(key, parts).select(key, F.when(F.size("_p") > 1, F.col("_p")).otherwise(lines).alias("_p"))
+    normal = rows.select(key, F.filter(F.transform("_p", fingerprint_text), lambda p: p != "").alias("_n"))
+    kept = F.filter(F.concat(F.array(F.array_join("_n", " ")), F.col("_n")), lambda p: F.length(p) >= least)
+    return normal.select(key, F.explode(F.array_distinct(F.transform(kept, F.sha1))).alias("fingerprint"))
 
 
 def urls_in(c: Column | str) -> Column:
@@ -212,7 +215,7 @@ def html_text(c: Column | str, most: int = 3000) -> Column:
 
 
 def tokens(c: Column | str) -> Column:
-    return F.transform(F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit(WORD), 0), F.lower)
+    return F.transform(F.filter(F.split(F.coalesce(_col(c), F.lit("")), f"[^{WORD[1:-2]}]+"), lambda w: w != ""), F.lower)
 
 
 def sentences(c: Column | str) -> Column:

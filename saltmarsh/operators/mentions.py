@@ -27,7 +27,7 @@ FROM, TO, OTHER = "\x01", "\x02", "\x03"
 
 
 def _runs(text: Column | str) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"[{TOKEN}]+"), F.lit(0))
+    return F.filter(F.split(text, f"[^{TOKEN}]+"), lambda r: r != "")
 
 
 def contained(texts: DataFrame, names: DataFrame) -> DataFrame:
