@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup
 from ..shared import shared_path
+from ..sources import commits
 from ..sources import files as S
 from ..sources import market as M
 from .registry import Plans, table
@@ -131,21 +132,33 @@ def s12(spark, d):
     return S.upserted(*states(spark, d), "s2").select("path", "is_active", "first_sync", "last_sync", "action")
 
 
-@P.query("s13_active_below", "SELECT doc_id FROM documents WHERE source = (SELECT min(source) FROM documents) AND doc_id % 4 <> 0")
+@P.query("s13_active_below", "SELECT doc_id FROM documents WHERE source = (SELECT min(source) FROM documents) AND doc_id % 3 <> 0")
 def s13(spark, d):
     docs = table(spark, d, "documents")
     first = docs.agg(F.min("source")).first()[0]
-    paths = docs.select("doc_id", F.concat_ws("/", F.lit("raw"), "source", F.col("doc_id").cast("string")).alias("path"), (F.col("doc_id") % 4 != 0).alias("is_active"))
+    paths = docs.select("doc_id", F.concat_ws("/", F.lit("raw"), "source", F.col("doc_id").cast("string")).alias("path"), (F.col("doc_id") % 3 != 0).alias("is_active"))
     return S.active_below(paths, f"raw/{first}").select("doc_id")
 
 
-@P.query("s14_s15_published_snapshot", "SELECT doc_id::VARCHAR AS path, 's2' AS sync_id FROM documents WHERE doc_id % 11 <> 0")
+@P.query(
+    "s14_s15_published_snapshot",
+    """SELECT doc_id::VARCHAR AS path, 's2' AS sync_id FROM documents WHERE doc_id % 11 <> 0
+UNION ALL SELECT 'conflict', 's2b' UNION ALL SELECT 'entries', '2' UNION ALL SELECT 'rows before', count(*)::VARCHAR FROM documents WHERE doc_id % 10 <> 0 AND doc_id % 7 <> 0""",
+)
 def s14(spark, d):
-    folder = shared_path(spark, "published")
-    snapshot = S.materialised(S.upserted(*states(spark, d), "s2"), shared_path(spark, "snapshots"), "s2")
-    S.published(spark.range(3).select(F.col("id").cast("string").alias("path")), folder, "s1")
-    S.published(spark.read.parquet(snapshot).select("path"), folder, "s2")
-    return spark.read.parquet(folder).select("path", "sync_id")
+    """Two syncs published one on the other; a third writer who saw the first one only is refused, and the first stays readable."""
+    old, new = states(spark, d)
+    snapshots = commits.Table(spark, shared_path(spark, "snapshots"))
+    first = snapshots.publish(old.where("is_active").select("path"), "s1", None)
+    snapshots.publish(S.upserted(old, new, "s2").where("is_active").select("path"), "s2", first, expected="s1")
+    late = "published"
+    try:
+        snapshots.publish(old.select("path"), "s2b", first)
+    except commits.Conflict:
+        late = "conflict"
+    entry = snapshots.entry()
+    facts = [(late, "s2b"), ("entries", str(entry.number)), ("rows before", str(snapshots.read(first).count()))]
+    return snapshots.read(entry).select("path", F.lit(entry.state["sync"]).alias("sync_id")).unionByName(spark.createDataFrame(facts, "path string, sync_id string"))
 
 
 @P.query("s17_exports", "SELECT kind, count(*) AS rows, sum(n_nationkey)::BIGINT AS keys FROM nation, (VALUES ('csv'), ('jsonl'), ('parquet'), ('text')) AS k(kind) GROUP BY kind")

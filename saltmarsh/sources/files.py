@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,13 +22,19 @@ def file_stem() -> Column:
 
 
 def per_symbol_csv(spark: SparkSession, folder: str, schema: str, universe: DataFrame | None = None) -> DataFrame:
-    """All CSV files of a folder as one table; the symbol is the file's name. With ``universe`` (code) only its symbols.
+    """All CSV files of a folder as one table; the symbol is the file's name. With ``universe`` (code) only its symbols' files are opened.
 
-    The names are known before a file is opened: symbols outside the universe cost a semi join, and columns not asked for aren't parsed.
-    A value that doesn't fit its type is null.
+    The folder is listed first, as Spark does itself on the driver, and the scan is planned over the listed files whose names the universe has.
+    Columns not asked for aren't parsed. A value that doesn't fit its type is null.
     """
-    rows = spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").csv(folder).withColumn("symbol", file_stem())
-    return rows if universe is None else rows.join(universe.select(F.col("code").alias("symbol")).distinct(), "symbol", "left_semi")
+    reader = spark.read.schema(schema).option("header", True)
+    if universe is None:
+        return reader.option("pathGlobFilter", "*.csv").csv(folder).withColumn("symbol", file_stem())
+    system, at = _fs(spark, folder)
+    listed = [str(f.getPath().toString()) for f in system.listStatus(at) if f.getPath().getName().endswith(".csv")]
+    names = spark.createDataFrame([(p, p.rsplit("/", 1)[1].removesuffix(".csv")) for p in listed], "path string, code string")
+    wanted = [r["path"] for r in names.join(universe.select("code"), "code", "left_semi").collect()]  # files of one folder, as many as were listed at most
+    return reader.csv(wanted).withColumn("symbol", file_stem()) if wanted else spark.createDataFrame([], schema).withColumn("symbol", F.lit(None).cast("string"))
 
 
 def tree(spark: SparkSession, folder: str, extensions: Sequence[str] = EXTENSIONS) -> DataFrame:
@@ -124,32 +129,6 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def materialised(rows: DataFrame, folder: str, sync: str) -> str:
-    """Write active rows as the snapshot of a sync; returns its path. Spark's committer makes the files visible together."""
-    path = f"{folder}/sync_id={sync}"
-    rows.where("is_active").write.mode("overwrite").parquet(path)
-    return path
-
-
-def published(df: DataFrame, folder: str, sync: str) -> None:
-    """Replace a folder as a whole: written beside it, checked for its sync, then swapped in by two renames.
-
-    A reader sees the old table or the new one. What was there before stays under a name of its own until the swap is done.
-    """
-    spark = df.sparkSession
-    staging, old = f"{folder}.staging-{sync}", f"{folder}.old-{uuid.uuid4().hex}"
-    df.withColumn("sync_id", F.lit(sync)).write.mode("overwrite").parquet(staging)
-    if spark.read.parquet(staging).where(~F.col("sync_id").eqNullSafe(F.lit(sync))).limit(1).count():
-        raise ValueError("the staged table belongs to another sync")
-    system, target = _fs(spark, folder)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    if system.exists(target):
-        system.rename(target, hadoop.Path(old))
-    if not system.rename(hadoop.Path(staging), target):
-        raise OSError(f"{folder} could not be replaced")
-    system.delete(hadoop.Path(old), True)
-
-
 def saved(df: DataFrame, path: str, kind: str = "parquet", mode: str = "errorifexists") -> None:
     """Parquet, or CSV with header, JSON lines or text (one column) for export."""
     writer = df.write.mode(mode)
