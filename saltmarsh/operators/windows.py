@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+
+from ..shared import stored
 
 
 def by_date() -> WindowSpec:
@@ -57,43 +55,71 @@ def winsorised(df: DataFrame, column: str, low: float, high: float, into: str) -
     return df.join(bounds, "symbol").withColumn(into, F.when(x.isNotNull(), F.greatest(F.least(x, F.col("_q")[1]), F.col("_q")[0]))).drop("_q")
 
 
-def _recurrent(df: DataFrame, columns: Sequence[str], into: str, start: Callable[[], tuple], step: Callable[..., tuple]) -> DataFrame:
-    """df with the values of a recurrence along each symbol's rows in order of date.
+#: Rows of a unit: products of so many decays stay far from zero.
+UNIT = 128
 
-    Rows stream through a task in that order, a batch at a time, with the state of one symbol only: no series is ever held whole, and
-    nothing is joined back. ``step`` takes the state and the columns' values and returns the value and the new state.
-    """
-    schema = StructType([*df.schema.fields, StructField(into, DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state = object(), None
-        for batch in batches:
-            out = []
-            for symbol, *values in zip(*(batch.column(c).to_pylist() for c in ("symbol", *columns)), strict=True):
-                if symbol != now:
-                    now, state = symbol, start()
-                value, state = step(state, *values)
-                out.append(value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=schema.names)
+def _recurrent(df: DataFrame, x: str, alpha: Column, into: str, fading: bool) -> DataFrame:
+    """df with the values of y = alpha * x + (1 - alpha) * y along each symbol's rows in order of date, as an associative scan.
 
-    return df.repartition("symbol").sortWithinPartitions("symbol", "date").mapInArrow(run, schema)
+    The first value of a symbol is itself and a missing x repeats y. With ``fading``, y's share also falls by 1 - alpha for each row that x was missing, and the two
+    shares are divided by their sum. Each row is an affine map of y. Within a unit, UNIT rows of a symbol and a year at most, maps are composed by running
+    products and sums; a unit's first value stays apart, as what stands before it isn't known there. Then one row a unit, folded along a symbol,
+    gives the value that each unit starts from. So a symbol's years may lie in different tasks, and nothing runs row by row.
+    """
+    parts = Window.partitionBy("symbol", "_y").orderBy("date")
+    rows = df.withColumns({"_y": F.year("date"), "_a": alpha}).withColumn("_n", F.row_number().over(parts)).withColumn("_u", F.floor((F.col("_n") - 1) / UNIT).cast("int"))
+    unit = Window.partitionBy("symbol", "_y", "_u").orderBy("date")
+    so_far, before = unit.rowsBetween(Window.unboundedPreceding, 0), unit.rowsBetween(Window.unboundedPreceding, -1)
+    has = F.col(x).isNotNull()
+    rows = rows.withColumns({"_k": F.count(x).over(so_far), "_last": F.max(F.when(has, F.col("_n"))).over(before)})
+
+    def decay(a: Column, y_share: Column) -> Column:
+        return y_share / (y_share + a) if fading else 1 - a
+
+    gap = F.pow(1 - F.col("_a"), F.col("_n") - F.col("_last"))
+    later = has & (F.col("_k") > 1)
+    d = F.when(later, decay(F.col("_a"), gap)).otherwise(1.0)
+    c = F.when(later, (F.col("_a") / (gap + F.col("_a")) if fading else F.col("_a")) * F.col(x)).otherwise(0.0)
+    # where nothing of the value before is left, the composition begins anew
+    rows = rows.withColumns({"_d": d, "_c": c}).withColumn("_z", F.sum((F.col("_d") == 0).cast("int")).over(so_far))
+    anew = Window.partitionBy("symbol", "_y", "_u", "_z").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_p", F.product(F.when(F.col("_d") == 0, 1.0).otherwise(F.col("_d"))).over(anew)).withColumn("_q", F.col("_p") * F.sum(F.col("_c") / F.col("_p")).over(anew))
+    # stored, as the units and the rows both read it, and one recurrence often stands on another
+    rows = stored(rows.withColumn("_p", F.when(F.col("_z") > 0, 0.0).otherwise(F.col("_p"))).drop("_last", "_d", "_c", "_z"), "scan")
+    has = F.col(x).isNotNull()
+    first = has & (F.col("_k") == 1)
+    units = rows.groupBy("symbol", "_y", "_u").agg(
+        F.count_if(F.col("_k") == 0).alias("lead"),
+        F.count("*").alias("rows"),
+        F.max(F.when(first, F.col(x))).alias("x"),
+        F.max(F.when(first, F.col("_a"))).alias("a"),
+        F.max_by("_p", "_n").alias("p"),
+        F.max_by("_q", "_n").alias("q"),
+        (F.max("_n") - F.max(F.when(has, F.col("_n")))).cast("long").alias("tail"),
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("_y", "_u", "lead", "rows", "x", "a", "p", "q", "tail")))
+    state = F.struct(F.lit(None).cast("double").alias("y"), F.lit(0).cast("long").alias("gap"), F.array().cast("array<struct<_y:int,_u:int,at:double,own:double>>").alias("out"))
+
+    def carried(s: Column, u: Column) -> Column:
+        old = F.pow(1 - u["a"], s["gap"] + u["lead"] + 1)
+        share = decay(u["a"], old)
+        own = F.when(s["y"].isNull(), u["x"]).otherwise(share * s["y"] + (1 - share) * u["x"])
+        none = u["x"].isNull()
+        out = F.concat(s["out"], F.array(F.struct(u["_y"].alias("_y"), u["_u"].alias("_u"), s["y"].alias("at"), own.alias("own"))))
+        return F.struct(F.when(none, s["y"]).otherwise(u["p"] * own + u["q"]).alias("y"), F.when(none, s["gap"] + u["rows"]).otherwise(u["tail"]).alias("gap"), out.alias("out"))
+
+    folded = units.groupBy("symbol").agg(F.aggregate(ordered, state, carried)["out"].alias("out")).select("symbol", F.explode("out").alias("o")).select("symbol", "o.*")
+    # units of a year in one row: so the rows stay where they are
+    years = folded.groupBy("symbol", "_y").agg(F.transform(F.array_sort(F.collect_list(F.struct("_u", "at", "own"))), lambda u: F.struct(u["at"].alias("at"), u["own"].alias("own"))).alias("_units"))
+    own = F.get("_units", F.col("_u"))
+    joined = rows.join(years.withColumnsRenamed({"symbol": "_s", "_y": "_yy"}), F.col("symbol").eqNullSafe(F.col("_s")) & F.col("_y").eqNullSafe(F.col("_yy")))
+    return joined.withColumn(into, F.when(F.col("_k") == 0, own["at"]).otherwise(F.col("_p") * own["own"] + F.col("_q"))).select(*df.columns, into)
 
 
 def ewm(df: DataFrame, column: str, span: int, into: str) -> DataFrame:
     """Exponential mean without adjustment. A gap repeats the last value and lets its weight decay."""
-    alpha = 2.0 / (span + 1)
-
-    def step(state: tuple, x: float | None) -> tuple:
-        y, weight = state
-        if y is None:
-            return x, (x, 1.0)
-        old = weight * (1 - alpha)
-        if x is None:
-            return y, (y, old)
-        y = (old * y + alpha * x) / (old + alpha)
-        return y, (y, 1.0)
-
-    return _recurrent(df, [column], into, lambda: (None, 1.0), step)
+    return _recurrent(df, column, F.lit(2.0 / (span + 1)), into, fading=True)
 
 
 def adaptive_ema(df: DataFrame, column: str, base: int, into: str) -> DataFrame:
@@ -105,14 +131,7 @@ def adaptive_ema(df: DataFrame, column: str, base: int, into: str) -> DataFrame:
     d = d.withColumn("_base", rolling("avg", "_vol", 120, 20))
     ratio = F.coalesce(F.col("_vol") / F.nullif(F.col("_base"), F.lit(0.0)), F.lit(1.0))
     span = F.when(ratio > 1.5, float(max(8, int(base * 0.6)))).when(ratio < 0.7, float(min(40, int(base * 1.6)))).otherwise(float(base))
-    d = d.withColumn("_alpha", 2.0 / (span + 1.0))
-
-    def step(y: float | None, x: float | None, a: float) -> tuple:
-        if x is not None:
-            y = x if y is None else a * x + (1 - a) * y
-        return y, y
-
-    return _recurrent(d, [column, "_alpha"], into, lambda: None, step).drop("_vol", "_base", "_alpha")
+    return _recurrent(d, column, 2.0 / (span + 1.0), into, fading=False).drop("_vol", "_base")
 
 
 def true_range(bars: DataFrame, into: str = "tr") -> DataFrame:

@@ -21,7 +21,7 @@ def roll(f: str, x: str, n: int, least: int) -> str:
 
 
 def rounded(df, keys: str, values: str, places: int = 6):
-    return df.select(*keys.split(), *[F.round(v, places).alias(v) for v in values.split()])
+    return df.select(*keys.split(), *[(F.round(v, places) + 0.0).alias(v) for v in values.split()])  # no negative zero
 
 
 @P.query("w1_momentum", f"WITH {M.BARS} SELECT symbol, date, round(close / nullif(lag(close, 20) {OVER}, 0) - 1, 6) AS mom_20 FROM bars")
@@ -49,19 +49,21 @@ def w10(spark, d):
 
 
 def ewm_sql(source: str, x: str, span: int, into: str) -> str:
-    """An exponential mean in closed form, for series whose only gaps lead."""
+    """source with an exponential mean in closed form, for series whose only gaps lead."""
     a = 2 / (span + 1)
-    return f"""(SELECT symbol, date, power({1 - a}, k) * sum({x} * (CASE WHEN k = 0 THEN 1 ELSE {a} END) * power({1 - a}, -k)) OVER (PARTITION BY symbol ORDER BY date) AS {into}
-      FROM (SELECT *, row_number() {OVER} - 1 AS k FROM {source} WHERE {x} IS NOT NULL))"""
+    return f"""(SELECT * EXCLUDE (_k), CASE WHEN {x} IS NOT NULL THEN power({1 - a}, _k) * sum({x} * (CASE WHEN _k = 0 THEN 1 ELSE {a} END) * power({1 - a}, -_k)) {OVER} END AS {into} FROM (SELECT *, count({x}) {OVER} - 1 AS _k FROM {source}))"""
+
+
+def plain_zero(x: str, digits: int) -> str:
+    """Rounded, and no negative zero."""
+    return f"CASE WHEN round({x}, {digits}) = 0 THEN 0 ELSE round({x}, {digits}) END"
 
 
 RET = f"r AS (SELECT *, close / nullif(lag(close) {OVER}, 0) - 1 AS ret, lag(close) {OVER} AS prev FROM bars)"
-#: The median of the last five changes, of three at least: a window's median would be computed anew for each row.
-FIVE = f"list_sort(list_filter([ret, {', '.join(f'lag(ret, {i}) {OVER}' for i in range(1, 5))}], lambda x: x IS NOT NULL))"
-FLOW = f"m AS (SELECT *, CASE WHEN len(five) >= 3 THEN (five[(len(five) + 1) // 2] + five[len(five) // 2 + 1]) / 2 END AS med FROM (SELECT *, {FIVE} AS five FROM r))"
+FLOW = f"m AS (SELECT *, {roll('median', 'ret', 5, 3)} AS med FROM r)"
 
 
-@P.query("w4_flow_proxy", f"WITH {M.BARS}, {RET}, {FLOW} SELECT m.symbol, m.date, round(med, 6) AS med, round(val_flow_10, 6) AS val_flow_10 FROM m LEFT JOIN {ewm_sql('m', 'med', 10, 'val_flow_10')} e USING (symbol, date)")
+@P.query("w4_flow_proxy", f"WITH {M.BARS}, {RET}, {FLOW} SELECT symbol, date, round(med, 6) AS med, round(val_flow_10, 6) AS val_flow_10 FROM {ewm_sql('m', 'med', 10, 'val_flow_10')}")
 def w4(spark, d):
     b = M.bars(spark, d).withColumn("ret", W.change("close")).withColumn("med", W.rolling("median", "ret", 5, 3))
     return rounded(W.ewm(b, "med", 10, "val_flow_10"), "symbol date", "med val_flow_10")
@@ -74,10 +76,10 @@ def w5(spark, d):
 
 
 ATR = f"""a AS (SELECT *, {roll("avg", "tr", 20, 10)} AS atr FROM (SELECT *, greatest(high - low, abs(high - prev), abs(low - prev)) AS tr FROM r)),
-  q AS (SELECT symbol, quantile_cont(atr, 0.01) AS lo, quantile_cont(atr, 0.99) AS hi FROM a GROUP BY symbol), w AS (SELECT a.*, greatest(least(atr, hi), lo) AS atr_w FROM a JOIN q USING (symbol))"""
+  q AS (SELECT symbol, quantile_cont(atr, 0.01) AS lo, quantile_cont(atr, 0.99) AS hi FROM a GROUP BY symbol), w AS (SELECT a.*, CASE WHEN atr IS NOT NULL THEN greatest(least(atr, hi), lo) END AS atr_w FROM a JOIN q USING (symbol))"""
 
 
-@P.query("w6_atr_risk", f"WITH {M.BARS}, {RET}, {ATR} SELECT w.symbol, w.date, round(atr, 6) AS atr, round(val_risk_10, 6) AS val_risk_10 FROM w LEFT JOIN {ewm_sql('(SELECT * FROM w WHERE atr IS NOT NULL)', 'atr_w', 10, 'val_risk_10')} e USING (symbol, date)")
+@P.query("w6_atr_risk", f"WITH {M.BARS}, {RET}, {ATR} SELECT symbol, date, round(atr, 6) AS atr, round(val_risk_10, 6) AS val_risk_10 FROM {ewm_sql('w', 'atr_w', 10, 'val_risk_10')}")
 def w6(spark, d):
     b = W.true_range(M.bars(spark, d)).withColumn("atr", W.rolling("avg", "tr", 20, 10))
     return rounded(W.ewm(W.winsorised(b, "atr", 0.01, 0.99, "w"), "w", 10, "val_risk_10"), "symbol date", "atr val_risk_10")
@@ -109,14 +111,14 @@ def w2(spark, d):
 
 
 def adaptive_sql(source: str, x: str, base: int, into: str) -> str:
-    """The adaptive mean in closed form, for series whose only gaps lead."""
+    """source with the adaptive mean in closed form, for series whose only gaps lead."""
     fast, slow = max(8, int(base * 0.6)), min(40, int(base * 1.6))
-    steps = f"(SELECT symbol, date, {x}, {x} / nullif(lag({x}) {OVER}, 0) - 1 AS chg FROM {source})"
+    steps = f"(SELECT *, {x} / nullif(lag({x}) {OVER}, 0) - 1 AS chg FROM {source})"
     steps = f"(SELECT *, {roll('avg', 'abs(chg)', 20, 5)} AS vol FROM {steps})"
-    steps = f"(SELECT *, coalesce(vol / nullif({roll('avg', 'vol', 120, 20)}, 0), 1) AS ratio FROM {steps})"
-    steps = f"(SELECT symbol, date, {x}, 2.0 / (CASE WHEN ratio > 1.5 THEN {fast}.0 WHEN ratio < 0.7 THEN {slow}.0 ELSE {base}.0 END + 1) AS a, row_number() {OVER} AS k FROM {steps} WHERE {x} IS NOT NULL)"
-    steps = f"(SELECT *, sum(CASE WHEN k > 1 THEN ln(1 - a) ELSE 0 END) {OVER} AS p FROM {steps})"
-    return f"(SELECT symbol, date, exp(p) * sum({x} * (CASE WHEN k = 1 THEN 1 ELSE a END) * exp(-p)) {OVER} AS {into} FROM {steps})"
+    steps = f"(SELECT *, coalesce(vol / nullif({roll('avg', 'vol', 120, 20)}, 0), 1) AS ratio, count({x}) {OVER} AS _k FROM {steps})"
+    steps = f"(SELECT * EXCLUDE (ratio), 2.0 / (CASE WHEN ratio > 1.5 THEN {fast}.0 WHEN ratio < 0.7 THEN {slow}.0 ELSE {base}.0 END + 1) AS _a FROM {steps})"
+    steps = f"(SELECT *, sum(CASE WHEN _k > 1 THEN ln(1 - _a) ELSE 0 END) {OVER} AS _p FROM {steps})"
+    return f"(SELECT * EXCLUDE (chg, vol, _a, _k, _p), CASE WHEN {x} IS NOT NULL THEN exp(_p) * sum({x} * (CASE WHEN _k = 1 THEN 1 ELSE _a END) * exp(-_p)) {OVER} END AS {into} FROM {steps})"
 
 
 def z_sql(x: str) -> str:
@@ -125,12 +127,11 @@ def z_sql(x: str) -> str:
 
 @P.query(
     "w8_value_score",
-    f"""WITH {M.BARS}, {RET}, {FLOW}, {ATR}, t AS (SELECT symbol, date, close * volume AS t FROM bars), tq AS (SELECT symbol, quantile_cont(t, 0.025) AS lo, quantile_cont(t, 0.975) AS hi FROM t GROUP BY symbol), liq AS (SELECT symbol, date, greatest(least(t, hi), lo) AS val_liq_win FROM t JOIN tq USING (symbol)),
-  mo AS (SELECT symbol, date, close / nullif(lag(close, 20) {OVER}, 0) - 1 AS mom_20 FROM bars),
-  f AS (SELECT b.symbol, b.date, val_mom_20, val_flow_10, val_liq_win, val_risk_10 FROM bars b LEFT JOIN {adaptive_sql("mo", "mom_20", 20, "val_mom_20")} e1 USING (symbol, date) LEFT JOIN {ewm_sql("m", "med", 10, "val_flow_10")} e2 USING (symbol, date)
-    JOIN liq USING (symbol, date) LEFT JOIN {ewm_sql("(SELECT * FROM w WHERE atr IS NOT NULL)", "atr_w", 10, "val_risk_10")} e3 USING (symbol, date)),
+    f"""WITH {M.BARS}, {RET}, {FLOW}, {ATR.replace("FROM r)", "FROM m)")}, tq AS (SELECT symbol, quantile_cont(close * volume, 0.025) AS lo, quantile_cont(close * volume, 0.975) AS hi FROM bars GROUP BY symbol),
+  t AS (SELECT w.*, greatest(least(close * volume, hi), lo) AS val_liq_win, close / nullif(lag(close, 20) {OVER}, 0) - 1 AS mom_20 FROM w JOIN tq USING (symbol)),
+  f AS (SELECT * FROM {adaptive_sql(ewm_sql(ewm_sql("t", "med", 10, "val_flow_10"), "atr_w", 10, "val_risk_10"), "mom_20", 20, "val_mom_20")}),
   s AS (SELECT *, 0.35 * {z_sql("val_mom_20")} + 0.25 * {z_sql("val_flow_10")} + 0.20 * {z_sql("val_liq_win")} - 0.20 * {z_sql("val_risk_10")} AS value_score_raw FROM f)
-  SELECT s.symbol, s.date, round(val_liq_win, 6) AS val_liq_win, {", ".join(f"round({c}, 4) AS {c}" for c in ("val_mom_20", "val_flow_10", "val_risk_10", "value_score_raw", "value_score"))} FROM s LEFT JOIN {adaptive_sql("s", "value_score_raw", 10, "value_score")} v USING (symbol, date)""",
+  SELECT symbol, date, round(val_liq_win, 6) AS val_liq_win, {", ".join(f"{plain_zero(c, 4)} AS {c}" for c in ("val_mom_20", "val_flow_10", "val_risk_10", "value_score_raw", "value_score"))} FROM {adaptive_sql("s", "value_score_raw", 10, "value_score")}""",
 )
 def w8(spark, d):
     rows = W.value_factors(M.bars(spark, d)).withColumn("val_liq_win", F.round("val_liq_win", 6))
