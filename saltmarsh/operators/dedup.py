@@ -8,48 +8,114 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import stored
+from ..sources import commits
 
 
 def _keys_of(i: int, kind: str) -> Column:
     return F.transform(F.coalesce(kind, F.array().cast("array<string>")), lambda x: F.struct(F.lit(i).alias("k"), x.alias("v")))
 
 
-def greedy(documents: DataFrame, kinds: Sequence[str] = ("url", "title_date", "content")) -> DataFrame:
-    """id, kept, kind, matched: documents in order of id, each a duplicate if a kept one before it has one of its keys.
+def _key_rows(documents: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    return documents.select("id", F.explode(F.array_distinct(F.concat(*[_keys_of(i, k) for i, k in enumerate(kinds)]))).alias("key")).where("key.v is not null and key.v <> ''").select("id", "key.k", "key.v")
 
-    documents: id and an array of keys a kind. Duplicates register nothing, so a key counts for its first *kept* owner. ``kind`` is
-    the first in order of those shared, ``matched`` the owner there. Rounds: a document that comes first in all its keys among the
-    undecided is kept; those that share a key with it are duplicates. A round is two joins on keys, none gathers a key's documents;
-    their number is the length of the longest chain of decisions.
-    """
-    keys = documents.select("id", F.explode(F.array_distinct(F.concat(*[_keys_of(i, k) for i, k in enumerate(kinds)]))).alias("key")).where("key.v is not null and key.v <> ''").select("id", "key.k", "key.v")
-    keys = stored(keys, "keys")
+
+def _parents(undecided: DataFrame) -> DataFrame:
+    """id, ok and parent: ok, if a document comes first in all its keys; parent, if all that come before it in its keys are one document."""
+    first = undecided.groupBy("k", "v").agg(F.min("id").alias("first"))
+    with_first = undecided.join(first, ["k", "v"])
+    second = with_first.where(F.col("id") > F.col("first")).groupBy("k", "v").agg(F.min("id").alias("second"))
+    is_first, is_second = F.col("id") == F.col("first"), F.col("id") == F.col("second")
+    before = F.when(is_second, F.col("first"))
+    rows = with_first.join(second, ["k", "v"], "left").groupBy("id").agg(F.bool_and(is_first).alias("ok"), F.bool_or(~is_first & ~is_second).alias("more"), F.min(before).alias("lo"), F.max(before).alias("hi"))
+    return rows.select("id", "ok", F.when(~F.col("ok") & ~F.col("more") & (F.col("lo") == F.col("hi")), F.col("lo")).alias("parent"))
+
+
+def _chained(parents: DataFrame) -> DataFrame:
+    """id, end, odd of documents with a parent: the first of their line that has none, and whether the number of steps to it is odd. Steps double each round."""
+    line = stored(parents.where("parent is not null").select("id", F.col("parent").alias("end"), F.lit(True).alias("odd")), "chain")
+    while not line.join(line.select(F.col("id").alias("end")), "end", "left_semi").isEmpty():
+        on = line.select(F.col("id").alias("_id"), F.col("end").alias("_end"), F.col("odd").alias("_odd"))
+        line = stored(line.join(on, F.col("end") == F.col("_id"), "left").select("id", F.coalesce("_end", "end").alias("end"), (F.col("odd") != F.coalesce("_odd", F.lit(False))).alias("odd")), "chain")
+    return line
+
+
+def _owners(keys: DataFrame) -> DataFrame | None:
+    """id, k, v of the documents of stored keys that are kept; None where there are no keys."""
     undecided, owners = keys, None
     while not undecided.isEmpty():
-        first = undecided.groupBy("k", "v").agg(F.min("id").alias("first"))
-        kept = undecided.join(first, ["k", "v"]).groupBy("id").agg(F.bool_and(F.col("id") == F.col("first")).alias("ok")).where("ok").select("id")
-        new = stored(undecided.join(kept, "id", "left_semi"), "kept")
+        parents = stored(_parents(undecided), "parents")
+        roots = parents.where("ok").select("id")
+        # who has one document before it, alone, is kept if that one isn't: along a line of such documents every other one is
+        every_other = _chained(parents).where("not odd").join(roots.withColumnRenamed("id", "end"), "end", "left_semi").select("id")
+        new = stored(undecided.join(roots.unionByName(every_other), "id", "left_semi"), "kept")
         owners = new if owners is None else owners.unionByName(new)
-        taken = new.select("k", "v").distinct()
-        gone = undecided.join(taken, ["k", "v"], "left_semi").select("id").distinct()
+        gone = undecided.join(new.select("k", "v").distinct(), ["k", "v"], "left_semi").select("id").distinct()
         undecided = stored(undecided.join(gone, "id", "left_anti"), "undecided")
+    return owners
+
+
+def greedy(documents: DataFrame, kinds: Sequence[str] = ("url", "title_date", "content"), registry: DataFrame | None = None) -> DataFrame:
+    """id, kept, kind, matched: documents in order of id, each a duplicate if a kept one before it has one of its keys.
+
+    documents: id and an array of keys a kind. Duplicates register nothing, so a key counts for its first *kept* owner. ``kind`` is
+    the first in order of those shared, ``matched`` the owner there. With a registry (kind, v, owner) of earlier runs, its keys have their owners
+    already, and every document comes behind those.
+
+    A round keeps what comes first in all its keys, and every other document along lines whose members each depend on one other; such lines are followed with
+    doubling steps. What shares a key with a kept one is out. A round is some joins on keys, none gathers a key's documents. Only documents that wait for
+    several others, which wait in turn, need further rounds.
+    """
+    keys = stored(_key_rows(documents, kinds), "keys")
+    known = None
+    if registry is not None:
+        number = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind")) - 1
+        known = registry.where(F.col("kind").isin(*kinds)).select(number.cast("int").alias("k"), "v", "owner")
+    fresh = keys
+    if known is not None:
+        met = keys.join(known.select("k", "v"), ["k", "v"], "left_semi").select("id").distinct()
+        fresh = stored(keys.join(met, "id", "left_anti"), "fresh")
+    found = _owners(fresh)
+    owners = None if found is None else found.withColumnRenamed("id", "owner").withColumn("now", F.lit(True))
+    if known is not None:
+        earlier = known.withColumn("now", F.lit(False))
+        owners = earlier if owners is None else owners.unionByName(earlier)
     if owners is None:
         return documents.select("id", F.lit(True).alias("kept"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast(documents.schema["id"].dataType).alias("matched"))
-    # each key has one kept owner; documents without keys are kept
-    hits = keys.join(owners.withColumnRenamed("id", "owner"), ["k", "v"]).where("owner < id").groupBy("id").agg(F.min(F.struct("k", "owner")).alias("m"))
+    # each key has one owner; documents without keys are kept
+    hits = keys.join(owners, ["k", "v"]).where("not now or owner < id").groupBy("id").agg(F.min(F.struct("k", "owner")).alias("m"))
     name = F.when(F.col("m").isNotNull(), F.element_at(F.array(*[F.lit(k) for k in kinds]), F.col("m.k") + 1))
     return documents.select("id").join(hits, "id", "left").select("id", F.col("m").isNull().alias("kept"), name.alias("kind"), F.col("m.owner").alias("matched"))
 
 
+def registered(documents: DataFrame, decided: DataFrame, kinds: Sequence[str] = ("url", "title_date", "content")) -> DataFrame:
+    """kind, v and owner of the keys of documents that were kept (id, kept): what a registry gains by a run."""
+    kept = _key_rows(documents, kinds).join(decided.where("kept").select("id"), "id", "left_semi")
+    return kept.select(F.element_at(F.array(*[F.lit(k) for k in kinds]), F.col("k") + 1).alias("kind"), "v", F.col("id").alias("owner"))
+
+
+def deduplicated(documents: DataFrame, registry: commits.Table, run: str, kinds: Sequence[str] = ("url", "title_date", "content")) -> DataFrame:
+    """``greedy`` against a stored registry, which then has the kept documents' keys; ids grow from run to run.
+
+    The registry gains a run's keys in one entry of its log, after the run's decisions are stored; where another run has come in between, that is a
+    ``Conflict`` and nothing is registered, so the run can be repeated on the newer registry.
+    """
+    entry = registry.entry()
+    known = registry.read(entry) if entry else None
+    decided = stored(greedy(documents, kinds, known), "decided")
+    registry.extend(registered(documents, decided, kinds), run, entry)
+    return decided
+
+
 def bootstrapped(keys: DataFrame) -> DataFrame:
-    """The registry (k, v) that an earlier run's kept documents (id, k, v) make up."""
-    return keys.where("v is not null and v <> ''").select("k", "v").distinct()
+    """The registry (kind, v, owner) that an earlier run's documents (id, kind, v) make up; the first with a key owns it."""
+    return keys.where("v is not null and v <> ''").groupBy("kind", "v").agg(F.min("id").alias("owner"))
 
 
-def against_registry(keys: DataFrame, registry: DataFrame) -> DataFrame:
-    """Documents (id, k, v) none of whose keys an earlier run registered (k, v)."""
-    known = keys.join(registry.select("k", "v").distinct(), ["k", "v"], "left_semi").select("id").distinct()
-    return keys.select("id").distinct().join(known, "id", "left_anti")
+def against_registry(keys: DataFrame, registry: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """id, kind, owner: for each document (id, kind, v) the first kind in order by which another one is registered (kind, v, owner), and that one; else null."""
+    order = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind"))
+    met = keys.join(registry, ["kind", "v"]).where("owner <> id").groupBy("id").agg(F.min(F.struct(order.alias("o"), "owner", "kind")).alias("m"))
+    return keys.select("id").distinct().join(met, "id", "left").select("id", F.col("m.kind").alias("kind"), F.col("m.owner").alias("owner"))
 
 
 def first_records(records: DataFrame, order: Sequence[Column | str], by: Sequence[str] = ("record_id", "fingerprint")) -> DataFrame:

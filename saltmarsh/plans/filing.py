@@ -207,13 +207,19 @@ def d5(spark, d):
     return dedup.changed(inputs, index).select("doc_id")
 
 
-@P.query("d2_d3_against_registry", "SELECT doc_id AS id FROM documents d WHERE text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM documents r WHERE r.doc_id % 5 = 0 AND (r.text = d.text OR (r.source = d.source AND r.n_chars = d.n_chars)))")
+@P.query(
+    "d2_d3_against_registry",
+    """WITH r AS (SELECT text, source, n_chars, doc_id FROM documents WHERE doc_id % 5 = 0), t AS (SELECT text, min(doc_id) AS owner FROM r GROUP BY text), z AS (SELECT source, n_chars, min(doc_id) AS owner FROM r GROUP BY source, n_chars)
+  SELECT doc_id AS id, CASE WHEN t.owner <> doc_id THEN 'text' WHEN z.owner <> doc_id THEN 'size' END AS kind, CASE WHEN t.owner <> doc_id THEN t.owner WHEN z.owner <> doc_id THEN z.owner END AS owner
+  FROM documents d LEFT JOIN t ON d.text = t.text LEFT JOIN z ON d.source = z.source AND d.n_chars = z.n_chars WHERE d.text IS NOT NULL""",
+)
 def d2(spark, d):
-    """Documents that share neither their text nor source and length with what an earlier run kept."""
+    """Documents against what an earlier run registered: by their text, else by source and length, with the one they match."""
     docs = table(spark, d, "documents")
-    keys = docs.select(F.col("doc_id").alias("id"), F.explode(F.array(F.struct(F.lit("text").alias("k"), F.md5("text").alias("v")), F.struct(F.lit("size").alias("k"), F.when(F.col("source").isNotNull() & F.col("n_chars").isNotNull(), F.concat_ws("|", "source", "n_chars")).alias("v")))).alias("key")).select("id", "key.k", "key.v")
-    earlier = keys.where("id % 5 = 0 and v is not null")
-    return dedup.against_registry(keys, dedup.bootstrapped(earlier)).join(docs.where("text is not null").select(F.col("doc_id").alias("id")), "id", "left_semi")
+    keys = docs.select(F.col("doc_id").alias("id"), F.explode(F.array(F.struct(F.lit("text").alias("kind"), F.md5("text").alias("v")), F.struct(F.lit("size").alias("kind"), F.when(F.col("source").isNotNull() & F.col("n_chars").isNotNull(), F.concat_ws("|", "source", "n_chars")).alias("v")))).alias("key")).select("id", "key.kind", "key.v")
+    registry = commits.Table(spark, shared_path(spark, "registry"))
+    registry.append(dedup.bootstrapped(keys.where("id % 5 = 0")), "run-1")
+    return dedup.against_registry(keys, registry.read(), ("text", "size")).join(docs.where("text is not null").select(F.col("doc_id").alias("id")), "id", "left_semi")
 
 
 @P.query("d6_needs_enrichment", "SELECT page_id, length(url) + 5 < 80 OR 5.0 / greatest(length(url) + 5, 1) < 0.55 AS needed FROM pages WHERE url LIKE 'http%' AND url NOT LIKE '% %'")
