@@ -97,22 +97,6 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    system, at = _file(spark, path)
-    return system.exists(at)
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, replaced as a whole."""
-    system, at = _file(spark, path)
-    _, part = _file(spark, f"{path}.part")
-    out = system.create(part, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    system.delete(at, False)
-    system.rename(part, at)
-
-
 #: Rows of identifiers, 8 to 16 bytes each, up to which they are broadcast rather than shuffled against the texts.
 BROADCAST_ROWS = 1_000_000
 

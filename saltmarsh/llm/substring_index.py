@@ -15,7 +15,6 @@ the distinct windows of that fingerprint in memory.
 from __future__ import annotations
 
 import hashlib
-import json
 import uuid
 from collections.abc import Iterator
 
@@ -25,8 +24,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.commits import Log
 from .hashing import batches, run_hashes, words_of
-from .scratch import Scratch, delete, exists, partitions, write_text
+from .scratch import Scratch, delete, partitions
 
 GRAM = 12
 LAST = (1 << 63) - 1
@@ -92,16 +92,19 @@ def facts(docs: DataFrame, window: int, gram: int = GRAM) -> DataFrame:
 class FingerprintIndex:
     """Sorted immutable runs of (fp, did) in a folder, with a manifest: an index that is there already is opened.
 
-    A run is a table bucketed and sorted by fingerprint, so a merge-join of runs shuffles nothing. The manifest names the live runs; it is written
-    after a run is complete and before a compacted one is deleted, so a job that is lost leaves the index as it was.
+    A run is a table bucketed and sorted by fingerprint, so a merge-join of runs shuffles nothing. The newest entry of a log names the live runs, the
+    texts and the batches with their reports. A batch is named last, when its report is stored, so a job that is lost leaves the index as
+    it was and can be repeated; of two jobs that add at once, one gets a Conflict. Runs that were compacted stay for an entry more, for those who read them.
     """
 
     def __init__(self, spark: SparkSession, root: str, fan_in: int = 4):
         self.spark, self.root, self.fan_in = spark, root, fan_in
-        self.buckets, self.runs, self.texts, self.last = partitions(spark), [], [], None
-        if exists(spark, f"{root}/manifest"):
-            known = json.loads(spark.read.text(f"{root}/manifest", wholetext=True).first()[0])
-            self.buckets, self.texts, self.last = known["buckets"], known["texts"], known["last"]
+        self.buckets, self.runs, self.texts, self.last, self.batches = partitions(spark), [], [], None, {}
+        self.log = Log(spark, f"{root}/log")
+        self.number = 0
+        for entry in self.log.newest():
+            known, self.number = entry.state, entry.number
+            self.buckets, self.texts, self.last, self.batches = known["buckets"], known["texts"], known["last"], known["batches"]
             self.runs = [(self._registered(path), path) for path in known["runs"]]
 
     def _registered(self, path: str) -> str:
@@ -109,8 +112,16 @@ class FingerprintIndex:
         self.spark.sql(f"CREATE TABLE {name} (fp BIGINT, did BIGINT) USING parquet OPTIONS (path '{path}') CLUSTERED BY (fp) SORTED BY (fp) INTO {self.buckets} BUCKETS")
         return name
 
-    def _note(self) -> None:
-        write_text(self.spark, f"{self.root}/manifest", json.dumps({"buckets": self.buckets, "runs": [path for _, path in self.runs], "texts": self.texts, "last": self.last}))
+    def note(self, batch: str, report: str, texts: str, last: int) -> None:
+        """Name the runs added since the last entry, with a batch's identifier, the folders of its report and its texts, and its greatest did."""
+        if len(self.runs) > self.fan_in:
+            self.compact()
+        self.texts, self.last, self.batches = [*self.texts, texts], last, self.batches | {batch: report}
+        state = {"buckets": self.buckets, "runs": [path for _, path in self.runs], "texts": self.texts, "last": last, "batches": self.batches}
+        self.number = self.log.add(state, self.number).number
+        newest = [set(e.state["runs"]) for e in self.log.newest(3)]
+        for path in newest[-1] - newest[0] - newest[1] if len(newest) == 3 else ():
+            delete(self.spark, path)
 
     def _write(self, rows: DataFrame) -> tuple[str, str]:
         name = f"run_{uuid.uuid4().hex}"
@@ -118,11 +129,8 @@ class FingerprintIndex:
         rows.select("fp", "did").repartition(self.buckets, "fp").write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", path).saveAsTable(name)
         return name, path
 
-    def add(self, rows: DataFrame, texts: str | None = None, last: int | None = None) -> DataFrame:
-        """Append a batch as a run; returns, stored, the fingerprints that one of its documents shares with another document.
-
-        ``texts`` names the folder of the batch's texts and ``last`` its greatest did, for batches to come.
-        """
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Append a batch as a run; returns, stored, the fingerprints that one of its documents shares with another document."""
         run = self._write(rows)
         new = self.spark.table(run[0])
         own = new.groupBy("fp").agg(F.min("did").alias("lo"), F.max("did").alias("hi"))
@@ -132,11 +140,6 @@ class FingerprintIndex:
             found = found.unionByName(own.alias("n").join(old.alias("o"), "fp").where("n.lo <> o.lo or n.hi <> o.hi or n.lo <> n.hi").select("fp"))
         found = Scratch(self.spark, "found").store(found.distinct(), "found")
         self.runs.append(run)
-        self.texts += [texts] if texts else []
-        self.last = last
-        self._note()
-        if len(self.runs) > self.fan_in:
-            self.compact()
         return found
 
     def rows(self) -> DataFrame:
@@ -146,13 +149,14 @@ class FingerprintIndex:
         return out
 
     def compact(self) -> None:
-        """Merge all runs into one."""
+        """Merge all runs into one; the files of those that an entry names stay."""
         if len(self.runs) > 1:
             old, self.runs = self.runs, [self._write(self.rows())]
-            self._note()
+            named = {path for e in self.log.newest() for path in e.state["runs"]}
             for name, path in old:
                 self.spark.sql(f"DROP TABLE {name}")
-                delete(self.spark, path)
+                if path not in named:
+                    delete(self.spark, path)
 
     def close(self) -> None:
         """Forget the tables; the files stay."""
@@ -215,16 +219,38 @@ def _spans(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["did", "tk", "start", "stop"])
 
 
+#: Windows of a fingerprint that a task reads; those of a hotter one are dealt to SHARES tasks by their hashes.
+HOT, SHARES = 1 << 20, 64
+
+
+def _dealt(hot: DataFrame) -> DataFrame:
+    """A row for each window, with the share that its hash falls into."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for fp, did, tk, at, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h = np.frombuffer(hashes, np.uint64)
+                same = [pa.array(np.full(len(h), x), pa.int64()) for x in (fp, did, tk)]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(at + np.arange(len(h))), pa.array([x.tobytes() for x in h], pa.binary()), pa.array((h % np.uint64(SHARES)).astype(np.int32) + 1)], names=["fp", "did", "tk", "at", "hashes", "share"])
+
+    return hot.mapInArrow(run, f"{WINDOWS}, share int")
+
+
 def _settle(opened: DataFrame, window: int) -> DataFrame:
-    """Spans of words whose window also starts in an earlier document. Rows of a fingerprint come in document order."""
+    """Spans of words whose window also starts in an earlier document, of stored windows. Rows of a fingerprint, or of a hot one's share, come in document order."""
+    sizes = opened.groupBy("fp").agg(F.sum(F.octet_length("hashes")).alias("bytes")).where(F.col("bytes") > 8 * HOT).select("fp")
+    opened, whole = opened.withColumn("share", F.lit(0)), opened
+    if not sizes.isEmpty():
+        hot = F.broadcast(sizes)  # one row for HOT windows, at most
+        opened = opened.join(hot, "fp", "left_anti").unionByName(_dealt(whole.join(hot, "fp", "left_semi").select("fp", "did", "tk", "at", "hashes")))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fp_now, did_now, earlier, own = None, None, set(), set()
+        now, did_now, earlier, own = None, None, set(), set()
         for batch in stream:
             rows = []
-            for fp, did, tk, at, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if fp != fp_now:
-                    fp_now, did_now, earlier, own = fp, did, set(), set()
+            for fp, did, tk, at, hashes, share in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (fp, share) != now:
+                    now, did_now, earlier, own = (fp, share), did, set(), set()
                 elif did != did_now:
                     earlier |= own
                     did_now, own = did, set()
@@ -242,7 +268,7 @@ def _settle(opened: DataFrame, window: int) -> DataFrame:
                 own.update(hs)
             yield _spans(rows)
 
-    return opened.repartition(partitions(opened.sparkSession), "fp").sortWithinPartitions("fp", "did").mapInArrow(run, SPANS)
+    return opened.select("fp", "did", "tk", "at", "hashes", "share").repartition(partitions(opened.sparkSession), "fp", "share").sortWithinPartitions("fp", "share", "did").mapInArrow(run, SPANS)
 
 
 def _decided(rows: DataFrame, window: int) -> DataFrame:
@@ -302,14 +328,20 @@ def deduplicate(docs: DataFrame, root: str, window: int = 50, gram: int = GRAM,
     """Add a batch to the index in ``root`` (made, if there is none) and report on the batch: doc_id, n_words, n_removed, kept_sha256.
 
     A word goes if a window over it also starts in a document of an earlier batch or with a smaller doc_id, as if all batches were one
-    table. Batches come in order of doc_id, and every row has one: others are refused. The index keeps its runs of fingerprints and the texts
+    table. Batches come in order of doc_id, and every row has one: others are refused; a batch that is there already, the same rows,
+    gets its report again. A job that is lost on the way leaves the index as it was. The index keeps its runs of fingerprints and the texts
     with windows, from which the windows behind shared fingerprints are read again and compared. Other cases are those of ``Repeats``.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "batch")
     known = scratch.store(facts(docs, window, gram), "facts")
-    low, high, nameless = known.agg(F.min("did"), F.max("did"), F.count_if(F.col("doc_id").isNull())).first()
+    mark = F.sum(F.xxhash64("doc_id", "tk").cast("decimal(38,0)"))
+    low, high, nameless, many, mark = known.agg(F.min("did"), F.max("did"), F.count_if(F.col("doc_id").isNull()), F.count("*"), mark).first()
     index = FingerprintIndex(spark, root, fan_in)
+    batch = f"{low}-{high}-{many}-{mark}"
+    if batch in index.batches:
+        index.close()
+        return spark.read.schema(REPORT).parquet(index.batches[batch])
     if nameless or low is not None and index.last is not None and low <= index.last:
         raise ValueError("batches must come in order of doc_id, without null ones")
     before = index.last
@@ -317,19 +349,22 @@ def deduplicate(docs: DataFrame, root: str, window: int = 50, gram: int = GRAM,
         index.close()
         return known.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"))
     live = known.where(F.size("fps") > 0)
-    path = f"{root}/texts-{uuid.uuid4().hex}"
+    path, report = (f"{root}/{kind}-{uuid.uuid4().hex}" for kind in ("texts", "report"))
     keyed(docs).select("did", "tk", "text").join(live.select("did", "tk").distinct().hint("shuffle_hash"), ["did", "tk"], "left_semi").write.parquet(path)
-    found = index.add(scratch.store(live.select("did", F.explode("fps").alias("fp")), "fingerprints"), path, high)
+    found = index.add(scratch.store(live.select("did", F.explode("fps").alias("fp")), "fingerprints"))
     named = index.rows().join(found, "fp").groupBy("did").agg(F.collect_set("fp").alias("fps"))
-    texts = scratch.store(spark.read.parquet(*index.texts).join(named.hint("shuffle_hash"), "did"), "texts")
-    index.close()
+    texts = scratch.store(spark.read.parquet(*index.texts, path).join(named.hint("shuffle_hash"), "did"), "texts")
     windows = scratch.store(_windows(texts, window, gram), "windows")
     spans = _settle(windows.where("fp is not null"), window).unionByName(_decided(windows.where("fp is null"), window))
     spans = spans if before is None else spans.where(F.col("did") > before)
     spans = scratch.store(spans.distinct().groupBy("did", "tk").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
-    return _reported(known.withColumn("copy", F.lit(False)), texts, spans)
+    _reported(known.withColumn("copy", F.lit(False)), texts, spans).write.parquet(report)
+    index.note(batch, report, path, high)
+    index.close()
+    return spark.read.schema(REPORT).parquet(report)
 
 
+REPORT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 CLEANED = "n_words long, n_removed long, kept string"
 
 

@@ -176,24 +176,44 @@ def test_substring_dedup(docs, empty, batch_count):
         assert {r["doc_id"] for r in clean.collect()} == left
 
 
-def test_substring_index_grows_by_batches(docs, spark, tmp_path):
-    """Seven calls on one index, past its compaction, give what one table gives."""
+def test_substring_index_grows_by_batches(docs, spark, tmp_path, monkeypatch):
+    """Seven calls on one index, past its compaction, give what one table gives; each is lost once on its way, at another step, and repeated."""
     texts = {i: t for i, t in texts_of(docs).items()}
     want = removed(texts)
     root, names = f"file://{tmp_path}/index", sorted(texts)
     got = set()
-    for k in range(7):
+    steps = [(substring_index.FingerprintIndex, "_write"), (substring_index.FingerprintIndex, "add"), (substring_index, "_windows"), (substring_index, "_settle"), (substring_index, "_reported"), (substring_index.FingerprintIndex, "compact"), (substring_index.Log, "add")]
+    for k, (at, step) in enumerate(steps):
         part = docs.where(F.col("doc_id").isin(names[k * len(names) // 7 : (k + 1) * len(names) // 7]))
-        got |= {(r["doc_id"], (r["n_words"], r["n_removed"], r["kept_sha256"])) for r in substring_index.deduplicate(part, root).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(at, step, lambda *a, **b: 1 / 0)
+            try:
+                substring_index.deduplicate(part, root)
+            except ZeroDivisionError:
+                pass
+            else:
+                assert step == "compact"  # not due yet
+        rows = {(r["doc_id"], (r["n_words"], r["n_removed"], r["kept_sha256"])) for r in substring_index.deduplicate(part, root).collect()}
+        assert rows == {(r["doc_id"], (r["n_words"], r["n_removed"], r["kept_sha256"])) for r in substring_index.deduplicate(part, root).collect()}
+        got |= rows
     assert got == set(want.items())
     index = substring_index.FingerprintIndex(spark, root)
-    assert 1 <= len(index.runs) < 7 and len(index.texts) == 7
+    assert 1 <= len(index.runs) < 7 and len(index.texts) == len(index.batches) == index.number == 7
+    # what was compacted goes an entry later
+    live = {p.rsplit("/", 1)[1] for e in index.log.newest(2) for p in e.state["runs"]}
+    assert live <= {p.name for p in (tmp_path / "index").iterdir() if p.name.startswith("run_")}
     index.delete()
     assert substring_index.deduplicate(docs.limit(0), root).count() == 0
     with pytest.raises(ValueError):
         substring_index.deduplicate(docs.withColumn("doc_id", F.lit(None).cast("long")), root)
 
 
+def test_hot_fingerprints_are_dealt(docs, monkeypatch):
+    want = removed(texts_of(docs))
+    monkeypatch.setattr(substring_index, "HOT", 3)
+    assert {(r["doc_id"], (r["n_words"], r["n_removed"], r["kept_sha256"])) for r in substring_index.report(docs, 50, 1).collect()} == set(want.items())
+
+
 def ids_of(text: str) -> list[int]:
     from tokenizers import Tokenizer
 
