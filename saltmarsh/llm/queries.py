@@ -26,8 +26,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
+    from .scratch import Scratch
 
-    records = warc.serialised(warc.derive(warc.responses(_table(spark, sf_dir, "pages"))))
+    folder = Scratch(spark, "warc").path("files")
+    warc.write_warc(warc.messages(_table(spark, sf_dir, "pages")), folder)
+    read = warc.read_warc(spark, folder).withColumn("source_id", F.col("source_id").try_cast("long"))
+    records = warc.serialised(warc.derive(warc.parsed(read)))
     return records.select("*", F.md5("record").alias("record_md5")).drop("record")
 
 

@@ -1,15 +1,24 @@
 """Derivatives of WARC responses: linked metadata records and plain-text conversion records.
 
-All DataFrame expressions over one response's columns: no shuffle. Response records come from WARC files, split at their record
-headers by Spark's text source, or are made of fetched pages; either way a response's HTTP message is parsed for its status, headers and
+Expressions over one response's columns: no shuffle. Response records come from WARC files, cut into records
+by Spark's text source and their stated lengths, or are made of fetched pages; either way a response's HTTP message is parsed for its status, headers and
 payload. A derived record has an identifier made from its type and the response's identifier, so a repeated run gives the same ones; it
 names the response in WARC-Refers-To and repeats its target, date and payload digest. Digests are labelled, ``sha256:`` and hexadecimal.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from itertools import groupby
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from .scratch import BATCH_BYTES, bounded_batches
 
 #: Named character references that become characters; numeric ones do by their numbers.
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
@@ -77,53 +86,153 @@ def digest(text: Column | str) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(F.encode(text, "UTF-8"), 256))
 
 
+#: What the made messages answer, by the page's number, and a header that every other one has.
+STATUSES = ("200 OK", "404 Not Found", "301 Moved Permanently", "200 OK", "200 OK", "503 Service Unavailable", "200 OK")
+
+
 def messages(pages: DataFrame) -> DataFrame:
     """Fetched pages (page_id, url, html) as response records: source_id, record_id, target_uri, warc_date, message (the HTTP response whole).
 
-    The date follows from the page's number, a second each, as the pages have none; a null number is that of the first day.
+    Date, status and headers follow from the page's number, as the pages have none; a null number counts as 0.
     """
-    url, html = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
-    head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(html).cast("string"), F.lit(CRLF * 2))
-    second = F.timestamp_seconds(F.lit(DAY) + F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(YEAR)))
+    url, html, number = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")), F.coalesce(F.col("page_id").cast("long"), F.lit(0))
+    status = F.element_at(F.array(*[F.lit(x) for x in STATUSES]), (F.pmod(number, F.lit(len(STATUSES))) + 1).cast("int"))
+    server = F.when(F.pmod(number, F.lit(2)) == 0, f"Server: marsh{CRLF}").otherwise("")
+    head = F.concat(F.lit("HTTP/1.1 "), status, F.lit(CRLF), server, F.lit(f"Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(html).cast("string"), F.lit(CRLF * 2))
+    second = F.timestamp_seconds(F.lit(DAY) + F.pmod(number, F.lit(YEAR)))
     date = F.concat(F.replace(F.substring(second.cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("Z"))
     return pages.select(F.col("page_id").alias("source_id"), record_id(F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), url).alias("record_id"), url.alias("target_uri"), date.alias("warc_date"), F.concat(head, html).alias("message"))
 
 
 #: 2026-01-01, and the seconds of a year.
 DAY, YEAR = 1767225600, 31_536_000
+#: A header of this library's own: the number that a record's source has in its table.
+SOURCE = "WARC-X-Source-Id"
+
+
+def write_warc(records: DataFrame, path: str, version: str = "1.1") -> None:
+    """Response records (source_id, record_id, target_uri, warc_date, message) as gzipped WARC files; a line break in a header becomes a blank."""
+
+    def header(name: str, value: Column | str) -> Column:
+        return F.concat(F.lit(f"{CRLF}{name}: "), F.regexp_replace(F.coalesce((F.col(value) if isinstance(value, str) else value).cast("string"), F.lit("")), "[\r\n]+", " "))
+
+    body = F.coalesce(F.col("message").cast("binary"), F.lit(b""))
+    head = F.concat(F.lit(f"WARC/{version}"), header("WARC-Type", F.lit("response")), header("WARC-Record-ID", "record_id"), header("WARC-Target-URI", "target_uri"), header("WARC-Date", "warc_date"), header(SOURCE, "source_id"), header("Content-Type", F.lit("application/http; msgtype=response")), header("Content-Length", F.octet_length(body)), F.lit(CRLF * 2))
+    # bytes as they are: a string's bytes aren't looked at on the way into the file
+    records.select(F.concat(head.cast("binary"), body).cast("string").alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
+
+
+WARC = "path string, warc_type string, source_id string, record_id string, target_uri string, warc_date string, message binary, problem string"
+_VERSION, _HEADER = re.compile(rb"[0-9]\r?\n"), re.compile(rb"(?m)^([^:\r\n]+):[ \t]*([^\r\n]*)")
+#: What may stand between a record's block and the next record.
+_GAP = b"\r\n"
+
+
+def _read(path: str, pieces: Iterator[bytes]) -> Iterator[dict]:
+    """The records of one file or split, cut at ``WARC/1.``: a piece that a block is short of belongs to it."""
+
+    def given(held: bytes) -> tuple[dict, int]:
+        """A record, and how many bytes its block is short of."""
+        row = dict.fromkeys(WARC.replace(" string", "").replace(" binary", "").split(", "))
+        head, _, rest = held.partition(b"\r\n\r\n")
+        fields = {k.decode("utf-8", "replace").lower(): v.decode("utf-8", "replace").strip() for k, v in _HEADER.findall(head)}
+        row |= {"path": path, "warc_type": fields.get("warc-type"), "record_id": fields.get("warc-record-id"), "target_uri": fields.get("warc-target-uri"), "warc_date": fields.get("warc-date"), "source_id": fields.get(SOURCE.lower(), fields.get("warc-target-uri"))}
+        if not _VERSION.match(held):
+            return row | {"problem": "no version line"}, 0
+        if len(head) == len(held):
+            return row | {"problem": "headers don't end"}, 1
+        if not fields.get("content-length", "").isdigit():
+            return row | {"message": rest, "problem": "no content length"}, 0
+        length = int(fields["content-length"])
+        row["message"] = rest[:length]
+        if rest[length:].strip(_GAP) and length <= len(rest):
+            row["problem"] = "bytes behind the block"
+        return (row | {"problem": "cut short"} if length > len(rest) else row), max(0, length - len(rest))
+
+    held, row, short = None, None, 0
+    for piece in pieces:
+        if short:  # the version line stands in a block
+            held = held + b"WARC/1." + piece
+        elif piece.strip(_GAP):
+            if row is not None:
+                yield row
+            held = piece
+        else:
+            continue
+        # headers are read again only while the record isn't whole
+        row, short = given(held)
+    if row is not None:
+        yield row
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Response records of uncompressed WARC files: source_id (the target's URI), record_id, target_uri, warc_date, message.
+    """Response records of WARC/1.x files, gzipped or not: path, source_id, record_id, target_uri, warc_date, message (bytes), problem.
 
-    Spark splits files at the version line. Records of other types are left out, and so is a record cut short or one whose payload
-    has a version line of its own: its block hasn't the length that its header states.
+    Nothing is dropped in silence: a record that can't be read as one, whatever its type, comes with its problem, others with null; whole records of
+    other types aren't responses and are left out. Spark's text source cuts files at ``WARC/1.`` and undoes compression; where that stands within a block, the length stated
+    in the record's header joins the pieces again, also at the cost of the records behind one that is really cut short, which then has them in it. Only
+    where an uncompressed file is split within such a block is it cut, and named so. A task holds one record.
     """
-    raw = spark.read.option("lineSep", f"WARC/1.1{CRLF}").text(path).where("value <> ''")
-    head, at = F.substring_index("value", CRLF * 2, 1), F.instr("value", CRLF * 2)
-    block = F.expr(f"substring(value, instr(value, '{CRLF * 2}') + 4)")
 
-    def header(name: str) -> Column:
-        return F.trim(F.regexp_extract("head", rf"(?mi)^{name}:([^\r\n]*)", 1))
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pieces() -> Iterator[tuple[str, bytes]]:
+            for batch in stream:
+                for name, split, value in zip(batch.column("path").to_pylist(), batch.column("split").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                    yield f"{split}:{name}", value
+
+        names = WARC.replace(" string", "").replace(" binary", "").split(", ")
+        rows, size = [], 0
+        for key, group in groupby(pieces(), lambda x: x[0]):
+            for row in _read(key.partition(":")[2], (value for _, value in group)):
+                if row["problem"] is None and (row["warc_type"] or "").lower() != "response":
+                    continue
+                rows.append(row)
+                size += len(row["message"] or b"")
+                if size > BATCH_BYTES:
+                    yield pa.RecordBatch.from_pydict({n: [r[n] for r in rows] for n in names}, schema=form)
+                    rows, size = [], 0
+        yield pa.RecordBatch.from_pydict({n: [r[n] for r in rows] for n in names}, schema=form)
+
+    form = pa.schema([(n, pa.binary() if kind == "binary" else pa.string()) for n, kind in (x.split(" ") for x in WARC.split(", "))])
+    bounded_batches(spark)
+    raw = spark.read.option("lineSep", "WARC/1.").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("value"))
+    return raw.mapInArrow(run, WARC).select("path", "source_id", "record_id", "target_uri", "warc_date", "message", "problem")
+
+
+@F.pandas_udf(StringType())
+def _decoded(payload: pd.Series, charset: pd.Series) -> pd.Series:
+    """Payloads in charsets that Spark doesn't decode; an unknown one counts as UTF-8, and bytes that don't fit become the sign for that."""
+
+    def one(data: bytes | None, name: str) -> str | None:
+        try:
+            return None if data is None else bytes(data).decode(name, "replace")
+        except LookupError:
+            return bytes(data).decode("utf-8", "replace")
 
-    rows = raw.where(at > 0).select(head.alias("head"), F.regexp_replace(block, f"{CRLF}{CRLF}$", "").alias("message"))
-    good = rows.where((F.lower(header("WARC-Type")) == "response") & (F.octet_length("message") == header("Content-Length").try_cast("long")))
-    return good.select(header("WARC-Target-URI").alias("source_id"), header("WARC-Record-ID").alias("record_id"), header("WARC-Target-URI").alias("target_uri"), header("WARC-Date").alias("warc_date"), "message")
+    return pd.Series([one(d, c) for d, c in zip(payload, charset, strict=True)], dtype=object)
 
 
 def parsed(records: DataFrame) -> DataFrame:
-    """Response records with http_status (null where the status line is none), http_headers, payload and payload_digest instead of message.
+    """Response records with http_status (null where the status line is none), http_headers, payload (text) and payload_digest (of its bytes) instead of message.
 
-    The headers end at the first empty line; a message without one is a payload without headers.
+    The headers end at the first empty line; a message, text or bytes, without one is a payload without headers. The payload's charset is that of its
+    content type, else one that its first 1,024 bytes declare, else UTF-8.
     """
-    message = F.coalesce("message", F.lit(""))
+    message = F.coalesce(F.col("message").cast("binary"), F.lit(b""))
     rest = [c for c in records.columns if c != "message"]
     # all in bytes: positions of characters would be counted anew in every long text
-    rows = records.select(*rest, message.alias("message"), F.substring_index(message, CRLF * 2, 1).alias("head"))
-    headed = F.col("message").startswith("HTTP/") & (F.octet_length("head") < F.octet_length("message"))
-    payload = F.when(headed, F.expr("substring(cast(message AS binary), octet_length(head) + 5)").cast("string")).otherwise(F.col("message"))
-    rows = rows.select(*rest, F.when(headed, F.concat("head", F.lit(CRLF))).otherwise("").alias("http_headers"), payload.alias("payload"))
-    return rows.select(*rest, F.regexp_extract("http_headers", r"^HTTP/[0-9.]+ ([0-9]{3})", 1).try_cast("int").alias("http_status"), "http_headers", "payload", digest("payload").alias("payload_digest"))
+    rows = records.select(*rest, message.alias("message"), F.substring_index(message.cast("string"), CRLF * 2, 1).alias("head"))
+    headed = (F.substring("message", 1, 5) == F.lit(b"HTTP/")) & (F.octet_length("head") < F.octet_length("message"))
+    payload = F.when(headed, F.expr("substring(message, octet_length(head) + 5)")).otherwise(F.col("message"))
+    rows = rows.select(*rest, F.when(headed, F.concat("head", F.lit(CRLF))).otherwise("").alias("http_headers"), payload.alias("bytes"))
+    stated = F.regexp_extract("http_headers", r"(?mi)^content-type:[^\r\n]*charset=[\"']?([^\s;\"']+)", 1)
+    declared = F.regexp_extract(F.substring("bytes", 1, 1024).cast("string"), r"(?i)<(?:meta[^>]+charset|\?xml[^>]+encoding)=[\"']?([A-Za-z0-9_:.-]+)", 1)
+    rows = rows.withColumn("charset", F.lower(F.coalesce(F.nullif(stated, F.lit("")), F.nullif(declared, F.lit("")), F.lit("utf-8"))))
+    utf8, latin = F.col("charset").isin("utf-8", "utf8", "us-ascii", "ascii"), F.col("charset").isin("iso-8859-1", "latin1", "latin-1")
+    other = F.when(utf8 | latin, None).otherwise(F.col("bytes"))
+    text = F.when(utf8, F.make_valid_utf8(F.col("bytes").cast("string"))).when(latin, F.decode(F.when(latin, F.col("bytes")), "ISO-8859-1")).otherwise(_decoded(other, F.col("charset")))
+    status = F.regexp_extract("http_headers", r"^HTTP/[0-9.]+ ([0-9]{3})", 1).try_cast("int")
+    return rows.select(*rest, status.alias("http_status"), "http_headers", text.alias("payload"), F.concat(F.lit("sha256:"), F.sha2("bytes", 256)).alias("payload_digest"))
 
 
 def responses(pages: DataFrame) -> DataFrame:
@@ -215,6 +324,7 @@ def derive_sql() -> str:
         return f"'<urn:uuid:' || regexp_replace(md5({x}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') || '>'"
 
     crlf = "chr(13) || chr(10)"
+    status = f"({list(STATUSES)})[coalesce(source_id, 0) % {len(STATUSES)} + 1]"
     headers = " || ".join(f"'{name}: ' || {value} || {crlf}" for name, value in (("WARC-Type", "warc_type"), ("WARC-Record-ID", "record_id"), ("WARC-Refers-To", "refers_to"), ("WARC-Target-URI", "target_uri"), ("WARC-Date", "warc_date"), ("WARC-Payload-Digest", "payload_digest"), ("WARC-Block-Digest", "block_digest"), ("Content-Type", "content_type"), ("Content-Length", "content_length")))
     return f"""
 WITH p AS (SELECT page_id AS source_id, coalesce(url, '') AS u, coalesce(html, '') AS h FROM pages),
@@ -224,8 +334,8 @@ r AS (SELECT *, {uuid("'response' || chr(10) || coalesce(source_id::VARCHAR, '')
 b AS (SELECT r.*, 'metadata' AS warc_type, 'application/warc-fields' AS content_type,
              'title: ' || title || {crlf} || 'languages: ' || lang || {crlf} || 'outlinks: ' || links || {crlf} || 'scripts: ' || scripts || {crlf} || 'text-digest: sha256:' || sha256(t) || {crlf} AS block FROM r
       UNION ALL SELECT r.*, 'conversion', 'text/plain; charset=utf-8', t FROM r),
-o AS (SELECT source_id, warc_type, {uuid("warc_type || chr(10) || refers_to")} AS record_id, refers_to, u AS target_uri, strftime(make_timestamp(({DAY} + coalesce(source_id, 0) % {YEAR}) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS warc_date, 200 AS http_status,
-       'HTTP/1.1 200 OK' || {crlf} || 'Content-Type: text/html; charset=utf-8' || {crlf} || 'Content-Length: ' || strlen(h) || {crlf} AS source_headers,
+o AS (SELECT source_id, warc_type, {uuid("warc_type || chr(10) || refers_to")} AS record_id, refers_to, u AS target_uri, strftime(make_timestamp(({DAY} + coalesce(source_id, 0) % {YEAR}) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS warc_date, substr({status}, 1, 3)::INTEGER AS http_status,
+       'HTTP/1.1 ' || {status} || {crlf} || CASE WHEN coalesce(source_id, 0) % 2 = 0 THEN 'Server: marsh' || {crlf} ELSE '' END || 'Content-Type: text/html; charset=utf-8' || {crlf} || 'Content-Length: ' || strlen(h) || {crlf} AS source_headers,
        'sha256:' || sha256(h) AS payload_digest, content_type, block, 'sha256:' || sha256(block) AS block_digest, strlen(block)::BIGINT AS content_length
 FROM b)
 SELECT *, md5('WARC/1.1' || {crlf} || {headers} || {crlf} || block || {crlf} || {crlf}) AS record_md5 FROM o"""

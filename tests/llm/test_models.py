@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 
@@ -308,7 +309,7 @@ def test_warc(spark, tmp_path):
     rows = [(1, "http://a/", html), (2, None, None), (3, "u", ""), (3, "u", ""), (None, "n", "<p>n</p>"), (5, "long", "<p>word </p>" * 50_000)]
     pages = spark.createDataFrame(rows, PAGES).withColumns({c: F.lit("clash") for c in ("block", "_text", "record", "payload", "message", "head")})
     parsed = warc.responses(pages)
-    assert {(r["http_status"], r["http_headers"].count("\r\n")) for r in parsed.collect()} == {(200, 3)}
+    assert {(r["http_status"], r["http_headers"].count("\r\n")) for r in parsed.collect()} == {(200, 4), (404, 3), (301, 4), (200, 3), (503, 3)}
     assert sorted(r["payload"] for r in parsed.collect()) == sorted(x[2] or "" for x in rows)
     out = warc.derive(parsed)
     rows = out.collect()
@@ -323,19 +324,45 @@ def test_warc(spark, tmp_path):
     assert warc.derive(warc.responses(pages.limit(0))).count() == 0
 
 
+def warc_record(kind: str, uri: str, block: bytes, length: int | None = None, version: str = "1.1") -> bytes:
+    head = f"WARC/{version}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{uri}>\r\nWARC-Target-URI: {uri}\r\nWARC-Date: 2026-02-03T04:05:06Z\r\nContent-Length: {len(block) if length is None else length}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
 def test_warc_files_are_read(spark, tmp_path):
-    def record(kind: str, uri: str, block: bytes, length: int | None = None) -> bytes:
-        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{uri}>\r\nWARC-Target-URI: {uri}\r\nWARC-Date: 2026-02-03T04:05:06Z\r\nContent-Length: {len(block) if length is None else length}\r\n\r\n"
-        return head.encode() + block + b"\r\n\r\n"
+    import gzip
 
+    ok = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=%s\r\n\r\n%s"
     good = "HTTP/1.1 404 Not Found\r\nServer: s\r\nContent-Type: text/html\r\n\r\n<p>gone ü</p>\r\n\r\nrest".encode()
-    data = record("warcinfo", "i", b"software: x\r\n") + record("response", "http://a/", good) + record("response", "http://cut/", b"HTTP/1.1 200 OK\r\n\r\nx", 500) + record("response", "http://b/", b"no http at all")
-    (tmp_path / "x.warc").write_bytes(data)
-    rows = {r["target_uri"]: r for r in warc.parsed(warc.read_warc(spark, f"file://{tmp_path}")).collect()}
-    assert rows.keys() == {"http://a/", "http://b/"}
-    a, b = rows["http://a/"], rows["http://b/"]
-    assert (a["http_status"], a["payload"], a["warc_date"]) == (404, "<p>gone ü</p>\r\n\r\nrest", "2026-02-03T04:05:06Z") and "Server: s" in a["http_headers"]
-    assert (b["http_status"], b["http_headers"], b["payload"]) == (None, "", "no http at all")
+    nested = b"HTTP/1.1 200 OK\r\n\r\na file begins WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1."
+    first = [("warcinfo", "i", b"software: x\r\n"), ("response", "http://a/", good), ("response", "http://n/", nested), ("request", "http://q/", b"GET / HTTP/1.1\r\n\r\n"), ("response", "http://b/", b"no http at all"), ("response", "http://e/", b"")]
+    (tmp_path / "x.warc").write_bytes(b"".join(warc_record(*r) for r in first) + warc_record("response", "http://cut/", b"HTTP/1.1 200 OK\r\n\r\nx", 500))
+    text = "größe – Ж"
+    second = [("http://l1/", ok % (b"ISO-8859-1", "größe".encode("latin-1"))), ("http://cp/", ok % (b"windows-1252", "größe –".encode("cp1252"))), ("http://kr/", ok % (b"EUC-KR", "삼성".encode("euc-kr"))), ("http://??/", ok % (b"no-such", text.encode())), ("http://bad/", ok % (b"utf-8", b"a\xff\xfeb"))]
+    meta = b'HTTP/1.1 200 OK\r\n\r\n<meta charset="koi8-r">' + "Ж".encode("koi8-r")
+    members = [warc_record("response", u, b, version="1.0") for u, b in [*second, ("http://m/", meta)]]
+    (tmp_path / "y.warc.gz").write_bytes(b"".join(gzip.compress(m) for m in members))
+    (tmp_path / "z.warc").write_bytes(b"WARC/1.0\r\nWARC-Type: response\r\n\r\nno length\r\n\r\nWARC/1.0\r\nno end of headers")
+    read = warc.read_warc(spark, f"file://{tmp_path}")
+    rows = {r["target_uri"]: r for r in warc.parsed(read.where("problem is null")).collect()}
+    assert {k: (r["http_status"], r["payload"]) for k, r in rows.items()} == {
+        "http://a/": (404, "<p>gone ü</p>\r\n\r\nrest"), "http://n/": (200, nested.decode().partition("\r\n\r\n")[2]), "http://b/": (None, "no http at all"), "http://e/": (None, ""),
+        "http://l1/": (200, "größe"), "http://cp/": (200, "größe –"), "http://kr/": (200, "삼성"), "http://??/": (200, text), "http://bad/": (200, "a\ufffd\ufffdb"), "http://m/": (200, '<meta charset="koi8-r">Ж'),
+    }
+    assert rows["http://l1/"]["payload_digest"] == "sha256:" + hashlib.sha256("größe".encode("latin-1")).hexdigest()
+    assert rows["http://a/"]["warc_date"] == "2026-02-03T04:05:06Z" and "Server: s" in rows["http://a/"]["http_headers"]
+    problems = sorted((r["path"].rsplit("/", 1)[1], r["target_uri"], r["problem"]) for r in read.where("problem is not null").collect())
+    assert problems == [("x.warc", "http://cut/", "cut short"), ("z.warc", None, "headers don't end"), ("z.warc", None, "no content length")]
+
+
+def test_warc_files_are_written(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/\r\nX: y", "<p>\r\n\r\nWARC/1.1\r\nü</p>"), (2, None, None), (None, "n", ""), (3, "u", "x" * 300_000)], "page_id long, url string, html string")
+    warc.write_warc(warc.messages(pages), f"file://{tmp_path}/out", "1.0")
+    read = warc.read_warc(spark, f"file://{tmp_path}/out")
+    assert read.where("problem is not null").count() == 0
+    assert {(r["source_id"] or None, r["payload"]) for r in warc.parsed(read).collect()} == {("1", "<p>\r\n\r\nWARC/1.1\r\nü</p>"), ("2", ""), (None, ""), ("3", "x" * 300_000)}
+    warc.write_warc(warc.messages(pages.limit(0)), f"file://{tmp_path}/none")
+    assert warc.derive(warc.parsed(warc.read_warc(spark, f"file://{tmp_path}/none"))).count() == 0
 
 
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
