@@ -9,6 +9,7 @@ from ..shared import shared_path
 from ..sources import commits
 from ..sources import files as S
 from ..sources import market as M
+from ..sources import tables
 from .registry import Plans, table
 
 P = Plans()
@@ -114,6 +115,30 @@ def s6(spark, d):
     return S.latest_file(files, 5).select("path")
 
 
+@P.query(
+    "s7_flow_tables",
+    f"""WITH {M.FLOWS}, n AS (SELECT symbol, date, floor(inst)::BIGINT AS inst, floor("foreign")::BIGINT AS "foreign" FROM flows) SELECT symbol::VARCHAR || '-' || year(date) AS id, date, inst, 0::BIGINT AS corp, -(inst + "foreign") AS indiv, "foreign", 0::BIGINT AS total FROM n""",
+)
+def s7(spark, d):
+    """Flows as pages of a year, some of them within a layout table, with a head, a false date and a short row each; and the pages of the web, which have no such rows."""
+
+    def cells(*values) -> F.Column:
+        return F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), v if not isinstance(v, str) else F.lit(v), F.lit("</td>")) for v in values], F.lit("</tr>"))
+
+    def number(name: str) -> F.Column:
+        n = F.floor(name).cast("long")
+        return F.concat(F.when(n > 0, "+").otherwise(""), F.format_number(n, 0))
+
+    flows = M.flows(spark, d)
+    line = cells(F.date_format("date", "yyyy.MM.dd"), "1", "2", "3%", "", number("inst"), number("foreign"), "-", "8")
+    years = flows.groupBy("symbol", F.year("date").alias("year")).agg(F.array_join(F.array_sort(F.collect_list(F.struct("date", line.alias("line"))))["line"], "\n").alias("lines"))
+    body = F.concat(F.lit("<table><tr><th>day</th><th>inst</th></tr>"), cells("2025.02.30", *"12345678"), cells("2025.02.03", "1"), "lines", F.lit("</table>"))
+    html = F.when(F.col("symbol") % 5 == 0, F.concat(F.lit("<table><tr><td>"), body, F.lit("</td><td>side</table>"))).otherwise(body)
+    made = years.select(F.concat_ws("-", F.col("symbol").cast("string"), F.col("year").cast("string")).alias("id"), html.alias("html"))
+    web = table(spark, d, "pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("id"), "html")
+    return tables.flow_rows(made.unionByName(web)).drop("row")
+
+
 def states(spark, d):
     """The raw tree after a first sync, and what a second one finds."""
     k = F.col("doc_id")
