@@ -6,11 +6,12 @@ Everything is joins, windows and aggregations over all days at once.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import constraints
+
 
 def axis_scores(stats: DataFrame, turnover_start: float = 1.8) -> DataFrame:
     """stats with value, momentum and risk composites and their z-scores over all models (spread over n; 1 if there is none), within +-3."""
@@ -79,18 +80,65 @@ def adoption(score: Column, gates: Sequence[Column]) -> Column:
     return F.when(~ok, "HOLD").when(score >= 60, "ADOPT_FULL").when(score >= 45, "CAUTION").otherwise("HOLD")
 
 
+DAY, CODE = ("track", "date"), ("track", "date", "code")
+#: What holds among a portfolio's weights, trades, timeline, curve, models and summary. Tolerances, caps, modes.
+CHECKS: tuple[constraints.Check, ...] = (
+    constraints.Groups("weights_daily_sum_approx_100", "weights", DAY, "abs(sum(weight_pct) - 100) <= 0.2"),
+    constraints.Rows("weights_non_negative", "weights", "weight_pct >= -1e-9"),
+    constraints.Rows("weights_have_codes", "weights", "code is not null and date is not null"),
+    constraints.Groups("weights_one_row_a_code", "weights", CODE, "count_if(weight_pct > 0) <= 1"),
+    constraints.Groups("weights_slots_not_exceeded", "weights", DAY, "count_if(weight_pct > 0) <= 6"),
+    constraints.Groups("weights_no_code_in_excess", "weights", DAY, "max(weight_pct) <= 60"),
+    constraints.Subset("timeline_dates_exist_in_weights", "timeline", "weights", DAY),
+    constraints.Subset("trade_event_dates_exist_in_weights", "trades", "weights", DAY),
+    constraints.Subset("timeline_added_are_bought", "timeline", "trades", CODE, "change = 'added'", "kind = 'new'"),
+    constraints.Subset("timeline_removed_are_sold", "timeline", "trades", CODE, "change = 'removed'", "kind = 'sold'"),
+    constraints.Subset("bought_are_in_timeline", "trades", "timeline", CODE, "kind = 'new'", "change = 'added'"),
+    constraints.Subset("sold_are_in_timeline", "trades", "timeline", CODE, "kind = 'sold'", "change = 'removed'"),
+    constraints.Subset("timeline_added_have_weight", "timeline", "weights", CODE, "change = 'added'", "weight_pct > 0"),
+    constraints.Subset("raised_weights_rose", "trades", "deltas", CODE, "kind = 'more'", "delta >= 0.05 - 1e-9"),
+    constraints.Subset("cut_weights_fell", "trades", "deltas", CODE, "kind = 'less'", "delta <= -0.05 + 1e-9"),
+    constraints.Rows("trade_kinds_known", "trades", "kind in ('new', 'sold', 'more', 'less')"),
+    constraints.Rows("trade_deltas_have_their_sign", "trades", "sign(delta) = if(kind in ('new', 'more'), 1, -1)"),
+    constraints.Groups("trades_one_row_a_code", "trades", CODE, "count(*) = 1"),
+    constraints.Subset("curve_days_held", "curve", "weights", DAY),
+    constraints.Subset("held_days_in_curve", "weights", "curve", DAY, "weight_pct > 0"),
+    constraints.Rows("curve_stays_positive", "curve", "equity > 0 and not isnan(equity)"),
+    constraints.Groups("curve_one_row_a_day", "curve", DAY, "count(*) = 1"),
+    constraints.Rows("summary_mode_known", "summary", "mode in ('SIMULATED', 'LIVE')"),
+    constraints.Rows("summary_live_has_a_ledger", "summary", "not (mode = 'LIVE' and not real_ledger)"),
+    constraints.Rows("summary_axis_cap_le_0_25", "summary", "axis_cap <= 0.25 + 1e-12"),
+    constraints.Rows("summary_corr_threshold_eq_0_7", "summary", "abs(corr_threshold - 0.7) <= 1e-12"),
+    constraints.Totals("summary_counts_weights", "summary", "max(weights)", "weights", "count_if(weight_pct > 0)"),
+    constraints.Totals("summary_counts_trades", "summary", "max(trades)", "trades", "count(*)"),
+    constraints.Totals("summary_states_best_equity", "summary", "max(best_equity)", "curve", "max(equity)", 1e-6),
+    constraints.Totals("summary_states_last_day", "summary", "max(unix_date(last_day))", "curve", "max(unix_date(date))"),
+    constraints.Subset("winner_is_the_first_model", "summary", "models", ("model_id",), "true", "rank = 1"),
+    constraints.Groups("models_are_distinct", "models", ("model_id",), "count(*) = 1"),
+    constraints.Rows("model_scores_are_numbers", "models", "score is not null and not isnan(score)"),
+)
+
+
+def weight_deltas(holdings: DataFrame) -> DataFrame:
+    """track, date, code, delta of the codes that are held on a portfolio's day and on the one before."""
+    days = holdings.select("track", "date").distinct().withColumn("next", F.lead("date").over(Window.partitionBy("track").orderBy("date")))
+    now = holdings.where("weight_pct > 0").select("track", "date", "code", F.col("weight_pct").alias("w"))
+    before = now.join(days.where("next is not null"), ["track", "date"]).select("track", F.col("next").alias("date"), "code", F.col("w").alias("p"))
+    return now.join(before, ["track", "date", "code"]).select("track", "date", "code", (F.col("w") - F.col("p")).alias("delta"))
+
+
 def consistency(holdings: DataFrame, traded: DataFrame, curve: DataFrame, slots: int = 6) -> DataFrame:
     """check, ok, failures: named assertions across holdings, trades and the replayed curve."""
-    live = holdings.where("weight_pct > 0")
-    day = live.groupBy("track", "date").agg(F.sum("weight_pct").alias("w"), F.count("*").alias("n"))
-    found = {
-        "weights_sum_to_100": day.where(F.abs(F.col("w") - 100) > 0.2),
-        "slots_not_exceeded": day.where(F.col("n") > slots),
-        "no_negative_weight": holdings.where("weight_pct < 0"),
-        "one_row_a_code": live.groupBy("track", "date", "code").count().where("count > 1"),
-        "curve_days_held": curve.join(day, ["track", "date"], "left_anti"),
-        "added_are_new_trades": holdings.where("change = 'added' and weight_pct > 0").join(traded.where("kind = 'new'"), ["track", "date", "code"], "left_anti"),
-        "removed_are_sold": holdings.where("change = 'removed'").join(traded.where("kind = 'sold'"), ["track", "date", "code"], "left_anti"),
-    }
-    parts = [df.agg(F.count("*").alias("failures")).select(F.lit(n).alias("check"), (F.col("failures") == 0).alias("ok"), "failures") for n, df in found.items()]
-    return reduce(DataFrame.unionByName, parts)
+    tables = {"weights": holdings, "live": holdings.where("weight_pct > 0"), "trades": traded, "curve": curve}
+    return constraints.evaluate(
+        tables,
+        (
+            constraints.Groups("weights_sum_to_100", "live", DAY, "abs(sum(weight_pct) - 100) <= 0.2"),
+            constraints.Groups("slots_not_exceeded", "live", DAY, f"count(*) <= {slots}"),
+            constraints.Rows("no_negative_weight", "weights", "coalesce(weight_pct, 0) >= 0"),
+            constraints.Groups("one_row_a_code", "live", CODE, "count(*) = 1"),
+            constraints.Subset("curve_days_held", "curve", "live", DAY),
+            constraints.Subset("added_are_new_trades", "weights", "trades", CODE, "change = 'added' and weight_pct > 0", "kind = 'new'"),
+            constraints.Subset("removed_are_sold", "weights", "trades", CODE, "change = 'removed'", "kind = 'sold'"),
+        ),
+    )

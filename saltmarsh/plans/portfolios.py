@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import batching, dedup, portfolio
+from ..operators import batching, constraints, dedup, portfolio
+from ..shared import stored
 from ..sources import market as M
 from .factors import ORACLES as ORACLES_OF_FACTORS
 from .factors import w14
@@ -100,6 +102,27 @@ def d22(spark, d):
     return portfolio.consistency(held, portfolio.trades(held), curve, slots=5)
 
 
+#: What fails here: days whose rounded weights miss 100, the first days' purchases, which are no changes, a summary that counts a trade too many, large weights.
+FAILING = {
+    "weights_daily_sum_approx_100": "SELECT count(*) FROM (SELECT sum(weight_pct) AS w FROM live GROUP BY track, date) WHERE abs(w - 100) > 0.2",
+    "bought_are_in_timeline": "SELECT count(*) FROM tr WHERE kind = 'new' AND date = (SELECT min(date) FROM live l WHERE l.track = tr.track)",
+    "summary_counts_trades": "SELECT 1",
+    "weights_no_code_in_excess": "SELECT count(*) FROM (SELECT max(weight_pct) AS m FROM live GROUP BY track, date) WHERE m > 60",
+}
+
+
+@P.query("d22_all_checks", f"WITH {TRADES}, f AS (" + " UNION ALL ".join(f"SELECT '{c.name}' AS \"check\", ({FAILING.get(c.name, 'SELECT 0')})::BIGINT AS failures" for c in portfolio.CHECKS) + ') SELECT "check", failures = 0 AS ok, failures FROM f')
+def d22_all(spark, d):
+    held = stored(M.holdings(spark, d), "holdings")
+    traded, curve = stored(portfolio.trades(held), "trades"), stored(portfolio.replay(held.where("weight_pct > 0"), M.group_returns(spark, d)), "curve")
+    models = scored_models(spark, d).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "model_id")))  # a row a model
+    one = curve.agg(F.max("equity").alias("best_equity"), F.max("date").alias("last_day")).crossJoin(held.agg(F.count_if(F.col("weight_pct") > 0).alias("weights"))).crossJoin(traded.agg((F.count("*") + 1).alias("trades")))
+    summary = one.crossJoin(models.where("rank = 1").select("model_id")).withColumns({"mode": F.lit("SIMULATED"), "real_ledger": F.lit(False), "axis_cap": F.lit(0.25), "corr_threshold": F.lit(0.7)})
+    timeline = held.where("change is not null").select("track", "date", "code", "change")
+    tables = {"weights": held, "trades": traded, "timeline": timeline, "deltas": portfolio.weight_deltas(held), "curve": curve, "models": models, "summary": summary}
+    return constraints.evaluate(tables, portfolio.CHECKS)
+
+
 @P.query(
     "d23_batches",
     """WITH RECURSIVE i AS (SELECT doc_id // 500 AS package, doc_id AS item_id, ceil(length(coalesce(text, '')) / 4)::BIGINT AS t, strlen(coalesce(text, '')) AS b, contains(lower(coalesce(text, '')), 'http')::INTEGER AS c, row_number() OVER (PARTITION BY doc_id // 500 ORDER BY doc_id) AS pos, count(*) OVER (PARTITION BY doc_id // 500) AS size FROM documents),
