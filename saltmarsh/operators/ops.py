@@ -71,15 +71,6 @@ def leaves(files: DataFrame, now: Column) -> DataFrame:
     return files.groupBy(folder.alias("folder")).agg(F.count("*").alias("files"), age.alias("age_hours"))
 
 
-def evidence_search(tasks: DataFrame, words: Sequence[str], n: int) -> DataFrame:
-    """The newest tasks whose proof or reason has all words."""
-    text = F.lower(F.concat_ws(" ", "proof", "reason"))
-    ok = F.lit(True)
-    for w in words:
-        ok = ok & F.contains(text, F.lit(w.lower()))
-    return tasks.where(ok).orderBy(F.desc("updated"), "id").limit(n)
-
-
 def lane(tasks: DataFrame) -> DataFrame:
     """Open tasks by lane: main, subagent or remaining."""
     a = F.lower(F.coalesce("assignee", F.lit("")))

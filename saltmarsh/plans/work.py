@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import audits, ops
+from ..operators import audits, ops, search
+from ..shared import shared_path
 from .registry import Plans, table
 
 P = Plans()
@@ -104,7 +105,10 @@ def o8(spark, d):
 
 @P.query("o9_evidence_search", f"WITH {TASKS} SELECT id FROM tasks WHERE contains(lower(proof || ' ' || reason), 'urgent') AND contains(lower(proof || ' ' || reason), 'review') ORDER BY updated DESC, id LIMIT 20")
 def o9(spark, d):
-    return ops.evidence_search(tasks(spark, d), ["Urgent", "review"], 20).select("id")
+    """By the stored index of what tasks prove, a segment a month."""
+    rows, folder = tasks(spark, d).select("id", "updated", F.concat_ws(" ", "proof", "reason").alias("text")), shared_path(spark, "evidence")
+    search.build(rows, folder)
+    return search.search(rows, folder, ["Urgent", "review"], 20).rows.select("id")
 
 
 @P.query("o10_lanes", f"WITH {TASKS} SELECT id, CASE WHEN assignee = 'main' THEN 'main' WHEN assignee LIKE 'sub%' THEN 'subagent' ELSE 'remaining' END AS lane FROM tasks WHERE status <> 'DONE'")
