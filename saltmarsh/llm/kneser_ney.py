@@ -275,12 +275,13 @@ def score(docs: DataFrame, model: DataFrame, scratch: Scratch, order: int = ORDE
     rows = _keyed(docs)
     if model.count() > table_rows:
         return _score_sharded(rows, model, scratch, order, common)
-    table = model.toArrow()
-    arrays = docs.sparkSession.sparkContext.broadcast([Model.of(table.filter(pa.array(table["half"].to_numpy() == h)), order).levels for h in (0, 1)])
-    del table
+    arrays = []
+    for h in (0, 1):  # one after the other, so that the driver holds one half at a time
+        arrays.append(docs.sparkSession.sparkContext.broadcast(Model.of(model.where(F.col("half") == h).toArrow(), order).levels))
+        pa.default_memory_pool().release_unused()
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = [Model(x, order) for x in arrays.value]
+        models = [Model(x.value, order) for x in arrays]
         for batch in stream:
             n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             for half, at, own in _by_half(batch.column("text").to_pylist(), batch.column("half").to_numpy(), order):
@@ -290,7 +291,8 @@ def score(docs: DataFrame, model: DataFrame, scratch: Scratch, order: int = ORDE
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in OWN), pa.array(n), pa.array(total)], names=[*OWN, "n", "total"])
 
     out = scratch.store(rows.mapInArrow(run, SCORES), "scores")
-    arrays.destroy()
+    for x in arrays:
+        x.destroy()
     return out
 
 

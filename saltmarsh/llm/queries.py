@@ -29,7 +29,7 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .scratch import Scratch
 
     folder = Scratch(spark, "warc").path("files")
-    warc.write_warc(warc.messages(_table(spark, sf_dir, "pages")), folder)
+    warc.write_warc(warc.messages(_table(spark, sf_dir, "pages")), folder, compression="lz4")
     read = warc.read_warc(spark, folder).withColumn("source_id", F.col("source_id").try_cast("long"))
     records = warc.serialised(warc.derive(warc.parsed(read)))
     return records.select("*", F.md5("record").alias("record_md5")).drop("record")

@@ -12,11 +12,9 @@ import re
 from collections.abc import Iterator
 from itertools import groupby
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from .scratch import BATCH_BYTES, bounded_batches
 
@@ -110,8 +108,11 @@ DAY, YEAR = 1767225600, 31_536_000
 SOURCE = "WARC-X-Source-Id"
 
 
-def write_warc(records: DataFrame, path: str, version: str = "1.1") -> None:
-    """Response records (source_id, record_id, target_uri, warc_date, message) as gzipped WARC files; a line break in a header becomes a blank."""
+def write_warc(records: DataFrame, path: str, version: str = "1.1", compression: str = "gzip") -> None:
+    """Response records (source_id, record_id, target_uri, warc_date, message) as WARC files; a line break in a header becomes a blank.
+
+    Archives are gzipped; another of Hadoop's codecs does for files that only Spark reads.
+    """
 
     def header(name: str, value: Column | str) -> Column:
         return F.concat(F.lit(f"{CRLF}{name}: "), F.regexp_replace(F.coalesce((F.col(value) if isinstance(value, str) else value).cast("string"), F.lit("")), "[\r\n]+", " "))
@@ -119,15 +120,37 @@ def write_warc(records: DataFrame, path: str, version: str = "1.1") -> None:
     body = F.coalesce(F.col("message").cast("binary"), F.lit(b""))
     head = F.concat(F.lit(f"WARC/{version}"), header("WARC-Type", F.lit("response")), header("WARC-Record-ID", "record_id"), header("WARC-Target-URI", "target_uri"), header("WARC-Date", "warc_date"), header(SOURCE, "source_id"), header("Content-Type", F.lit("application/http; msgtype=response")), header("Content-Length", F.octet_length(body)), F.lit(CRLF * 2))
     # bytes as they are: a string's bytes aren't looked at on the way into the file
-    records.select(F.concat(head.cast("binary"), body).cast("string").alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
+    records.select(F.concat(head.cast("binary"), body).cast("string").alias("value")).write.option("lineSep", CRLF * 2).option("compression", compression).text(path)
 
 
-WARC = "path string, warc_type string, source_id string, record_id string, target_uri string, warc_date string, message binary, problem string"
+WARC = "path string, warc_type string, source_id string, record_id string, target_uri string, warc_date string, message binary, charset string, decoded string, problem string"
 _VERSION, _HEADER = re.compile(rb"[0-9]\r?\n"), re.compile(rb"(?m)^([^:\r\n]+):[ \t]*([^\r\n]*)")
 #: What may stand between a record's block and the next record.
 _GAP = b"\r\n"
 
 
+#: Charsets whose bytes Spark makes text of; a task decodes others as it reads them.
+UTF8, LATIN = ("utf-8", "utf8", "us-ascii", "ascii"), ("iso-8859-1", "latin1", "latin-1")
+_STATED, _DECLARED = re.compile(rb"(?mi)^content-type:[^\r\n]*charset=[\"']?([^\s;\"']+)"), re.compile(rb"(?i)<(?:meta[^>]+charset|\?xml[^>]+encoding)=[\"']?([A-Za-z0-9_:.-]+)")
+
+
+def _charset(message: bytes) -> tuple[str, str | None]:
+    """The payload's charset: that of its content type, else one that its first 1,024 bytes declare, else UTF-8; and the payload decoded, if Spark doesn't.
+
+    An unknown charset counts as UTF-8, and bytes that don't fit become the sign for that.
+    """
+    end = message.find(b"\r\n\r\n") if message.startswith(b"HTTP/") else -1
+    start = 0 if end < 0 else end + 4
+    found = end > 0 and _STATED.search(message, 0, end) or _DECLARED.search(message, start, start + 1024)
+    name = found[1].decode("ascii", "replace").lower() if found else "utf-8"
+    if name in UTF8 or name in LATIN:
+        return name, None
+    try:
+        return name, message[start:].decode(name, "replace")
+    except LookupError:
+        return "utf-8", None
+
+
 def _read(path: str, pieces: Iterator[bytes]) -> Iterator[dict]:
     """The records of one file or split, cut at ``WARC/1.``: a piece that a block is short of belongs to it."""
 
@@ -166,7 +189,7 @@ def _read(path: str, pieces: Iterator[bytes]) -> Iterator[dict]:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Response records of WARC/1.x files, gzipped or not: path, source_id, record_id, target_uri, warc_date, message (bytes), problem.
+    """Response records of WARC/1.x files, gzipped or not: path, source_id, record_id, target_uri, warc_date, message (bytes), charset, decoded, problem.
 
     Nothing is dropped in silence: a record that can't be read as one, whatever its type, comes with its problem, others with null; whole records of
     other types aren't responses and are left out. Spark's text source cuts files at ``WARC/1.`` and undoes compression; where that stands within a block, the length stated
@@ -186,6 +209,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for row in _read(key.partition(":")[2], (value for _, value in group)):
                 if row["problem"] is None and (row["warc_type"] or "").lower() != "response":
                     continue
+                row["charset"], row["decoded"] = _charset(row["message"] or b"")
                 rows.append(row)
                 size += len(row["message"] or b"")
                 if size > BATCH_BYTES:
@@ -196,41 +220,26 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     form = pa.schema([(n, pa.binary() if kind == "binary" else pa.string()) for n, kind in (x.split(" ") for x in WARC.split(", "))])
     bounded_batches(spark)
     raw = spark.read.option("lineSep", "WARC/1.").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("value"))
-    return raw.mapInArrow(run, WARC).select("path", "source_id", "record_id", "target_uri", "warc_date", "message", "problem")
-
-
-@F.pandas_udf(StringType())
-def _decoded(payload: pd.Series, charset: pd.Series) -> pd.Series:
-    """Payloads in charsets that Spark doesn't decode; an unknown one counts as UTF-8, and bytes that don't fit become the sign for that."""
-
-    def one(data: bytes | None, name: str) -> str | None:
-        try:
-            return None if data is None else bytes(data).decode(name, "replace")
-        except LookupError:
-            return bytes(data).decode("utf-8", "replace")
-
-    return pd.Series([one(d, c) for d, c in zip(payload, charset, strict=True)], dtype=object)
+    return raw.mapInArrow(run, WARC).select("path", "source_id", "record_id", "target_uri", "warc_date", "message", "charset", "decoded", "problem")
 
 
 def parsed(records: DataFrame) -> DataFrame:
     """Response records with http_status (null where the status line is none), http_headers, payload (text) and payload_digest (of its bytes) instead of message.
 
-    The headers end at the first empty line; a message, text or bytes, without one is a payload without headers. The payload's charset is that of its
-    content type, else one that its first 1,024 bytes declare, else UTF-8.
+    The headers end at the first empty line; a message, text or bytes, without one is a payload without headers. Text is UTF-8, or of the ``charset`` and ``decoded`` that
+    ``read_warc`` found.
     """
     message = F.coalesce(F.col("message").cast("binary"), F.lit(b""))
-    rest = [c for c in records.columns if c != "message"]
+    own = [c for c in ("charset", "decoded") if c in records.columns]
+    rest = [c for c in records.columns if c != "message" and c not in own]
     # all in bytes: positions of characters would be counted anew in every long text
-    rows = records.select(*rest, message.alias("message"), F.substring_index(message.cast("string"), CRLF * 2, 1).alias("head"))
+    rows = records.select(*rest, *own, message.alias("message"), F.substring_index(message.cast("string"), CRLF * 2, 1).alias("head"))
     headed = (F.substring("message", 1, 5) == F.lit(b"HTTP/")) & (F.octet_length("head") < F.octet_length("message"))
     payload = F.when(headed, F.expr("substring(message, octet_length(head) + 5)")).otherwise(F.col("message"))
-    rows = rows.select(*rest, F.when(headed, F.concat("head", F.lit(CRLF))).otherwise("").alias("http_headers"), payload.alias("bytes"))
-    stated = F.regexp_extract("http_headers", r"(?mi)^content-type:[^\r\n]*charset=[\"']?([^\s;\"']+)", 1)
-    declared = F.regexp_extract(F.substring("bytes", 1, 1024).cast("string"), r"(?i)<(?:meta[^>]+charset|\?xml[^>]+encoding)=[\"']?([A-Za-z0-9_:.-]+)", 1)
-    rows = rows.withColumn("charset", F.lower(F.coalesce(F.nullif(stated, F.lit("")), F.nullif(declared, F.lit("")), F.lit("utf-8"))))
-    utf8, latin = F.col("charset").isin("utf-8", "utf8", "us-ascii", "ascii"), F.col("charset").isin("iso-8859-1", "latin1", "latin-1")
-    other = F.when(utf8 | latin, None).otherwise(F.col("bytes"))
-    text = F.when(utf8, F.make_valid_utf8(F.col("bytes").cast("string"))).when(latin, F.decode(F.when(latin, F.col("bytes")), "ISO-8859-1")).otherwise(_decoded(other, F.col("charset")))
+    rows = rows.select(*rest, *own, F.when(headed, F.concat("head", F.lit(CRLF))).otherwise("").alias("http_headers"), payload.alias("bytes"))
+    text = F.make_valid_utf8(F.col("bytes").cast("string"))
+    if len(own) == 2:
+        text = F.when(F.col("decoded").isNotNull(), F.col("decoded")).when(F.col("charset").isin(*LATIN), F.decode("bytes", "ISO-8859-1")).otherwise(text)
     status = F.regexp_extract("http_headers", r"^HTTP/[0-9.]+ ([0-9]{3})", 1).try_cast("int")
     return rows.select(*rest, status.alias("http_status"), "http_headers", text.alias("payload"), F.concat(F.lit("sha256:"), F.sha2("bytes", 256)).alias("payload_digest"))
 
