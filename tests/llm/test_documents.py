@@ -405,3 +405,9 @@ def test_lists_stream():
             seen += len(columns[0])
             held.append(len(read) * rows - seen)
         assert seen == 40 * rows and len(held) >= 10 and max(held) <= 3 * rows
+
+
+def test_sets_are_packed_whole():
+    r = np.random.default_rng(2)
+    for members in (np.zeros(0, np.uint64), np.array([0, 5, 2**64 - 1], np.uint64), np.unique(r.integers(0, 2**64, 5000, np.uint64))):
+        assert (jaccard_join.unpacked(pa.py_buffer(jaccard_join.packed(members))) == members).all()
