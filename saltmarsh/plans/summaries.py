@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import claims as C
 from ..functions import text as X
 from ..operators import aggregates as A
+from ..operators import page_index
 from ..operators import qualitative as Q
 from ..operators import topk as K
+from ..shared import shared_path
 from ..sources import market as M
 from .registry import Plans, table
 from .texts import SCORED, scored_cards
@@ -256,6 +258,36 @@ def a25(spark, d):
     return A.page_diagnostics(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_key"), F.col("l_linenumber").alias("page_no"), (F.col("l_returnflag") == "R").alias("has_text"), (F.col("l_linestatus") == "O").alias("has_render")))
 
 
+def paged(spark, d):
+    """Orders as documents, their lines as pages; every fifth declares one page more than it has."""
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc_key"), F.col("l_linenumber").alias("page_no"), F.when(F.col("l_returnflag") == "R", 100).otherwise(0).alias("text_chars"), (F.col("l_linestatus") == "O").alias("has_render"))
+    many = lines.groupBy("doc_key").agg(F.max("page_no").alias("top"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("doc_key"), (F.col("o_custkey") % 7).cast("string").alias("channel"), F.col("o_orderpriority").alias("kind"), F.to_date("o_orderdate").alias("message_date"), (F.col("o_orderkey") % 5 == 0).cast("int").alias("more"), F.col("o_orderkey").alias("k"))
+    docs = o.join(many, "doc_key", "left").withColumn("declared_pages", F.coalesce("top", F.lit(0)) + F.col("more"))
+    return docs.select("doc_key", "channel", "kind", "message_date", "declared_pages", F.lit("v1").alias("signature"), "k"), lines
+
+
+@P.query(
+    "a31_page_index",
+    """WITH l AS (SELECT l_orderkey AS k, l_linenumber AS page_no, max(CASE WHEN l_returnflag = 'R' THEN 100 ELSE 0 END) AS chars, bool_or(l_linestatus = 'O') AS render FROM lineitem GROUP BY ALL), t AS (SELECT k, max(page_no) AS top FROM l GROUP BY k),
+  o AS (SELECT o_orderkey AS k, (o_custkey % 7)::VARCHAR AS channel, o_orderpriority AS kind, o_orderdate::DATE AS day, coalesce(top, 0) + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS declared FROM orders LEFT JOIN t ON k = o_orderkey),
+  p AS (SELECT k, unnest(range(1, declared + 1)) AS page_no FROM o), a AS (SELECT k, count(*) AS pages, count(*) FILTER (chars > 0) AS with_text, count(*) FILTER (render) AS with_render, count(*) FILTER (coalesce(chars, 0) = 0 AND NOT coalesce(render, false)) AS placeholders FROM p LEFT JOIN l USING (k, page_no) GROUP BY k),
+  g AS (SELECT o.*, coalesce(pages, 0) AS pages, coalesce(with_text, 0) AS with_text, coalesce(with_render, 0) AS with_render, coalesce(placeholders, 0) AS placeholders,
+    CASE WHEN coalesce(pages, 0) = 0 OR with_text = 0 THEN 'F' WHEN with_text / pages >= 0.9 THEN 'A' WHEN with_text / pages >= 0.5 THEN 'B' ELSE 'C' END AS grade FROM o LEFT JOIN a USING (k)),
+  x AS (SELECT unnest(['all', 'month', 'kind', 'grade']) AS what, unnest(['', strftime(day, '%Y-%m'), kind, grade]) AS key, * EXCLUDE (kind, grade) FROM g)
+  SELECT what, key, count(*) AS documents, sum(pages)::BIGINT AS pages, sum(with_text)::BIGINT AS with_text, sum(with_render)::BIGINT AS with_render, sum(placeholders)::BIGINT AS placeholders, count(DISTINCT channel) AS channels, min(day) AS first, max(day) AS last FROM x GROUP BY what, key""",
+)
+def a31(spark, d):
+    """Totals after a second refresh: at the first, some documents had other pages, some were missing, and one more was there."""
+    docs, pages = paged(spark, d)
+    index = page_index.PageIndex(spark, shared_path(spark, "page-index"))
+    early = docs.where("k % 3 <> 0").withColumn("signature", F.when(F.col("k") % 4 == 0, "v0").otherwise("v1")).drop("k")
+    gone = spark.createDataFrame([("gone", "9", "none", None, 3, "v1")], early.schema)
+    index.refresh(early.unionByName(gone), pages.withColumn("text_chars", F.when(F.col("doc_key") % 4 == 0, 7).otherwise(F.col("text_chars"))))
+    index.refresh(docs.drop("k"), pages)
+    return index.totals()
+
+
 @P.query("s23_page_marked_text", "SELECT conv_id AS doc_key, left(string_agg('[PAGE ' || lpad(turn::VARCHAR, 3, '0') || ']' || chr(10) || coalesce(text, ''), chr(10) ORDER BY turn), 2000) AS text FROM (SELECT DISTINCT ON (conv_id, turn) conv_id, turn, text FROM conversations ORDER BY conv_id, turn, text) GROUP BY conv_id")
 def s23(spark, d):
     rows = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("doc_key"), F.col("turn").alias("page_no")).agg(F.min("text").alias("text"))
