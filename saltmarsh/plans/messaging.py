@@ -24,16 +24,23 @@ SHORT = "The guidance for revenue was raised, see the note."
 ATTACHMENT = "[ATTACH_TEXT]\nattached words\n[/ATTACH_TEXT]\n\n\n\n"
 
 
+#: Rows with a made body beside those with whole texts: doc_ids that leave the same remainders.
+SHIFT = 3 * 5 * 7 * 11 * 101 * 10_000
+
+
 def raw_texts(spark, d):
-    """doc_id, kind, text."""
+    """doc_id, kind, text: every document's whole text behind header lines; and three in five again, with an empty or short body."""
     k = F.col("doc_id")
     kind = F.when(k % 3 == 0, "blog").when(k % 3 == 1, "telegram").otherwise("premium")
     head = F.lit("")
     for name, (good, bad) in HEADS.items():
         head = F.when(kind == name, F.when(k % 7 == 0, bad).otherwise(good)).otherwise(head)
-    body = F.when(k % 5 == 0, "").when(k % 5 == 1, SHORT).when(k % 5 == 2, "short").otherwise(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\x0b\x0c\x1c-\x1e\x85  ]", " "))
-    text = F.when(k % 101 == 100, " tiny ").otherwise(F.concat(head, F.when(k % 11 == 0, ATTACHMENT).otherwise(""), body))
-    return table(spark, d, "documents").select(k, kind.alias("kind"), text.alias("text"))
+    whole = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\x0b\x0c\x1c-\x1e\x85  ]", " ")
+    made = F.when(k % 5 == 0, "").when(k % 5 == 1, SHORT).when(k % 5 == 2, "short")
+    bodies = F.filter(F.array(F.struct(F.lit(0).alias("shift"), whole.alias("body")), F.struct(F.lit(SHIFT).alias("shift"), made.alias("body"))), lambda b: b["body"].isNotNull())
+    rows = table(spark, d, "documents").select(k, "text", F.explode(bodies).alias("b"))
+    text = F.when(k % 101 == 100, " tiny ").otherwise(F.concat(head, F.when(k % 11 == 0, ATTACHMENT).otherwise(""), "b.body"))
+    return rows.select((k + F.col("b.shift")).alias("doc_id"), kind.alias("kind"), text.alias("text"))
 
 
 def quoted(x: str) -> str:
@@ -42,7 +49,8 @@ def quoted(x: str) -> str:
 
 HEAD_SQL = "CASE kind " + " ".join(f"WHEN '{n}' THEN CASE WHEN doc_id % 7 = 0 THEN {quoted(b)} ELSE {quoted(a)} END" for n, (a, b) in HEADS.items()) + " END"
 RAW = f"""k AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'blog' WHEN 1 THEN 'telegram' ELSE 'premium' END AS kind, regexp_replace(coalesce(text, ''), '[\\r\\x0b\\x0c\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]', ' ', 'g') AS t FROM documents),
-  raw AS (SELECT doc_id, kind, CASE WHEN doc_id % 101 = 100 THEN ' tiny ' ELSE {HEAD_SQL} || CASE WHEN doc_id % 11 = 0 THEN {quoted(ATTACHMENT)} ELSE '' END || CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN '{SHORT}' WHEN 2 THEN 'short' ELSE t END END AS text FROM k)"""
+  m AS (SELECT * FROM k UNION ALL SELECT doc_id + {SHIFT}, kind, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN '{SHORT}' ELSE 'short' END FROM k WHERE doc_id % 5 < 3),
+  raw AS (SELECT doc_id, kind, CASE WHEN doc_id % 101 = 100 THEN ' tiny ' ELSE {HEAD_SQL} || CASE WHEN doc_id % 11 = 0 THEN {quoted(ATTACHMENT)} ELSE '' END || t END AS text FROM m)"""
 RESIDUE = "(?i)^(?:\\[/?MEDIA\\]|\\[ATTACH_[A-Z0-9_]+\\]|\\[ENTITY_URL\\]|\\[MIME\\]|\\[FILE_SIZE\\]|\\[FILE_NAME\\]|\\[NO_TEXT_OR_MEDIA_METADATA\\]|Forwarded from\\s*:|Views\\s*:\\s*\\d+|Forwards\\s*:\\s*\\d+|GroupedID\\s*:\\s*\\d+)"
 CLEAN = f"""clean AS (SELECT doc_id, kind, text AS raw_text, CASE WHEN c <> '' THEN c || chr(10) ELSE '' END AS text FROM (SELECT doc_id, kind, text, regexp_replace(regexp_replace(array_to_string(list_transform(list_filter(string_split(regexp_replace(text, '(?is)\\[ATTACH_TEXT\\]\\s*.*?\\s*\\[/ATTACH_TEXT\\]', chr(10), 'g'), chr(10)), lambda s: NOT regexp_matches(trim(s), '{RESIDUE}')), lambda s: rtrim(s)), chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g') AS c FROM raw))"""
 SKIPPED = {
@@ -103,14 +111,16 @@ def f15(spark, d):
 
 @P.query(
     "f17_articles",
-    """WITH a AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'ftp://x' ELSE url END AS url, CASE WHEN page_id % 7 = 0 THEN ' ' ELSE 't' END AS title, page_id % 3 <> 0 AS dated, CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'The guidance for revenue was raised, see the note.' ELSE 'x ' || regexp_replace(coalesce(html, ''), '[^a-z ]', '', 'g') END AS body FROM pages),
+    """WITH a AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'ftp://x' ELSE url END AS url, CASE WHEN page_id % 7 = 0 THEN ' ' ELSE 't' END AS title, page_id % 3 <> 0 AS dated, body FROM (SELECT page_id, url, 'x ' || regexp_replace(coalesce(html, ''), '[^a-z ]', '', 'g') AS body FROM pages UNION ALL SELECT page_id + 420000000, url, CASE page_id % 4 WHEN 0 THEN '' ELSE 'The guidance for revenue was raised, see the note.' END FROM pages WHERE page_id % 4 < 2)),
   b AS (SELECT *, trim(regexp_replace(regexp_replace('summary' || chr(10) || body, 'https?://\\S+', ' ', 'g'), '\\s+', ' ', 'g')) AS b FROM a)
   SELECT page_id, CASE WHEN url NOT LIKE 'http%' THEN 'selected_articles_missing_url' WHEN title = ' ' THEN 'selected_articles_missing_title' WHEN NOT dated THEN 'selected_articles_missing_published_date' WHEN length(b) < 80 AND NOT (length(b) >= 45 AND regexp_matches(b, '[.!?]') AND contains(b, 'guidance')) THEN 'selected_articles_effective_body_too_short' END AS reason FROM b""",
 )
 def f17(spark, d):
+    """Every page's letters as a body; and half of the pages again, with an empty or short one."""
+    pages = table(spark, d, "pages").select("page_id", "url", F.concat(F.lit("x "), F.regexp_replace(F.coalesce("html", F.lit("")), "[^a-z ]", "")).alias("body"))
+    made = table(spark, d, "pages").where("page_id % 4 < 2").select((F.col("page_id") + 420_000_000).alias("page_id"), "url", F.when(F.col("page_id") % 4 == 0, "").otherwise(SHORT).alias("body"))
     k = F.col("page_id")
-    body = F.when(k % 4 == 0, "").when(k % 4 == 1, SHORT).otherwise(F.concat(F.lit("x "), F.regexp_replace(F.coalesce("html", F.lit("")), "[^a-z ]", "")))
-    a = table(spark, d, "pages").select(k, F.when(k % 5 == 0, "ftp://x").otherwise(F.col("url")).alias("url"), F.when(k % 7 == 0, " ").otherwise("t").alias("title"), X.any_date(F.when(k % 3 != 0, "2025-01-02").otherwise("never")).alias("date"), F.lit(" summary").alias("summary"), body.alias("body"))
+    a = pages.unionByName(made).select(k, F.when(k % 5 == 0, "ftp://x").otherwise(F.col("url")).alias("url"), F.when(k % 7 == 0, " ").otherwise("t").alias("title"), X.any_date(F.when(k % 3 != 0, "2025-01-02").otherwise("never")).alias("date"), F.lit(" summary").alias("summary"), "body")
     return a.select("page_id", G.article_reason("url", "title", F.col("date"), "summary", "body").alias("reason"))
 
 
