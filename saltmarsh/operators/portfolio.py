@@ -5,7 +5,7 @@ Everything is joins, windows and aggregations over all days at once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,6 +53,70 @@ def winner_policy(scored: DataFrame, edge: float = 0.05, cuts: dict[str, float]
     return ranked.where("rank = 1").select("model_id", "score", "edge", (F.col("edge") >= edge).alias("enough"), "safe")
 
 
+# Points by the first bound that a figure reaches, from above; what is left of the first figure counts twenty points a unit; penalties.
+STEPS = {
+    "return_2021_plus": ((10.0, 60), (7.0, 54), (5.0, 48), (3.0, 40), (2.0, 32), (1.0, 24)),
+    "return_2023_2025": ((3.0, 20), (2.0, 16), (1.0, 12), (0.5, 8)),
+    "return_2025_plus": ((1.5, 10), (1.0, 8), (0.5, 6)),
+    "mdd_2021_plus": ((-0.35, 6), (-0.50, 4), (-0.65, 2), (-0.80, 0)),
+}
+#: Points where no bound is reached: a gain at least, or any figure.
+GAINS, ELSE = {"return_2023_2025": 4, "return_2025_plus": 3}, {"mdd_2021_plus": -8}
+POINTS_A_UNIT, DEEP, DEEP_PENALTY, TURNOVER = 20, -0.90, -6, ((3.5, -4), (3.0, -2))
+#: What a challenger must gain on the second, how many of the windows it must win, and how sure it must be.
+EDGE, HITS, SURE, DRAWDOWNS = 0.05, 1, 0.34, {"mdd_2021_plus": -0.85, "mdd_full": -0.92, "mdd_2023_2025": -0.80}
+
+
+def soft_score(of: Callable[[str], Column] = F.col) -> Column:
+    """Points of a model's returns, drawdowns and turnover."""
+
+    def stepped(name: str) -> Column:
+        x, (first, *rest) = of(name), STEPS[name]
+        out = F.when(x >= first[0], first[1])
+        for bound, points in rest:
+            out = out.when(x >= bound, points)
+        if name in GAINS:
+            out = out.when(x > 0, GAINS[name])
+        return out.otherwise(ELSE.get(name, F.greatest(F.lit(0.0), x * POINTS_A_UNIT) if name == "return_2021_plus" else 0)).cast("double")
+
+    high, less = TURNOVER
+    turnover = F.when(of("turnover") > high[0], high[1]).when(of("turnover") > less[0], less[1]).otherwise(0)
+    return sum((stepped(n) for n in STEPS), F.lit(0.0)) + F.when(of("mdd_full") < DEEP, DEEP_PENALTY).otherwise(0) + turnover
+
+
+def soft_label(score: Column) -> Column:
+    return F.when(score >= 60, "ADOPT_FULL").when(score >= 45, "ADOPT_WITH_CAUTION").otherwise("HOLD")
+
+
+def gates(values: dict[str, Column]) -> Column:
+    """name and PASS or FAIL, as an array of structs, in order; null counts as FAIL."""
+    return F.array(*[F.struct(F.lit(n).alias("gate"), F.when(F.coalesce(c, F.lit(False)), "PASS").otherwise("FAIL").alias("verdict")) for n, c in values.items()])
+
+
+def winner_measures(scored: DataFrame, windows: Sequence[str], better: Sequence[str] = ("return_2023_2025", "return_2021_plus", "total_return"), gain: str = "return_2021_plus") -> DataFrame:
+    """The best model against the second (itself, if it is alone): return_edge, confidence, persistence_hits, their gates and the drawdowns'.
+
+    ``confidence`` is the share of the figures ``better`` in which it is ahead; a window counts as a hit where it is ahead by EDGE of the second's figure, which is there for
+    reporting and doesn't decide who is the best.
+    """
+    two = scored.orderBy(F.desc("score"), "model_id").limit(2)
+    order = Window.orderBy(F.desc("score"), "model_id")  # over two rows
+    columns = sorted({*windows, *better, gain})
+    rows = two.withColumns({"rank": F.row_number().over(order), **{f"_{c}": F.lead(c).over(order) for c in columns}}).where("rank = 1")
+
+    def second(c: str) -> Column:
+        return F.coalesce(F.col(f"_{c}"), F.col(c))
+
+    edge = F.when(F.abs(second(gain)) > 1e-12, (F.col(gain) - second(gain)) / F.abs(second(gain))).otherwise(1.0)
+    sure = sum(((F.col(c) > second(c)).cast("int") for c in better), F.lit(0)) / len(better)
+    hits = sum(((F.col(c) - second(c) >= F.abs(second(c)) * EDGE).cast("int") for c in windows), F.lit(0))
+    safe = F.lit(True)
+    for c, cut in DRAWDOWNS.items():
+        safe = safe & (F.col(c) >= cut)
+    rows = rows.select("model_id", edge.alias("return_edge"), sure.alias("confidence"), hits.alias("persistence_hits"), safe.alias("extreme_risk_pass"))
+    return rows.withColumns({"edge_pass": F.col("return_edge") >= EDGE, "persistence_pass": F.col("persistence_hits") >= HITS, "confidence_pass": F.col("confidence") >= SURE})
+
+
 def trades(holdings: DataFrame, least: float = 0.05) -> DataFrame:
     """track, date, code, kind (new, sold, more, less), delta: weights against the portfolio's day before."""
     days = holdings.select("track", "date").distinct()

@@ -71,6 +71,38 @@ def d15(spark, d):
     return portfolio.winner_policy(scored_models(spark, d)).withColumns({"score": F.round("score", 6), "edge": F.round("edge", 6)})
 
 
+def steps_sql(x: str, name: str, rest: str) -> str:
+    return "CASE " + " ".join(f"WHEN {x} >= {bound} THEN {points}" for bound, points in portfolio.STEPS[name]) + f" {rest} END"
+
+
+SOFT = f"""{steps_sql("late", "return_2021_plus", "ELSE greatest(0, late * 20)")} + {steps_sql("early", "return_2023_2025", "WHEN early > 0 THEN 4 ELSE 0")} + {steps_sql("cagr", "return_2025_plus", "WHEN cagr > 0 THEN 3 ELSE 0")} + {steps_sql("m1", "mdd_2021_plus", "ELSE -8")}
+  + CASE WHEN m0 < -0.9 THEN -6 ELSE 0 END + CASE WHEN turn > 3.5 THEN -4 WHEN turn > 3 THEN -2 ELSE 0 END"""
+
+
+@P.query(
+    "d21_soft_scores",
+    f"""WITH {STATS}, s AS (SELECT *, {SOFT} AS soft FROM st) SELECT model_id, round(soft, 6) AS soft, CASE WHEN soft >= 60 THEN 'ADOPT_FULL' WHEN soft >= 45 THEN 'ADOPT_WITH_CAUTION' ELSE 'HOLD' END AS label,
+  CASE WHEN m1 >= -0.85 AND m0 >= -0.92 AND m2 >= -0.8 THEN 'PASS' ELSE 'FAIL' END AS extreme_risk, CASE WHEN tr > 0 THEN 'PASS' ELSE 'FAIL' END AS gain FROM s""",
+)
+def d21_soft(spark, d):
+    cuts = F.lit(True)
+    for c, cut in portfolio.DRAWDOWNS.items():
+        cuts = cuts & (F.col(c) >= cut)
+    rows = model_stats(spark, d).withColumns({"soft": portfolio.soft_score(), "g": portfolio.gates({"extreme_risk": cuts, "gain": F.col("total_return") > 0})})
+    return rows.select("model_id", F.round("soft", 6).alias("soft"), portfolio.soft_label(F.col("soft")).alias("label"), *[F.get("g", F.lit(i))["verdict"].alias(n) for i, n in enumerate(("extreme_risk", "gain"))])
+
+
+@P.query(
+    "d15_winner_measures",
+    f"""WITH {STATS}, k AS (SELECT *, row_number() OVER (ORDER BY score DESC, model_id) AS k FROM sc), b AS (SELECT a.*, s.late AS l2, s.early AS e2, s.tr AS t2, s.cagr AS c2 FROM k a JOIN k s ON a.k = 1 AND s.k = 2),
+  r AS (SELECT *, CASE WHEN abs(l2) > 1e-12 THEN (late - l2) / abs(l2) ELSE 1 END AS edge, ((early > e2)::INTEGER + (late > l2)::INTEGER + (tr > t2)::INTEGER) / 3.0 AS sure, (early - e2 >= abs(e2) * 0.05)::INTEGER + (late - l2 >= abs(l2) * 0.05)::INTEGER + (cagr - c2 >= abs(c2) * 0.05)::INTEGER AS hits FROM b)
+  SELECT model_id, round(edge, 6) AS return_edge, round(sure, 6) AS confidence, hits AS persistence_hits, m1 >= -0.85 AND m0 >= -0.92 AND m2 >= -0.8 AS extreme_risk_pass, edge >= 0.05 AS edge_pass, hits >= 1 AS persistence_pass, sure >= 0.34 AS confidence_pass FROM r""",
+)
+def d15_measures(spark, d):
+    rows = portfolio.winner_measures(scored_models(spark, d), ("return_2023_2025", "return_2021_plus", "return_2025_plus"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("return_edge", "confidence")})
+
+
 TRADES = f"""{M.HOLDINGS}, tr AS (SELECT * FROM (SELECT *, CASE WHEN p = 0 AND w > 0 THEN 'new' WHEN w = 0 AND p > 0 THEN 'sold' WHEN delta >= 0.05 THEN 'more' WHEN delta <= -0.05 THEN 'less' END AS kind
     FROM (SELECT *, round(w - p, 2) AS delta FROM (SELECT coalesce(l.track, b.track) AS track, coalesce(l.date, b.date) AS date, coalesce(l.code, b.code) AS code, coalesce(l.weight_pct, 0) AS w, coalesce(b.p, 0) AS p FROM live l FULL JOIN moved b ON l.track = b.track AND l.date = b.date AND l.code = b.code))) WHERE kind IS NOT NULL)"""
 

@@ -66,13 +66,14 @@ def macro_docs(spark, d):
     """WITH t AS (SELECT doc_id, DATE '2026-01-01' + (doc_id % 20)::INTEGER AS date, source, lower(text) || CASE doc_id % 5 WHEN 0 THEN ' easing stimulus' WHEN 1 THEN ' sanction recession easing' ELSE '' END AS t FROM documents),
   n AS (SELECT *, len(list_filter(['risk-on', 'risk on', 'soft landing', 'stimulus', 'easing'], lambda k: contains(t, k))) AS o, len(list_filter(['risk-off', 'risk off', 'recession', 'conflict', 'sanction'], lambda k: contains(t, k))) AS f FROM t), s AS (SELECT *, CASE WHEN o + f > 0 THEN (o - f) / (o + f) ELSE 0 END AS score FROM n),
   g AS (SELECT date, count(*) AS docs, avg(score) AS mean, avg((score > 0)::INTEGER) AS r, avg((score < 0)::INTEGER) AS f, count(DISTINCT source) AS k FROM s GROUP BY date),
-  m AS (SELECT date, string_agg(printf('%s:%.2f', source, c / n), ', ' ORDER BY c DESC, source) AS sources FROM (SELECT date, source, c, sum(c) OVER (PARTITION BY date) AS n FROM (SELECT date, source, count(*) AS c FROM s GROUP BY date, source)) GROUP BY date)
+  m AS (SELECT date, string_agg(printf('%s:%.2f', source, c / n), ', ' ORDER BY c DESC, source) AS sources FROM (SELECT date, source, c, sum(c) OVER (PARTITION BY date) AS n FROM (SELECT date, source, count(*) AS c FROM s GROUP BY date, source)) GROUP BY date),
+  v AS (SELECT date, string_agg(evidence, ' | ' ORDER BY first) AS evidence FROM (SELECT DATE '2026-01-01' + (doc_id % 20)::INTEGER AS date, text AS evidence, min(doc_id) AS first FROM documents GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY DATE '2026-01-01' + (doc_id % 20)::INTEGER ORDER BY min(doc_id)) <= 3) GROUP BY date)
   SELECT date, docs, round(mean, 6) AS mean, round(r, 6) AS on_ratio, round(f, 6) AS off_ratio, CASE WHEN r >= 0.6 AND mean > 0.1 THEN 'risk_on' WHEN f >= 0.6 AND mean < -0.1 THEN 'risk_off' WHEN abs(mean) < 0.15 AND abs(r - f) < 0.2 THEN 'neutral' ELSE 'mixed' END AS regime,
-  round(greatest(least(50 + 35 * mean + 10 * (r - f), 100), 0), 6) AS forecast, round(greatest(least(0.35 + 0.12 * least(docs, 4) / 4.0 + 0.2 * greatest(abs(mean), abs(r - f)) + 0.08 * least(k, 3) / 3.0, 0.97), 0.2), 6) AS confidence, sources FROM g JOIN m USING (date)""",
+  round(greatest(least(50 + 35 * mean + 10 * (r - f), 100), 0), 6) AS forecast, round(greatest(least(0.35 + 0.12 * least(docs, 4) / 4.0 + 0.2 * greatest(abs(mean), abs(r - f)) + 0.08 * least(k, 3) / 3.0, 0.97), 0.2), 6) AS confidence, sources, md5(coalesce(evidence, '')) AS evidence FROM g JOIN m USING (date) LEFT JOIN v USING (date)""",
 )
 def a4(spark, d):
     rows = A.macro_by_day(macro_docs(spark, d))
-    return rows.select("date", "docs", *[F.round(c, 6).alias(c) for c in ("mean", "on_ratio", "off_ratio")], "regime", F.round("forecast", 6).alias("forecast"), F.round("confidence", 6).alias("confidence"), "sources")
+    return rows.select("date", "docs", *[F.round(c, 6).alias(c) for c in ("mean", "on_ratio", "off_ratio")], "regime", F.round("forecast", 6).alias("forecast"), F.round("confidence", 6).alias("confidence"), "sources", F.md5(F.coalesce("evidence", F.lit(""))).alias("evidence"))
 
 
 PAIRS = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS rho FROM scored" for i, a in enumerate(AX) for b in AX[i + 1 :])
