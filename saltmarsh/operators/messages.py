@@ -34,7 +34,6 @@ RESIDUE = (
 )
 FINANCE = r"(?i)(실적|매출|이익|가이던스|밸류|PER|PBR|수주|계약|리스크|주가|상승|하락|증가|감소|투자|업황|현금흐름|capex|margin|guidance|earnings|revenue|profit|order|risk)"
 PAYWALLED = ("paywall", "subscription", "session", "blocked")
-SHORT_REASONS = tuple(f"{kind}_effective_body_{end}" for kind in ("blog", "telegram") for end in ("empty", "too_short")) + ("premium_effective_body_empty_or_boilerplate", "premium_effective_body_too_short")
 LINE_ENDS = r"\R|[\x1c-\x1e]"
 
 

@@ -298,12 +298,12 @@ def c40(spark, d):
     return R.regime(latest(spark, d))
 
 
-@P.query(
-    "c41_macro_summary",
-    f"""WITH {LATEST}, c AS (SELECT count(*) FILTER ((symbol IN ('SPY', 'QQQ', 'SOX') AND change_1d > 0) OR (symbol IN ('VIX', 'DXY', 'TNX', 'IRX') AND change_1d < 0)) AS a, count(*) FILTER ((symbol IN ('SPY', 'QQQ', 'SOX') AND change_1d < 0) OR (symbol IN ('VIX', 'DXY', 'TNX', 'IRX') AND change_1d > 0)) AS b,
-    string_agg(symbol || ':' || printf('%+.4f', change_1d), ', ' ORDER BY symbol) AS parts, max(date) AS day FROM latest)
-  SELECT a AS risk_on, b AS risk_off, CASE WHEN a > b THEN 'risk-on' WHEN a < b THEN 'risk-off' ELSE 'neutral' END AS word, 'macro summary ' || CASE WHEN a > b THEN 'risk-on' WHEN a < b THEN 'risk-off' ELSE 'neutral' END || ', risk_on=' || a || ', risk_off=' || b || ', signals=' || parts AS text, day FROM c""",
-)
+MACRO_TEXT = f"""{LATEST}, c AS (SELECT count(*) FILTER ((symbol IN ('SPY', 'QQQ', 'SOX') AND change_1d > 0) OR (symbol IN ('VIX', 'DXY', 'TNX', 'IRX') AND change_1d < 0)) AS a, count(*) FILTER ((symbol IN ('SPY', 'QQQ', 'SOX') AND change_1d < 0) OR (symbol IN ('VIX', 'DXY', 'TNX', 'IRX') AND change_1d > 0)) AS b,
+    string_agg(symbol || ':' || printf('%+.4f', change_1d), ', ' ORDER BY symbol) AS parts, max(date) AS day FROM latest),
+  summary AS (SELECT a AS risk_on, b AS risk_off, CASE WHEN a > b THEN 'risk-on' WHEN a < b THEN 'risk-off' ELSE 'neutral' END AS word, 'macro summary ' || CASE WHEN a > b THEN 'risk-on' WHEN a < b THEN 'risk-off' ELSE 'neutral' END || ', risk_on=' || a || ', risk_off=' || b || ', signals=' || parts AS text, day FROM c)"""
+
+
+@P.query("c41_macro_summary", f"WITH {MACRO_TEXT} SELECT risk_on, risk_off, word, text, day FROM summary")
 def c41(spark, d):
     return R.macro_summary(latest(spark, d))
 
@@ -338,11 +338,14 @@ NORMAL = "trim(regexp_replace(regexp_replace(lower({0}), '\\s+', ' ', 'g'), '[^0
 
 @P.query(
     "s26_records",
-    f"""WITH {LATEST}, dart AS (SELECT 'dart:' || o_orderkey AS record_id, strftime(o_orderdate, '%Y-%m-%d') || 'T15:30:00+09:00' AS published_at, lpad(o_custkey::VARCHAR, 6, '0') AS symbols, 'corp ' || o_orderpriority || ' ' || o_orderkey AS text, 'dart' AS source, 'dart' AS source_family, 1 AS o FROM orders WHERE o_custkey % 5 <> 0),
+    f"""WITH {MACRO_TEXT}, dart AS (SELECT 'dart:' || o_orderkey AS record_id, strftime(o_orderdate, '%Y-%m-%d') || 'T15:30:00+09:00' AS published_at, lpad(o_custkey::VARCHAR, 6, '0') AS symbols, 'corp ' || o_orderpriority || ' ' || o_orderkey AS text, 'dart' AS source, 'dart' AS source_family, 1 AS o FROM orders WHERE o_custkey % 5 <> 0),
   feed AS (SELECT 'rss:f:news:' || page_id AS record_id, '2025-01-02T09:00:00+09:00' AS published_at, CASE WHEN page_id % 2 = 0 THEN '000001' ELSE '__MACRO__' END AS symbols, 'title ' || page_id || CASE WHEN page_id % 2 = 0 THEN '' ELSE chr(10) || 'a recession' END AS text, CASE WHEN page_id % 2 = 0 THEN 'rss:news' ELSE 'rss_macro:news' END AS source, CASE WHEN page_id % 2 = 0 THEN 'news_rss' ELSE 'news_rss_macro' END AS source_family, 2 AS o FROM pages WHERE page_id % 4 <> 3),
   t AS (SELECT doc_id, ['text_telegram', 'text_blog', 'text_premium', 'market_selected_articles'][(doc_id % 4 + 1)::INTEGER] || CASE WHEN doc_id % 3 = 0 THEN '_nosymbol' ELSE '' END AS fam, ['text_telegram', 'text_blog', 'text_premium', 'market_selected_articles'][(doc_id % 4 + 1)::INTEGER] AS kind, text FROM (SELECT doc_id, regexp_replace(text, '\\s+', ' ', 'g') AS text FROM documents WHERE doc_id % 5 <> 0) WHERE length(trim(text)) >= CASE WHEN doc_id % 4 = 0 THEN 20 ELSE 30 END AND NOT (doc_id % 4 = 2 AND doc_id % 3 = 0)),
   texts AS (SELECT kind || ':' || left(sha1(doc_id || ':' || '2025-02-03' || ':' || left(trim(text), 160) || ':' || fam), 20) AS record_id, '2025-02-03' AS published_at, CASE WHEN doc_id % 3 = 0 THEN '__NOSYMBOL__' ELSE '000002' END AS symbols, trim(text) AS text, replace(kind, 'text_', 'text/') || ':' || doc_id AS source, fam AS source_family, 4 + doc_id % 4 AS o FROM t),
-  u AS (SELECT * FROM dart UNION ALL SELECT * FROM feed UNION ALL SELECT * FROM texts), f AS (SELECT *, sha1({NORMAL.format('text')}) AS content_fingerprint FROM u),
+  macro AS (SELECT 'macro:' || left(sha1('macro_summary:' || day || 'T15:30:00+09:00:' || text), 20) AS record_id, day || 'T15:30:00+09:00' AS published_at, '__MACRO__' AS symbols, text, 'rss_macro:market_macro' AS source, 'news_rss_macro' AS source_family, 3 AS o FROM summary),
+  note AS (SELECT 'text_telegram:' || left(sha1('c' || conv_id || '-' || turn || ':2025-03-0' || (1 + turn % 9) || ':' || left(t, 160) || ':text_telegram'), 20) AS record_id, '2025-03-0' || (1 + turn % 9) AS published_at, '000003' AS symbols, t AS text, 'text/telegram:c' || conv_id || '-' || turn AS source, 'text_telegram' AS source_family, 4 AS o
+    FROM (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(text, '[^A-Za-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g')) || ' noted' AS t FROM conversations) WHERE length(t) >= 20),
+  u AS (SELECT * FROM dart UNION ALL SELECT * FROM feed UNION ALL SELECT * FROM macro UNION ALL SELECT * FROM texts UNION ALL SELECT * FROM note), f AS (SELECT *, sha1({NORMAL.format('text')}) AS content_fingerprint FROM u),
   a AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY o, record_id, text) = 1), b AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY content_fingerprint ORDER BY o, record_id, text) = 1)
   SELECT record_id, published_at, symbols, md5(text) AS text, source, source_family, content_fingerprint FROM b""",
 )
@@ -354,9 +357,16 @@ def s26(spark, d):
     feed = pages.select(F.lit("f").alias("stem"), F.lit("news").alias("feed"), k.alias("place"), F.concat(F.lit("title "), k.cast("string")).alias("title"), F.when(k % 4 == 1, "a recession").otherwise("").alias("summary"), F.lit("").alias("published"), F.lit("2025-01-02").alias("published_date"), F.when(k % 2 == 0, F.array(F.lit("000001"))).otherwise(none).alias("symbols"))
     i = F.col("doc_id")
     texts = docs.select(i.cast("string").alias("stem"), F.when(i % 5 != 0, "2025-02-03").alias("published_at"), F.when(i % 3 != 0, F.array(F.lit("000002"))).otherwise(none).alias("symbols"), F.regexp_replace("text", r"\s+", " ").alias("text"), (i % 4).alias("kind"))
-    parts = {"dart": R.from_filings(filings, now), "rss": R.from_feed(feed, now)}
+    parts = {"dart": R.from_filings(filings, now), "rss": R.from_feed(feed, now), "macro": R.from_macro(latest(spark, d))}
     for n, kind in enumerate(("text_telegram", "text_blog", "text_premium", "market_selected_articles")):
         parts[kind] = R.from_texts(texts.where(F.col("kind") == n).drop("kind"), kind, R.MESSAGE_LEAST if n == 0 else R.ARTICLE_LEAST, n != 2)
+    # turns as files of single messages, whose headers are taken off
+    turns = table(spark, d, "conversations")
+    said = F.concat(F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z0-9 ]", " "), r"\s+", " ")), F.lit(" noted"))
+    head = F.concat(F.lit("Date: 2025-03-0"), (1 + F.col("turn") % 9).cast("string"), F.lit("\nSource: https://t.example/1\nMessageID: 7\n"))
+    files = turns.select(F.concat(F.lit("log/c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"), F.lit(".md")).alias("path"), F.concat(head, said).alias("text"))
+    notes = R.messages_of(files, "text_telegram").withColumn("symbols", F.array(F.lit("000003")))
+    parts["text_telegram"] = parts["text_telegram"].unionByName(R.from_texts(notes, "text_telegram", R.MESSAGE_LEAST, True))
     return R.united(parts).select("record_id", "published_at", F.array_join("symbols", ",").alias("symbols"), F.md5("text").alias("text"), "source", "source_family", "content_fingerprint")
 
 
