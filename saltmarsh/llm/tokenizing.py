@@ -71,13 +71,12 @@ class PieceEncoder:
             self.first[self.pieces : self.pieces + len(ids)] = self.used + np.cumsum(counts) - counts
             self.count[self.pieces : self.pieces + len(ids)] = counts
             self.flat[self.used : self.used + len(flat)] = flat
-            for k, i in enumerate(new, self.pieces):
-                places[i] = k
-                if len(names[i]) <= LONGEST:
-                    known[names[i]] = k
+            _keep(known, [names[i] for i in new], self.pieces)
+            places = np.array(places, np.int64)
+            places[new] = np.arange(self.pieces, self.pieces + len(new))
             self.pieces += len(ids)
             self.used += len(flat)
-        return np.array(places, np.int64)[distinct.indices.to_numpy(zero_copy_only=False)]
+        return np.asarray(places, np.int64)[distinct.indices.to_numpy(zero_copy_only=False)]
 
     def _rows(self, raw: pa.Array) -> np.ndarray:
         """For each word the row of ``halves`` that has the places of its stem and of the signs behind it."""
@@ -91,14 +90,17 @@ class PieceEncoder:
             stem = pc.ascii_rtrim(low, SIGNS)
             special = pc.match_substring(part, "<|")
             apart = pc.and_(pc.match_substring_regex(stem, "[A-Za-z]$"), pc.invert(special))
-            signs = pa.array([x[len(y) :] for x, y in zip(low.to_pylist(), stem.to_pylist(), strict=True)], pa.string())
-            places = self._places(pa.concat_arrays([pc.if_else(apart, stem, pc.if_else(special, part, low)), pc.if_else(apart, signs, "")]))
+            # most words have no signs behind them: theirs are the empty piece, 0
+            signed = np.flatnonzero(pc.and_(apart, pc.greater(pc.binary_length(low), pc.binary_length(stem))).to_numpy(zero_copy_only=False))
+            whole, bare = (x.take(pa.array(signed)).to_pylist() for x in (low, stem))
+            signs = pa.array([x[len(y) :] for x, y in zip(whole, bare, strict=True)], pa.string())
+            places = self._places(pa.concat_arrays([pc.if_else(apart, stem, pc.if_else(special, part, low)), signs]))
             self.halves = _room(self.halves, 2 * self.met, 2 * len(new))
-            self.halves[2 * self.met : 2 * (self.met + len(new))] = places.reshape(2, -1).T.ravel()
+            both = self.halves[2 * self.met : 2 * (self.met + len(new))].reshape(-1, 2)
+            both[:, 0], both[:, 1] = places[: len(new)], 0
+            both[signed, 1] = places[len(new) :]
             rows[new] = np.arange(self.met, self.met + len(new))
-            for row, i in enumerate(new.tolist(), self.met):
-                if len(names[i]) <= LONGEST:
-                    known[names[i]] = row
+            _keep(known, [names[i] for i in new.tolist()], self.met)
             self.met += len(new)
         return rows
 
@@ -139,6 +141,14 @@ class PieceEncoder:
                 yield ids[a:b]
 
 
+def _keep(known: dict[str, int], names: list[str], first: int) -> None:
+    """Number names from ``first`` on, but for very long ones."""
+    if max(map(len, names)) <= LONGEST:
+        known.update(zip(names, range(first, first + len(names)), strict=True))
+    else:
+        known.update((x, k) for k, x in enumerate(names, first) if len(x) <= LONGEST)
+
+
 def _parts(text: str) -> list[str]:
     """A long text cut at blanks into parts of about AT_ONCE; a run without blanks stays whole."""
     out, at = [], 0
