@@ -81,10 +81,25 @@ def page_mismatches(documents: DataFrame, pages: DataFrame) -> DataFrame:
     return documents.join(counts, "doc_key", "left").withColumn("found", F.coalesce("found", F.lit(0))).where("found <> stated").select("doc_key", "stated", "found")
 
 
-def conflicts(tasks: DataFrame) -> DataFrame:
-    """Pairs (a < b) of active tasks that want a common resource, found through the resource."""
-    wants = tasks.where("active").select("id", F.explode(F.array_distinct("resources")).alias("r"))
-    return wants.alias("x").join(wants.alias("y"), (F.col("x.r") == F.col("y.r")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+#: Tasks of a resource that meet in one place; those of one that more tasks want are dealt to places for each two of their tiles.
+TILE = 1024
+
+
+def conflicts(tasks: DataFrame, tile: int = TILE) -> DataFrame:
+    """Pairs (a < b) of active tasks (id, active, resources) that want a common resource.
+
+    A pair is found at the smallest resource that both want and nowhere else, so no pairs are compared with each other. The pairs of a resource that n tasks want are n * (n - 1) / 2,
+    made in pieces of at most ``tile`` squared. Rows of one id are one task's; null ids and resources conflict with nothing.
+    """
+    wants = tasks.where("active and id is not null").select("id", F.array_compact(F.coalesce("resources", F.array())).alias("rs")).groupBy("id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("rs")))).alias("rs"))
+    rows = stored(wants.select("id", "rs", F.explode("rs").alias("r")), "wants")
+    sizes = rows.groupBy("r").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"), F.count("*").alias("n")).where("n > 1")
+    dealt = rows.join(sizes.drop("n"), "r").withColumn("t", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("r", F.least("t", "o").alias("low"), F.greatest("t", "o").alias("high"), "t", "id", "rs")
+    x, y = dealt.where("t = low").alias("x"), dealt.where("t = high").alias("y")
+    met = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("r", "low", "high")]).where("x.low < x.high or x.id < y.id")
+    once = met.where(F.get(F.array_intersect("x.rs", "y.rs"), F.lit(0)) == F.col("x.r"))
+    return once.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
 
 def ready(tasks: DataFrame) -> DataFrame:

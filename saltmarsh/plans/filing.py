@@ -42,19 +42,21 @@ def s1(spark, d):
 
 
 def text_tree(spark, d) -> str:
-    """Documents as whole files of several kinds in folders."""
+    """Documents as whole files of several kinds in folders, each line an object; and files of another kind, which aren't asked for."""
     path = shared_path(spark, "tree")
-    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    for rest, folder in enumerate(("a/md", "a/b/txt", "c/skipped")):
-        docs.where((F.col("doc_id") % 3 == rest) & (F.col("text") != "")).select(F.to_json(F.struct("doc_id", "text")).alias("value")).repartition(4).write.text(f"{path}/{folder}")
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("text <> ''")
+    for rest, (folder, kind) in enumerate((("a/notes", "text"), ("a/b/items", "json"), ("c", "text"))):
+        part = docs.where(F.col("doc_id") % 3 == rest).repartition(4)
+        part.write.json(f"{path}/{folder}") if kind == "json" else part.select(F.to_json(F.struct("doc_id", "text")).alias("value")).write.text(f"{path}/{folder}")
+    docs.write.csv(f"{path}/c/other")
     return path
 
 
-@P.query("s2_mixed_tree", "SELECT count(*) AS docs, sum(doc_id)::BIGINT AS ids, sum(length(text))::BIGINT AS characters FROM documents WHERE text <> ''")
+@P.query("s2_mixed_tree", "SELECT CASE WHEN doc_id % 3 = 1 THEN 'json' ELSE 'txt' END AS extension, count(*) AS docs, sum(doc_id)::BIGINT AS ids, sum(length(text))::BIGINT AS characters FROM documents WHERE text <> '' GROUP BY 1")
 def s2(spark, d):
-    lines = S.tree(spark, text_tree(spark, d), ("txt",)).select(F.explode(F.split(F.rtrim("text", F.lit("\n")), "\n")).alias("line"))
-    rows = lines.where("line <> ''").select(F.from_json("line", "doc_id long, text string").alias("r")).select("r.*")
-    return rows.agg(F.count("*").alias("docs"), F.sum("doc_id").alias("ids"), F.sum(F.length("text").cast("long")).alias("characters"))
+    lines = S.tree(spark, text_tree(spark, d), ("txt", "json")).select("extension", F.explode(F.split(F.rtrim("text", F.lit("\n")), "\n")).alias("line"))
+    rows = lines.where("line <> ''").select("extension", F.from_json("line", "doc_id long, text string").alias("r")).select("extension", "r.*")
+    return rows.groupBy("extension").agg(F.count("*").alias("docs"), F.sum("doc_id").alias("ids"), F.sum(F.length("text").cast("long")).alias("characters"))
 
 
 @P.query("s3_csv_columns", f"WITH {M.FILINGS} SELECT max(rcept_dt) AS last, count(*) AS rows, count(DISTINCT rcept_no) AS numbers FROM filings")
@@ -186,14 +188,14 @@ def s14(spark, d):
     return snapshots.read(entry).select("path", F.lit(entry.state["sync"]).alias("sync_id")).unionByName(spark.createDataFrame(facts, "path string, sync_id string"))
 
 
-@P.query("s17_exports", "SELECT kind, count(*) AS rows, sum(n_nationkey)::BIGINT AS keys FROM nation, (VALUES ('csv'), ('jsonl'), ('parquet'), ('text')) AS k(kind) GROUP BY kind")
+@P.query("s17_exports", "SELECT kind, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders, (VALUES ('csv'), ('jsonl'), ('parquet'), ('text')) AS k(kind) GROUP BY kind")
 def s17(spark, d):
-    n, out = table(spark, d, "nation").select("n_nationkey", "n_name"), None
+    n, out = table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), None
     for kind in ("csv", "jsonl", "parquet", "text"):
         path = shared_path(spark, kind)
-        S.saved(n if kind != "text" else n.select(F.col("n_nationkey").cast("string")), path, kind)
+        S.saved(n if kind != "text" else n.select(F.col("o_orderkey").cast("string")), path, kind)
         back = spark.read.csv(path, header=True) if kind == "csv" else spark.read.json(path) if kind == "jsonl" else spark.read.parquet(path) if kind == "parquet" else spark.read.text(path)
-        part = back.select(F.lit(kind).alias("kind"), F.col(back.columns[0] if kind == "text" else "n_nationkey").cast("long").alias("k"))
+        part = back.select(F.lit(kind).alias("kind"), F.col(back.columns[0] if kind == "text" else "o_orderkey").cast("long").alias("k"))
         out = part if out is None else out.unionByName(part)
     return out.groupBy("kind").agg(F.count("*").alias("rows"), F.sum("k").alias("keys"))
 
