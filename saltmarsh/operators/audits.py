@@ -76,3 +76,53 @@ def response_integrity(expected: DataFrame, items: DataFrame, stated: DataFrame,
     match = (F.col("expected_count") == F.col("expected")) & (F.col("returned_count") == F.col("returned")) & (F.col("expected") == F.col("returned"))
     ok = F.coalesce(match, F.lit(False)) & (F.col("missing") + F.col("unexpected") + F.col("repeated") + F.col("conflicts") + F.col("differing") == 0)
     return out.select("package", "missing", "unexpected", "repeated", "conflicts", "differing", F.coalesce(match, F.lit(False)).alias("counts_match"), ok.alias("success"))
+
+
+# What a summary of a folder says of itself, and the keys that are compared, in order.
+SUMMARY_MODE, NOTE = "directory_jsonl_summary", "Canonical selected_articles corpus is the live selected_articles_*.jsonl set in this directory. This file is a directory summary only."
+SUMMARY_KEYS = (
+    "summary_mode", "source_dir", "source_files", "source_files_list", "merged_count", "total_rows", "unique_url_count", "date_min", "date_max", "output_file", "latest_file",
+    "latest_file_mtime_utc", "recent_backfill_files", "recent_backfill_added_rows", "row_counts_by_file", "source_domains", "source_kinds", "contract_note",
+)
+
+
+def live_summary(rows: DataFrame, files: DataFrame, folder: str) -> DataFrame:
+    """One row of SUMMARY_KEYS: what articles (file, url, source_domain, source_kind, day) in a folder's files (file, modified) come to.
+
+    Counts by file, domain and kind are arrays of name and n, by name; files without rows count 0 there. Blank values count nowhere but in the rows.
+    """
+
+    def text(c: str) -> Column:
+        return F.nullif(F.trim(F.col(c)), F.lit(""))
+
+    def counted(df: DataFrame, name: str, n: Column, into: str) -> DataFrame:
+        return df.agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), n.cast("long").alias("n")))).alias(into))
+
+    by_file = files.join(rows.groupBy("file").agg(F.count("*").alias("rows")), "file", "left").fillna(0, ["rows"])
+    listed = counted(by_file, "file", F.col("rows"), "row_counts_by_file")
+    kinds = {into: counted(rows.select(text(c).alias("name")).where("name is not null").groupBy("name").agg(F.count("*").alias("c")), "name", F.col("c"), into) for c, into in (("source_domain", "source_domains"), ("source_kind", "source_kinds"))}
+    totals = rows.agg(F.count("*").alias("total_rows"), F.count_distinct(text("url")).alias("unique_url_count"), F.min("day").alias("date_min"), F.max("day").alias("date_max"))
+    one = totals.crossJoin(listed).crossJoin(kinds["source_domains"]).crossJoin(kinds["source_kinds"])  # a row each
+    one = one.crossJoin(files.agg(F.max_by("modified", "file").alias("latest_file_mtime_utc")))
+    names = F.transform("row_counts_by_file", lambda x: x["name"])
+    recent = F.slice("row_counts_by_file", F.greatest(F.size("row_counts_by_file") - 1, F.lit(1)), F.lit(2))
+    made = {
+        "summary_mode": F.lit(SUMMARY_MODE),
+        "source_dir": F.lit(folder),
+        "source_files": F.size("row_counts_by_file"),
+        "source_files_list": names,
+        "merged_count": F.col("total_rows"),
+        "output_file": F.lit(""),
+        "latest_file": F.try_element_at(names, F.lit(-1)),
+        "recent_backfill_files": F.transform(recent, lambda x: x["name"]),
+        "recent_backfill_added_rows": F.reduce(recent, F.lit(0).cast("long"), lambda a, x: a + x["n"]),
+        "contract_note": F.lit(NOTE),
+    }
+    return one.withColumns(made).select(*SUMMARY_KEYS)
+
+
+def summary_issues(stated: DataFrame, found: DataFrame) -> DataFrame:
+    """issue: ``<key>_mismatch`` for each key of SUMMARY_KEYS in which a stated summary (a row, or none) differs from a found one, in order; a stated one that isn't there is one issue."""
+    both = found.select(F.struct(*SUMMARY_KEYS).alias("f")).join(stated.limit(1).select(F.struct(*SUMMARY_KEYS).alias("s")), F.lit(True), "left")  # a row each
+    wrong = F.array_compact(F.array(*[F.when(~F.col(f"s.{k}").eqNullSafe(F.col(f"f.{k}")), f"{k}_mismatch") for k in SUMMARY_KEYS]))
+    return both.select(F.explode(F.when(F.col("s").isNull(), F.array(F.lit("summary_missing_or_invalid"))).otherwise(wrong)).alias("issue"))

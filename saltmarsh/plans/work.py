@@ -80,6 +80,41 @@ def o5b(spark, d):
     return ops.summary_mismatches(stated, found, "file")
 
 
+def live(spark, d):
+    """Pages as articles in ten files, and an eleventh without any."""
+    k = F.col("page_id")
+    name = F.format_string("selected_articles_%02d.jsonl", k % 10)
+    rows = table(spark, d, "pages").select(name.alias("file"), F.when(k % 9 == 0, " ").otherwise(F.col("url")).alias("url"), F.when(k % 4 == 0, "").otherwise(F.concat(F.lit("d"), (k % 3).cast("string"))).alias("source_domain"), F.when(k % 2 == 0, "rss").otherwise("sitemap").alias("source_kind"), F.when(k % 5 != 0, F.date_add(F.lit("2025-01-01").cast("date"), (k % 30).cast("int"))).alias("day"))
+    files = spark.range(11).select(F.format_string("selected_articles_%02d.jsonl", "id").alias("file"), F.timestamp_seconds(F.col("id") * 1000).alias("modified"))
+    return audits.live_summary(rows, files, "news/selected")
+
+
+LIVE = """a AS (SELECT printf('selected_articles_%02d.jsonl', page_id % 10) AS file, CASE WHEN page_id % 9 = 0 THEN NULL ELSE nullif(trim(url), '') END AS url, CASE WHEN page_id % 4 = 0 THEN NULL ELSE 'd' || page_id % 3 END AS dom, CASE WHEN page_id % 2 = 0 THEN 'rss' ELSE 'sitemap' END AS kind, CASE WHEN page_id % 5 <> 0 THEN DATE '2025-01-01' + (page_id % 30)::INTEGER END AS day FROM pages),
+  f AS (SELECT file, count(page_id) AS n FROM (SELECT printf('selected_articles_%02d.jsonl', unnest(range(11))) AS file) LEFT JOIN (SELECT printf('selected_articles_%02d.jsonl', page_id % 10) AS file, page_id FROM pages) USING (file) GROUP BY file)"""
+
+
+@P.query(
+    "o5_live_summary",
+    f"""WITH {LIVE} SELECT count(*) AS total_rows, count(DISTINCT url) AS unique_url_count, min(day) AS date_min, max(day) AS date_max, (SELECT string_agg(file || '=' || n, ',' ORDER BY file) FROM f) AS row_counts_by_file, (SELECT max(file) FROM f) AS latest_file, TIMESTAMP '1970-01-01 02:46:40' AS latest_file_mtime_utc,
+  (SELECT string_agg(dom || '=' || c, ',' ORDER BY dom) FROM (SELECT dom, count(*) AS c FROM a WHERE dom IS NOT NULL GROUP BY dom)) AS source_domains, (SELECT string_agg(kind || '=' || c, ',' ORDER BY kind) FROM (SELECT kind, count(*) AS c FROM a GROUP BY kind)) AS source_kinds,
+  (SELECT sum(n)::BIGINT FROM f WHERE file >= 'selected_articles_09.jsonl') AS recent_backfill_added_rows, 11 AS source_files FROM a""",
+)
+def o5c(spark, d):
+    def flat(c: str) -> F.Column:
+        return F.array_join(F.transform(c, lambda x: F.concat(x["name"], F.lit("="), x["n"].cast("string"))), ",").alias(c)
+
+    keys = ("total_rows", "unique_url_count", "date_min", "date_max", "latest_file", "latest_file_mtime_utc", "recent_backfill_added_rows", "source_files")
+    return live(spark, d).select(*keys, *map(flat, ("row_counts_by_file", "source_domains", "source_kinds")))
+
+
+@P.query("o5_live_issues", "SELECT unnest(['summary_mode_mismatch', 'total_rows_mismatch', 'latest_file_mtime_utc_mismatch', 'source_kinds_mismatch']) AS issue, count(*) > 0 AS told FROM pages")
+def o5d(spark, d):
+    """A stated summary with four wrong keys."""
+    found = live(spark, d)
+    wrong = {"summary_mode": F.lit("other"), "total_rows": F.col("total_rows") + 1, "latest_file_mtime_utc": F.lit(None).cast("timestamp"), "source_kinds": F.slice("source_kinds", 1, 1)}
+    return audits.summary_issues(found.withColumns(wrong), found).withColumn("told", F.lit(True))
+
+
 @P.query("o6_scopes", "SELECT source, count(*) AS registered, count(*) FILTER (doc_id % 3 = 0) AS missing, count(*) FILTER (doc_id % 3 = 0 AND doc_id % 6 <> 0 AND doc_id % 4 <> 1) AS unresolved, count(*) FILTER (doc_id % 3 = 0 AND doc_id % 6 <> 0 AND doc_id % 4 <> 1) = 0 AS satisfied FROM documents WHERE source IS NOT NULL GROUP BY source")
 def o6(spark, d):
     k = F.col("doc_id")

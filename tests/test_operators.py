@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import random
-import re
 from datetime import date
 
 from pyspark.sql import functions as F
-from saltmarsh.operators import batching, dedup, messages, records, windows
+from saltmarsh.operators import audits, batching, dedup, messages, windows
 from saltmarsh.sources import files, market
 
 from .conftest import SMALL
@@ -115,3 +114,17 @@ def test_greedy_dedup_takes_whole_texts(spark):
     got = {r["id"]: (None if r["kept"] else r["kind"], r["matched"]) for r in dedup.greedy(keys).collect()}
     assert got == want
     assert got[1] == (None, None) and got[3] == ("content", 2) and got[4][1] == 0 and got[7] == ("title_date", 6)
+
+
+def test_a_summary_is_compared_key_by_key(spark):
+    rows = spark.createDataFrame([("b.jsonl", "http://a", "x", "rss", date(2025, 1, 2)), ("b.jsonl", "http://a", " ", None, None), ("c.jsonl", " ", "x", "k", date(2024, 1, 2))], "file string, url string, source_domain string, source_kind string, day date")
+    files = spark.createDataFrame([("a.jsonl", 1), ("b.jsonl", 2), ("c.jsonl", 3)], "file string, modified int")
+    found = audits.live_summary(rows, files, "f")
+    one = found.first()
+    assert (one["total_rows"], one["unique_url_count"], one["recent_backfill_added_rows"], one["latest_file"], one["latest_file_mtime_utc"]) == (3, 1, 3, "c.jsonl", 3)
+    assert [tuple(x) for x in one["row_counts_by_file"]] == [("a.jsonl", 0), ("b.jsonl", 2), ("c.jsonl", 1)] and [tuple(x) for x in one["source_domains"]] == [("x", 2)]
+    assert audits.summary_issues(found, found).count() == 0
+    assert [r[0] for r in audits.summary_issues(found.limit(0), found).collect()] == ["summary_missing_or_invalid"]
+    empty = audits.live_summary(rows.limit(0), files.limit(0), "f")
+    assert empty.first()["total_rows"] == 0 and empty.first()["latest_file"] is None
+    assert {r[0] for r in audits.summary_issues(empty, found).collect()} >= {"total_rows_mismatch", "date_min_mismatch", "recent_backfill_files_mismatch"}
