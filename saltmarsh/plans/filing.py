@@ -259,12 +259,15 @@ def d6(spark, d):
 
 @P.query(
     "d7_injected_blocks",
-    """WITH b AS (SELECT conv_id AS doc, turn AS place, text, 'base' AS base FROM conversations WHERE text IS NOT NULL), n AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY place) AS n, row_number() OVER (PARTITION BY doc, text ORDER BY place) AS r FROM b),
-  k AS (SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY doc ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n WHERE n <= 12 AND r = 1 AND NOT contains(base, text)) SELECT doc, place, left(text, (200 - before)::INTEGER) AS text FROM k WHERE before < 200""",
+    """WITH b AS (SELECT conv_id AS doc, turn AS place, c.text, coalesce(d.text, '') AS base FROM conversations c LEFT JOIN documents d ON d.doc_id = conv_id WHERE c.text IS NOT NULL UNION ALL SELECT doc_id, 1000, left(text, 300), text FROM documents WHERE text IS NOT NULL), n AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY place) AS n, row_number() OVER (PARTITION BY doc, text ORDER BY place) AS r FROM b),
+  k AS (SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY doc ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n WHERE n <= 12 AND r = 1 AND NOT contains(base, text)) SELECT doc, place, left(text, (4000 - before)::INTEGER) AS text FROM k WHERE before < 4000""",
 )
 def d7(spark, d):
-    blocks = table(spark, d, "conversations").where("text is not null").select(F.col("conv_id").alias("doc"), F.col("turn").alias("place"), "text", F.lit("base").alias("base"))
-    return dedup.injected(blocks, 12, 200)
+    """A conversation's turns for the document of its number, whose own beginning, which it has already, comes last."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("base"))
+    turns = table(spark, d, "conversations").where("text is not null").select(F.col("conv_id").alias("doc"), F.col("turn").cast("long").alias("place"), "text").join(docs, "doc", "left").withColumn("base", F.coalesce("base", F.lit("")))
+    own = docs.where("base is not null").select("doc", F.lit(1000).cast("long").alias("place"), F.substring("base", 1, 300).alias("text"), "base")
+    return dedup.injected(turns.unionByName(own), 12, 4000)
 
 
 QUERIES, ORACLES = P.queries, P.oracles
