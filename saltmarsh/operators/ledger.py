@@ -51,7 +51,9 @@ def fifo(fills: DataFrame) -> DataFrame:
     ends = f.where(F.col("eff") > EPSILON).select("symbol", F.when(buy, F.col("_end")).otherwise(F.col("_sold")).alias("end"), F.when(buy, (F.col("qty") * F.col("price") + costs) / F.col("qty")).alias("cost"), (~buy).cast("int").alias("sale"), F.col("row_no"))
     order = Window.partitionBy("symbol").orderBy("end", "sale", "row_no")
     piece = F.col("end") - F.coalesce(F.lag("end").over(order), F.lit(0.0))
-    own = F.first("cost", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    # the next purchase, met from behind: a frame that only grows, where one that shrinks is read again for each row
+    back = Window.partitionBy("symbol").orderBy(F.desc("end"), F.desc("sale"), F.desc("row_no"))
+    own = F.last("cost", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
     total = F.max(F.when(F.col("sale") == 1, F.col("end"))).over(Window.partitionBy("symbol"))
     pieces = ends.select("symbol", piece.alias("piece"), own.alias("own"), (F.col("end") <= F.coalesce(total, F.lit(0.0))).alias("sold"))
     cost = pieces.groupBy("symbol").agg(F.sum(F.when(F.col("sold"), F.col("piece") * F.col("own")).otherwise(0.0)).alias("cost"), F.sum(F.when(~F.col("sold"), F.col("piece") * F.col("own")).otherwise(0.0)).alias("open_cost"))
