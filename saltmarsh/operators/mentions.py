@@ -71,7 +71,8 @@ def mentions(texts: DataFrame, universe: DataFrame) -> DataFrame:
 
     A line is scanned from left to right; of the names at one place the longest is taken, and the scan goes on behind it. It counts between signs
     or ends of words, or before a postfix, and not where an analyst's title follows. Six digits between other characters are a code, if it is one.
-    Of two codes with one name the smaller counts. Names have no line breaks.
+    Of two codes with one name the smaller counts. Names have no line breaks. Where the universe has a column ``by_code``, only codes of its
+    rows that are true there are looked for as digits: others are numbers of a list and mean nothing in a text.
     """
     listed = universe.where("name <> '' and code <> ''")
     lines = texts.select(F.col("id").alias("of"), F.posexplode(F.split("text", "\n")).alias("line", "text")).select(F.struct("of", "line").alias("id"), F.translate("text", FROM + TO, OTHER * 2).alias("text"))
@@ -97,7 +98,8 @@ def mentions(texts: DataFrame, universe: DataFrame) -> DataFrame:
     codes = listed.groupBy("name").agg(F.min("code").alias("code"))
     by_name = met.join(codes, "name").select(F.col("of").alias("id"), F.lit(0).alias("kind"), "line", "place", "code")
     digits = texts.select("id", F.posexplode(F.regexp_extract_all("text", F.lit(r"(?<!\d)\d{6}(?!\d)"), F.lit(0))).alias("place", "code"))
-    by_code = digits.join(listed.select("code").distinct(), "code", "left_semi").select("id", F.lit(1).alias("kind"), F.lit(0).alias("line"), "place", "code")
+    written = listed.where("by_code") if "by_code" in listed.columns else listed
+    by_code = digits.join(written.select("code").distinct(), "code", "left_semi").select("id", F.lit(1).alias("kind"), F.lit(0).alias("line"), "place", "code")
     return by_name.unionByName(by_code)
 
 

@@ -62,3 +62,11 @@ def test_names_in_texts(spark):
     names = spark.createDataFrame([("License",), ("License",), ("and L",), ("cense",), ("e",), ("s",), ("th",), (None,), ("",), ("..",), ("a.b",)], "name string")
     assert {tuple(r) for r in mentions.names_in(texts, names, 3).collect()} == {(1, "License"), (1, "and L"), (1, "cense"), (3, "License"), (3, "a.b"), (3, "cense")}
     assert mentions.names_in(texts, names.limit(0)).count() == 0
+
+
+def test_only_tickers_count_as_digits_where_the_universe_says_so(spark):
+    texts = spark.createDataFrame([(1, "Acme 209136 100001"), (2, "Customer#7 and 100001, 209136")], "doc_id long, text string")
+    universe = spark.createDataFrame([("100001", "Acme", True), ("209136", "Customer#7", False)], "code string, name string, by_code boolean")
+    got = {r["doc_id"]: r["symbols"] for r in mentions.with_mentions(texts, universe).collect()}
+    assert got == {1: ["100001"], 2: ["209136", "100001"]}
+    assert [r["symbols"] for r in mentions.with_mentions(texts, universe.drop("by_code")).where("doc_id = 1").collect()] == [["100001", "209136"]]
