@@ -47,3 +47,16 @@ def test_all_checks_of_a_portfolio_fail_on_what_breaks_them(spark):
     passed = [r["check"] for r in C.evaluate(tables, portfolio.CHECKS).collect() if r["ok"]]
     assert passed == ["weights_slots_not_exceeded", "summary_mode_known"]
     assert len(C.plans(tables, portfolio.CHECKS)) <= 20
+
+
+def test_weights_that_just_meet_their_sum_do_so_in_any_order(spark):
+    for weights in ([19.8, 7.6, 12.9, 5.6, 21.2, 32.7], [9.6, 29.8, 26.5, 8.0, 13.3, 13.0], [26.2, 17.6, 19.7, 5.9, 11.1, 19.7]):
+        down = 0.0
+        for w in sorted(weights, reverse=True):
+            down += w
+        for order in (sorted(weights), sorted(weights, reverse=True), weights):
+            held = spark.createDataFrame([(1, "2025-01-01", k, w, None) for k, w in enumerate(order)], "track int, date string, code int, weight_pct double, change string").coalesce(1)
+            checks = [c for c in portfolio.CHECKS if c.name == "weights_daily_sum_approx_100"]
+            assert C.evaluate({"weights": held}, checks).first()["ok"] == (abs(down - 100) <= 0.2)
+            trades, curve = spark.createDataFrame([], "track int, date string, code int, kind string, delta double"), held.select("track", "date").distinct()
+            assert portfolio.consistency(held, trades, curve).where("check = 'weights_sum_to_100'").first()["ok"] == (abs(down - 100) <= 0.2)
