@@ -132,7 +132,12 @@ def promoted(messages: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def sidecars(items: DataFrame, side: DataFrame) -> DataFrame:
-    """Sidecar text by path; one made for other content (both hashes known and different) is ignored."""
-    s = side.select("path", F.col("sha1").alias("_sha1"), "sidecar")
-    fits = ~F.coalesce(F.col("sha1") != F.col("_sha1"), F.lit(False))
-    return items.join(s, "path", "left").withColumn("sidecar", F.when(fits, F.col("sidecar"))).drop("_sha1")
+    """Sidecar text by path; one made for other content (both hashes known and different) is ignored.
+
+    Each item stays one row. Of several sidecars of a path that fit, one made for the same content goes before one of unknown content, then the smallest text.
+    """
+    known = side.where("sha1 is not null").groupBy("path", "sha1").agg(F.min("sidecar").alias("_known"))
+    every = side.groupBy("path").agg(F.min("sidecar").alias("_any"), F.min(F.when(F.col("sha1").isNull(), F.col("sidecar"))).alias("_free"))
+    found = items.join(known, ["path", "sha1"], "left").join(every, "path", "left")
+    text = F.when(F.col("sha1").isNull(), F.col("_any")).otherwise(F.coalesce("_known", "_free"))
+    return found.select(*[F.col(c) for c in items.columns if c != "sidecar"], text.alias("sidecar"))

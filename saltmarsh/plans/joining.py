@@ -215,8 +215,9 @@ def j20(spark, d):
     """Pages with the hash of their content (a quarter unknown), and sidecars of a third, of which those of even pages were made for an older content."""
     k, p = F.col("page_id"), table(spark, d, "pages")
     content = F.coalesce("html", F.lit(""))
-    items = p.select("page_id", F.col("url").alias("path"), F.when(k % 4 != 0, F.sha1(content)).alias("sha1"))
-    side = p.where("page_id % 3 = 0").select(F.col("url").alias("path"), F.sha1(F.when(k % 2 == 0, F.concat(content, F.lit("older"))).otherwise(content)).alias("sha1"), F.substring(F.sha1("url"), 1, 8).alias("sidecar"))
+    path = F.concat_ws("#", "url", k.cast("string"))  # pages are copies of one url, files aren't
+    items = p.select("page_id", path.alias("path"), F.when(k % 4 != 0, F.sha1(content)).alias("sha1"))
+    side = p.where("page_id % 3 = 0").select(path.alias("path"), F.sha1(F.when(k % 2 == 0, F.concat(content, F.lit("older"))).otherwise(content)).alias("sha1"), F.substring(F.sha1("url"), 1, 8).alias("sidecar"))
     return J.sidecars(items, side).select("page_id", "sidecar")
 
 
