@@ -30,8 +30,6 @@ SHARD = 4096
 #: Blocks that the driver holds at once.
 AT_ONCE = 1 << 20
 SLOTS = "stream string, block long, release long, deadline long, slot long"
-#: Steps that the driver takes at most: beyond so many blocks they are larger.
-STEPS = 1 << 22
 #: Where times end: beyond it they count as this, for weights below about 1e-12.
 END = (1 << 63) - 1
 
@@ -108,8 +106,8 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_siz
     which it starts: a document isn't cut, so what stands in its source's order by a slot exceeds or falls short of the blocks
     scheduled by less than that document. ``selected`` is false for the surplus of sources that have more than their weight's part of the
     corpus: blocks that would be released after as many slots as the corpus has blocks. Only weights that the caller states (``weights``,
-    or a ``temper`` other than 1) make a surplus; without them all are selected. A corpus of more than STEPS blocks has larger blocks,
-    multiples of ``block_size``. A null source counts as ''; null and
+    or a ``temper`` other than 1) make a surplus; without them all are selected. Blocks have ``block_size`` characters
+    whatever the size of the corpus. A null source counts as ''; null and
     repeated doc_ids are documents like others, in an order by their texts' hash; an empty table gives no rows. Columns of docs with
     these names are replaced.
     """
@@ -125,7 +123,6 @@ def _placed(docs: DataFrame, kept: Sequence[str], weights: dict[str, float] | No
     scratch = Scratch(docs.sparkSession, "mixing")
     totals = scratch.store(docs.select(source, mass.alias("mass")).groupBy("stream").agg(F.sum("mass").alias("mass"), F.count("*").alias("documents")), "totals")
     masses = {r["stream"]: r["mass"] for r in totals.collect()}
-    block_size *= max(1, -(-sum(masses.values()) // (block_size * STEPS)))
     blocks = {x: -(-m // block_size) for x, m in masses.items()}
     table = _slots(scratch, whole_weights(masses, weights, cycle, temper), blocks)
     horizon = sum(blocks.values())
