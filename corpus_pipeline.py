@@ -41,10 +41,10 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed in their order of mixing: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
 
-    Files have no order that Spark keeps, so the slots are computed again. Sequences follow them by sequence_id; packing moves a document
-    within its group of GROUP_TOKENS only.
+    The order is that of the mixing's files: a source's documents as they stand in these, so each gets its slot of the mixing again. Sequences
+    follow the slots by sequence_id; packing moves a document within its group of GROUP_TOKENS only.
     """
-    return packing.pack(mixing.mixed(docs, WEIGHTS), tokenizer(), capacity=4096, end_id=2, group_tokens=GROUP_TOKENS, in_order=True)
+    return packing.pack(mixing.mixed(docs, WEIGHTS, as_stored=True), tokenizer(), capacity=4096, end_id=2, group_tokens=GROUP_TOKENS, in_order=True)
 
 
 STAGES = [("quality classifier", good_language), ("near copies", one_of_each), ("repeated passages", without_repeats), ("source mixing", mixed_sources), ("packing", packed)]

@@ -7,7 +7,7 @@ run out, at any time each has had less than one block more or less than its weig
 rounded, and every source has its own. The driver walks over the blocks' numbers, one step a block and some dozen bytes of them at a
 time, and stores each block's slot in the shared folder; no task walks over the corpus, and no text reaches the driver.
 
-Within a source documents come in the order of a hash of their identifier. A block's number follows from the characters before a document:
+Within a source documents come in the order of a hash of their identifier, or in that of the files they are read from. A block's number follows from the characters before a document:
 sums by shards of about SHARD documents, then within a shard, so the largest source is spread like any other.
 """
 
@@ -115,8 +115,8 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_siz
     return _placed(docs, kept, weights, block_size, cycle, temper).select(*[F.col("row")[c].alias(c) for c in kept], *NAMES)
 
 
-def _placed(docs: DataFrame, kept: Sequence[str], weights: dict[str, float] | None, block_size: int, cycle: int, temper: float) -> DataFrame:
-    """row, the columns of docs that are kept in one, with the columns NAMES."""
+def _placed(docs: DataFrame, kept: Sequence[str], weights: dict[str, float] | None, block_size: int, cycle: int, temper: float, as_stored: bool = False) -> DataFrame:
+    """row, the columns of docs that are kept in one, with the columns NAMES. ``as_stored``: a source's documents in the order of docs' files and of the rows in these."""
     mass = F.greatest(F.coalesce(F.length("text"), F.lit(0)), F.lit(1)).cast("long")
     keys = {"key": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "doc": F.col("doc_id"), "hash": F.md5(F.coalesce("text", F.lit("")))}
     source = F.coalesce(F.col("source").cast("string"), F.lit("")).alias("stream")
@@ -126,14 +126,20 @@ def _placed(docs: DataFrame, kept: Sequence[str], weights: dict[str, float] | No
     blocks = {x: -(-m // block_size) for x, m in masses.items()}
     table = _slots(scratch, whole_weights(masses, weights, cycle, temper), blocks)
     horizon = sum(blocks.values())
+    if as_stored:
+        place = docs.metadataColumn("_metadata")
+        keys = {"key": place["row_index"], "shard": F.struct(place["file_path"].alias("file"), F.floor(place["row_index"] / SHARD).alias("piece"))}
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), source, mass.alias("mass"), *[c.alias(n) for n, c in keys.items()])
-    sized = rows.join(small_side(totals.select("stream", F.ceil(F.col("documents") / SHARD).alias("shards"))), "stream")
-    where = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    sharded = sized.withColumn("shard", F.floor(where * F.col("shards") / F.lit(1 << 32)))
+    if as_stored:
+        sharded = rows
+    else:
+        sized = rows.join(small_side(totals.select("stream", F.ceil(F.col("documents") / SHARD).alias("shards"))), "stream")
+        where = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
+        sharded = sized.withColumn("shard", F.floor(where * F.col("shards") / F.lit(1 << 32)))
     sums = sharded.groupBy("stream", "shard").agg(F.sum("mass").alias("sum"))
     before = F.sum("sum").over(Window.partitionBy("stream").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("stream", "shard", F.coalesce(before, F.lit(0)).alias("before"))
-    inner = Window.partitionBy("stream", "shard").orderBy("key", "doc", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("stream", "shard").orderBy(*[k for k in keys if k != "shard"]).rowsBetween(Window.unboundedPreceding, -1)
     placed = sharded.withColumn("inner", F.coalesce(F.sum("mass").over(inner), F.lit(0))).join(sums, ["stream", "shard"])
     placed = placed.withColumn("start", F.col("before") + F.col("inner")).withColumn("block", F.floor(F.col("start") / block_size))
     out = placed.join(small_side(table), ["stream", "block"])
@@ -141,12 +147,13 @@ def _placed(docs: DataFrame, kept: Sequence[str], weights: dict[str, float] | No
     return out.select("row", *NAMES)
 
 
-def mixed(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+def mixed(docs: DataFrame, weights: dict[str, float] | None = None, as_stored: bool = False) -> DataFrame:
     """The selected documents, without stated weights all of them, in the order of their slots: within a slot in their stream's order.
 
-    All columns of docs come back as they were, whatever their names.
+    ``as_stored``: docs is read from files, and a source's documents come in the order of these and of the rows in them; so what an earlier call mixed
+    and a caller wrote comes back in its order. All columns of docs come back as they were, whatever their names.
     """
-    rows = _placed(docs, docs.columns, weights, BLOCK, CYCLE, TEMPER).where("selected")
+    rows = _placed(docs, docs.columns, weights, BLOCK, CYCLE, TEMPER, as_stored).where("selected")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, "slot", "start").sortWithinPartitions("slot", "start")
     return ordered.select(*[F.col("row")[c].alias(c) for c in docs.columns])
