@@ -59,3 +59,18 @@ def test_no_python_workers_and_years_apart(spark):
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "MapInArrow" not in plan
     assert windows.ewm(df.limit(0), "x", 10, "y").count() == 0
+
+
+def test_larger_tables_get_more_tasks_and_no_other_shuffle(spark, monkeypatch):
+    from saltmarsh import shared
+    from saltmarsh.operators import windows
+    from saltmarsh.sources import market
+
+    from .conftest import SMALL
+
+    rows = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(shared, "TASK_ROWS", rows // 50, raising=False)
+    grown = windows.equity(market.bars(spark, SMALL).withColumn("ret", windows.change("close") / 100))
+    plan = grown._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert grown.rdd.getNumPartitions() >= 50
