@@ -5,7 +5,7 @@ All are columns over whole texts: a reason, null for good ones, and the cleaned
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,6 +41,11 @@ def _text(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def _once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often and in whatever branches f names it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def _lines(c: Column | str) -> Column:
     return F.split(_text(c), LINE_ENDS)
 
@@ -69,7 +74,7 @@ def meaningful_short(c: Column) -> Column:
 
 def _bad_body(body: Column, least: int, empty: str, short: str) -> Column:
     """Null where the body is long enough or meaningful."""
-    return F.when((F.length(body) < least) & ~meaningful_short(body), F.when(F.trim(body) == "", empty).otherwise(short))
+    return _once(body, lambda b: F.when((F.length(b) < least) & ~meaningful_short(b), F.when(F.trim(b) == "", empty).otherwise(short)))
 
 
 def blog_reason(c: Column | str) -> Column:
@@ -120,13 +125,12 @@ def without_residue(c: Column | str) -> Column:
     lines = F.split(F.regexp_replace(_text(c), ATTACHED, "\n"), LINE_ENDS)
     kept = F.transform(F.filter(lines, lambda s: ~_one_of(F.trim(s), RESIDUE)), lambda x: F.rtrim(x))
     out = F.regexp_replace(F.regexp_replace(F.array_join(kept, "\n"), "\n{3,}", "\n\n"), r"^\s+|\s+$", "")
-    return F.when(out != "", F.concat(out, F.lit("\n"))).otherwise("")
+    return _once(out, lambda x: F.when(x != "", F.concat(x, F.lit("\n"))).otherwise(""))
 
 
 def text_reason(c: Column | str, kind: Column) -> Column:
     """The reason for a raw text of kind blog, telegram, premium or another (which has no rules but the least length)."""
-    clean = without_residue(c)
-    by_kind = F.when(kind == "blog", blog_reason(clean)).when(kind == "telegram", message_reason(clean)).when(kind == "premium", premium_reason(clean))
+    by_kind = _once(without_residue(c), lambda t: F.when(kind == "blog", blog_reason(t)).when(kind == "telegram", message_reason(t)).when(kind == "premium", premium_reason(t)))
     return F.when(F.length(F.regexp_replace(_text(c), r"^\s+|\s+$", "")) < TEXT_LEAST, "text_too_short").otherwise(by_kind)
 
 
