@@ -74,3 +74,16 @@ def test_larger_tables_get_more_tasks_and_no_other_shuffle(spark, monkeypatch):
     plan = grown._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert grown.rdd.getNumPartitions() >= 50
+
+
+@pytest.mark.parametrize("name", ["w2_adaptive_ema", "w4_flow_proxy", "w6_atr_risk", "w8_value_score"])
+def test_recurrences_leave_rows_where_they_are_and_store_nothing(spark, monkeypatch, name):
+    from saltmarsh import shared
+    from saltmarsh.plans import factors
+
+    from .conftest import SMALL
+
+    monkeypatch.setattr(shared, "shared_path", None)
+    plan = factors.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Join" not in plan
