@@ -43,3 +43,38 @@ def test_flow_rows(spark):
     df = spark.createDataFrame([(1, "<table>" + "".join(body) + "</table>"), (2, "")], "id long, html string")
     got = sorted(tuple(r) for r in tables.flow_rows(df).collect())
     assert got == [(1, 1, date(2025, 3, 7), 1234, 0, 766, -2000, 0), (1, 4, date(2025, 3, 9), 0, 0, 0, 0, 0)]
+
+
+def test_bare_pages_are_read_as_the_parser_reads_them(spark):
+    import random
+
+    def parsed(html):
+        walk = tables._Walk()
+        walk.feed(html)
+        walk.close()
+        return walk
+
+    def result(walk):
+        return [[tables._text(c) for c in r["cells"]] for r in walk.rows], list(tables._spread(walk.rows))
+
+    r, called = random.Random(5), []
+    signs = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "</th>", " a\n b ", ">", "1", "<tr><td>x</td><th> y z</th><td></td></tr>", "<tr></tr>"]
+    for odd in (False, True):
+        for _ in range(3000):
+            html = "".join(r.choice(signs + ["&amp;", "<td colspan=2>", "<b>", "<!-- <tr> -->", "<TR>"] * odd) for _ in range(r.randrange(25)))
+            walk = tables._Walk()
+            walk.read(html)
+            assert result(walk) == result(parsed(html)), html
+    walk = tables._Walk()
+    walk.feed = called.append
+    walk.read("<table>" + "<tr><td>1</td></tr>" * 3 + "</table>")
+    assert not called and len(walk.rows) == 3
+
+
+def test_flows_lie_by_symbol(spark):
+    from saltmarsh.plans import filing
+
+    from .conftest import SMALL
+
+    plan = filing.QUERIES["s7_flow_tables"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
