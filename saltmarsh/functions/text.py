@@ -204,10 +204,11 @@ def html_lines(c: Column | str, least: int = 25) -> Column:
     x = F.regexp_replace(x, r"(?i)<br\s*/?>", "\n")
     x = F.regexp_replace(x, r"(?i)</(p|div|section|article|li|h1|h2|h3|h4|h5|h6)>", "\n")
     x = unescaped(F.regexp_replace(x, r"(?s)<[^>]+>", " "))
+    # each step's array is bound to a name once: a lambda that names an expression would work it out again for each line
     lines = F.filter(F.transform(F.split(x, r"[\n\r]"), one_space), lambda s: F.length(s) >= least)
-    marked = F.transform(lines, lambda s: F.struct(fingerprint(s).alias("f"), s.alias("s")))
-    names = F.transform(marked, lambda m: m["f"])
-    return F.transform(F.filter(marked, lambda m, i: F.array_position(names, m["f"]) == i + 1), lambda m: m["s"])
+    marked = F.array_sort(F.transform(lines, lambda s, i: F.struct(fingerprint(s).alias("f"), i.alias("i"), s.alias("s"))))
+    first = F.flatten(F.transform(F.array(marked), lambda ms: F.filter(ms, lambda m, i: (i == 0) | (F.get(ms, i - 1)["f"] != m["f"]))))
+    return F.transform(F.array_sort(F.transform(first, lambda m: F.struct(m["i"].alias("i"), m["s"].alias("s")))), lambda m: m["s"])
 
 
 def html_text(c: Column | str, most: int = 3000) -> Column:

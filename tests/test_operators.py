@@ -128,3 +128,16 @@ def test_a_summary_is_compared_key_by_key(spark):
     empty = audits.live_summary(rows.limit(0), files.limit(0), "f")
     assert empty.first()["total_rows"] == 0 and empty.first()["latest_file"] is None
     assert {r[0] for r in audits.summary_issues(empty, found).collect()} >= {"total_rows_mismatch", "date_min_mismatch", "recent_backfill_files_mismatch"}
+
+
+def test_lines_of_a_page_are_fingerprinted_once(spark):
+    from saltmarsh.functions import text
+
+    lines = [f"line {i % 40} of a page that has enough characters, {'again' if i >= 40 else 'AGAIN'}!" for i in range(90)]
+    lines[7] = "short"
+    df = spark.createDataFrame([("<p>" + "</p><p>".join(lines) + "</p>",), (None,), ("<script>",)], "html string")
+    out = df.select(text.html_lines("html").alias("l"), text.html_text("html").alias("t"))
+    got = [r["l"] for r in out.collect()]
+    assert got == [[x for i, x in enumerate(lines[:40]) if i != 7] + [lines[47]], [], []]
+    plan = out.select("l")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha1(") == 1
