@@ -147,7 +147,8 @@ FAILING = {
 def d22_all(spark, d):
     held = stored(M.holdings(spark, d), "holdings")
     traded, curve = stored(portfolio.trades(held), "trades"), stored(portfolio.replay(held.where("weight_pct > 0"), M.group_returns(spark, d)), "curve")
-    models = scored_models(spark, d).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "model_id")))  # a row a model
+    # a row a model; stored, as several checks read it and it takes all bars
+    models = stored(scored_models(spark, d).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "model_id"))), "models")
     one = curve.agg(F.max("equity").alias("best_equity"), F.max("date").alias("last_day")).crossJoin(held.agg(F.count_if(F.col("weight_pct") > 0).alias("weights"))).crossJoin(traded.agg((F.count("*") + 1).alias("trades")))
     summary = one.crossJoin(models.where("rank = 1").select("model_id")).withColumns({"mode": F.lit("SIMULATED"), "real_ledger": F.lit(False), "axis_cap": F.lit(0.25), "corr_threshold": F.lit(0.7)})
     timeline = held.where("change is not null").select("track", "date", "code", "change")

@@ -141,3 +141,14 @@ def test_lines_of_a_page_are_fingerprinted_once(spark):
     assert got == [[x for i, x in enumerate(lines[:40]) if i != 7] + [lines[47]], [], []]
     plan = out.select("l")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sha1(") == 1
+
+
+def test_periods_take_one_pass_and_models_are_stored(spark, monkeypatch):
+    from saltmarsh.plans import factors, portfolios
+
+    plan = factors.QUERIES["w14_period_metrics"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem") + plan.count("min_by") <= 2 and "Union" not in plan
+    names, kept = [], portfolios.stored
+    monkeypatch.setattr(portfolios, "stored", lambda df, name: names.append(name) or kept(df, name))
+    portfolios.QUERIES["d22_all_checks"](spark, SMALL)
+    assert "models" in names
