@@ -95,6 +95,12 @@ def without_bad_days(bars: DataFrame, checked: DataFrame) -> DataFrame:
     return bars.join(checked.where("reason is not null").select("symbol", "date").distinct(), ["symbol", "date"], "left_anti")
 
 
+def on_good_days(checked: DataFrame) -> DataFrame:
+    """Checked bars of days on which a symbol has no bad row, as ``without_bad_days`` of the bars themselves; rows that lie by symbol stay there. What has no day or symbol stays too."""
+    bad = F.bool_or(F.col("reason").isNotNull()).over(Window.partitionBy("symbol", "date"))
+    return checked.withColumn("_bad", bad).where(~F.col("_bad") | F.col("date").isNull() | F.col("symbol").isNull()).drop("_bad", "reason")
+
+
 def flows_checked(flows: DataFrame, numbers: Sequence[str] = ("inst", "corp", "indiv", "foreign", "total"), strict: bool = True) -> DataFrame:
     """Strict: any missing number is bad and a day's first row counts, over all rows; else: all missing, and the last good row counts."""
     if strict:

@@ -41,8 +41,8 @@ def f6(spark, d):
 )
 def f7(spark, d):
     raw = M.raw_bars(spark, d)
-    last = raw.select("symbol").distinct().withColumn("last_close", F.lit(100.0))
-    return V.without_bad_days(raw, V.bars_strict(raw, most=2.0, last_close=last)).select("symbol", "date", "row_no", "close")
+    last = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("symbol")).distinct().withColumn("last_close", F.lit(100.0))
+    return V.on_good_days(V.bars_strict(raw, most=2.0, last_close=last)).select("symbol", "date", "row_no", "close")
 
 
 @P.query("f8_flows_strict", f"""WITH {M.RAW_FLOWS} SELECT symbol, date, row_no, CASE WHEN row_number() OVER (PARTITION BY symbol, date ORDER BY row_no) > 1 THEN 'duplicate_date' WHEN inst IS NULL OR corp IS NULL OR indiv IS NULL OR "foreign" IS NULL OR total IS NULL THEN 'missing_value' END AS reason FROM raw_flows""")

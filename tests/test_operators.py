@@ -143,6 +143,19 @@ def test_lines_of_a_page_are_fingerprinted_once(spark):
     assert plan.count("sha1(") == 1
 
 
+def test_bad_days_go_without_a_join_of_bars(spark):
+    from saltmarsh.operators import validation
+    from saltmarsh.plans import validation as plans
+
+    day = date(2025, 1, 2)
+    rows = [("a", day, None), ("a", day, "x"), ("a", date(2025, 1, 3), None), ("b", day, None), ("b", None, "x"), (None, day, "x")]
+    checked = spark.createDataFrame(rows, "symbol string, date date, reason string")
+    want = validation.without_bad_days(checked.drop("reason"), checked).collect()
+    assert sorted(map(str, validation.on_good_days(checked).collect())) == sorted(map(str, want)) and len(want) == 4
+    plan = plans.QUERIES["f7_bars_collected"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("min_by") == 1 and "LeftAnti" not in plan
+
+
 def test_periods_take_one_pass_and_models_are_stored(spark, monkeypatch):
     from saltmarsh.plans import factors, portfolios
 
