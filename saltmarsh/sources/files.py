@@ -50,19 +50,19 @@ def csv_columns(spark: SparkSession, folder: str, columns: Sequence[str]) -> Dat
     return rows.select(*[F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
-def jsonl(spark: SparkSession, folder: str, schema: str) -> tuple[DataFrame, DataFrame]:
+def jsonl(spark: SparkSession, folder: str, schema: str, one_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows of JSON lines by schema, with path, and rows of errors: path, line_no (from 1), reason, raw_preview.
 
     Large files are read in splits. Only splits with an error have their lines numbered, which is where rows are shuffled;
     the lines before a split are known from counts by split. Blank lines count but give nothing. Reasons: jsonl_parse_error,
-    jsonl_row_not_object.
+    jsonl_row_not_object. ``one_text``: the folder's files are parts of one text in order of their paths, and lines are numbered throughout.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.trim("value").alias("line"))
     reason = F.when(F.col("line") == "", None).when(F.try_parse_json("line").isNull(), "jsonl_parse_error").when(~F.col("line").startswith("{"), "jsonl_row_not_object")
     marked = lines.withColumn("reason", reason)
     good = marked.where("reason is null and line <> ''").select("path", F.from_json("line", schema).alias("r")).select("path", "r.*")
     wrong = marked.where("reason is not null").select("path", "split").distinct()
-    before = lines.groupBy("path", "split").count().select("path", "split", F.coalesce(F.sum("count").over(Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    before = lines.groupBy("path", "split").count().select("path", "split", F.coalesce(F.sum("count").over((Window.orderBy("path", "split") if one_text else Window.partitionBy("path").orderBy("split")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     own = Window.partitionBy("path", "split").orderBy("place")
     numbered = marked.withColumn("place", F.monotonically_increasing_id()).join(wrong, ["path", "split"], "left_semi").withColumn("n", F.row_number().over(own)).where("reason is not null")
     bad = numbered.join(before, ["path", "split"]).select("path", (F.col("before") + F.col("n")).alias("line_no"), "reason", F.substring("line", 1, PREVIEW).alias("raw_preview"))

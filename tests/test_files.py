@@ -35,3 +35,22 @@ def test_the_trees_files_grow_in_number_and_not_in_size(spark, tmp_path, monkeyp
         assert found.where("length(text) > 0").count() >= part * 2 // 3
         most.append(found.selectExpr("max(size)").first()[0])
     assert most[1] < most[0]
+
+
+def test_json_lines_are_written_and_numbered_by_many_tasks(spark, tmp_path):
+    from saltmarsh.plans import filing
+
+    from .conftest import SMALL
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    for k in range(5):  # enough for more than one range
+        events.repartition(4).write.mode("append").parquet(f"file://{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = filing.json_lines(spark, f"file://{tmp_path}")
+        assert len(spark.read.text(folder).inputFiles()) > 1
+        bad = filing.QUERIES["s4_jsonl_errors"](spark, f"file://{tmp_path}").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ids = sorted(r["event_id"] for r in spark.read.parquet(f"file://{tmp_path}/events.parquet").collect())
+    assert sorted(r["line_no"] for r in bad) == [i + 1 for i, k in enumerate(ids) if k % 50 in (7, 8)]
