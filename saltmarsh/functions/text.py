@@ -246,17 +246,31 @@ def chunks(c: Column | str, target: Column | int, most: Column | int, first_only
     return out if first_only is None else F.when(first_only, whole).otherwise(out)
 
 
+def _plain(keyword: str) -> bool:
+    return keyword.isascii() and keyword.isalnum()
+
+
 def occurrences(text: Column, keyword: str) -> Column:
     """How often a keyword stands in a lower-cased text; ASCII letters and digits count between word boundaries only."""
-    if keyword.isascii() and keyword.isalnum():
+    if _plain(keyword):
         return F.regexp_count(text, F.lit(rf"(?<![a-z0-9]){keyword}(?![a-z0-9])"))
-    return ((F.length(text) - F.length(F.replace(text, F.lit(keyword), F.lit("")))) / len(keyword)).cast("int")
+    # most texts lack most keywords: they aren't copied
+    n = ((F.length(text) - F.length(F.replace(text, F.lit(keyword), F.lit("")))) / len(keyword)).cast("int")
+    return F.when(F.contains(text, F.lit(keyword)), n).when(text.isNotNull(), 0)
 
 
 def hits(text: Column, keywords: Sequence[str]) -> Column:
-    out = F.lit(0)
-    for k in keywords:
-        out = out + occurrences(text, k.lower())
+    """How often any of the keywords stands in a lower-cased text. Plain ones never overlap, as each is all that stands between two boundaries, so one search finds all of them."""
+    low = [k.lower() for k in keywords]
+    plain, out = [k for k in low if _plain(k)], F.lit(0)
+    for k in sorted(set(plain)):
+        if plain.count(k) > 1:  # a keyword that is given twice counts twice
+            out = out + occurrences(text, k) * (plain.count(k) - 1)
+    if plain:
+        out = out + F.regexp_count(text, F.lit(rf"(?<![a-z0-9])(?:{'|'.join(sorted(set(plain)))})(?![a-z0-9])"))
+    for k in low:
+        if not _plain(k):
+            out = out + occurrences(text, k)
     return out
 
 

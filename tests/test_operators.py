@@ -165,3 +165,18 @@ def test_periods_take_one_pass_and_models_are_stored(spark, monkeypatch):
     monkeypatch.setattr(portfolios, "stored", lambda df, name: names.append(name) or kept(df, name))
     portfolios.QUERIES["d22_all_checks"](spark, SMALL)
     assert "models" in names
+
+
+def test_plain_keywords_are_found_in_one_search(spark):
+    from saltmarsh.functions import text
+
+    words = ("cb", "order", "order", "risk", "수주", "수주계약", "risk-on", "or", "x1")
+    rows = [("order orders cb,cb_x cb1 수주계약 수주 risk-on risk 계약order x1 or",), ("order-order ordercb 주수주수주",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    one_by_one = F.lit(0)
+    for k in words:
+        one_by_one = one_by_one + text.occurrences(F.col("t"), k)
+    got = df.select(text.hits(F.col("t"), words).alias("a"), one_by_one.alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got] == [14, 6, 0, None]
+    plan = df.select(text.hits(F.col("t"), ("cb", "risk", "or")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
