@@ -140,7 +140,8 @@ def allowed_link(url: Column | str, blocked: Sequence[str], allowed: Sequence[st
 def fingerprint_text(c: Column | str) -> Column:
     """Lower case, URLs out, other signs to blanks, single blanks."""
     x = F.regexp_replace(F.lower(F.coalesce(_col(c), F.lit(""))), r"https?://\S+", " ")
-    return one_space(F.regexp_replace(x, rf"[^{KEPT}\s]", " "))
+    # other signs and blanks in one search, as both become one blank
+    return F.trim(F.regexp_replace(x, rf"[^{KEPT}]+", " "))
 
 
 def fingerprint(c: Column | str) -> Column:

@@ -180,3 +180,16 @@ def test_plain_keywords_are_found_in_one_search(spark):
     assert [r["a"] for r in got] == [r["b"] for r in got] == [14, 6, 0, None]
     plan = df.select(text.hits(F.col("t"), ("cb", "risk", "or")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(") == 1
+
+
+def test_fingerprints_text_takes_blanks_and_signs_in_one_search(spark):
+    import re
+
+    from saltmarsh.functions import text
+
+    rows = [" A\t-- b\n\n! 가c", "http://x.y/z?q, tail HTTPS://a", "", None, "… x y  ", "a.b"]
+    df = spark.createDataFrame([(r,) for r in rows], "t string").coalesce(1).select("t", text.fingerprint_text("t").alias("f"))
+    for r in df.collect():
+        plain = re.sub(r"https?://\S+", " ", (r["t"] or "").lower(), flags=re.A)
+        assert r["f"] == re.sub(r"[ \t\n\r\f\v]+", " ", re.sub(r"[^0-9a-z가-힣\s]", " ", plain, flags=re.A)).strip(" ")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 2
