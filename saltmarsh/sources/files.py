@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +22,9 @@ PREVIEW = 400
 
 def file_stem() -> Column:
     """The name of the file that a row comes from, without folder and extension."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*?)(\.[^./]*)?$", 1)
+    # from the name alone: a pattern over whole paths takes longer than reading a row
+    name = F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))  # Spark gives the name as in a URI, where a plus is one
 
 
 def per_symbol_csv(spark: SparkSession, folder: str, schema: str, universe: DataFrame | None = None) -> DataFrame:
@@ -30,13 +36,68 @@ def per_symbol_csv(spark: SparkSession, folder: str, schema: str, universe: Data
     reader = spark.read.schema(schema).option("header", True)
     if universe is None:
         return reader.option("pathGlobFilter", "*.csv").csv(folder).withColumn("symbol", file_stem())
-    system, at = _fs(spark, folder)
-    listed = [str(f.getPath().toString()) for f in system.listStatus(at) if f.getPath().getName().endswith(".csv")]
-    names = spark.createDataFrame([(p, p.rsplit("/", 1)[1].removesuffix(".csv")) for p in listed], "path string, code string")
-    wanted = [r["path"] for r in names.join(universe.select("code"), "code", "left_semi").collect()]  # files of one folder, as many as were listed at most
+    # of the listed files' columns only the path is asked for, so none is opened
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path", file_stem().alias("code"))
+    wanted = [r["path"] for r in listed.join(universe.select("code"), "code", "left_semi").select("path").collect()]  # files of one folder, as many as were listed at most
     return reader.csv(wanted).withColumn("symbol", file_stem()) if wanted else spark.createDataFrame([], schema).withColumn("symbol", F.lit(None).cast("string"))
 
 
+def _opened(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of an absolute URI as Arrow opens it, and the path there."""
+    return (pa.fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")) if uri.startswith("file:") else pa.fs.FileSystem.from_uri(uri)
+
+
+def csv_files(df: DataFrame, folder: str, name: str) -> None:
+    """Write ``folder/value.csv``, with header, for each value of column ``name`` that isn't null; a value's rows must lie in one partition.
+
+    Tasks have their rows in order of the values and write file after file, each under a name of its own first, so what an attempt leaves behind is no CSV file.
+    Spark's writer would make a folder for each value, whose file is left to the driver to rename; that is done where Arrow can't open the file system.
+    """
+    spark, rows = df.sparkSession, df.where(F.col(name).isNotNull())
+    columns = [c for c in df.columns if c != name]
+    system, at = _fs(spark, folder)
+    uri = at.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    try:
+        _opened(uri)
+    except (pa.ArrowInvalid, OSError):
+        return _csv_folders(rows, folder, name)
+    system.mkdirs(at)
+    header = (",".join(columns) + "\n").encode()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = _opened(uri)
+        own = f"{root}/.{uuid.uuid4().hex}"
+        now, out, files = None, None, 0
+        for batch in batches:
+            lines = iter(batch["line"].to_pylist())
+            for value, run in groupby(batch["name"].to_pylist()):
+                if value != now:
+                    if out:
+                        out.close()
+                        fs.move(own, f"{root}/{now}.csv")
+                    now, out, files = value, fs.open_output_stream(own), files + 1
+                    out.write(header)
+                out.write("".join(f"{next(lines)}\n" for _ in run).encode())
+        if out:
+            out.close()
+            fs.move(own, f"{root}/{now}.csv")
+        yield pa.RecordBatch.from_pydict({"files": [files]})
+
+    lines = rows.select(F.col(name).cast("string").alias("name"), F.to_csv(F.struct(*columns)).alias("line"))
+    lines.sortWithinPartitions("name").mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
+def _csv_folders(rows: DataFrame, folder: str, name: str) -> None:
+    """The same files by Spark's writer: one folder a value becomes one file a value."""
+    rows.write.partitionBy(name).csv(folder, header=True)
+    system, root = _fs(rows.sparkSession, folder)
+    for value in system.listStatus(root):
+        if value.isDirectory():
+            part = next(f.getPath() for f in system.listStatus(value.getPath()) if f.getPath().getName().endswith(".csv"))
+            system.rename(part, rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{value.getPath().getName().removeprefix(f'{name}=')}.csv"))
+            system.delete(value.getPath(), True)
+
+
 def tree(spark: SparkSession, folder: str, extensions: Sequence[str] = EXTENSIONS) -> DataFrame:
     """path, extension, size, modified, text of each file below a folder with one of the extensions, whole."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{{{','.join(extensions)}}}").text(folder, wholetext=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 from saltmarsh.sources import files
 
 TYPES = "date date, close double"
@@ -22,6 +23,37 @@ def test_only_the_universes_files_are_opened(spark, tmp_path):
     assert none.count() == 0 and none.columns == rows.columns
 
 
+def test_csv_files_are_written_by_the_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(4000).selectExpr("lpad(cast(id % 300 as string), 6, '0') AS code", "date_add(DATE'2025-01-01', cast(id % 7 as int)) AS date", "if(id % 5 = 0, null, id / 8) AS close")
+    rows = rows.unionByName(rows.limit(1).withColumn("code", F.lit(None).cast("string"))).repartition(7, "code")
+    called = []
+    kept = files._fs
+
+    class Watched:
+        def __init__(self, system):
+            self.system = system
+
+        def __getattr__(self, name):
+            called.append(name)
+            return getattr(self.system, name)
+
+    monkeypatch.setattr(files, "_fs", lambda s, path: (lambda system, at: (Watched(system), at))(*kept(s, path)))
+    files.csv_files(rows, f"file://{tmp_path}/own", "code")
+    assert called.count("rename") == 0 and len(called) < 10  # the driver does nothing for each file
+    monkeypatch.setattr(files, "_opened", lambda uri: (_ for _ in ()).throw(OSError(uri)))
+    files.csv_files(rows, f"file://{tmp_path}/spark", "code")
+    got = [{p.name: sorted(p.read_text().splitlines()) for p in (tmp_path / d).glob("*.csv")} for d in ("own", "spark")]
+    assert len(got[0]) == 300 and got[0].items() <= got[1].items() and got[0]["000005.csv"][-1] == "date,close"
+    back = files.per_symbol_csv(spark, f"file://{tmp_path}/own", TYPES).selectExpr("symbol AS code", "date", "close")
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.where("code is not null").collect()))
+
+
+def test_a_files_stem(spark, tmp_path):
+    for name in ("a.b.csv", "c", "d e+%.csv"):
+        (tmp_path / name).write_text("x\n")
+    assert sorted(r[0] for r in spark.read.text(f"file://{tmp_path}").select(files.file_stem()).collect()) == ["a.b", "c", "d e+%"]
+
+
 def test_the_trees_files_grow_in_number_and_not_in_size(spark, tmp_path, monkeypatch):
     from saltmarsh.plans import filing
 
