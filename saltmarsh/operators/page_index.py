@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +9,8 @@ from ..shared import stored
 from .aggregates import page_grade
 
 BUCKETS = 64
+#: Rows of a bucket that a task writes into one file, about: buckets that grow get more files and not larger ones.
+FILE_ROWS = 500_000
 DOCUMENTS = "doc_key string, channel string, kind string, message_date date, declared_pages int, signature string, bucket int"
 PAGES = "doc_key string, page_no int, text_chars long, has_render boolean, bucket int"
 
@@ -47,26 +47,28 @@ class PageIndex:
         columns = DOCUMENTS.replace(" string", "").replace(" date", "").replace(" int", "").split(", ")
         latest = documents.where("doc_key is not null").groupBy(F.col("doc_key").cast("string").alias("doc_key")).agg(F.max_by(F.struct(*[F.col(c) for c in columns[1:-1]]), F.coalesce("signature", F.lit(""))).alias("d")).select("doc_key", "d.*").withColumn("bucket", _bucket())
         old = self.documents()
-        both = latest.select("doc_key", "bucket", "signature", F.lit(True).alias("now")).join(old.select("doc_key", F.col("bucket").alias("b"), F.col("signature").alias("s"), F.lit(True).alias("was")), "doc_key", "full")
+        both = latest.withColumn("now", F.lit(True)).join(old.select("doc_key", F.col("bucket").alias("b"), F.col("signature").alias("s"), F.lit(True).alias("was")), "doc_key", "full")
         same = F.col("now") & F.col("was") & F.col("signature").eqNullSafe(F.col("s"))
-        changed = stored(both.where(~F.coalesce(same, F.lit(False))).select("doc_key", F.coalesce("bucket", "b").alias("bucket"), F.col("now").isNotNull().alias("present")), "changed")
+        # with all their columns, as what the given documents are made of would be worked out again for each later step
+        changed = stored(both.where(~F.coalesce(same, F.lit(False))).select(*columns[:-1], F.coalesce("bucket", "b").alias("bucket"), F.col("now").isNotNull().alias("present")), "changed")
         touched = sorted(r[0] for r in changed.select("bucket").distinct().collect())  # BUCKETS rows at most
         if not touched:
             return []
-        fresh = latest.join(changed.where("present").select("doc_key"), "doc_key", "left_semi")
-        one = pages.select(F.col("doc_key").cast("string").alias("doc_key"), F.col("page_no").cast("int").alias("page_no"), F.coalesce(F.col("text_chars").cast("long"), F.lit(0)).alias("text_chars"), F.coalesce("has_render", F.lit(False)).alias("has_render")).where("page_no > 0")
-        one = one.groupBy("doc_key", "page_no").agg(F.max("text_chars").alias("text_chars"), F.max("has_render").alias("has_render"))
-        declared = fresh.where("declared_pages > 0").select("doc_key", F.explode(F.sequence(F.lit(1), F.col("declared_pages"))).alias("page_no"))
-        given = one.join(fresh.select("doc_key"), "doc_key", "left_semi")
-        new = declared.join(given, ["doc_key", "page_no"], "full").select("doc_key", "page_no", F.coalesce("text_chars", F.lit(0)).alias("text_chars"), F.coalesce("has_render", F.lit(False)).alias("has_render")).withColumn("bucket", _bucket())
+        fresh = changed.where("present").drop("present")
+        given = pages.select(F.col("doc_key").cast("string").alias("doc_key"), F.col("page_no").cast("int").alias("page_no"), F.coalesce(F.col("text_chars").cast("long"), F.lit(0)).alias("text_chars"), F.coalesce("has_render", F.lit(False)).alias("has_render")).where("page_no > 0")
+        declared = fresh.where("declared_pages > 0").select("doc_key", F.explode(F.sequence(F.lit(1), F.col("declared_pages"))).alias("page_no"), F.lit(None).cast("long").alias("text_chars"), F.lit(None).cast("boolean").alias("has_render"))
+        every = given.join(fresh.select("doc_key"), "doc_key", "left_semi").unionByName(declared).groupBy("doc_key", "page_no")
+        new = every.agg(F.coalesce(F.max("text_chars"), F.lit(0)).alias("text_chars"), F.coalesce(F.max("has_render"), F.lit(False)).alias("has_render")).withColumn("bucket", _bucket())
         for name, schema, rows in (("pages", PAGES, new), ("documents", DOCUMENTS, fresh)):
             rest = self._read(name, schema).where(F.col("bucket").isin(touched)).join(changed.select("doc_key"), "doc_key", "left_anti")
             names = [x.split(" ")[0] for x in schema.split(", ")]
             # stored first: a bucket can't be read while it is written
             whole = stored(rest.select(*names).unionByName(rows.select(*names)), name)
-            whole.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.folder}/{name}")
-            filled = {r[0] for r in whole.select("bucket").distinct().collect()}
-            for bucket in set(touched) - filled:  # nothing is left of these, so nothing has taken their place
+            sizes = {r["bucket"]: r["count"] for r in whole.groupBy("bucket").count().collect()}  # BUCKETS rows at most
+            shares = -(-max(sizes.values(), default=0) // FILE_ROWS)
+            dealt = whole.repartition(len(sizes) * shares, "bucket", F.pmod(F.hash("doc_key"), F.lit(shares))) if shares > 1 else whole.repartition("bucket")
+            dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.folder}/{name}")
+            for bucket in set(touched) - sizes.keys():  # nothing is left of these, so nothing has taken their place
                 path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}/bucket={bucket}")
                 path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         return touched
@@ -82,4 +84,6 @@ class PageIndex:
         rows = self.graded()
         sums = [F.count("*").alias("documents"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pages", "with_text", "with_render", "placeholders")], F.count_distinct("channel").alias("channels"), F.min("message_date").alias("first"), F.max("message_date").alias("last")]
         keys = {"all": F.lit(""), "month": F.date_format("message_date", "yyyy-MM"), "kind": F.col("kind"), "grade": F.col("grade")}
-        return reduce(DataFrame.unionByName, [rows.groupBy(F.coalesce(k, F.lit("")).alias("key")).agg(*sums).withColumn("what", F.lit(n)) for n, k in keys.items()])
+        each = F.explode(F.array(*[F.struct(F.lit(n).alias("what"), F.coalesce(k, F.lit("")).alias("key")) for n, k in keys.items()])).alias("_k")
+        # one pass for all keys: grades are sums over all pages
+        return rows.select("*", each).groupBy("_k.key", "_k.what").agg(*sums).select("key", "documents", "pages", "with_text", "with_render", "placeholders", "channels", "first", "last", "what")

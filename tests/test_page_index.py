@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from saltmarsh.operators import page_index
 
 DOCS = "doc_key string, channel string, kind string, message_date date, declared_pages int, signature string"
@@ -48,3 +49,24 @@ def test_refresh(spark, tmp_path, monkeypatch):
     assert index.refresh(*frames(docs, [("d5", 1, 4, True)]))
     assert state(index)["d5"] == (1, 1, 1, 0, "A")
     assert {(r["what"], r["key"]): (r["documents"], r["channels"]) for r in index.totals().collect()}["all", ""] == (40, 4)  # c9 is d4's new one
+
+
+def test_documents_are_worked_out_once_a_refresh_and_large_buckets_get_more_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(page_index, "FILE_ROWS", 8, raising=False)
+    index = page_index.PageIndex(spark, f"file://{tmp_path}/index")
+    worked = spark.sparkContext.accumulator(0)
+
+    def sign(key):
+        worked.add(1)
+        return f"v-{key}"
+
+    docs = [(f"d{i}", f"c{i % 3}", "pdf", date(2025, 1, 5), 5, None) for i in range(400)]
+    pages = spark.createDataFrame([(f"d{i}", p, 10 if p < 4 else -5, p == 4) for i in range(400) for p in (1, 2, 2, 3, 4)], PAGES)
+    index.refresh(spark.createDataFrame(docs, DOCS).withColumn("signature", F.udf(sign)("doc_key")), pages)
+    assert worked.value == 400
+    assert set(state(index).values()) == {(5, 3, 1, 1, "B")} and index.pages().where("page_no = 4 and text_chars = -5").count() == 400
+    files = {}
+    for p in (tmp_path / "index/pages").rglob("*.parquet"):
+        files.setdefault(p.parent.name, []).append(p)
+    assert len(files) > 50 and sum(len(f) > 1 for f in files.values()) > 40
+    assert {(r["what"], r["key"], r["documents"], r["pages"], r["channels"]) for r in index.totals().collect()} == {("all", "", 400, 2000, 3), ("month", "2025-01", 400, 2000, 3), ("kind", "pdf", 400, 2000, 3), ("grade", "B", 400, 2000, 3)}
