@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
+from saltmarsh.functions import text as X
 from saltmarsh.operators import dedup
+from saltmarsh.plans.portfolios import keyed
 from saltmarsh.sources import commits
 
 KINDS = ("url", "title_date", "content")
@@ -74,3 +78,29 @@ def test_empty(spark):
     assert dedup.greedy(df).count() == 0
     one = spark.createDataFrame([(1, None, [], [None, ""])], DOCS)
     assert decided(dedup.greedy(one)) == {1: (True, None, None)}
+
+
+def test_other_signs_are_those_that_a_negated_class_finds(spark):
+    """Every code point, and no slow class in the plan of d1's keys."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    rows = spark.createDataFrame([("".join(points[k : k + 4096]),) for k in range(0, len(points), 4096)], "t string")
+    for kept, other in ((X.KEPT, X.OTHER), (f"{X.KEPT} ", X.OTHER_BUT_BLANKS)):
+        assert rows.where(F.regexp_replace("t", f"[^{kept}]", "_") != F.regexp_replace("t", f"[{other}]", "_")).count() == 0
+    keys = keyed(spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string"))
+    assert "regexp_replace" in (plan := keys._jdf.queryExecution().optimizedPlan().toString()) and "[^0-9a-z" not in plan
+
+
+def test_content_fingerprints_are_those_of_the_whole_and_its_parts(spark):
+    word = "Größe 가나 x1, "
+    texts = [word * 9 + "\n \n" + "https://a.b/c?d\n\n" + "\t\n\n" + word * 8 + "!", word * 8 + "\n" + word * 10 + "https://x.y", "short", "\n\n", "", None, word * 20, "== " * 40]
+
+    def normal(t):
+        return re.sub(r"[^0-9a-z가-힣]+", " ", re.sub(r"https?://\S+", " ", (t or "").lower())).strip(" ")
+
+    def parts(t):
+        ps = [p for p in re.split(r"\n\s*\n+", t or "") if p.strip(" ")]
+        return ps if len(ps) > 1 else [p for p in re.split(r"\n+", t or "") if p.strip(" ")]
+
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").select("id", X.content_fingerprints("t").alias("f")).collect()
+    want = {i: list(dict.fromkeys(hashlib.sha1(n.encode()).hexdigest() for n in map(normal, [t, *parts(t)]) if len(n) >= 80)) for i, t in enumerate(texts)}
+    assert {r["id"]: r["f"] for r in got} == want and len(want[0]) == 3
