@@ -1,9 +1,13 @@
-"""Token ids of whole texts, with each distinct piece of text between blanks encoded once a worker.
+"""Token ids of whole texts, with each distinct piece of text between blanks encoded once for some megabytes of text.
 
 A tokenizer that composes characters, lower-cases, and breaks texts at white space and between a letter and a sign gives a text
 the ids of its pieces in a row; a word and the ASCII signs behind it can be encoded apart, and words without combining marks with ASCII letters in lower case. Most pieces
-of a corpus repeat: a lookup costs far less than an encoding. Whether a tokenizer is one of these is read from its file; any
+of a corpus repeat: a look-up costs far less than an encoding. Whether a tokenizer is one of these is read from its file; any
 other encodes each text whole.
+
+A piece of lower-case Latin letters alone is as it is after composing, lower-casing and breaking. Its bytes go to the tokenizer's
+merges directly, many pieces in one call, where the tokenizer's file says that bytes are what it merges and that words' last tokens are marked.
+A worker keeps nothing of one call for the next: in an open vocabulary most pieces that a call lacks are new.
 """
 
 from __future__ import annotations
@@ -12,22 +16,22 @@ import json
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words, and pieces of them, kept by a worker; beyond it the memory starts afresh, which costs time and changes no result.
-REMEMBERED = 500_000
-#: Ids kept by a worker, likewise.
-KEPT_IDS = 1 << 22
-#: A longer piece is not kept, so that memory stays bounded.
-LONGEST = 64
 #: Bytes of text that are encoded at once.
 AT_ONCE = 4 << 20
+#: Plain pieces that are encoded in one call.
+TOGETHER = 1 << 13
 SIGNS = ".,!&%$*#;:?"
+#: Lower-case letters that no normaliser changes.
+LETTERS = "a-zß-öø-ÿ"
 #: Fixed values of the tokenizer file: its normalisers, and the pattern by which it breaks texts.
 NORMALISERS = ["NFC", "Replace", "Lowercase"]
+MARK = "</w>"
 BREAKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -39,84 +43,91 @@ def by_pieces(tokenizer: str) -> bool:
     return found == NORMALISERS and breaks == [BREAKS]
 
 
-class PieceEncoder:
-    """Ids of piece k are flat[first[k]:first[k] + count[k]]; piece 0 is the empty one."""
+def by_bytes(tokenizer: str) -> bool:
+    """Whether a tokenizer, as JSON, merges the bytes of each part of a broken text, marks the end of each, and has a token for every byte at either place."""
+    parts = json.loads(tokenizer)
+    model = parts["model"]
+    *_, last = [{}, *(parts["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    if last.get("type") != "ByteLevel" or last["add_prefix_space"] or last["use_regex"] or model["type"] != "BPE" or model["dropout"] or model["end_of_word_suffix"] != MARK or model["continuing_subword_prefix"]:
+        return False
+    return all(x in model["vocab"] and x + MARK in model["vocab"] for x in _names_of_bytes())
+
+
+def _names_of_bytes() -> list[str]:
+    """The character by which a byte-level tokenizer's file names each byte: itself where it's printable, else those from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b if b in own else next(others)) for b in range(256)]
 
+
+class PieceEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieced = by_pieces(self.tokenizer.to_str())
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.first, self.count, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
-        self.pieces, self.used = 1, 0
-        self.words: dict[str, int] = {}
-        self.halves, self.met = np.zeros(1 << 17, np.int64), 0
-
-    def _places(self, pieces: pa.Array) -> np.ndarray:
-        """Where each piece's ids are; new ones are encoded."""
-        distinct = pieces.dictionary_encode()
-        names, known = distinct.dictionary.to_pylist(), self.known
-        places = [known.get(x, -1) for x in names]
-        new = [i for i, k in enumerate(places) if k < 0]
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([names[i] for i in new], add_special_tokens=False)]
-            counts = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(counts.sum()))
-            self.first, self.count, self.flat = (_room(a, at, n) for a, at, n in ((self.first, self.pieces, len(ids)), (self.count, self.pieces, len(ids)), (self.flat, self.used, len(flat))))
-            self.first[self.pieces : self.pieces + len(ids)] = self.used + np.cumsum(counts) - counts
-            self.count[self.pieces : self.pieces + len(ids)] = counts
-            self.flat[self.used : self.used + len(flat)] = flat
-            _keep(known, [names[i] for i in new], self.pieces)
-            places = np.array(places, np.int64)
-            places[new] = np.arange(self.pieces, self.pieces + len(new))
-            self.pieces += len(ids)
-            self.used += len(flat)
-        return np.asarray(places, np.int64)[distinct.indices.to_numpy(zero_copy_only=False)]
-
-    def _rows(self, raw: pa.Array) -> np.ndarray:
-        """For each word the row of ``halves`` that has the places of its stem and of the signs behind it."""
-        names, known = raw.to_pylist(), self.words
-        rows = np.array([known.get(x, -1) for x in names], np.int64)
-        new = np.flatnonzero(rows < 0)
-        if len(new):
-            part = raw.take(pa.array(new))
-            # words with combining marks keep their capitals: the tokenizer composes characters before it lower-cases them
-            low = pc.if_else(pc.match_substring_regex(part, r"\p{M}"), part, pc.ascii_lower(part))
-            stem = pc.ascii_rtrim(low, SIGNS)
-            special = pc.match_substring(part, "<|")
-            apart = pc.and_(pc.match_substring_regex(stem, "[A-Za-z]$"), pc.invert(special))
-            # most words have no signs behind them: theirs are the empty piece, 0
-            signed = np.flatnonzero(pc.and_(apart, pc.greater(pc.binary_length(low), pc.binary_length(stem))).to_numpy(zero_copy_only=False))
-            whole, bare = (x.take(pa.array(signed)).to_pylist() for x in (low, stem))
-            signs = pa.array([x[len(y) :] for x, y in zip(whole, bare, strict=True)], pa.string())
-            places = self._places(pa.concat_arrays([pc.if_else(apart, stem, pc.if_else(special, part, low)), signs]))
-            self.halves = _room(self.halves, 2 * self.met, 2 * len(new))
-            both = self.halves[2 * self.met : 2 * (self.met + len(new))].reshape(-1, 2)
-            both[:, 0], both[:, 1] = places[: len(new)], 0
-            both[signed, 1] = places[len(new) :]
-            rows[new] = np.arange(self.met, self.met + len(new))
-            _keep(known, [names[i] for i in new.tolist()], self.met)
-            self.met += len(new)
-        return rows
+        found = self.tokenizer.to_str()
+        self.pieced = by_pieces(found)
+        self.plain = None
+        if self.pieced and by_bytes(found):
+            self.plain = Tokenizer(self.tokenizer.model)
+            self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            names = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(names.values()) + 1, bool)
+            self.last[[i for x, i in names.items() if x.endswith(MARK)]] = True
+            self.named = np.array([ord(x) for x in _names_of_bytes()], np.uint32)
+            self.named[ord(" ")] = ord(" ")
+
+    def _together(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain pieces, and how many each has."""
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces), " ")[0].as_buffer()
+        text = self.named[np.frombuffer(joined, np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(pieces):
+            raise ValueError("the tokenizer doesn't mark the last token of each word")
+        return ids, np.diff(ends, prepend=0)
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """flat, first and count: the ids of piece k are flat[first[k]:first[k] + count[k]]."""
+        plain = np.zeros(len(pieces), bool)
+        if self.plain:
+            plain = pc.match_substring_regex(pieces, f"^[{LETTERS}]+$").to_numpy(zero_copy_only=False)
+        some, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        out = [self._together(pieces.take(pa.array(some[i : i + TOGETHER]))) for i in range(0, len(some), TOGETHER)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces.take(pa.array(others)).to_pylist(), add_special_tokens=False)]
+        out.append((np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))))
+        first, count = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        counts = np.concatenate([c for _, c in out])
+        where = np.concatenate((some, others))
+        count[where], first[where] = counts, np.cumsum(counts) - counts
+        return np.concatenate([x for x, _ in out]), first, count
+
+    def _words(self, raw: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """flat, first and count, likewise, of distinct words, from those of their stems and of the signs behind these."""
+        # words with combining marks keep their capitals: the tokenizer composes characters before it lower-cases them
+        low = pc.if_else(pc.match_substring_regex(raw, r"\p{M}"), raw, pc.ascii_lower(raw))
+        stem = pc.ascii_rtrim(low, SIGNS)
+        special = pc.match_substring(raw, "<|")
+        apart = pc.and_(pc.match_substring_regex(stem, f"[A-Z{LETTERS}]$"), pc.invert(special))
+        # most words have no signs behind them
+        signed = np.flatnonzero(pc.and_(apart, pc.greater(pc.binary_length(low), pc.binary_length(stem))).to_numpy(zero_copy_only=False))
+        signs = pc.replace_substring_regex(low.take(pa.array(signed)), f"(?s)^.*[^{SIGNS}]", "")
+        pieces = pa.concat_arrays([pc.if_else(apart, stem, pc.if_else(special, raw, low)), signs]).dictionary_encode()
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        flat, first, count = self._ids(pieces.dictionary)
+        halves = np.full((len(raw), 2), len(count))  # one behind the last: no ids
+        halves[:, 0], halves[signed, 1] = at[: len(raw)], at[len(raw) :]
+        flat, ends = _gathered(flat, np.append(first, 0), np.append(count, 0), halves.ravel())
+        ends = np.concatenate(([0], ends[1::2]))
+        return flat, ends[:-1], np.diff(ends)
 
     def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if self.met > REMEMBERED or self.pieces > REMEMBERED or self.used > KEPT_IDS:
-            self._reset()
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        rows = self._rows(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
-        both = self.halves.reshape(-1, 2)[rows].ravel()
-        count = self.count[both]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.first[both] - ends + count, count) + np.arange(total)]
+        ids, ends = _gathered(*self._words(words.dictionary), words.indices.to_numpy(zero_copy_only=False))
         ends = np.concatenate(([0], ends))
-        return ids, ends[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
+        return ids, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each whole text, in order, as unsigned 32-bit integers."""
@@ -141,12 +152,13 @@ class PieceEncoder:
                 yield ids[a:b]
 
 
-def _keep(known: dict[str, int], names: list[str], first: int) -> None:
-    """Number names from ``first`` on, but for very long ones."""
-    if max(map(len, names)) <= LONGEST:
-        known.update(zip(names, range(first, first + len(names)), strict=True))
-    else:
-        known.update((x, k) for k, x in enumerate(names, first) if len(x) <= LONGEST)
+def _gathered(flat: np.ndarray, first: np.ndarray, count: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the rows, one after the other, and where each row's end."""
+    count = count[rows]
+    ends = np.cumsum(count)
+    at = np.repeat(first[rows] - ends + count, count)
+    at += np.arange(len(at))
+    return flat[at], ends
 
 
 def _parts(text: str) -> list[str]:
@@ -163,14 +175,6 @@ def _parts(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-def _room(a: np.ndarray, used: int, more: int) -> np.ndarray:
-    if used + more <= len(a):
-        return a
-    out = np.zeros(max(2 * len(a), used + more), a.dtype)
-    out[:used] = a[:used]
-    return out
-
-
 @cache
 def encoder(path: str) -> PieceEncoder:
     """One a worker and tokenizer file."""

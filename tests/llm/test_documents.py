@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from saltmarsh.llm import jaccard_join, license_scan, packing, sstable, substring_index
 from saltmarsh.llm.queries import tokenizer
+from saltmarsh.llm.tokenizing import PieceEncoder
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, name string, gram long, words string, fp long"
@@ -320,6 +321,30 @@ def test_other_tokenizers_get_whole_texts(spark):
     assert got == want
 
 
+def test_plain_words_are_merged_together_and_none_is_kept():
+    encode = PieceEncoder(tokenizer())
+
+    class Counted:
+        def __init__(self, own):
+            self.own, self.pieces = own, 0
+
+        def encode_batch_fast(self, pieces, **options):
+            self.pieces += len(pieces)
+            return self.own.encode_batch_fast(pieces, **options)
+
+    def kept():
+        return {k: len(x) for k, x in vars(encode).items() if isinstance(x, dict | np.ndarray)}
+
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyzßàéñöøÿ", k=r.randint(1, 12))) for _ in range(20_000)]
+    texts = [" ".join(w.capitalize() if w[0].isascii() else w for w in words[i : i + 500]).replace(" a", "!! a") for i in range(0, len(words), 500)]
+    texts += ["", "É é e\u0301 E\u0301. ñ, n\u0303 ÿ?! × ÷ µ ª it's ab<|endoftext|> a\u00a0b\tc", "a" * 5000]
+    want = [ids_of(t) for t in texts]
+    encode.tokenizer, before = Counted(encode.tokenizer), kept()
+    assert [x.tolist() for x in encode.encode(texts)] == want
+    assert encode.tokenizer.pieces < 30 and kept() == before
+
+
 def test_license_scan(docs, empty):
     rows = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
     phrases = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
