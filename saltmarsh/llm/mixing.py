@@ -87,7 +87,8 @@ def _slots(scratch: Scratch, weights: dict[str, int], blocks: dict[str, int]) ->
     """Stored: stream, block, release, deadline, slot."""
     spark = scratch.spark
     path = scratch.path("slots")
-    spark.createDataFrame([], SLOTS).write.parquet(path)
+    # no rows, and none from Python: for those executors would start workers besides the ones that they have
+    spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, SLOTS.split(", "))]).write.parquet(path)
     for rows in batched(earliest_deadlines(weights, blocks), AT_ONCE):
         names, ks, releases, deadlines, slots = zip(*rows, strict=True)
         times = (pa.array([min(x, END) for x in part], pa.int64()) for part in (releases, deadlines, slots))

@@ -35,17 +35,15 @@ MARK = "</w>"
 BREAKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def by_pieces(tokenizer: str) -> bool:
-    """Whether a tokenizer, as JSON, breaks and lower-cases texts in the way described above."""
-    parts = json.loads(tokenizer)
+def by_pieces(parts: dict) -> bool:
+    """Whether a tokenizer, given its file's JSON, breaks and lower-cases texts in the way described above."""
     found = [x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])]
     breaks = [x.get("pattern", {}).get("Regex") for x in (parts["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"]]
     return found == NORMALISERS and breaks == [BREAKS]
 
 
-def by_bytes(tokenizer: str) -> bool:
-    """Whether a tokenizer, as JSON, merges the bytes of each part of a broken text, marks the end of each, and has a token for every byte at either place."""
-    parts = json.loads(tokenizer)
+def by_bytes(parts: dict) -> bool:
+    """Whether a tokenizer, likewise, merges the bytes of each part of a broken text, marks the end of each, and has a token for every byte at either place."""
     model = parts["model"]
     *_, last = [{}, *(parts["pre_tokenizer"] or {}).get("pretokenizers", [])]
     if last.get("type") != "ByteLevel" or last["add_prefix_space"] or last["use_regex"] or model["type"] != "BPE" or model["dropout"] or model["end_of_word_suffix"] != MARK or model["continuing_subword_prefix"]:
@@ -66,10 +64,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        found = self.tokenizer.to_str()
-        self.pieced = by_pieces(found)
+        parts = json.loads(self.tokenizer.to_str())
+        self.pieced = by_pieces(parts)
         self.plain = None
-        if self.pieced and by_bytes(found):
+        if self.pieced and by_bytes(parts):
             self.plain = Tokenizer(self.tokenizer.model)
             self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             names = self.tokenizer.get_vocab()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 from saltmarsh.llm import mixing
 
 from .test_models import DOCS
@@ -40,3 +41,11 @@ def test_packing_takes_its_order_from_the_mixings_files(spark, tmp_path):
     assert all([i for i in ours if source[i] == s] == [i for i in order if source[i] == s] for s in "ab") and ours != again
     first = [[x["doc_id"] for x in corpus_pipeline.packed(spark, stored(n)[0], "").orderBy("sequence_id", "offset").collect()] for n in ("mixed", "other")]
     assert first[0] != first[1] and set(first[0]) == set(first[1])
+
+
+def test_tables_of_blocks_start_no_python_workers(spark, monkeypatch):
+    given, own = [], type(spark).createDataFrame
+    docs = spark.range(5).selectExpr("id AS doc_id", "repeat('x', 1000) AS text", "'a' AS source")
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: given.append(data) or own(self, data, *a, **k))
+    assert mixing.mixed(docs).count() == 5 and mixing.mixed(docs.where("false")).count() == 0
+    assert given and all(isinstance(x, pa.Table) for x in given)
