@@ -218,8 +218,9 @@ def html_lines(c: Column | str, least: int = 25) -> Column:
     return F.transform(F.array_sort(F.transform(first, lambda m: F.struct(m["i"].alias("i"), m["s"].alias("s")))), lambda m: m["s"])
 
 
-def html_text(c: Column | str, most: int = 3000) -> Column:
-    return F.trim(F.substring(F.array_join(html_lines(c), "\n"), 1, most))
+def html_text(c: Column | str) -> Column:
+    """A page's whole text: its lines, however many."""
+    return F.trim(F.array_join(html_lines(c), "\n"))
 
 
 def tokens(c: Column | str) -> Column:

@@ -60,7 +60,7 @@ for _name, _sign in X.NAMED:
 @P.query(
     "c4_html_text",
     f"""WITH p AS (SELECT page_id, regexp_split_to_array({PAGE}, '[\\n\\r]') AS ls FROM pages), l AS (SELECT page_id, generate_subscripts(ls, 1) AS i, trim(regexp_replace(unnest(ls), '\\s+', ' ', 'g')) AS s FROM p),
-  k AS (SELECT page_id, i, s, row_number() OVER (PARTITION BY page_id, {NORMAL.format("s")} ORDER BY i) AS r FROM l WHERE length(s) >= 25), t AS (SELECT page_id, trim(left(string_agg(s, chr(10) ORDER BY i), 3000)) AS text FROM k WHERE r = 1 GROUP BY page_id) SELECT page_id, coalesce(text, '') AS text FROM pages LEFT JOIN t USING (page_id)""",
+  k AS (SELECT page_id, i, s, row_number() OVER (PARTITION BY page_id, {NORMAL.format("s")} ORDER BY i) AS r FROM l WHERE length(s) >= 25), t AS (SELECT page_id, trim(string_agg(s, chr(10) ORDER BY i)) AS text FROM k WHERE r = 1 GROUP BY page_id) SELECT page_id, coalesce(text, '') AS text FROM pages LEFT JOIN t USING (page_id)""",
 )
 def c4(spark, d):
     return table(spark, d, "pages").select("page_id", X.html_text("html").alias("text"))

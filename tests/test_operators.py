@@ -143,6 +143,15 @@ def test_lines_of_a_page_are_fingerprinted_once(spark):
     assert plan.count("sha1(") == 1
 
 
+def test_text_of_a_page_is_whole(spark):
+    from saltmarsh.functions import text
+
+    lines = [f"line {'abcdefghij'[i % 10] * (i // 10 + 1)} of a page that goes on far beyond some thousand characters" for i in range(400)]
+    df = spark.createDataFrame([("<p>" + "</p><p>".join(lines) + "</p>",), (None,)], "html string")
+    got = [r["t"] for r in df.select(text.html_text("html").alias("t")).collect()]
+    assert got == ["\n".join(lines), ""] and len(got[0]) > 30_000
+
+
 def test_bad_days_go_without_a_join_of_bars(spark):
     from saltmarsh.operators import validation
     from saltmarsh.plans import validation as plans
