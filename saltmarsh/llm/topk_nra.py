@@ -5,7 +5,8 @@ In a tile every dimension is a list of the candidates sorted by value. A query r
 high end where its own component is positive and from the low end where it is negative. A candidate's lower bound is what was read of
 it and the lists' last values for the rest; its upper bound what was read and the values that the lists have come to. Once
 an outsider, seen in no list, cannot reach the k-th best lower bound, candidates whose upper bound is below it are dropped; reading stops when
-few are left, and their scores are resolved. Ties go to the smaller identifier.
+few are left, and their scores are resolved. A tile's queries read together: those that are at one depth get their bounds by one product of
+matrices. Ties go to the smaller identifier.
 
 The k-th best score carries over between tiles: each query first searches one tile, and takes the k-th score found there into all others
 as a lower bound from the start.
@@ -16,6 +17,8 @@ instead; a score beyond 64 bits is an error.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,8 +27,10 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 TILE, QUERIES = 8192, 8192
-#: A list is read in so many blocks, but for the first stop where a bar is known.
+#: A list is read in so many blocks.
 BLOCKS = 12
+#: Queries whose bounds, and pairs whose scores, are worked out at once.
+STEP, PAIRS = 128, 1 << 14
 #: Components up to which sums of a few thousand products stay below 2**53.
 ORDINARY = float(1 << 20)
 EXACT = float(1 << 53)
@@ -40,56 +45,97 @@ def integers(vectors: DataFrame, scale: int = 1024) -> DataFrame:
 
 
 class Lists:
-    """A tile's candidates as sorted lists: lists 0 to d - 1 from the high end, d to 2d - 1 from the low end."""
+    """A tile's candidates as sorted lists, for each dimension one from the high and one from the low end, that queries read in step.
+
+    At a depth, an entry has been read if its value isn't beyond what its list has come to. So the candidates' bounds are sums over their
+    components, each held to what is known of it, and all queries at this depth get theirs by one product of matrices.
+    """
 
     def __init__(self, x: np.ndarray, ids: np.ndarray):
-        n, d = x.shape
-        order = np.argsort(x, 0, kind="stable")
-        values = np.take_along_axis(x, order, 0)
-        place = np.empty((n, d), np.int32)
-        np.put_along_axis(place, order, np.arange(n, dtype=np.int32)[:, None].repeat(d, 1), 0)
-        self.ids, self.n, self.d = ids, n, d
-        self.order = np.ascontiguousarray(np.concatenate([order[::-1], order], 1).T)
-        self.values = np.ascontiguousarray(np.concatenate([values[::-1], values], 1).T)
-        self.place = np.concatenate([n - 1 - place, place], 1)
-
-    def _depth(self, lists: np.ndarray, w: np.ndarray, bar: float) -> int:
-        """Where the lists have come to values that add up to less than the bar: before it an outsider could still qualify."""
-        low, high = 0, self.n
-        while low < high:
-            middle = (low + high) // 2
-            low, high = (low, middle) if self.values[lists, middle] @ w < bar else (middle + 1, high)
-        return low
-
-    def search(self, q: np.ndarray, own: int, k: int, bar: float) -> tuple[np.ndarray, int]:
-        """Rows that may be among the k best of those with another identifier and a score of at least ``bar``, and how many entries were read.
-
-        Without a bar the k-th best lower bound becomes one, block by block; with one the first stop is where outsiders can't reach it.
+        self.x, self.ids, self.n = x, ids, len(x)
+        self.values = np.sort(x, 0)
+        self.by_id = np.argsort(ids, kind="stable")
+
+    def front(self, at: int) -> np.ndarray:
+        """The values that the lists have come to, the high ends' first."""
+        return np.concatenate([self.values[self.n - 1 - at], self.values[at]])
+
+    def upper(self, at: int) -> np.ndarray:
+        """Components as the high and as the low lists bound them for a query that gains by them."""
+        if at == self.n:
+            return np.concatenate([self.x, self.x], 1)
+        return np.concatenate([np.maximum(self.x, self.values[self.n - 1 - at]), np.minimum(self.x, self.values[at])], 1)
+
+    def lower(self, at: int) -> np.ndarray:
+        """Components that were read, and the lists' last values for the rest."""
+        high = np.where(self.x >= self.values[self.n - at], self.x, self.values[0])
+        return np.concatenate([high, np.where(self.x <= self.values[at - 1], self.x, self.values[-1])], 1)
+
+    def _own(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of queries and of the rows that have their identifiers."""
+        ids = self.ids[self.by_id]
+        low, high = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+        col = np.repeat(np.arange(len(own)), high - low)
+        return col, self.by_id[np.arange(len(col)) - np.repeat(np.cumsum(high - low) - high, high - low)]
+
+    def search(self, q: np.ndarray, own: np.ndarray, k: int, bars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Query row, candidate row and score of the k best candidates with another identifier and a score of at least the query's bar, and how many entries were read.
+
+        Without a bar the k-th best lower bound becomes one, block by block; with one, candidates are looked at from where outsiders can't reach it.
         """
-        n, dims = self.n, np.flatnonzero(q)
-        w = q[dims]
-        lists = np.where(w > 0, dims, dims + self.d)
-        alive = np.flatnonzero(self.ids != own)
-        learning, few, block = bar == -np.inf, max(4 * k, n // 8), max(1, -(-n // BLOCKS))
-        least = self.values[lists, n - 1] * w
-        seen, rest, read, at = np.zeros(n), np.full(n, least.sum()), 0, 0
-        while at < n and len(alive) > few and len(w):
-            to = min(n, at + block if learning else max(at + block, self._depth(lists, w, bar)))
-            rows, part = self.order[:, at:to][lists], self.values[:, at:to][lists] * w[:, None]
-            seen += np.bincount(rows.ravel(), part.ravel(), n)
-            read, at = read + rows.size, to
-            if learning:
-                rest -= np.bincount(rows.ravel(), np.repeat(least, rows.shape[1]), n)
-                if len(alive) > k:
-                    low = seen[alive] + rest[alive]
-                    bar = max(bar, float(np.partition(low, len(low) - k)[len(low) - k]))
-            front = self.values[lists, at] * w if at < n else np.zeros(len(w))
-            if front.sum() >= bar:
-                continue  # an outsider might still qualify
-            # at most what is left where it is positive: a quick look before the bounds themselves
-            alive = alive[seen[alive] + np.maximum(front, 0).sum() >= bar]
-            alive = alive[seen[alive] + (self.place[alive][:, lists] >= at) @ front >= bar]
-        return alive, read
+        n, bars, learning = self.n, bars.astype(float), bars == -np.inf
+        w = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], 1)
+        few, block, at, read = max(4 * k, n // 8), max(1, -(-n // BLOCKS)), 0, 0
+        todo, out = np.arange(len(q)), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        while len(todo):
+            at = min(n, at + block)
+            front = w @ self.front(at) if at < n else np.full(len(w), -np.inf)
+            if learning[todo].any():
+                lower = self.lower(at)
+                for part in _steps(todo[learning[todo]]):
+                    if n < k:
+                        break
+                    low = w[part] @ lower.T
+                    low[self._own(own[part])] = -np.inf
+                    bars[part] = np.maximum(bars[part], np.partition(low, n - k, 1)[:, n - k])
+            ready = todo[(front[todo] < bars[todo]) | (at == n)]  # for others an outsider might still qualify
+            done = np.zeros(len(q), bool)
+            if len(ready):
+                upper = self.upper(at)
+            for part in _steps(ready):
+                high = w[part] @ upper.T
+                alive = high >= bars[part, None]
+                alive[self._own(own[part])] = False
+                ended = (alive.sum(1) <= few) | (at == n)
+                done[part[ended]] = True
+                alive[~ended] = False
+                col, row = np.divmod(np.flatnonzero(alive), n)
+                score = high[col, row] if at == n else self._scores(q[part], col, row)
+                keep = score >= bars[part[col]]
+                out.append(_first(part[col[keep]], row[keep], score[keep], self.ids, k))
+            read += at * int(np.count_nonzero(q[done]))
+            todo = todo[~done[todo]]
+        return *(np.concatenate(x) for x in zip(*out, strict=True)), read
+
+    def _scores(self, q: np.ndarray, col: np.ndarray, row: np.ndarray) -> np.ndarray:
+        out = np.empty(len(col))
+        for i in range(0, len(col), PAIRS):
+            at = slice(i, i + PAIRS)
+            out[at] = np.einsum("ij,ij->i", q[col[at]], self.x[row[at]])
+        return out
+
+
+def _steps(rows: np.ndarray) -> Iterator[np.ndarray]:
+    for i in range(0, len(rows), STEP):
+        yield rows[i : i + STEP]
+
+
+def _first(col: np.ndarray, row: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query, best first, queries in order."""
+    best = np.lexsort((ids[row], -score if score.dtype == float else ~score, col))  # ~ reverses the order without overflow
+    col, row, score = col[best], row[best], score[best]
+    keep = np.arange(len(col)) - np.searchsorted(col, col, "left") < k
+    return col[keep], row[keep], score[keep]
 
 
 def _whole(x: np.ndarray, q: np.ndarray) -> list[int]:
@@ -101,29 +147,21 @@ def _whole(x: np.ndarray, q: np.ndarray) -> list[int]:
 
 
 def search(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, k: int, bars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """query row, candidate row and score of each query's k best candidates with another identifier; and the entries read."""
+    """query row, candidate row and score of each query's k best candidates with another identifier, of those that reach its bar; and the entries read."""
     limit = min(ORDINARY, np.sqrt(EXACT / x.shape[1]))
-    plain = np.abs(x).max(1, initial=0) <= limit
-    ordinary, large = np.flatnonzero(plain), np.flatnonzero(~plain)
-    lists = Lists(x[ordinary], ids[ordinary]) if len(ordinary) else None
-    cols, rows, scores, entries = [], [], [], 0
-    for j in range(len(q)):
-        if np.abs(q[j]).max(initial=0) <= limit:
-            found, read = lists.search(q[j], qids[j], k, float(bars[j])) if lists else (ordinary, 0)
-            entries += read
-            row, score = ordinary[found], (x[ordinary[found]] @ q[j]).astype(np.int64)
-            other = large[ids[large] != qids[j]]
-        else:
-            row, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            other = np.flatnonzero(ids != qids[j])
-        if len(other):
-            row, score = np.concatenate([row, other]), np.concatenate([score, np.array(_whole(x[other], q[j]), np.int64)])
-        best = np.lexsort((ids[row], ~score))[:k]  # ~ reverses the order without overflow
-        cols.append(np.full(len(best), j))
-        rows.append(row[best])
-        scores.append(score[best])
-    empty = [np.zeros(0, np.int64)]
-    return np.concatenate(cols or empty), np.concatenate(rows or empty), np.concatenate(scores or empty), entries
+    plain, asked = np.abs(x).max(1, initial=0) <= limit, np.abs(q).max(1, initial=0) <= limit
+    ordinary, large, few = np.flatnonzero(plain), np.flatnonzero(~plain), np.flatnonzero(asked)
+    cols, rows, scores, entries = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    if len(ordinary) and len(few):
+        col, row, score, entries = Lists(x[ordinary], ids[ordinary]).search(q[few], qids[few], k, bars[few])
+        cols, rows, scores = [few[col]], [ordinary[row]], [score.astype(np.int64)]
+    for j in range(len(q)) if len(large) else np.flatnonzero(~asked):
+        other = large if asked[j] else np.arange(len(x))
+        other = other[ids[other] != qids[j]]
+        cols.append(np.full(len(other), j))
+        rows.append(other)
+        scores.append(np.array(_whole(x[other], q[j]), np.int64))
+    return *_first(*(np.concatenate(c) for c in (cols, rows, scores)), ids, k), entries
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:

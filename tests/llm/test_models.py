@@ -112,6 +112,27 @@ def test_search_is_brute_force():
             assert [[(-int(score[t]), int(ids[row[t]])) for t in np.flatnonzero(col == j)] for j in range(m)] == want
 
 
+def test_queries_of_a_tile_read_together(monkeypatch):
+    monkeypatch.setattr(topk_nra, "STEP", 7)
+    monkeypatch.setattr(topk_nra, "PAIRS", 50)
+    r = np.random.default_rng(5)
+    x = np.floor(r.standard_normal((700, 9)) * 100)
+    ids, own = r.permutation(700), np.arange(0, 700, 5)
+    q = x[np.argsort(ids)[own]]
+    calls = []
+    upper = topk_nra.Lists.upper
+    monkeypatch.setattr(topk_nra.Lists, "upper", lambda self, at: calls.append(at) or upper(self, at))
+    whole = q @ x.T
+    whole[np.arange(140), np.argsort(ids)[own]] = -np.inf
+    best = np.sort(whole, 1)[:, ::-1]
+    for bars, most in ((np.full(140, -np.inf), 4), (best[:, 3], 4), (best[:, 1], 2), (best[:, 0] + 1, 0)):
+        calls.clear()
+        col, _, score, _ = topk_nra.search(x, ids, q, own, 4, bars)
+        assert 1 <= len(calls) <= topk_nra.BLOCKS  # one bound of the tile a depth, however many queries
+        # what doesn't reach a bar known from elsewhere isn't given back
+        assert [score[col == j].tolist() for j in range(140)] == [[s for s in best[j, :most].tolist() if s >= bars[j]] for j in range(140)]
+
+
 def test_lists_are_read_in_part_only():
     r = np.random.default_rng(3)
     centres = r.standard_normal((40, 64))
