@@ -60,9 +60,9 @@ def characters(docs: DataFrame) -> int:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << WIDTH, bool)
         for batch in stream:
-            for text in batch.column(0).to_pylist():
-                for i in range(0, len(text), AT_ONCE):
-                    seen[_points(text[i : i + AT_ONCE])] = True
+            text = "".join(batch.column(0).to_pylist())
+            for i in range(0, len(text), AT_ONCE):
+                seen[_points(text[i : i + AT_ONCE])] = True
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen), pa.int64())], names=["c"])
 
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "c long").distinct().count()
@@ -82,76 +82,128 @@ def names_of(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
     return mix(hi.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(lo.view(np.uint64)))
 
 
-def parts_of(text: str, order: int) -> Iterator[np.ndarray]:
-    """The symbols of a text with what stands before and behind it; a long one in parts, each n-gram in one of them."""
+#: Symbols before a part, its characters, and whether the text ends with it.
+Part = tuple[int, str, bool]
+
+
+def parts_of(text: str, order: int) -> Iterator[Part]:
+    """A text with what stands before and behind it; a long one in parts, each n-gram in one of them."""
     for i in range(0, len(text) + 1, AT_ONCE):
-        part = _points(text[max(0, i - order + 1) : i + AT_ONCE]).astype(np.int64) + CHARACTERS
-        before = np.full(max(0, order - 1 - i), BEFORE, np.int64)
-        yield np.concatenate([before, part, [BEHIND]] if i + AT_ONCE > len(text) else [before, part])
+        yield max(0, order - 1 - i), text[max(0, i - order + 1) : i + AT_ONCE], i + AT_ONCE > len(text)
+
 
+def symbols_of(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of several parts, one behind the other, and how many each has."""
+    before, behind = np.array([x[0] for x in parts]), np.array([x[2] for x in parts])
+    n = np.array([len(x[1]) for x in parts])
+    ends = np.cumsum(before + n + behind)
+    symbols = np.full(ends[-1], BEFORE, np.int64)
+    symbols[np.arange(n.sum()) + np.repeat(ends - behind - np.cumsum(n), n)] = _points("".join(x[1] for x in parts)) + np.uint32(CHARACTERS)
+    symbols[ends[behind] - 1] = BEHIND
+    return symbols, before + n + behind
 
-def grams(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """hi and lo of the distinct n-grams of several arrays of symbols; which of them stands at each place; and the arrays' bounds in that."""
-    symbols = np.concatenate(parts)
-    bounds = np.concatenate(([0], np.cumsum([len(x) - order + 1 for x in parts])))
-    starts = np.arange(bounds[-1]) + np.repeat(np.arange(len(parts)) * (order - 1), np.diff(bounds))
-    seen = np.zeros(1 << WIDTH, bool)
+
+def _ranks(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each of the codes below ``size``, from 0, equal ones alike; and a place of each number.
+
+    Codes are sorted together with their places where both fit a long: numbers alone sort much quicker than they can be looked up.
+    """
+    bits = len(codes).bit_length()
+    if size > 1 << 62 - bits:
+        _, place, at = np.unique(codes, return_index=True, return_inverse=True)
+        return at, place
+    packed = codes << bits
+    packed |= np.arange(len(codes))
+    packed.sort()
+    places = packed & (1 << bits) - 1
+    packed >>= bits
+    new = np.ones(len(codes), bool)
+    np.not_equal(packed[1:], packed[:-1], out=new[1:])
+    at = np.empty(len(codes), np.int64)
+    at[places] = np.cumsum(new) - 1
+    return at, places[new]
+
+
+def grams(parts: list[Part], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """hi and lo of the distinct n-grams of several parts; which of them stands at each place; and the parts' bounds in that."""
+    symbols, length = symbols_of(parts)
+    bounds = np.concatenate(([0], np.cumsum(length - order + 1)))
+    inside = np.ones(len(symbols) - order + 1, bool)
+    inside[(np.cumsum(length)[:-1, None] - np.arange(1, order)).ravel()] = False  # they'd reach into the next part
+    seen = np.zeros(symbols.max() + 1, bool)
     seen[symbols] = True
-    local = np.cumsum(seen, dtype=np.int32) - 1
-    many, ids = int(local[-1]) + 1, local[symbols].astype(np.int64)
-    codes, size = ids[starts], many
+    local = np.cumsum(seen) - 1
+    many, ids = int(local[-1]) + 1, local[symbols]
+    codes, size = ids[: len(inside)].copy(), many
     for j in range(1, order):
         if size > (1 << 62) // many:  # ranks of what was met stand in for it
-            names, codes = np.unique(codes, return_inverse=True)
-            size = len(names)
-        codes, size = codes * many + ids[starts + j], size * many
-    names, at = np.unique(codes, return_inverse=True)
-    place = np.empty(len(names), np.int64)
-    place[at] = starts
+            codes, place = _ranks(codes, size)
+            size = len(place)
+        codes *= many
+        codes += ids[j : len(inside) + j]
+        size *= many
+    at, place = _ranks(codes[inside], size)
+    place = np.flatnonzero(inside)[place]
     hi, lo = keys_of([symbols[place + j] for j in range(order)])
     return hi, lo, at, bounds
 
 
-def _by_half(texts: list[str], halves: np.ndarray, order: int, at_once: int = AT_ONCE) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-    """half, rows, and the symbols of their texts, about so many at a time."""
+def _by_half(texts: list[str], halves: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, list[Part]]]:
+    """half, rows, and the parts of their texts, about AT_ONCE characters at a time."""
     for half in (0, 1):
         rows, parts, size = [], [], 0
         for row in np.flatnonzero(halves == half).tolist():
             for part in parts_of(texts[row], order):
-                if parts and size + len(part) > at_once:
+                if parts and size + len(part[1]) > AT_ONCE:
                     yield half, np.array(rows), parts
                     rows, parts, size = [], [], 0
                 rows.append(row)
                 parts.append(part)
-                size += len(part)
+                size += len(part[1])
         if parts:
             yield half, np.array(rows), parts
 
 
+def _find(names: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where own names stand among the sorted ones, and which do; looked up in order, which is quicker by far."""
+    order = np.argsort(own)
+    at = np.empty(len(own), np.int64)
+    at[order] = np.searchsorted(names, own[order])
+    at[at == len(names)] = 0
+    return at, names[at] == own if len(names) else np.zeros(len(own), bool)
+
+
 def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """half, hi, lo, c: how often each n-gram of the highest order occurs in the texts (text, half) of either half."""
     names = ["half", "hi", "lo", "c"]
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nothing = [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
-        held = [nothing, nothing]
+        held: list[list[tuple[np.ndarray, ...]]] = [[], []]
+        size = [0, 0]
+
+        def summed(half: int) -> None:
+            if len(held[half]) > 1:
+                name, hi, lo, c = (np.concatenate(x) for x in zip(*held[half], strict=True))
+                at = np.argsort(name)
+                first = np.flatnonzero(np.diff(name[at], prepend=~name[at[:1]]))
+                c, at = np.add.reduceat(c[at], first), at[first]
+                held[half] = [(name[at], hi[at], lo[at], c)]
+            size[half] = 0
 
         def sent(half: int) -> pa.RecordBatch:
-            _, hi, lo, c = held[half]
-            held[half] = nothing
+            summed(half)
+            _, hi, lo, c = held[half].pop() if held[half] else [np.zeros(0, np.int64)] * 4
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(c), half)), pa.array(hi), pa.array(lo), pa.array(c)], names=names)
 
         for batch in stream:
             for half, _, own in _by_half(batch.column(0).to_pylist(), batch.column(1).to_numpy(), order):
                 hi, lo, at, _ = grams(own, order)
-                old, more = held[half], (names_of(hi, lo), hi, lo, np.bincount(at, minlength=len(hi)))
-                name, hi, lo, c = (np.concatenate(x) for x in zip(old, more, strict=True))
-                name, at = np.unique(name, return_inverse=True)
-                firsts = np.empty(len(name), np.int64)
-                firsts[at] = np.arange(len(at))
-                held[half] = [name, hi[firsts], lo[firsts], np.bincount(at, c).astype(np.int64)]
-                if len(name) > COUNTED:
-                    yield sent(half)
+                held[half].append((names_of(hi, lo), hi, lo, np.bincount(at, minlength=len(hi))))
+                size[half] += len(hi)
+                if size[half] > COUNTED // 2:
+                    summed(half)
+                    if len(held[half][0][0]) > COUNTED:
+                        yield sent(half)
         yield sent(0)
         yield sent(1)
 
@@ -246,18 +298,15 @@ class Model:
         names, p, _ = self.levels[n]
         if n == 0:
             return np.full(len(lo), p[0])
-        own = names_of(hi, lo)
-        at = np.searchsorted(names, own)
-        at[at == len(names)] = 0
-        hit = (names[at] == own) & ~np.isnan(p[at])
+        at, hit = _find(names, names_of(hi, lo))
+        hit &= ~np.isnan(p[at])
         out = p[at]
         if not hit.all():
             hi, lo = hi[~hit], lo[~hit]
             contexts, _, gamma = self.levels[n - 1]
             before = names_of(hi >> WIDTH, lo >> WIDTH | (hi & SYMBOL) << 2 * WIDTH)
-            at = np.searchsorted(contexts, before)
-            at[at == len(contexts)] = 0
-            weight = np.where((contexts[at] == before) & ~np.isnan(gamma[at]), gamma[at], 1.0)
+            at, known = _find(contexts, before)
+            weight = np.where(known & ~np.isnan(gamma[at]), gamma[at], 1.0)
             hi, lo = (hi & (1 << WIDTH * (n - 4)) - 1, lo) if n > 4 else (np.zeros_like(hi), lo & (1 << WIDTH * (n - 1)) - 1)
             out[~hit] = weight * self.probabilities(hi, lo, n - 1)
         return out
@@ -322,7 +371,7 @@ def _score_sharded(rows: DataFrame, model: DataFrame, scratch: Scratch, order: i
     p: Column = F.lit(model.where("n = 0").first()["p"])
     for n in range(1, order + 1):
         p = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"g{n}"), F.lit(1.0)) * p)
-    surprise = scratch.store(joined.select(*KEY, "c", (-F.log(p)).alias("s")), "surprise")
+    surprise = scratch.store(joined.select(*KEY, "c", F.when(p > 0, -F.log(p)).otherwise(math.inf).alias("s")), "surprise")  # Spark's log of 0 is null
     known = _most_frequent(surprise, common).toArrow()
     tables = []
     for half in (0, 1):
@@ -338,30 +387,23 @@ def _score_sharded(rows: DataFrame, model: DataFrame, scratch: Scratch, order: i
         for batch in stream:
             n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             dids, tks = batch.column("did").to_numpy(), batch.column("tk").to_numpy()
-            rest, size = [], 0
-            for half, at, own in _by_half(batch.column("text").to_pylist(), batch.column("half").to_numpy(), order, 1):
-                row = at[0]
-                hi, lo, places, _ = grams(own, order)
-                c, mine = np.bincount(places, minlength=len(hi)), names_of(hi, lo)
+            for half, at, own in _by_half(batch.column("text").to_pylist(), batch.column("half").to_numpy(), order):
+                hi, lo, places, bounds = grams(own, order)
                 found, s = often.value[half]
-                i = np.searchsorted(found, mine)
-                i[i == len(found)] = 0
-                hit = found[i] == mine if len(found) else np.zeros(len(mine), bool)
-                n[row] += len(places)
-                total[row] += float((c[hit] * s[i[hit]]).sum())
-                miss = np.flatnonzero(~hit)
-                rest.append([np.full(len(miss), x) for x in (dids[row], tks[row], half)] + [hi[miss], lo[miss], c[miss]])
-                size += len(miss)
-                if size > 100_000:
-                    yield others(rest)
-                    rest, size = [], 0
-            if size:
-                yield others(rest)
+                i, hit = _find(found, names_of(hi, lo))
+                np.add.at(n, at, np.diff(bounds))
+                if hit.any():
+                    np.add.at(total, at, np.add.reduceat(np.where(hit, s[i], 0.0)[places], bounds[:-1]))
+                miss = np.flatnonzero(~hit[places])
+                pairs, c = np.unique(at[np.searchsorted(bounds, miss, "right") - 1] * len(hi) + places[miss], return_counts=True)
+                row, gram = np.divmod(pairs, len(hi))
+                if len(c):
+                    yield others([dids[row], tks[row], np.full(len(c), half), hi[gram], lo[gram], c])
             none = pa.nulls(batch.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in OWN), batch.column("half"), pa.array(n), pa.array(total), none, none, none], names=names)
 
-    def others(rest: list[list[np.ndarray]]) -> pa.RecordBatch:
-        did, tk, half, hi, lo, c = (pa.array(np.concatenate(x), pa.int64()) for x in zip(*rest, strict=True))
+    def others(rest: list[np.ndarray]) -> pa.RecordBatch:
+        did, tk, half, hi, lo, c = (pa.array(x, pa.int64()) for x in rest)
         none = pa.nulls(len(did), pa.int64())
         return pa.RecordBatch.from_arrays([none, did, tk, pa.nulls(len(did), pa.string()), half, none, pa.nulls(len(did), pa.float64()), hi, lo, c], names=names)
 

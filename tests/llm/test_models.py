@@ -207,6 +207,49 @@ def test_probabilities_add_up_to_one(judged):
         assert math.isclose(model.probabilities(*keys).sum(), 1, rel_tol=1e-9)
 
 
+def test_grams_of_many_texts_at_once(monkeypatch):
+    r = random.Random(3)
+    odd = ["\0", "\1", "\2", "a", "b", "\u4e00", "\ud800", "\udc00", "\U0010ffff"]
+    texts = ["".join(r.choices(odd, k=r.choice([0, 1, 3, 7, 8, 14, 40]))) for _ in range(200)] + ["".join(map(chr, range(0x3000, 0x3000 + 9000)))]
+    halves = np.array([r.randrange(2) for _ in texts])
+    for at_once in (7, 1 << 19):
+        monkeypatch.setattr(kneser_ney, "AT_ONCE", at_once)
+        for order in (1, 3, 5, 6):
+            groups = list(kneser_ney._by_half(texts, halves, order))
+            assert len(groups) == 2 or at_once == 7  # short texts share a group
+            got = [{} for _ in texts]
+            for half, rows, parts in groups:
+                hi, lo, at, bounds = kneser_ney.grams(parts, order)
+                assert len(set(zip(hi.tolist(), lo.tolist(), strict=True))) == len(hi)
+                for i, row in enumerate(rows.tolist()):
+                    assert halves[row] == half
+                    for g in at[bounds[i] : bounds[i + 1]].tolist():
+                        key = int(hi[g]) << 3 * kneser_ney.WIDTH | int(lo[g])
+                        got[row][key] = got[row].get(key, 0) + 1
+            for text, found in zip(texts, got, strict=True):
+                symbols = [kneser_ney.BEFORE] * (order - 1) + [ord(c) + kneser_ney.CHARACTERS for c in text] + [kneser_ney.BEHIND]
+                want = {}
+                for i in range(len(text) + 1):
+                    key = sum(s << kneser_ney.WIDTH * (order - 1 - j) for j, s in enumerate(symbols[i : i + order]))
+                    want[key] = want.get(key, 0) + 1
+                assert found == want
+
+
+def test_nothing_left_for_unseen_ones_is_no_chance_in_either_path(judged):
+    docs, _ = judged
+    scratch = Scratch(docs.sparkSession, "test")
+    model = kneser_ney.train(kneser_ney.count_grams(kneser_ney._keyed(docs).where("doc_id < 60")), 50, scratch)
+    some = model.where("n = 5").orderBy("hi", "lo").first()
+    model = model.withColumn("p", F.when((F.col("n") == 5) & (F.col("hi") == some["hi"]) & (F.col("lo") == some["lo"]), 0.0).otherwise(F.col("p")))
+    totals = []
+    for table_rows, common in ((10**6, 0), (0, 0), (0, 10**6)):
+        rows = kneser_ney.score(docs, model, scratch, 5, table_rows, common).collect()
+        totals.append([r["total"] for r in sorted(rows, key=lambda r: (r["doc_id"], r["tk"]))])
+    assert 0 < sum(math.isinf(x) for x in totals[0]) < len(totals[0])
+    for other in totals[1:]:
+        assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(totals[0], other, strict=True))
+
+
 def plain_model(texts: list[str], order: int, vocabulary: int):
     """Interpolated modified Kneser-Ney by its definition, over strings."""
     grams = {n: {} for n in range(1, order + 1)}
